@@ -1,0 +1,16 @@
+"""Helpers shared by the query catalogue."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+DIGITS = 6
+
+
+def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+    """Round every double column (both engines do this before hashing)."""
+    return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
+                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+                       for f in df.schema.fields])
