@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from fillbook.functions.tokens import (json_string_array, market_id_coalesce,
                                        token_ids_from_struct)
+from fillbook.operators.dedupe import first_per_key
 from fillbook.operators.label import with_tokens
 
 # Options for CSV written by Python's csv module: doubled quotes inside quoted
@@ -48,19 +49,6 @@ def with_ingest_seq(df: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("r")))
 
 
-def first_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """One row per ``key``: the row smallest in ``order``.
-
-    An aggregate (``min_by`` on a struct), not a window: it is combined
-    map-side, so an id repeated across a third of the input costs one row per
-    task before the shuffle.
-    """
-    cols = [c for c in df.columns if c != key]
-    picked = df.groupBy(key).agg(
-        F.min_by(F.struct(*cols), F.struct(*order)).alias("_row"))
-    return picked.select(key, *[F.col("_row")[c].alias(c) for c in cols])
-
-
 def union_first_wins(frames: list[DataFrame], key: str = "id",
                      seq_col: str | None = None) -> DataFrame:
     """Union by name (missing columns become null, types relaxed to the wider
