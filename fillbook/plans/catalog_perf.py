@@ -1 +1,207 @@
-"""(filled in below)"""
+"""Queries for the performance reports over fx_equity / fx_ledger."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fillbook.operators import perf as P
+from fillbook.operators import rules as R
+from fillbook.plans.catalog_rules import ENTRY, EXIT, _trips, ind_sql, pos_sql
+from fillbook.plans.catalog_trades import _trades, trades_with
+from fillbook.plans.fixture_sql import fx
+from fillbook.plans.registry import register
+from fillbook.sources import fixtures as X
+
+CALMAR_WINDOW = 7
+
+
+def _equity(spark, sf):
+    return X.fx_equity(spark, sf)
+
+
+def _ledger(spark, sf):
+    return X.fx_ledger(spark, sf).withColumnRenamed("pnl_cents", "pnl")
+
+
+WON = F.col("pnl") >= 0  # a zero-pnl trade counts as won
+LEDGER_ORDER = ["closed_on", "side", "bars", "pnl"]
+
+DD_SQL = """dd AS (
+  select series, ts, seq, value, pk,
+    pk - value as moneydown, 100.0 * (pk - value) / pk as drawdown,
+    pos - max(case when value >= pk then pos end) over (partition by series order by ts, seq
+      rows between unbounded preceding and current row) as len, pos
+  from (select *, max(value) over (partition by series order by ts, seq
+      rows between unbounded preceding and current row) as pk,
+    row_number() over (partition by series order by ts, seq) as pos from fx_equity))"""
+
+
+@register("perf_drawdown", f"""WITH {fx("fx_equity")}, {DD_SQL}
+select series, arg_max(len, pos) as len, arg_max(drawdown, pos) as drawdown,
+  arg_max(moneydown, pos) as moneydown, max(len) as max_len, max(drawdown) as max_drawdown,
+  max(moneydown) as max_moneydown
+from dd group by series""")
+def q_perf_drawdown(spark, sf):
+    return P.drawdown_report(_equity(spark, sf))
+
+
+ENDS_SQL = """ends AS (select series, cast(ts as date) as period, arg_max(value, (ts, seq)) as end_value,
+    arg_min(value, (ts, seq)) as first_value from fx_equity group by all),
+rets AS (select series, period, end_value,
+    end_value / coalesce(lag(end_value) over (partition by series order by period), first_value) - 1 as ret
+  from ends)"""
+
+
+@register("perf_time_return", f"""WITH {fx("fx_equity")}, {ENDS_SQL}
+select series, period, ret from rets""")
+def q_perf_time_return(spark, sf):
+    return P.period_returns(_equity(spark, sf), F.to_date("ts")).select("series", "period", "ret")
+
+
+@register("perf_annual_return", f"""WITH {fx("fx_equity")},
+ends AS (select series, year(ts) as period, arg_max(value, (ts, seq)) as end_value,
+    arg_min(value, (ts, seq)) as first_value from fx_equity group by all)
+select series, period, end_value / coalesce(lag(end_value) over (partition by series order by period),
+  first_value) - 1 as ret from ends""")
+def q_perf_annual_return(spark, sf):
+    return P.period_returns(_equity(spark, sf), F.year("ts")).select("series", "period", "ret")
+
+
+@register("perf_period_stats", f"""WITH {fx("fx_equity")}, {ENDS_SQL}
+select series, round(avg(ret), 6) as average, round(stddev_samp(ret), 6) as stddev,
+  count(*) filter (where ret > 0) as positive, count(*) filter (where ret < 0) as negative,
+  count(*) filter (where ret = 0) as nzero, max(ret) as best, min(ret) as worst
+from rets group by series""")
+def q_perf_period_stats(spark, sf):
+    s = P.period_stats(P.period_returns(_equity(spark, sf), F.to_date("ts")))
+    return s.withColumn("average", F.round("average", 6)).withColumn("stddev", F.round("stddev", 6))
+
+
+@register("perf_sharpe", f"""WITH {fx("fx_equity")}, {ENDS_SQL}
+select series, round(avg(ret - 0.0) / stddev_samp(ret), 6) as sharpe from rets group by series""")
+def q_perf_sharpe(spark, sf):
+    s = P.sharpe(P.period_returns(_equity(spark, sf), F.to_date("ts")))
+    return s.withColumn("sharpe", F.round("sharpe", 6))
+
+
+@register("perf_calmar", f"""WITH {fx("fx_equity")}, {ENDS_SQL},
+e AS (select *, row_number() over (partition by series order by period) as i,
+      lag(end_value, {CALMAR_WINDOW}) over (partition by series order by period) as start_value from ends),
+mdd AS (select a.series, a.period, max((p.end_value - q.end_value) / p.end_value) as mdd
+  from e a join e p on p.series = a.series and p.i between a.i - {CALMAR_WINDOW} and a.i
+           join e q on q.series = a.series and q.i between p.i and a.i
+  group by a.series, a.period)
+select e.series, e.period,
+  case when mdd.mdd > 0 then (e.end_value / e.start_value - 1) / mdd.mdd end as calmar
+from e join mdd using (series, period)""")
+def q_perf_calmar(spark, sf):
+    ends = P.period_ends(_equity(spark, sf), F.to_date("ts"))
+    return P.calmar(ends, CALMAR_WINDOW)
+
+
+@register("perf_vwr", f"""WITH {fx("fx_equity")}, {ENDS_SQL},
+e AS (select *, row_number() over (partition by series order by period) - 1 as i from ends),
+n AS (select series, max(i) as n, arg_max(end_value, i) as vn, arg_min(end_value, i) as v0 from e group by series),
+r AS (select n.*, ln(vn / v0) / n as ravg from n),
+g AS (select e.series, any_value(r.ravg) as ravg,
+    stddev_pop(e.end_value / (r.v0 * exp(r.ravg * e.i)) - 1) as sdev from e join r using (series) group by e.series)
+select series, round((exp(ravg * 252) - 1) * 100 * (1 - pow(sdev / 0.2, 2.0)), 6) as vwr from g""")
+def q_perf_vwr(spark, sf):
+    ends = P.period_ends(_equity(spark, sf), F.to_date("ts"))
+    return P.vwr(ends).withColumn("vwr", F.round("vwr", 6))
+
+
+LEDGER_SQL = """led AS (select series, closed_on, side, bars, pnl_cents as pnl, pnl_cents >= 0 as won from fx_ledger)"""
+
+
+@register("perf_sqn", f"""WITH {fx("fx_ledger")}, {LEDGER_SQL}
+select series, round(sqrt(count(pnl)) * avg(pnl) / stddev_samp(pnl), 6) as sqn, count(pnl) as trades
+from led group by series""")
+def q_perf_sqn(spark, sf):
+    return P.sqn(_ledger(spark, sf)).withColumn("sqn", F.round("sqn", 6))
+
+
+@register("perf_streaks", f"""WITH {fx("fx_ledger")}, {LEDGER_SQL},
+o AS (select *, row_number() over (partition by series order by closed_on, side, bars, pnl) as rn,
+        row_number() over (partition by series, won order by closed_on, side, bars, pnl) as rnw from led),
+isl AS (select series, won, rn - rnw as island, count(*) as len, max(rn) as last from o group by all)
+select series,
+  coalesce(max(case when won then len end), 0) as won_longest,
+  coalesce(max(case when not won then len end), 0) as lost_longest,
+  arg_max(case when won then len else 0 end, last) as won_current,
+  arg_max(case when not won then len else 0 end, last) as lost_current
+from isl group by series""")
+def q_perf_streaks(spark, sf):
+    return P.streaks(_ledger(spark, sf), "series", LEDGER_ORDER, WON)
+
+
+def _pnl_sql() -> str:
+    conds = [("long", "side = 'long'"), ("short", "side = 'short'"), ("won", "won"), ("lost", "not won"),
+             ("long_won", "side = 'long' and won"), ("long_lost", "side = 'long' and not won"),
+             ("short_won", "side = 'short' and won"), ("short_lost", "side = 'short' and not won")]
+    cols = ", ".join(f"sum(case when {c} then pnl end) as {n}_total, "
+                     f"round(avg(case when {c} then pnl end), 6) as {n}_average" for n, c in conds)
+    return f"""WITH {fx("fx_ledger")}, {LEDGER_SQL}
+select series, sum(pnl) as gross_total, round(avg(pnl), 6) as gross_average,
+  sum(pnl - 0) as net_total, round(avg(pnl - 0), 6) as net_average, {cols}
+from led group by series"""
+
+
+@register("perf_pnl", _pnl_sql())
+def q_perf_pnl(spark, sf):
+    r = P.pnl_report(_ledger(spark, sf), "series", "pnl", "side", WON)
+    return r.select(*[F.round(c, 6).alias(c) if c.endswith("_average") else F.col(c) for c in r.columns])
+
+
+@register("perf_win_counts", f"""WITH {fx("fx_ledger")}, {LEDGER_SQL}
+select series, coalesce(side, 'all') as side, count(*) as total,
+  count(*) filter (where won) as won, count(*) filter (where not won) as lost
+from led group by rollup (series, side) having series is not null""")
+def q_perf_win_counts(spark, sf):
+    return P.win_counts(_ledger(spark, sf), "series", "side", WON)
+
+
+@register("perf_trade_length", f"""WITH {fx("fx_ledger")}, {LEDGER_SQL},
+l2 AS (select *, case when won then 'won' else 'lost' end as outcome from led)
+select series, coalesce(side, 'all') as side, coalesce(outcome, 'all') as outcome,
+  sum(bars) as total, min(bars) as min, max(bars) as max, round(avg(bars), 6) as average
+from l2 group by grouping sets ((series), (series, side), (series, outcome), (series, side, outcome))""")
+def q_perf_trade_length(spark, sf):
+    return P.trade_length(_ledger(spark, sf), "series", "side", WON).withColumn(
+        "average", F.round("average", 6))
+
+
+@register("perf_gross_leverage", f"""WITH {fx("fx_equity")},
+x AS (select e.series, e.ts, e.seq, e.value, t.usd_amount from fx_equity e
+      join fx_ticks t on t.market_id = e.series and t.seq = e.seq)
+select series, cast(ts as date) as period,
+  round(sum(abs(usd_amount)) / arg_max(value, (ts, seq)), 6) as leverage from x group by all""")
+def q_perf_gross_leverage(spark, sf):
+    t = X.fx_ticks(spark, sf).select(F.col("market_id").alias("series"), "seq", "usd_amount")
+    x = _equity(spark, sf).join(t, ["series", "seq"])
+    r = P.gross_leverage(x, "series", F.to_date("ts"), F.col("usd_amount"), F.col("value"))
+    return r.withColumn("leverage", F.round("leverage", 6))
+
+
+@register("perf_transactions", f"""WITH {trades_with()}
+select maker as account, timestamp as ts, market_id as instrument,
+  case when maker_direction = 'BUY' then token_amount else -token_amount end as size, price,
+  -(case when maker_direction = 'BUY' then token_amount else -token_amount end) * price as total
+from t""")
+def q_perf_transactions(spark, sf):
+    """Every fill as a transaction of the maker account (all rows kept)."""
+    t = _trades(spark, sf)
+    size = F.when(F.col("maker_direction") == "BUY", F.col("token_amount")).otherwise(-F.col("token_amount"))
+    return t.select(F.col("maker").alias("account"), F.col("timestamp").alias("ts"),
+                    F.col("market_id").alias("instrument"), size.alias("size"), "price",
+                    (-size * F.col("price")).alias("total"))
+
+
+@register("perf_trade_counts", f"""WITH RECURSIVE {fx("fx_ticks")}, {ind_sql()}, {pos_sql(ENTRY, EXIT)}
+select market_id, count(*) as total, count(*) filter (where is_open) as open,
+  count(*) filter (where not is_open) as closed from trips group by market_id""")
+def q_perf_trade_counts(spark, sf):
+    t = _trips(spark, sf)
+    return t.groupBy("market_id").agg(F.count(F.lit(1)).alias("total"),
+                                      F.count_if("is_open").alias("open"),
+                                      F.count_if(~F.col("is_open")).alias("closed"))
