@@ -119,3 +119,119 @@ def fx_missing_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p_name").alias("question"), F.col("p_brand").alias("slug"),
                     F.when(F.col("p_size") % 2 == 0, F.lit("True")).otherwise(F.lit("False"))
                     .alias("closed")))
+
+
+# Stand-ins for configuration constants of the chain decode (fixed values).
+FX_CONTRACT = "0x00000000000000000000000000000000000ec0de"
+FX_OTHER_CONTRACT = "0x0000000000000000000000000000000000000bad"
+FX_TOPIC0 = "0x" + "ab" * 32
+FX_OTHER_TOPIC = "0x" + "cd" * 32
+
+
+def _word(c: Column) -> Column:
+    return F.lpad(F.hex(c), 64, "0")
+
+
+def fx_raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw event logs encoding the fills of ``lineitem``: some from another
+    contract (orderkey % 50 = 0), some another event (linenumber = 7), block
+    numbers as hex or decimal text, hashes with or without ``0x``, token ids
+    above 2^100 for orderkey % 3 = 0."""
+    li = read_table(spark, sf_dir, "lineitem")
+    is_o = F.col("l_linestatus") == "O"
+    small = 2 * F.col("l_partkey") + 1 + F.col("l_linenumber") % 2
+    usd = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    qty = F.col("l_quantity").cast("bigint") * 1000000
+    ts = (_epoch(F.col("l_shipdate"))
+          + (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11) % 86400)
+    block = F.floor(ts / 2).cast("bigint")
+    key = F.concat_ws("-", *[F.col(c).cast("string") for c in
+                             ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    high = F.when(F.col("l_orderkey") % 3 == 0, F.col("l_suppkey")).otherwise(F.lit(0))
+    token_word = F.concat(F.lpad(F.hex(high), 39, "0"), F.lpad(F.hex(small), 25, "0"))
+    data = F.concat(F.lit("0x"), _word(F.when(is_o, 0).otherwise(1)), token_word,
+                    _word(F.when(is_o, usd).otherwise(qty)), _word(F.when(is_o, qty).otherwise(usd)),
+                    _word(F.lit(0)), _word(F.lit(0)), _word(F.lit(0)))
+    h = F.sha2(key, 256)
+    return li.select(
+        F.when(F.col("l_orderkey") % 2 == 0, F.concat(F.lit("0x"), F.lower(F.hex(block))))
+        .otherwise(block.cast("string")).alias("block_number"),
+        F.col("l_linenumber").cast("bigint").alias("log_index"),
+        F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("0x"), h)).otherwise(h)
+        .alias("transaction_hash"),
+        F.when(F.col("l_orderkey") % 50 == 0, F.lit(FX_OTHER_CONTRACT)).otherwise(F.lit(FX_CONTRACT))
+        .alias("address"),
+        F.array(F.when(F.col("l_linenumber") == 7, F.lit(FX_OTHER_TOPIC)).otherwise(F.lit(FX_TOPIC0)),
+                F.concat(F.lit("0x"), F.sha2(F.concat(key, F.lit("#")), 256)),
+                F.concat(F.lit("0x"), _word(F.col("l_suppkey"))),
+                F.concat(F.lit("0x"), _word(F.col("l_orderkey") % 997))).alias("topics"),
+        data.alias("data"))
+
+
+def fx_raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block headers for every landed block: timestamp = 2 x number."""
+    li = read_table(spark, sf_dir, "lineitem")
+    ts = (_epoch(F.col("l_shipdate"))
+          + (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11) % 86400)
+    b = li.select(F.floor(ts / 2).cast("bigint").alias("number")).distinct()
+    return b.select("number", (F.col("number") * 2).alias("timestamp"))
+
+
+def fx_market_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API pages of 1000 markets from ``part`` (page = partkey div 1000):
+    every 19th id blank, every 23rd null, every 13th without tokens, and every
+    17th market repeated on the next page with another question (the first
+    copy must win)."""
+    p = read_table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    cid = (F.when(k % 19 == 0, F.lit("")).when(k % 23 == 0, F.lit(None))
+           .otherwise(F.concat(F.lit("0xc"), k.cast("string"))))
+    tok = F.struct(F.lit(None).cast("string").alias("token_id"), F.lit("x").alias("outcome"))
+    tokens = (F.when(k % 13 == 0, F.lit(None).cast("array<struct<token_id:string,outcome:string>>"))
+              .otherwise(F.array(
+                  F.struct((2 * k + 1).cast("string").alias("token_id"), F.lit("Yes").alias("outcome")),
+                  F.struct((2 * k + 2).cast("string").alias("token_id"), F.lit("No").alias("outcome")),
+                  tok)))
+
+    def market(question):
+        return F.struct(cid.alias("condition_id"), tokens.alias("tokens"), question.alias("question"),
+                        F.col("p_brand").alias("market_slug"), (F.col("p_size") % 2 == 0).alias("closed"))
+    first = p.select(F.floor(k / 1000).alias("page"), k.alias("pos"), market(F.col("p_name")).alias("m"))
+    again = p.where(k % 17 == 0).select(
+        (F.floor(k / 1000) + 1).alias("page"), (k - 1000000000).alias("pos"),
+        market(F.concat(F.col("p_name"), F.lit(" (repeat)"))).alias("m"))
+    items = first.unionByName(again)
+    pages = items.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("pos", "m"))).alias("items"))
+    return pages.select((F.col("page") * 1000).alias("page_offset"),
+                        F.transform("items", lambda x: x["m"]).alias("data"))
+
+
+def fx_order_filled_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_order_filled`` plus its ingest sequence (orderkey * 8 + linenumber)."""
+    li = read_table(spark, sf_dir, "lineitem")
+    base = fx_order_filled(spark, sf_dir)
+    # Both are projections of the same scan; rebuild from lineitem in one select.
+    cols = [c for c in base.columns]
+    del base
+    return li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ingest_seq"), "*") \
+        .transform(lambda d: _fills_from(d)).select("ingest_seq", *cols)
+
+
+def _fills_from(li: DataFrame) -> DataFrame:
+    is_o = F.col("l_linestatus") == "O"
+    token = (2 * F.col("l_partkey") + 1 + F.col("l_linenumber") % 2).cast("string")
+    usd = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    qty = F.col("l_quantity").cast("bigint") * 1000000
+    key = F.concat_ws("-", *[F.col(c).cast("string") for c in
+                             ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    return li.select(
+        "ingest_seq",
+        (_epoch(F.col("l_shipdate"))
+         + (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11) % 86400).alias("timestamp"),
+        F.concat(F.lit("0xa"), F.col("l_suppkey").cast("string")).alias("maker"),
+        F.when(is_o, F.lit("0")).otherwise(token).alias("makerAssetId"),
+        F.when(is_o, usd).otherwise(qty).alias("makerAmountFilled"),
+        F.concat(F.lit("0xb"), (F.col("l_orderkey") % 997).cast("string")).alias("taker"),
+        F.when(is_o, token).otherwise(F.lit("0")).alias("takerAssetId"),
+        F.when(is_o, qty).otherwise(usd).alias("takerAmountFilled"),
+        F.concat(F.lit("0x"), F.sha2(key, 256)).alias("transactionHash"))

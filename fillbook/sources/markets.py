@@ -136,8 +136,11 @@ def supplement_rows(payloads: DataFrame) -> DataFrame:
     as_list = F.from_json("body", T.ArrayType(item))
     as_obj = F.from_json("body", T.StructType([T.StructField("markets", T.ArrayType(item)),
                                                T.StructField("data", T.ArrayType(item))]))
-    items = F.coalesce(as_list, F.when(F.size(as_obj["markets"]) > 0, as_obj["markets"]),
-                       as_obj["data"], F.array().cast(T.ArrayType(item)))
+    # from_json with an array schema also accepts a lone object (as a one
+    # element array), so the body shape is decided by its first character.
+    is_list = F.startswith(F.ltrim(F.col("body")), F.lit("["))
+    from_obj = F.coalesce(F.when(F.size(as_obj["markets"]) > 0, as_obj["markets"]), as_obj["data"])
+    items = F.coalesce(F.when(is_list, as_list).otherwise(from_obj), F.array().cast(T.ArrayType(item)))
     rows = payloads.select("fetch_seq", F.posexplode(items).alias("pos", "m")).select(
         "fetch_seq", "pos", "m.*")
     rows = rows.withColumn("mid", market_id_coalesce("conditionId", "id")).where(F.col("mid") != "")
