@@ -32,4 +32,4 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every catalogue module (each registers on import)."""
     from fillbook.plans import (catalog_trades, catalog_series, catalog_rules,  # noqa: F401
-                                catalog_perf, catalog_ingest)
+                                catalog_perf, catalog_ingest, catalog_stream)

@@ -156,7 +156,10 @@ def fx_raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         F.when(F.col("l_orderkey") % 2 == 0, F.concat(F.lit("0x"), F.lower(F.hex(block))))
         .otherwise(block.cast("string")).alias("block_number"),
-        F.col("l_linenumber").cast("bigint").alias("log_index"),
+        # lineitem has no unique key: identify the log by every column that varies.
+        (F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                    "l_extendedprice", "l_linestatus", "l_shipdate")
+         .bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))).alias("log_index"),
         F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("0x"), h)).otherwise(h)
         .alias("transaction_hash"),
         F.when(F.col("l_orderkey") % 50 == 0, F.lit(FX_OTHER_CONTRACT)).otherwise(F.lit(FX_CONTRACT))
