@@ -27,7 +27,7 @@ def drawdown(equity: DataFrame, key: str = "series", ts: str = "ts", seq: str =
     d = segmented_running(d, [key], "_seg", order, "_peak_pos", "last", "_last_peak")
     return d.select(key, ts, seq, value, "peak",
                     (F.col("peak") - F.col(value)).alias("moneydown"),
-                    (F.lit(100.0) * (F.col("peak") - F.col(value)) / F.col("peak")).alias("drawdown"),
+                    F.try_divide(F.lit(100.0) * (F.col("peak") - F.col(value)), F.col("peak")).alias("drawdown"),
                     (F.col("pos") - F.col("_last_peak")).alias("len"), "pos")
 
 
@@ -58,7 +58,7 @@ def period_returns(equity: DataFrame, period: Column, key: str = "series", **kw)
     p = period_ends(equity, period, key, **kw)
     w = Window.partitionBy(key).orderBy("period")
     base = F.coalesce(F.lag("end_value").over(w), F.col("first_value"))
-    return p.select(key, "period", "end_value", (F.col("end_value") / base - 1).alias("ret"))
+    return p.select(key, "period", "end_value", (F.try_divide(F.col("end_value"), base) - 1).alias("ret"))
 
 
 def period_stats(rets: DataFrame, key: str = "series", ddof: int = 1) -> DataFrame:
@@ -75,7 +75,7 @@ def sharpe(rets: DataFrame, key: str = "series", risk_free: float = 0.0,
     """(mean excess return) / stddev of returns, optionally annualised by sqrt(k)."""
     ex = F.col("ret") - F.lit(risk_free)
     sd = F.stddev_samp("ret") if ddof == 1 else F.stddev_pop("ret")
-    s = F.avg(ex) / sd
+    s = F.try_divide(F.avg(ex), sd)
     if periods_per_year:
         s = s * F.lit(periods_per_year ** 0.5)
     return rets.groupBy(key).agg(s.alias("sharpe"))
@@ -87,7 +87,7 @@ def _max_drawdown_of(arr: Column) -> Column:
 
     def step(acc, x):
         peak = F.greatest(acc["peak"], x)
-        return F.struct(peak.alias("peak"), F.greatest(acc["mdd"], (peak - x) / peak).alias("mdd"))
+        return F.struct(peak.alias("peak"), F.greatest(acc["mdd"], F.try_divide(peak - x, peak)).alias("mdd"))
     return F.aggregate(arr, init, step, lambda acc: acc["mdd"])
 
 
@@ -100,8 +100,8 @@ def calmar(ends: DataFrame, window: int, key: str = "series") -> DataFrame:
                     F.lag("end_value", window).over(w).alias("_start"),
                     F.collect_list("end_value").over(trailing).alias("_win"))
     mdd = _max_drawdown_of(F.col("_win"))
-    ret = F.col("end_value") / F.col("_start") - 1
-    return d.select(key, "period", F.when(mdd > 0, ret / mdd).alias("calmar"))
+    ret = F.try_divide(F.col("end_value"), F.col("_start")) - 1
+    return d.select(key, "period", F.when(mdd > 0, F.try_divide(ret, mdd)).alias("calmar"))
 
 
 def vwr(ends: DataFrame, key: str = "series", tau: float = 2.0, sdev_max: float = 0.2,
@@ -128,7 +128,7 @@ def vwr(ends: DataFrame, key: str = "series", tau: float = 2.0, sdev_max: float
 def sqn(ledger: DataFrame, key: str = "series", pnl: str = "pnl") -> DataFrame:
     """System quality number: sqrt(n) * mean(pnl) / stddev(pnl)."""
     return ledger.groupBy(key).agg(
-        (F.sqrt(F.count(pnl)) * F.avg(pnl) / F.stddev_samp(pnl)).alias("sqn"),
+        F.try_divide(F.sqrt(F.count(pnl)) * F.avg(pnl), F.stddev_samp(pnl)).alias("sqn"),
         F.count(pnl).alias("trades"))
 
 
@@ -194,4 +194,4 @@ def gross_leverage(exposure: DataFrame, key: str, period: Column, gross: Column,
                    value: Column) -> DataFrame:
     """Per (series, period): gross exposure / account value at the period end."""
     return exposure.groupBy(key, period.alias("period")).agg(
-        (F.sum(F.abs(gross)) / F.max_by(value, F.struct("ts", "seq"))).alias("leverage"))
+        F.try_divide(F.sum(F.abs(gross)), F.max_by(value, F.struct("ts", "seq"))).alias("leverage"))

@@ -85,8 +85,10 @@ def round_trips(pos: DataFrame, keys: list[str], order: str = "bar_start",
                  F.struct(F.col(order).alias("sig_ts"), F.col("_n").alias("n"),
                           F.col("_next_ts").alias("ts"), F.col("_next_open").alias("px")))
     g = ev.groupBy(*keys, "trade_no").agg(F.max(ent).alias("e"), F.max(ext).alias("x"))
-    ret = F.col("x.px") / F.col("e.px") - 1
-    factor = 1 + F.lit(INVEST_FRACTION) * (F.col("x.px") - F.col("e.px")) / F.col("e.sig_close")
+    # Zero prices give null (not an error, not inf).
+    ret = F.try_divide(F.col("x.px"), F.col("e.px")) - 1
+    factor = 1 + F.try_divide(F.lit(INVEST_FRACTION) * (F.col("x.px") - F.col("e.px")),
+                              F.col("e.sig_close"))
     return g.select(
         *keys, "trade_no",
         F.col("e.sig_ts").alias("entry_signal_ts"), F.col("e.ts").alias("entry_ts"),
