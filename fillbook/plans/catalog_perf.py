@@ -23,7 +23,8 @@ def _ledger(spark, sf):
     return X.fx_ledger(spark, sf).withColumnRenamed("pnl_cents", "pnl")
 
 
-WON = F.col("pnl") >= 0  # a zero-pnl trade counts as won
+def _won():
+    return F.col("pnl") >= 0  # a zero-pnl trade counts as won
 LEDGER_ORDER = ["closed_on", "side", "bars", "pnl"]
 
 DD_SQL = """dd AS (
@@ -132,7 +133,7 @@ select series,
   arg_max(case when not won then len else 0 end, last) as lost_current
 from isl group by series""")
 def q_perf_streaks(spark, sf):
-    return P.streaks(_ledger(spark, sf), "series", LEDGER_ORDER, WON)
+    return P.streaks(_ledger(spark, sf), "series", LEDGER_ORDER, _won())
 
 
 def _pnl_sql() -> str:
@@ -149,7 +150,7 @@ from led group by series"""
 
 @register("perf_pnl", _pnl_sql())
 def q_perf_pnl(spark, sf):
-    r = P.pnl_report(_ledger(spark, sf), "series", "pnl", "side", WON)
+    r = P.pnl_report(_ledger(spark, sf), "series", "pnl", "side", _won())
     return r.select(*[F.round(c, 6).alias(c) if c.endswith("_average") else F.col(c) for c in r.columns])
 
 
@@ -158,7 +159,7 @@ select series, coalesce(side, 'all') as side, count(*) as total,
   count(*) filter (where won) as won, count(*) filter (where not won) as lost
 from led group by rollup (series, side) having series is not null""")
 def q_perf_win_counts(spark, sf):
-    return P.win_counts(_ledger(spark, sf), "series", "side", WON)
+    return P.win_counts(_ledger(spark, sf), "series", "side", _won())
 
 
 @register("perf_trade_length", f"""WITH {fx("fx_ledger")}, {LEDGER_SQL},
@@ -167,7 +168,7 @@ select series, coalesce(side, 'all') as side, coalesce(outcome, 'all') as outcom
   sum(bars) as total, min(bars) as min, max(bars) as max, round(avg(bars), 6) as average
 from l2 group by grouping sets ((series), (series, side), (series, outcome), (series, side, outcome))""")
 def q_perf_trade_length(spark, sf):
-    return P.trade_length(_ledger(spark, sf), "series", "side", WON).withColumn(
+    return P.trade_length(_ledger(spark, sf), "series", "side", _won()).withColumn(
         "average", F.round("average", 6))
 
 
@@ -205,3 +206,43 @@ def q_perf_trade_counts(spark, sf):
     return t.groupBy("market_id").agg(F.count(F.lit(1)).alias("total"),
                                       F.count_if("is_open").alias("open"),
                                       F.count_if(~F.col("is_open")).alias("closed"))
+
+
+# --- report registry ---------------------------------------------------------
+
+from fillbook.operators.reports import register_report, report  # noqa: E402
+
+
+@register_report("TradeCounts")
+def _trade_counts_report(r):
+    """Custom layout: one row per series and counter."""
+    return r.select("series", F.explode(F.map_from_arrays(
+        F.array(F.lit("total"), F.lit("won"), F.lit("lost")),
+        F.array(F.col("total").cast("string"), F.col("won").cast("string"),
+                F.col("lost").cast("string")))).alias("path", "value"))
+
+
+@register("custom_report", f"""WITH {fx("fx_equity")}, {DD_SQL},
+dr AS (select series, arg_max(len, pos) as len, max(len) as max_len,
+         cast(round(max(moneydown) * 100) as bigint) as max_cents from dd group by series)
+select 'DrawDown' as report, series, 'len' as path, cast(len as varchar) as value from dr
+union all select 'DrawDown', series, 'max - len', cast(max_len as varchar) from dr
+union all select 'DrawDown', series, 'max - moneydown_cents', cast(max_cents as varchar) from dr
+union all
+select 'TradeCounts', series, x.path, x.value from (
+  select series, count(*) as total, count(*) filter (where pnl_cents >= 0) as won,
+    count(*) filter (where pnl_cents < 0) as lost from ({fx("fx_ledger").split(" AS (", 1)[1][:-1]})
+  group by series) c,
+  lateral (select 'total' as path, cast(c.total as varchar) as value union all
+           select 'won', cast(c.won as varchar) union all select 'lost', cast(c.lost as varchar)) x""")
+def q_custom_report(spark, sf):
+    """Generic nested layout for the drawdown analyzer, a registered custom
+    layout for trade counts."""
+    dd = P.drawdown_report(_equity(spark, sf))
+    nested = dd.select("series", "len", F.struct(
+        F.col("max_len").alias("len"),
+        F.round(F.col("max_moneydown") * 100).cast("bigint").alias("moneydown_cents")).alias("max"))
+    counts = _ledger(spark, sf).groupBy("series").agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(_won()).alias("won"),
+        F.count_if(~_won()).alias("lost"))
+    return report("DrawDown", nested, ["series"]).unionByName(report("TradeCounts", counts, ["series"]))

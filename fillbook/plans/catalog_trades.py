@@ -281,3 +281,11 @@ select transactionHash, maker, taker, taker = '{EXCHANGE}' as is_intermediary fr
 def q_flag_intermediary(spark, sf):
     return _trades(spark, sf).select("transactionHash", "maker", "taker",
                                      (F.col("taker") == EXCHANGE).alias("is_intermediary"))
+
+
+@register("market_ticks", f"""WITH {trades_with()}
+select timestamp, price, usd_amount from t where market_id = '0xm1200'""")
+def q_market_ticks(spark, sf):
+    """One market's trade ticks (the notebook's back-test extract)."""
+    return _trades(spark, sf).where(F.col("market_id") == "0xm1200") \
+        .select("timestamp", "price", "usd_amount")
