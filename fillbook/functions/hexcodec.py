@@ -34,8 +34,11 @@ def strip_0x(c) -> Column:
 
 
 def hex_word(data, k: int) -> Column:
-    """k-th 32-byte word (64 hex chars) of a ``0x``-prefixed ABI payload."""
-    return F.substring(strip_0x(data), 1 + 64 * k, 64)
+    """k-th 32-byte word (64 hex chars) of an ABI payload, with or without
+    ``0x``: one substring at a computed offset (no copy of the payload)."""
+    d = _c(data)
+    start = F.when(F.startswith(d, F.lit("0x")), F.lit(3)).otherwise(F.lit(1)) + F.lit(64 * k)
+    return F.substr(d, start, F.lit(64))
 
 
 def uint256_decimal_sql(word) -> Column:
@@ -65,19 +68,17 @@ def uint256_decimal_sql(word) -> Column:
 
 
 def uint_small(word) -> Column:
-    """A uint256 word known to fit 63 bits -> BIGINT (null if it does not)."""
-    w = F.lpad(F.lower(_c(word)), 64, "0")
-    hi_zero = F.substring(w, 1, 48) == F.lit("0" * 48)
-    low = F.substring(w, 49, 16)
-    fits = hi_zero & (F.substring(low, 1, 1) < F.lit("8"))
-    return F.when(fits, F.conv(low, 16, 10).cast("decimal(20,0)").cast("bigint"))
+    """A 64-hex-char uint256 word known to fit 63 bits -> BIGINT (null if not)."""
+    w = _c(word)
+    fits = F.startswith(w, F.lit("0" * 48)) & (F.substr(w, F.lit(49), F.lit(1)) < F.lit("8"))
+    return F.when(fits, F.conv(F.substr(w, F.lit(49), F.lit(16)), 16, 10).cast("bigint"))
 
 
 def hex_or_dec_int(c) -> Column:
     """Block number given as int, ``0x`` hex text or decimal text -> BIGINT."""
     s = _c(c).cast("string")
     return F.when(F.startswith(s, F.lit("0x")),
-                  F.conv(F.substring(s, 3, 64), 16, 10).cast("decimal(20,0)").cast("bigint")) \
+                  F.conv(F.substr(s, F.lit(3), F.lit(64)), 16, 10).cast("bigint")) \
         .otherwise(s.cast("bigint"))
 
 

@@ -83,6 +83,12 @@ def load_markets(frames: list[DataFrame], lean: bool = False) -> DataFrame:
     for f in frames:
         if "id" not in f.columns:
             raise KeyError("market table lacks the 'id' column")
+    if lean:
+        # Project before the dedupe: columns inside the kept-row struct are
+        # invisible to column pruning, so narrow the scan here.
+        if any("clobTokenIds" not in f.columns for f in frames):
+            raise KeyError("market table lacks the 'clobTokenIds' column")
+        frames = [f.select("id", "clobTokenIds") for f in frames]
     m = union_first_wins(frames, "id", None)
     if "clobTokenIds" not in m.columns:
         raise KeyError("market table lacks the 'clobTokenIds' column")
