@@ -17,62 +17,48 @@ Supported operators are associative: ``sum``, ``max``, ``min``, ``last``
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def segmented_running(df: DataFrame, keys: list[str], seg: str, order: list,
                       value: str, op: str, out: str) -> DataFrame:
     """Add ``out`` = running ``op`` of ``value`` over rows of ``keys`` ordered by
     ``order`` (rows frame, current row included). ``seg`` must be monotone in
-    ``order`` within a key; ``order`` should be a total order (add tie-breakers).
+    ``order`` within a key and non-null; ``order`` should be a total order.
+
+    The key columns travel as one struct (never null, and equal when its
+    fields are null), so the in-segment window, the segment totals and the
+    join back all use the same (struct, segment) hash partitioning: the large
+    side is shuffled once; only the small carry table moves again.
     """
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    w_in = (Window.partitionBy(*keys, seg).orderBy(*order_cols)
+    d = df.withColumn("_gk", F.struct(*[F.col(k) for k in keys]))
+    w_in = (Window.partitionBy("_gk", seg).orderBy(*order_cols)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    if op == "sum":
-        run = F.sum(value).over(w_in)
-    elif op == "max":
-        run = F.max(value).over(w_in)
-    elif op == "min":
-        run = F.min(value).over(w_in)
+    aggs = {"sum": F.sum, "max": F.max, "min": F.min}
+    if op in aggs:
+        run = aggs[op](value).over(w_in)
+        seg_agg = aggs[op](value)
     elif op == "last":
         run = F.last(value, ignorenulls=True).over(w_in)
+        seg_agg = F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order_cols)))
     else:
         raise ValueError(f"unsupported running op {op!r}")
-    inner = df.withColumn("_run", run)
+    inner = d.withColumn("_run", run)
 
-    # One row per segment: its full-segment value.
-    if op == "sum":
-        seg_agg = F.sum(value)
-    elif op == "max":
-        seg_agg = F.max(value)
-    elif op == "min":
-        seg_agg = F.min(value)
-    else:
-        seg_agg = F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order_cols)))
-    totals = inner.groupBy(*keys, seg).agg(seg_agg.alias("_segval"))
-
-    w_seg = (Window.partitionBy(*keys).orderBy(seg)
+    # One row per segment: its full-segment value; then the value of all
+    # earlier segments of the key (a window over a tiny table).
+    totals = inner.groupBy("_gk", seg).agg(seg_agg.alias("_segval"))
+    w_seg = (Window.partitionBy("_gk").orderBy(seg)
              .rowsBetween(Window.unboundedPreceding, -1))
-    if op == "sum":
-        carry = F.sum("_segval").over(w_seg)
-    elif op == "max":
-        carry = F.max("_segval").over(w_seg)
-    elif op == "min":
-        carry = F.min("_segval").over(w_seg)
+    if op in aggs:
+        carry = aggs[op]("_segval").over(w_seg)
     else:
         carry = F.last("_segval", ignorenulls=True).over(w_seg)
-    carries = totals.select(*keys, seg, carry.alias("_carry"))
+    carries = totals.select("_gk", seg, carry.alias("_carry"))
 
-    j = inner.join(carries, _null_safe_on(inner, carries, keys + [seg]), "left")
-    j = j.select(inner["*"], carries["_carry"])
+    j = inner.join(carries, ["_gk", seg], "left")
     if op == "sum":
         combined = F.when(F.col("_run").isNull() & F.col("_carry").isNull(), F.lit(None)) \
             .otherwise(F.coalesce(F.col("_carry"), F.lit(0)) + F.coalesce(F.col("_run"), F.lit(0)))
@@ -82,4 +68,4 @@ def segmented_running(df: DataFrame, keys: list[str], seg: str, order: list,
         combined = F.least(F.col("_carry"), F.col("_run"))
     else:
         combined = F.coalesce(F.col("_run"), F.col("_carry"))
-    return j.withColumn(out, combined).drop("_run", "_carry")
+    return j.withColumn(out, combined).select(*df.columns, out)

@@ -243,15 +243,11 @@ def q_token_except(spark, sf):
 
 
 @register("sort_text_ids", f"""WITH {fx("fx_order_filled")}, {TRADED}
-select asset_id, row_number() over (order by asset_id) as pos from traded""")
+select asset_id from traded order by asset_id""")
 def q_sort_text_ids(spark, sf):
-    """Traded ids in text order with their rank (a global order by)."""
-    from pyspark.sql import Window
-    t = LB.traded_tokens(X.fx_order_filled(spark, sf))
-    # Range-partitioned sort; the rank comes from a global ordering. The
-    # window over the whole set runs after the sort on one partition, which is
-    # acceptable here: this table is the distinct token set, not the fills.
-    return t.select("asset_id", F.row_number().over(Window.orderBy("asset_id")).alias("pos"))
+    """Traded ids in text order: a range-partitioned global sort (no
+    single-partition window)."""
+    return LB.traded_tokens(X.fx_order_filled(spark, sf)).orderBy("asset_id")
 
 
 # --- filters -----------------------------------------------------------------
