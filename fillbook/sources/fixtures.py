@@ -40,7 +40,7 @@ def fx_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_order_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The eight order-fill columns from ``lineitem``; status 'O' = maker pays USDC."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", heavy=True)
     is_o = F.col("l_linestatus") == "O"
     token = (2 * F.col("l_partkey") + 1 + F.col("l_linenumber") % 2).cast("string")
     usd = F.round(F.col("l_extendedprice") * 100).cast("bigint")
@@ -137,7 +137,7 @@ def fx_raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract (orderkey % 50 = 0), some another event (linenumber = 7), block
     numbers as hex or decimal text, hashes with or without ``0x``, token ids
     above 2^100 for orderkey % 3 = 0."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", heavy=True)
     is_o = F.col("l_linestatus") == "O"
     small = 2 * F.col("l_partkey") + 1 + F.col("l_linenumber") % 2
     usd = F.round(F.col("l_extendedprice") * 100).cast("bigint")
@@ -211,7 +211,7 @@ def fx_market_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_order_filled_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_order_filled`` plus its ingest sequence (orderkey * 8 + linenumber)."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", heavy=True)
     base = fx_order_filled(spark, sf_dir)
     # Both are projections of the same scan; rebuild from lineitem in one select.
     cols = [c for c in base.columns]
