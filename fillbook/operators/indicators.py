@@ -55,25 +55,27 @@ def _wilder_rsi(close: np.ndarray, period: int) -> np.ndarray:
 def rsi(bars: DataFrame, periods: list[int] | int = 2, key: str = "market_id",
         order: str = "bar_start", value: str = "close") -> DataFrame:
     """Add ``rsi_<p>`` for each period: one grouped pandas pass per market
-    (Arrow batches), rows sorted by ``order`` inside the group."""
+    (Arrow batches), rows sorted by ``order`` inside the group.
+
+    All bar columns pass through the pandas function, so no join back is
+    needed and the output stays hash-partitioned by ``key`` for the windows
+    that usually follow.
+    """
     ps = [periods] if isinstance(periods, int) else list(periods)
-    fields = [bars.schema[key], bars.schema[order]] + \
-        [T.StructField(f"rsi_{p}", T.DoubleType()) for p in ps]
-    schema = T.StructType(fields)
+    out_fields = [T.StructField(f"rsi_{p}", T.DoubleType()) for p in ps]
+    schema = T.StructType(list(bars.schema.fields) + out_fields)
 
     def per_market(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
+        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
         c = pdf[value].to_numpy(dtype="float64")
-        res = {key: pdf[key].to_numpy(), order: pdf[order].to_numpy()}
         for p in ps:
-            res[f"rsi_{p}"] = _wilder_rsi(c, p)
-        return pd.DataFrame(res)
+            pdf[f"rsi_{p}"] = _wilder_rsi(c, p)
+        return pdf
 
-    r = bars.select(key, order, value).groupBy(key).applyInPandas(per_market, schema)
+    r = bars.groupBy(key).applyInPandas(per_market, schema)
     # NaN from the fold means "not defined yet": SQL null.
-    r = r.select(key, order, *[F.nanvl(F.col(f"rsi_{p}"), F.lit(None).cast("double"))
-                               .alias(f"rsi_{p}") for p in ps])
-    return bars.join(r, [key, order], "left")
+    return r.select(*bars.columns, *[F.nanvl(F.col(f"rsi_{p}"), F.lit(None).cast("double"))
+                                     .alias(f"rsi_{p}") for p in ps])
 
 
 def bar_index(bars: DataFrame, key: str = "market_id", order: str = "bar_start") -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fillbook.operators.scan import segmented_running
+from fillbook.operators.scan import segmented_running, segmented_running_many
 
 
 def drawdown(equity: DataFrame, key: str = "series", ts: str = "ts", seq: str = "seq",
@@ -21,8 +21,8 @@ def drawdown(equity: DataFrame, key: str = "series", ts: str = "ts", seq: str =
     """Per row: running peak, money down, percent down, bars since the last peak."""
     d = equity.withColumn("_seg", F.to_date(F.col(ts))).withColumn("_one", F.lit(1))
     order = [ts, seq]
-    d = segmented_running(d, [key], "_seg", order, value, "max", "peak")
-    d = segmented_running(d, [key], "_seg", order, "_one", "sum", "pos")
+    d = segmented_running_many(d, [key], "_seg", order,
+                               [(value, "max", "peak"), ("_one", "sum", "pos")])
     d = d.withColumn("_peak_pos", F.when(F.col(value) >= F.col("peak"), F.col("pos")))
     d = segmented_running(d, [key], "_seg", order, "_peak_pos", "last", "_last_peak")
     return d.select(key, ts, seq, value, "peak",

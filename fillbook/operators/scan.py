@@ -21,11 +21,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+_AGGS = {"sum": F.sum, "max": F.max, "min": F.min}
+
+
 def segmented_running(df: DataFrame, keys: list[str], seg: str, order: list,
                       value: str, op: str, out: str) -> DataFrame:
     """Add ``out`` = running ``op`` of ``value`` over rows of ``keys`` ordered by
     ``order`` (rows frame, current row included). ``seg`` must be monotone in
-    ``order`` within a key and non-null; ``order`` should be a total order.
+    ``order`` within a key and non-null; ``order`` should be a total order."""
+    return segmented_running_many(df, keys, seg, order, [(value, op, out)])
+
+
+def segmented_running_many(df: DataFrame, keys: list[str], seg: str, order: list,
+                           specs: list[tuple[str, str, str]]) -> DataFrame:
+    """Several running values ``(value, op, out)`` over the same ordering in
+    one pass: one window, one totals aggregate, one carry scan, one join.
 
     The key columns travel as one struct (never null, and equal when its
     fields are null), so the in-segment window, the segment totals and the
@@ -36,36 +46,36 @@ def segmented_running(df: DataFrame, keys: list[str], seg: str, order: list,
     d = df.withColumn("_gk", F.struct(*[F.col(k) for k in keys]))
     w_in = (Window.partitionBy("_gk", seg).orderBy(*order_cols)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    aggs = {"sum": F.sum, "max": F.max, "min": F.min}
-    if op in aggs:
-        run = aggs[op](value).over(w_in)
-        seg_agg = aggs[op](value)
-    elif op == "last":
-        run = F.last(value, ignorenulls=True).over(w_in)
-        seg_agg = F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order_cols)))
-    else:
-        raise ValueError(f"unsupported running op {op!r}")
-    inner = d.withColumn("_run", run)
-
-    # One row per segment: its full-segment value; then the value of all
-    # earlier segments of the key (a window over a tiny table).
-    totals = inner.groupBy("_gk", seg).agg(seg_agg.alias("_segval"))
     w_seg = (Window.partitionBy("_gk").orderBy(seg)
              .rowsBetween(Window.unboundedPreceding, -1))
-    if op in aggs:
-        carry = aggs[op]("_segval").over(w_seg)
-    else:
-        carry = F.last("_segval", ignorenulls=True).over(w_seg)
-    carries = totals.select("_gk", seg, carry.alias("_carry"))
-
-    j = inner.join(carries, ["_gk", seg], "left")
-    if op == "sum":
-        combined = F.when(F.col("_run").isNull() & F.col("_carry").isNull(), F.lit(None)) \
-            .otherwise(F.coalesce(F.col("_carry"), F.lit(0)) + F.coalesce(F.col("_run"), F.lit(0)))
-    elif op == "max":
-        combined = F.greatest(F.col("_carry"), F.col("_run"))
-    elif op == "min":
-        combined = F.least(F.col("_carry"), F.col("_run"))
-    else:
-        combined = F.coalesce(F.col("_run"), F.col("_carry"))
-    return j.withColumn(out, combined).select(*df.columns, out)
+    runs, seg_aggs, carries, outs = [], [], [], []
+    for n, (value, op, out) in enumerate(specs):
+        if op in _AGGS:
+            runs.append(_AGGS[op](value).over(w_in).alias(f"_run{n}"))
+            seg_aggs.append(_AGGS[op](value).alias(f"_sv{n}"))
+            carries.append(_AGGS[op](f"_sv{n}").over(w_seg).alias(f"_c{n}"))
+        elif op == "last":
+            runs.append(F.last(value, ignorenulls=True).over(w_in).alias(f"_run{n}"))
+            seg_aggs.append(F.max_by(F.col(value), F.when(F.col(value).isNotNull(),
+                                                          F.struct(*order_cols))).alias(f"_sv{n}"))
+            carries.append(F.last(f"_sv{n}", ignorenulls=True).over(w_seg).alias(f"_c{n}"))
+        else:
+            raise ValueError(f"unsupported running op {op!r}")
+        r, c = F.col(f"_run{n}"), F.col(f"_c{n}")
+        if op == "sum":
+            comb = F.when(r.isNull() & c.isNull(), F.lit(None)) \
+                .otherwise(F.coalesce(c, F.lit(0)) + F.coalesce(r, F.lit(0)))
+        elif op == "max":
+            comb = F.greatest(c, r)
+        elif op == "min":
+            comb = F.least(c, r)
+        else:
+            comb = F.coalesce(r, c)
+        outs.append(comb.alias(out))
+    inner = d.select("*", *runs)
+    # One row per segment: its full-segment values; then the values of all
+    # earlier segments of the key (a window over a tiny table).
+    totals = inner.groupBy("_gk", seg).agg(*seg_aggs)
+    carry = totals.select("_gk", seg, *carries)
+    j = inner.join(carry, ["_gk", seg], "left")
+    return j.select(*df.columns, *outs)

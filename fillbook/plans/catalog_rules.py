@@ -22,8 +22,10 @@ TOP_N = 10
 
 
 def _indicators(spark, sf) -> DataFrame:
-    b = I.sma(_bars(spark, sf), SMA_EXIT, out="sma_5")
-    return I.rsi(b, RSI_PERIOD)
+    # RSI first: its per-market pass leaves the rows partitioned by market,
+    # which the SMA and position windows then reuse without a shuffle.
+    b = I.rsi(_bars(spark, sf), RSI_PERIOD)
+    return I.sma(b, SMA_EXIT, out="sma_5")
 
 
 def _rule() -> R.Rule:
@@ -187,10 +189,9 @@ def _sweep_positions(spark, sf) -> DataFrame:
     """Every parameter set over every market: indicators once per distinct
     period, then the parameter grid as a fixed literal ``explode`` (a bounded
     per-row fan-out, not a join)."""
-    b = _bars(spark, sf)
+    b = I.rsi(_bars(spark, sf), sorted({rp for rp, _, _ in SWEEP}))
     for n in sorted({ex for _, _, ex in SWEEP}):
         b = I.sma(b, n, out=f"sma_{n}")
-    b = I.rsi(b, sorted({rp for rp, _, _ in SWEEP}))
     grid = F.array(*[F.struct(F.lit(i).alias("param_id"), F.lit(rp).alias("rp"),
                               F.lit(lo).alias("lo"), F.lit(ex).alias("sma_n"))
                      for i, (rp, lo, ex) in enumerate(SWEEP)])
