@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fillbook.operators import perf as P
-from fillbook.operators import rules as R
 from fillbook.plans.catalog_rules import ENTRY, EXIT, _trips, ind_sql, pos_sql
 from fillbook.plans.catalog_trades import _trades, trades_with
 from fillbook.plans.fixture_sql import fx

@@ -40,24 +40,7 @@ def fx_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_order_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The eight order-fill columns from ``lineitem``; status 'O' = maker pays USDC."""
-    li = read_table(spark, sf_dir, "lineitem", heavy=True)
-    is_o = F.col("l_linestatus") == "O"
-    token = (2 * F.col("l_partkey") + 1 + F.col("l_linenumber") % 2).cast("string")
-    usd = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    qty = F.col("l_quantity").cast("bigint") * 1000000
-    key = F.concat_ws("-", *[F.col(c).cast("string") for c in
-                             ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
-    return li.select(
-        (_epoch(F.col("l_shipdate"))
-         + (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11) % 86400).alias("timestamp"),
-        F.concat(F.lit("0xa"), F.col("l_suppkey").cast("string")).alias("maker"),
-        F.when(is_o, F.lit("0")).otherwise(token).alias("makerAssetId"),
-        F.when(is_o, usd).otherwise(qty).alias("makerAmountFilled"),
-        F.concat(F.lit("0xb"), (F.col("l_orderkey") % 997).cast("string")).alias("taker"),
-        F.when(is_o, token).otherwise(F.lit("0")).alias("takerAssetId"),
-        F.when(is_o, qty).otherwise(usd).alias("takerAmountFilled"),
-        F.concat(F.lit("0x"), F.sha2(key, 256)).alias("transactionHash"),
-    )
+    return _fills_from(read_table(spark, sf_dir, "lineitem", heavy=True), with_seq=False)
 
 
 def fx_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,24 +194,19 @@ def fx_market_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_order_filled_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_order_filled`` plus its ingest sequence (orderkey * 8 + linenumber)."""
-    li = read_table(spark, sf_dir, "lineitem", heavy=True)
-    base = fx_order_filled(spark, sf_dir)
-    # Both are projections of the same scan; rebuild from lineitem in one select.
-    cols = [c for c in base.columns]
-    del base
-    return li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ingest_seq"), "*") \
-        .transform(lambda d: _fills_from(d)).select("ingest_seq", *cols)
+    return _fills_from(read_table(spark, sf_dir, "lineitem", heavy=True), with_seq=True)
 
 
-def _fills_from(li: DataFrame) -> DataFrame:
+def _fills_from(li: DataFrame, with_seq: bool) -> DataFrame:
     is_o = F.col("l_linestatus") == "O"
     token = (2 * F.col("l_partkey") + 1 + F.col("l_linenumber") % 2).cast("string")
     usd = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     qty = F.col("l_quantity").cast("bigint") * 1000000
     key = F.concat_ws("-", *[F.col(c).cast("string") for c in
                              ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    seq = [(F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ingest_seq")] if with_seq else []
     return li.select(
-        "ingest_seq",
+        *seq,
         (_epoch(F.col("l_shipdate"))
          + (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11) % 86400).alias("timestamp"),
         F.concat(F.lit("0xa"), F.col("l_suppkey").cast("string")).alias("maker"),
