@@ -44,7 +44,7 @@ LABELLED = """t AS (
     case when takerAsset = 'USDC' then takerAmountFilled else makerAmountFilled end as usd_amount,
     case when takerAsset <> 'USDC' then takerAmountFilled else makerAmountFilled end as token_amount,
     transactionHash from s)"""
-ROUND3 = "price, usd_amount, token_amount"
+AMOUNT_COLS = "price, usd_amount, token_amount"
 
 
 def trades_with(*extra: str) -> str:
@@ -64,7 +64,7 @@ def _trades(spark, sf):
 
 @register("label_trades", f"""WITH {trades_with()}
 select timestamp, market_id, maker, taker, nonusdc_side, maker_direction, taker_direction,
-  {ROUND3}, transactionHash from t""")
+  {AMOUNT_COLS}, transactionHash from t""")
 def q_label_trades(spark, sf):
     """Fills x markets -> 11-column labelled trades."""
     return _trades(spark, sf)
@@ -264,7 +264,7 @@ TRADERS = ("0xa1", "0xa7", "0xa42")
 
 @register("filter_trader", f"""WITH {trades_with()}
 select timestamp, market_id, maker, taker, nonusdc_side, maker_direction, taker_direction,
-  {ROUND3}, transactionHash from t where maker in {TRADERS!r}""".replace("'0xa1', '0xa7', '0xa42'", "'0xa1','0xa7','0xa42'"))
+  {AMOUNT_COLS}, transactionHash from t where maker in ({", ".join(f"'{m}'" for m in TRADERS)})""")
 def q_filter_trader(spark, sf):
     return _trades(spark, sf).where(F.col("maker").isin(*TRADERS))
 
