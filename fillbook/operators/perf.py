@@ -5,7 +5,7 @@ over time) and ``ledger(series, closed_on, side, bars, pnl)`` (closed trades).
 The fields are the ones the plotting reports show; the formulas are the
 published ones (drawdown, Sharpe 1994, Calmar/Young 1991, VWR, Tharp SQN).
 Running values per series use the segmented scan, so a hot series is split by
-day; period tables (one row per series and day/year) are small.
+hour; period tables (one row per series and day/year) are small.
 """
 
 from __future__ import annotations
@@ -13,13 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fillbook.operators.scan import segmented_running, segmented_running_many
+from fillbook.operators.scan import segmented_running, segmented_running_many, time_segment
 
 
 def drawdown(equity: DataFrame, key: str = "series", ts: str = "ts", seq: str = "seq",
              value: str = "value") -> DataFrame:
     """Per row: running peak, money down, percent down, bars since the last peak."""
-    d = equity.withColumn("_seg", F.to_date(F.col(ts))).withColumn("_one", F.lit(1))
+    d = equity.withColumn("_seg", time_segment(ts)).withColumn("_one", F.lit(1))
     order = [ts, seq]
     d = segmented_running_many(d, [key], "_seg", order,
                                [(value, "max", "peak"), ("_one", "sum", "pos")])
@@ -136,10 +136,10 @@ def streaks(ledger: DataFrame, key: str, order: list[str], won: Column) -> DataF
     """Won/lost streaks: current and longest per series (gaps and islands).
 
     Island id = running row count - running count within (series, won); both
-    counts are segmented scans, so a hot series is split by day.
+    counts are segmented scans, so a hot series is split by hour.
     """
     d = ledger.withColumn("_won", won).withColumn("_one", F.lit(1)) \
-        .withColumn("_seg", F.to_date(F.col(order[0])))
+        .withColumn("_seg", time_segment(order[0]))
     d = segmented_running(d, [key], "_seg", order, "_one", "sum", "_rn")
     d = segmented_running(d, [key, "_won"], "_seg", order, "_one", "sum", "_rn_w")
     d = d.withColumn("_island", F.col("_rn") - F.col("_rn_w"))

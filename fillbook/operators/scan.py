@@ -3,7 +3,7 @@
 A plain ``Window.partitionBy(key).orderBy(t)`` puts every row of a key into
 one task. If one market carries a third of all rows that task holds a third of
 the table. Here the ordered rows of a key are cut into segments (a column that
-never decreases along the order, e.g. ``floor(seq / 2^20)`` or the day), and a
+never decreases along the order, e.g. ``floor(seq / 2^20)`` or the hour), and a
 running value is built in two levels:
 
 1. a window per (key, segment) - each task holds at most one segment;
@@ -23,6 +23,16 @@ from pyspark.sql import functions as F
 
 _AGGS = {"sum": F.sum, "max": F.max, "min": F.min}
 
+# Default segment for time-ordered scans: the hour. A hot key's task then
+# holds at most one hour of that key, and the per-key carry scan runs over at
+# most 8,760 segments a year.
+SEGMENT_UNIT = "hour"
+
+
+def time_segment(ts: str):
+    """Segment column for scans ordered by a timestamp (monotone in ts)."""
+    return F.date_trunc(SEGMENT_UNIT, F.col(ts))
+
 
 def segmented_running(df: DataFrame, keys: list[str], seg: str, order: list,
                       value: str, op: str, out: str) -> DataFrame:
