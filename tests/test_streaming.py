@@ -25,7 +25,9 @@ def test_stream_bars_equal_batch(spark):
     for h in range(3):  # three deliveries in time order
         t.where(F.floor(F.col("seq") / 200) == h).write.mode("append").parquet(src)
     stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 2).parquet(src)
-    J.run_to_end(J.stream_bars(spark, stream, out, ck))
+    # Files of one delivery may be read in any order across micro-batches, so
+    # the watermark must cover a delivery's span (23 minutes here).
+    J.run_to_end(J.stream_bars(spark, stream, out, ck, watermark="1 hour"))
     got = J.latest_bars(spark.read.parquet(out))
     exp = ohlcv_bars(t)
     cols = ["market_id", "bar_start", "open", "high", "low", "close", "n_trades"]
