@@ -45,3 +45,31 @@ def test_restart_does_not_duplicate(spark):
     t.where("seq >= 150").write.mode("append").parquet(src)
     J.run_to_end(J.start(stream(), J.batch_writer(out), ck))
     assert spark.read.parquet(out).count() == 300
+
+
+def test_crash_mid_batch_replays_without_duplicates(spark):
+    """The first attempt writes part of batch 0 and dies; the restart replays
+    batch 0 into the same folder (overwrite), so nothing is doubled."""
+    t = _ticks(spark, 300)
+    src, out, ck, flag = (tempfile.mkdtemp(prefix=p) for p in ("in-", "out-", "ck-", "flag-"))
+    t.write.mode("append").parquet(src)
+    import os
+    marker = os.path.join(flag, "crashed")
+    write_ok = J.batch_writer(out)
+
+    def flaky(batch, batch_id):
+        if not os.path.exists(marker):
+            open(marker, "w").close()
+            batch.limit(10).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            raise RuntimeError("simulated executor loss")
+        write_ok(batch, batch_id)
+
+    stream = lambda: spark.readStream.schema(t.schema).parquet(src)
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    with pytest.raises(StreamingQueryException):
+        J.start(stream(), flaky, ck).awaitTermination()
+    J.run_to_end(J.start(stream(), flaky, ck))
+    got = spark.read.parquet(out).drop("batch_id")
+    assert got.count() == 300
+    assert got.exceptAll(t).count() == 0
