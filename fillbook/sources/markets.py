@@ -33,12 +33,17 @@ MARKET_PAGE = T.StructType([
 ])
 
 
-def read_markets_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Stored markets CSV; every column text (ids must never become numbers)."""
+def read_markets_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
+                     keep_order: bool = True) -> DataFrame:
+    """Stored markets CSV; every column text (ids must never become numbers).
+
+    ``keep_order`` adds ``_ingest_seq`` (stored row order) so that "first row
+    per id wins" means first in the file, as the CSV was written.
+    """
     df = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path)
     if columns:
         df = df.select(*columns)
-    return df
+    return with_ingest_seq(df) if keep_order else df
 
 
 def with_ingest_seq(df: DataFrame) -> DataFrame:
@@ -83,13 +88,16 @@ def load_markets(frames: list[DataFrame], lean: bool = False) -> DataFrame:
     for f in frames:
         if "id" not in f.columns:
             raise KeyError("market table lacks the 'id' column")
+    seq = "_ingest_seq" if all("_ingest_seq" in f.columns for f in frames) else None
     if lean:
         # Project before the dedupe: columns inside the kept-row struct are
         # invisible to column pruning, so narrow the scan here.
         if any("clobTokenIds" not in f.columns for f in frames):
             raise KeyError("market table lacks the 'clobTokenIds' column")
-        frames = [f.select("id", "clobTokenIds") for f in frames]
-    m = union_first_wins(frames, "id", None)
+        frames = [f.select("id", "clobTokenIds", *([seq] if seq else [])) for f in frames]
+    else:
+        frames = [f.drop("_ingest_seq") if not seq else f for f in frames]
+    m = union_first_wins(frames, "id", seq)
     if "clobTokenIds" not in m.columns:
         raise KeyError("market table lacks the 'clobTokenIds' column")
     m = with_tokens(m)

@@ -54,3 +54,26 @@ def test_supplement_shapes_and_last_wins(spark):
     df = spark.createDataFrame(payloads, "fetch_seq long, body string")
     got = {r.id: r.closed for r in supplement_rows(df).collect()}
     assert got == {"0xa": "false", "5": "true", "0xc": "true"}
+
+
+def test_csv_first_row_per_id_wins(spark):
+    """Python-csv dialect (doubled quotes, newline in a cell); duplicate id in
+    one file: the first stored row wins; the supplement file loses."""
+    from fillbook.sources.markets import read_markets_csv
+    d = tempfile.mkdtemp(prefix="mk-")
+    os.makedirs(f"{d}/main")
+    os.makedirs(f"{d}/extra")
+    with open(f"{d}/main/part-0.csv", "w") as f:
+        f.write('id,clobTokenIds,question\n')
+        f.write('m1,"[""1"", ""2""]","first,\nline two"\n')
+        f.write('m1,"[""8"", ""9""]",second\n')
+        f.write('m2,,blank tokens\n')
+    with open(f"{d}/extra/part-0.csv", "w") as f:
+        f.write('id,clobTokenIds,question\nm1,"[""5"", ""6""]",supplement\nm3,"[""7""]",only here\n')
+    m = load_markets([read_markets_csv(spark, f"{d}/main"), read_markets_csv(spark, f"{d}/extra")])
+    got = {r.id: (r.token1, r.token2, r.question) for r in m.collect()}
+    assert got["m1"] == ("1", "2", "first,\nline two")
+    assert got["m2"] == (None, None, "blank tokens")
+    assert got["m3"] == ("7", None, "only here")
+    lean = load_markets([read_markets_csv(spark, f"{d}/main")], lean=True)
+    assert lean.columns == ["id", "token1", "token2"]
