@@ -18,11 +18,15 @@ def last_marker(written: DataFrame, seq: str = "ingest_seq") -> DataFrame:
     return m.select("m.*")
 
 
-def resume_after(rows: DataFrame, marker: DataFrame, seq: str = "ingest_seq") -> DataFrame:
+def resume_after(rows: DataFrame, marker: DataFrame, seq: str = "ingest_seq",
+                 check: bool = True) -> DataFrame:
     """Rows after the first row matching ``marker`` (by sequence).
 
-    A missing marker raises instead of silently writing nothing.
+    A missing marker raises (``check``, one small semi-join job) instead of
+    silently writing nothing.
     """
+    if check:
+        check_marker_found(rows, marker)
     matched = rows.join(marker, MARKER_FIELDS, "left_semi").agg(F.min(seq).alias("_s"))
     start = matched.scalar()
     return rows.where(F.col(seq) > start)
