@@ -140,3 +140,8 @@ def filter_domain(df: DataFrame, domain: str, keep: list[str]) -> DataFrame:
 def drop_nan(df: DataFrame, value: str) -> DataFrame:
     """Drop rows whose value is NaN or null."""
     return df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
+
+
+def domain_union(df: DataFrame, domain: str) -> DataFrame:
+    """Distinct domains over all series (null = the shared, domain-less ones)."""
+    return df.select(domain).distinct()

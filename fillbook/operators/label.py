@@ -86,3 +86,8 @@ def missing_tokens(fills: DataFrame, markets: DataFrame) -> DataFrame:
     traded = traded_tokens(fills)
     known = known_tokens(markets)
     return traded.join(known, "asset_id", "left_anti").orderBy("asset_id")
+
+
+def filter_non_usdc(fills: DataFrame, col: str = "makerAssetId") -> DataFrame:
+    """Rows whose asset id on ``col`` is an outcome token (null ids drop too)."""
+    return fills.where(F.col(col) != L.USDC_ID)

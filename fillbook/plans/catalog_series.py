@@ -170,7 +170,7 @@ def q_filter_domain(spark, sf):
 @register("domain_union", f"""WITH {fx("fx_ticks")}, {DOMAIN_SQL}
 select distinct domain from dom""")
 def q_domain_union(spark, sf):
-    return _domains(spark, sf).select("domain").distinct()
+    return A.domain_union(_domains(spark, sf), "domain")
 
 
 @register("drop_nan", f"""WITH {fx("fx_ticks")}

@@ -256,7 +256,7 @@ def q_sort_text_ids(spark, sf):
 select transactionHash, makerAssetId from fx_order_filled where makerAssetId <> '0'""")
 def q_filter_non_usdc(spark, sf):
     f = X.fx_order_filled(spark, sf)
-    return f.where(F.col("makerAssetId") != L.USDC_ID).select("transactionHash", "makerAssetId")
+    return LB.filter_non_usdc(f).select("transactionHash", "makerAssetId")
 
 
 TRADERS = ("0xa1", "0xa7", "0xa42")

@@ -10,6 +10,7 @@ from fillbook.session import ensure_utc, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+SOURCES: dict[str, Callable] = {}  # the undecorated builders (for docs/tools)
 
 
 def register(name: str, sql: str | None = None):
@@ -24,6 +25,7 @@ def register(name: str, sql: str | None = None):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = run
+        SOURCES[name] = fn
         if sql is not None:
             ORACLES[name] = sql
         return fn
