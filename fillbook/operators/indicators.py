@@ -53,14 +53,17 @@ def _wilder_rsi(close: np.ndarray, period: int) -> np.ndarray:
 
 
 def rsi(bars: DataFrame, periods: list[int] | int = 2, key: str = "market_id",
-        order: str = "bar_start", value: str = "close") -> DataFrame:
+        order: str = "bar_start", value: str = "close", chunk_unit: str | None = None) -> DataFrame:
     """Add ``rsi_<p>`` for each period: one grouped pandas pass per market
     (Arrow batches), rows sorted by ``order`` inside the group.
 
     All bar columns pass through the pandas function, so no join back is
     needed and the output stays hash-partitioned by ``key`` for the windows
-    that usually follow.
+    that usually follow. ``chunk_unit`` ('day', 'hour', ...) switches to the
+    chunked path (``rsi_chunked``) for histories too long for one task.
     """
+    if chunk_unit:
+        return rsi_chunked(bars, periods, key, order, value, chunk_unit)
     ps = [periods] if isinstance(periods, int) else list(periods)
     out_fields = [T.StructField(f"rsi_{p}", T.DoubleType()) for p in ps]
     schema = T.StructType(list(bars.schema.fields) + out_fields)
@@ -82,3 +85,116 @@ def bar_index(bars: DataFrame, key: str = "market_id", order: str = "bar_start")
     """0-based bar number within the market."""
     w = Window.partitionBy(key).orderBy(order)
     return bars.withColumn("bar_no", F.row_number().over(w) - 1)
+
+
+# --- chunked RSI for very long histories -------------------------------------
+#
+# The Wilder recursion a_i = (a_{i-1} (p-1) + x_i) / p is affine in a, so a
+# chunk of m steps maps a_in to w^m a_in + B (w = (p-1)/p, B = the chunk folded
+# from 0). Three bounded passes replace the one per-market pass:
+#   1. per (market, chunk): seed sums of the first p moves and the chunk's map;
+#   2. per market over its chunk rows (one per chunk): fold the maps in order
+#      -> the value entering every chunk;
+#   3. per (market, chunk): re-expand from that value.
+# No task holds more than one chunk of one market. Results equal the
+# sequential fold up to floating-point association (relative ~1e-12).
+
+def _moves(pdf: pd.DataFrame, order: str, value: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Global bar index and up/down move of each bar of one chunk."""
+    pdf = pdf.sort_values(order, kind="stable")
+    c = pdf[value].to_numpy(dtype="float64")
+    before = int(pdf["_before"].iloc[0])
+    prev = pdf["_prev_close"].iloc[0]
+    prev_c = np.concatenate([[np.nan if prev is None or pd.isna(prev) else float(prev)], c[:-1]])
+    d = c - prev_c
+    up = np.where(d > 0, d, 0.0)
+    dn = np.where(d < 0, -d, 0.0)
+    idx = before + np.arange(len(c))
+    return idx, up, dn
+
+
+def rsi_chunked(bars: DataFrame, periods: list[int] | int = 2, key: str = "market_id",
+                order: str = "bar_start", value: str = "close", unit: str = "day") -> DataFrame:
+    """Same result as ``rsi`` with task size bounded by one ``unit`` of bars."""
+    ps = [periods] if isinstance(periods, int) else list(periods)
+    b = bars.select(key, order, value).withColumn("_chunk", F.date_trunc(unit, F.col(order)))
+    summ = b.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_n"),
+                                       F.max_by(value, order).alias("_last"))
+    w = Window.partitionBy(key).orderBy("_chunk")
+    summ = summ.select(key, "_chunk",
+                       F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                                  F.lit(0)).alias("_before"),
+                       F.lag("_last").over(w).alias("_prev_close"))
+    bx = b.join(summ, [key, "_chunk"])
+
+    map_fields = [T.StructField(key, bars.schema[key].dataType), T.StructField("_chunk", T.TimestampType())]
+    for p in ps:
+        map_fields += [T.StructField(f"_{n}{p}", T.DoubleType()) for n in ("su", "sd", "A", "Bu", "Bd")]
+
+    def chunk_map(pdf: pd.DataFrame) -> pd.DataFrame:
+        idx, up, dn = _moves(pdf, order, value)
+        row = {key: pdf[key].iloc[0], "_chunk": pdf["_chunk"].iloc[0]}
+        for p in ps:
+            seed = (idx >= 1) & (idx <= p)
+            row[f"_su{p}"] = float(up[seed].sum())
+            row[f"_sd{p}"] = float(dn[seed].sum())
+            steps = idx > p
+            bu = bd = 0.0
+            for u, d_ in zip(up[steps], dn[steps]):
+                bu = (bu * (p - 1) + float(u)) / p
+                bd = (bd * (p - 1) + float(d_)) / p
+            row[f"_A{p}"] = ((p - 1) / p) ** int(steps.sum())
+            row[f"_Bu{p}"], row[f"_Bd{p}"] = bu, bd
+        return pd.DataFrame([row])
+
+    maps = bx.groupBy(key, "_chunk").applyInPandas(chunk_map, T.StructType(map_fields))
+
+    carry_fields = [T.StructField(key, bars.schema[key].dataType), T.StructField("_chunk", T.TimestampType())]
+    for p in ps:
+        carry_fields += [T.StructField(f"_{n}{p}", T.DoubleType()) for n in ("au", "ad", "seu", "sed")]
+
+    def carry(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_chunk", kind="stable")
+        out = {key: pdf[key].to_numpy(), "_chunk": pdf["_chunk"].to_numpy()}
+        for p in ps:
+            seu, sed = float(pdf[f"_su{p}"].sum()) / p, float(pdf[f"_sd{p}"].sum()) / p
+            au, ad, ins_u, ins_d = seu, sed, [], []
+            for A, bu, bd in zip(pdf[f"_A{p}"], pdf[f"_Bu{p}"], pdf[f"_Bd{p}"]):
+                ins_u.append(au)
+                ins_d.append(ad)
+                au, ad = A * au + bu, A * ad + bd
+            out[f"_au{p}"], out[f"_ad{p}"] = ins_u, ins_d
+            out[f"_seu{p}"], out[f"_sed{p}"] = [seu] * len(pdf), [sed] * len(pdf)
+        return pd.DataFrame(out)
+
+    carries = maps.groupBy(key).applyInPandas(carry, T.StructType(carry_fields))
+    full = bx.join(carries, [key, "_chunk"])
+
+    out_fields = [bars.schema[key], bars.schema[order]] + \
+        [T.StructField(f"rsi_{p}", T.DoubleType()) for p in ps]
+
+    def expand(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable")
+        idx, up, dn = _moves(pdf, order, value)
+        res = {key: pdf[key].to_numpy(), order: pdf[order].to_numpy()}
+        for p in ps:
+            au, ad = float(pdf[f"_au{p}"].iloc[0]), float(pdf[f"_ad{p}"].iloc[0])
+            seu, sed = float(pdf[f"_seu{p}"].iloc[0]), float(pdf[f"_sed{p}"].iloc[0])
+            vals = []
+            for i, u, d_ in zip(idx, up, dn):
+                if i < p:
+                    vals.append(np.nan)
+                    continue
+                if i == p:
+                    au, ad = seu, sed
+                else:
+                    au = (au * (p - 1) + float(u)) / p
+                    ad = (ad * (p - 1) + float(d_)) / p
+                vals.append((50.0 if au == 0.0 else 100.0) if ad == 0.0 else 100.0 - 100.0 / (1.0 + au / ad))
+            res[f"rsi_{p}"] = vals
+        return pd.DataFrame(res)
+
+    r = full.groupBy(key, "_chunk").applyInPandas(expand, T.StructType(out_fields))
+    r = r.select(key, order, *[F.nanvl(F.col(f"rsi_{p}"), F.lit(None).cast("double")).alias(f"rsi_{p}")
+                               for p in ps])
+    return bars.join(r, [key, order], "left")
