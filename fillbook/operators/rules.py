@@ -95,7 +95,7 @@ def round_trips(pos: DataFrame, keys: list[str], order: str = "bar_start",
         F.col("e.px").alias("entry_price"),
         F.col("x.sig_ts").alias("exit_signal_ts"), F.col("x.ts").alias("exit_ts"),
         F.col("x.px").alias("exit_price"),
-        (F.col("x.n") - F.col("e.n")).alias("bars_held"),
+        (F.col("x.n") - F.col("e.n")).cast("bigint").alias("bars_held"),
         ret.alias("ret"), factor.alias("factor"),
         F.col("x").isNull().alias("is_open"))
 

@@ -125,7 +125,7 @@ def q_hash_prefix(spark, sf):
 
 
 @register("side_to_assets", f"""WITH {LOGS_SQL}
-select '0x' || h as transactionHash, case when is_o then 0 else 1 end as side,
+select '0x' || h as transactionHash, cast(case when is_o then 0 else 1 end as bigint) as side,
   case when is_o then '0' else token end as makerAssetId, case when is_o then token else '0' end as takerAssetId
 from dec""")
 def q_side_to_assets(spark, sf):

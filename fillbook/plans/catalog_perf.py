@@ -64,7 +64,7 @@ ends AS (select series, year(ts) as period, arg_max(value, (ts, seq)) as end_val
 select series, period, end_value / coalesce(lag(end_value) over (partition by series order by period),
   first_value) - 1 as ret from ends""")
 def q_perf_annual_return(spark, sf):
-    return P.period_returns(_equity(spark, sf), F.year("ts")).select("series", "period", "ret")
+    return P.period_returns(_equity(spark, sf), F.year("ts").cast("bigint")).select("series", "period", "ret")
 
 
 @register("perf_period_stats", f"""WITH {fx("fx_equity")}, {ENDS_SQL}
@@ -139,11 +139,11 @@ def _pnl_sql() -> str:
     conds = [("long", "side = 'long'"), ("short", "side = 'short'"), ("won", "won"), ("lost", "not won"),
              ("long_won", "side = 'long' and won"), ("long_lost", "side = 'long' and not won"),
              ("short_won", "side = 'short' and won"), ("short_lost", "side = 'short' and not won")]
-    cols = ", ".join(f"sum(case when {c} then pnl end) as {n}_total, "
+    cols = ", ".join(f"cast(sum(case when {c} then pnl end) as bigint) as {n}_total, "
                      f"round(avg(case when {c} then pnl end), 6) as {n}_average" for n, c in conds)
     return f"""WITH {fx("fx_ledger")}, {LEDGER_SQL}
-select series, sum(pnl) as gross_total, round(avg(pnl), 6) as gross_average,
-  sum(pnl - 0) as net_total, round(avg(pnl - 0), 6) as net_average, {cols}
+select series, cast(sum(pnl) as bigint) as gross_total, round(avg(pnl), 6) as gross_average,
+  cast(sum(pnl - 0) as bigint) as net_total, round(avg(pnl - 0), 6) as net_average, {cols}
 from led group by series"""
 
 
@@ -164,7 +164,7 @@ def q_perf_win_counts(spark, sf):
 @register("perf_trade_length", f"""WITH {fx("fx_ledger")}, {LEDGER_SQL},
 l2 AS (select *, case when won then 'won' else 'lost' end as outcome from led)
 select series, coalesce(side, 'all') as side, coalesce(outcome, 'all') as outcome,
-  sum(bars) as total, min(bars) as min, max(bars) as max, round(avg(bars), 6) as average
+  cast(sum(bars) as bigint) as total, min(bars) as min, max(bars) as max, round(avg(bars), 6) as average
 from l2 group by grouping sets ((series), (series, side), (series, outcome), (series, side, outcome))""")
 def q_perf_trade_length(spark, sf):
     return P.trade_length(_ledger(spark, sf), "series", "side", _won()).withColumn(

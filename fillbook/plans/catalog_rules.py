@@ -89,7 +89,8 @@ pp AS (select sig.*, ps.pos, coalesce(lag(ps.pos) over w, 0) as pos_before,
        from sig join ps using ({keys}, rn) window w as (partition by {keys} order by rn)),
 ev AS (select *, pos_before = 0 and pos = 1 and next_open is not null as enter_,
          pos_before = 1 and pos = 0 as leave_ from pp),
-tn AS (select *, sum(case when enter_ then 1 else 0 end) over (partition by {keys} order by rn) as trade_no from ev),
+tn AS (select *, cast(sum(case when enter_ then 1 else 0 end) over (partition by {keys} order by rn) as bigint)
+        as trade_no from ev),
 tr AS (select {keys}, trade_no,
     max(case when enter_ then bar_start end) as entry_signal_ts, max(case when enter_ then next_ts end) as entry_ts,
     max(case when enter_ then next_open end) as entry_price, max(case when enter_ then close end) as sig_close,
