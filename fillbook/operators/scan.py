@@ -59,15 +59,18 @@ def segmented_running_many(df: DataFrame, keys: list[str], seg: str, order: list
     w_seg = (Window.partitionBy("_gk").orderBy(seg)
              .rowsBetween(Window.unboundedPreceding, -1))
     runs, seg_aggs, carries, outs = [], [], [], []
+    # Row number in the same window: the segment's full value is the running
+    # value of its last row. Taking it from the window output (instead of
+    # re-aggregating the input) reuses the window's partitioning and order:
+    # no second evaluation of the input, no extra shuffle.
+    pos = F.row_number().over(Window.partitionBy("_gk", seg).orderBy(*order_cols)).alias("_pos")
     for n, (value, op, out) in enumerate(specs):
+        seg_aggs.append(F.max_by(f"_run{n}", "_pos").alias(f"_sv{n}"))
         if op in _AGGS:
             runs.append(_AGGS[op](value).over(w_in).alias(f"_run{n}"))
-            seg_aggs.append(_AGGS[op](value).alias(f"_sv{n}"))
             carries.append(_AGGS[op](f"_sv{n}").over(w_seg).alias(f"_c{n}"))
         elif op == "last":
             runs.append(F.last(value, ignorenulls=True).over(w_in).alias(f"_run{n}"))
-            seg_aggs.append(F.max_by(F.col(value), F.when(F.col(value).isNotNull(),
-                                                          F.struct(*order_cols))).alias(f"_sv{n}"))
             carries.append(F.last(f"_sv{n}", ignorenulls=True).over(w_seg).alias(f"_c{n}"))
         else:
             raise ValueError(f"unsupported running op {op!r}")
@@ -82,7 +85,7 @@ def segmented_running_many(df: DataFrame, keys: list[str], seg: str, order: list
         else:
             comb = F.coalesce(r, c)
         outs.append(comb.alias(out))
-    inner = d.select("*", *runs)
+    inner = d.select("*", *runs, pos)
     # One row per segment: its full-segment values; then the values of all
     # earlier segments of the key (a window over a tiny table).
     totals = inner.groupBy("_gk", seg).agg(*seg_aggs)
