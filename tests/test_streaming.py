@@ -73,3 +73,16 @@ def test_crash_mid_batch_replays_without_duplicates(spark):
     got = spark.read.parquet(out).drop("batch_id")
     assert got.count() == 300
     assert got.exceptAll(t).count() == 0
+
+
+def test_stream_fills_stats_add_up(spark):
+    from fillbook.sources import fixtures as X
+    from tests.conftest import SF001
+    src, out, ck, stats = (tempfile.mkdtemp(prefix=p) for p in ("logs-", "fills-", "ck-", "stats-"))
+    logs = X.fx_raw_logs(spark, SF001)
+    for part in range(2):
+        logs.where((F.col("log_index") % 2) == part).write.mode("append").parquet(src)
+    J.run_to_end(J.stream_fills(spark, src, X.fx_raw_blocks(spark, SF001), X.FX_CONTRACT, X.FX_TOPIC0,
+                                out, ck, stats_path=stats))
+    total = spark.read.parquet(stats).agg(F.sum("rows_written")).first()[0]
+    assert total == spark.read.parquet(out).count() > 0
