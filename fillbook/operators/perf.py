@@ -117,9 +117,9 @@ def vwr(ends: DataFrame, key: str = "series", tau: float = 2.0, sdev_max: float
                     F.first("end_value").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("v0"))
     n = d.groupBy(key).agg(F.max("i").alias("n"), F.max_by("end_value", "i").alias("vn"),
                            F.min_by("end_value", "i").alias("v0"))
-    n = n.withColumn("ravg", F.log(F.col("vn") / F.col("v0")) / F.col("n"))
+    n = n.withColumn("ravg", F.try_divide(F.log(F.try_divide(F.col("vn"), F.col("v0"))), F.col("n")))
     d = d.drop("v0").join(n, key)
-    dev = F.col("end_value") / (F.col("v0") * F.exp(F.col("ravg") * F.col("i"))) - 1
+    dev = F.try_divide(F.col("end_value"), F.col("v0") * F.exp(F.col("ravg") * F.col("i"))) - 1
     g = d.groupBy(key).agg(F.first("ravg").alias("ravg"), F.stddev_pop(dev).alias("sdev"))
     rnorm = (F.exp(F.col("ravg") * periods_per_year) - 1) * 100
     return g.select(key, (rnorm * (1 - F.pow(F.col("sdev") / sdev_max, tau))).alias("vwr"))

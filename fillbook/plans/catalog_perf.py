@@ -28,7 +28,7 @@ LEDGER_ORDER = ["closed_on", "side", "bars", "pnl"]
 
 DD_SQL = """dd AS (
   select series, ts, seq, value, pk,
-    pk - value as moneydown, 100.0 * (pk - value) / pk as drawdown,
+    pk - value as moneydown, 100.0 * (pk - value) / nullif(pk, 0) as drawdown,
     pos - max(case when value >= pk then pos end) over (partition by series order by ts, seq
       rows between unbounded preceding and current row) as len, pos
   from (select *, max(value) over (partition by series order by ts, seq
@@ -48,7 +48,7 @@ def q_perf_drawdown(spark, sf):
 ENDS_SQL = """ends AS (select series, cast(ts as date) as period, arg_max(value, (ts, seq)) as end_value,
     arg_min(value, (ts, seq)) as first_value from fx_equity group by all),
 rets AS (select series, period, end_value,
-    end_value / coalesce(lag(end_value) over (partition by series order by period), first_value) - 1 as ret
+    end_value / nullif(coalesce(lag(end_value) over (partition by series order by period), first_value), 0) - 1 as ret
   from ends)"""
 
 
@@ -61,8 +61,8 @@ def q_perf_time_return(spark, sf):
 @register("perf_annual_return", f"""WITH {fx("fx_equity")},
 ends AS (select series, year(ts) as period, arg_max(value, (ts, seq)) as end_value,
     arg_min(value, (ts, seq)) as first_value from fx_equity group by all)
-select series, period, end_value / coalesce(lag(end_value) over (partition by series order by period),
-  first_value) - 1 as ret from ends""")
+select series, period, end_value / nullif(coalesce(lag(end_value) over (partition by series order by period),
+  first_value), 0) - 1 as ret from ends""")
 def q_perf_annual_return(spark, sf):
     return P.period_returns(_equity(spark, sf), F.year("ts").cast("bigint")).select("series", "period", "ret")
 
@@ -78,7 +78,7 @@ def q_perf_period_stats(spark, sf):
 
 
 @register("perf_sharpe", f"""WITH {fx("fx_equity")}, {ENDS_SQL}
-select series, round(avg(ret - 0.0) / stddev_samp(ret), 6) as sharpe from rets group by series""")
+select series, round(avg(ret - 0.0) / nullif(stddev_samp(ret), 0), 6) as sharpe from rets group by series""")
 def q_perf_sharpe(spark, sf):
     s = P.sharpe(P.period_returns(_equity(spark, sf), F.to_date("ts")))
     return s.withColumn("sharpe", F.round("sharpe", 6))
@@ -87,12 +87,12 @@ def q_perf_sharpe(spark, sf):
 @register("perf_calmar", f"""WITH {fx("fx_equity")}, {ENDS_SQL},
 e AS (select *, row_number() over (partition by series order by period) as i,
       lag(end_value, {CALMAR_WINDOW}) over (partition by series order by period) as start_value from ends),
-mdd AS (select a.series, a.period, max((p.end_value - q.end_value) / p.end_value) as mdd
+mdd AS (select a.series, a.period, max((p.end_value - q.end_value) / nullif(p.end_value, 0)) as mdd
   from e a join e p on p.series = a.series and p.i between a.i - {CALMAR_WINDOW} and a.i
            join e q on q.series = a.series and q.i between p.i and a.i
   group by a.series, a.period)
 select e.series, e.period,
-  case when mdd.mdd > 0 then (e.end_value / e.start_value - 1) / mdd.mdd end as calmar
+  case when mdd.mdd > 0 then (e.end_value / nullif(e.start_value, 0) - 1) / mdd.mdd end as calmar
 from e join mdd using (series, period)""")
 def q_perf_calmar(spark, sf):
     ends = P.period_ends(_equity(spark, sf), F.to_date("ts"))
@@ -102,9 +102,9 @@ def q_perf_calmar(spark, sf):
 @register("perf_vwr", f"""WITH {fx("fx_equity")}, {ENDS_SQL},
 e AS (select *, row_number() over (partition by series order by period) - 1 as i from ends),
 n AS (select series, max(i) as n, arg_max(end_value, i) as vn, arg_min(end_value, i) as v0 from e group by series),
-r AS (select n.*, ln(vn / v0) / n as ravg from n),
+r AS (select n.*, ln(vn / nullif(v0, 0)) / nullif(n, 0) as ravg from n),
 g AS (select e.series, any_value(r.ravg) as ravg,
-    stddev_pop(e.end_value / (r.v0 * exp(r.ravg * e.i)) - 1) as sdev from e join r using (series) group by e.series)
+    stddev_pop(e.end_value / nullif(r.v0 * exp(r.ravg * e.i), 0) - 1) as sdev from e join r using (series) group by e.series)
 select series, round((exp(ravg * 252) - 1) * 100 * (1 - pow(sdev / 0.2, 2.0)), 6) as vwr from g""")
 def q_perf_vwr(spark, sf):
     ends = P.period_ends(_equity(spark, sf), F.to_date("ts"))
@@ -115,7 +115,7 @@ LEDGER_SQL = """led AS (select series, closed_on, side, bars, pnl_cents as pnl,
 
 
 @register("perf_sqn", f"""WITH {fx("fx_ledger")}, {LEDGER_SQL}
-select series, round(sqrt(count(pnl)) * avg(pnl) / stddev_samp(pnl), 6) as sqn, count(pnl) as trades
+select series, round(sqrt(count(pnl)) * avg(pnl) / nullif(stddev_samp(pnl), 0), 6) as sqn, count(pnl) as trades
 from led group by series""")
 def q_perf_sqn(spark, sf):
     return P.sqn(_ledger(spark, sf)).withColumn("sqn", F.round("sqn", 6))
@@ -175,7 +175,7 @@ def q_perf_trade_length(spark, sf):
 x AS (select e.series, e.ts, e.seq, e.value, t.usd_amount from fx_equity e
       join fx_ticks t on t.market_id = e.series and t.seq = e.seq)
 select series, cast(ts as date) as period,
-  round(sum(abs(usd_amount)) / arg_max(value, (ts, seq)), 6) as leverage from x group by all""")
+  round(sum(abs(usd_amount)) / nullif(arg_max(value, (ts, seq)), 0), 6) as leverage from x group by all""")
 def q_perf_gross_leverage(spark, sf):
     t = X.fx_ticks(spark, sf).select(F.col("market_id").alias("series"), "seq", "usd_amount")
     x = _equity(spark, sf).join(t, ["series", "seq"])

@@ -101,8 +101,8 @@ tr AS (select {keys}, trade_no,
     max(case when leave_ and next_open is not null then rn end) as xn
   from tn where trade_no > 0 and (enter_ or leave_) group by {keys}, trade_no),
 trips AS (select {keys}, trade_no, entry_signal_ts, entry_ts, entry_price, exit_signal_ts, exit_ts, exit_price,
-    xn - en as bars_held, exit_price / entry_price - 1 as ret,
-    1 + 0.97 * (exit_price - entry_price) / sig_close as factor, exit_price is null as is_open from tr)"""
+    xn - en as bars_held, exit_price / nullif(entry_price, 0) - 1 as ret,
+    1 + 0.97 * (exit_price - entry_price) / nullif(sig_close, 0) as factor, exit_price is null as is_open from tr)"""
 
 
 READY = "rsi_2 is not null and sma_5 is not null"

@@ -39,8 +39,8 @@ LABELLED = """t AS (
     case when makerAssetId = '0' then takerAsset else makerAsset end as nonusdc_side,
     case when takerAsset = 'USDC' then 'SELL' else 'BUY' end as maker_direction,
     case when takerAsset = 'USDC' then 'BUY' else 'SELL' end as taker_direction,
-    cast(case when takerAsset = 'USDC' then takerAmountFilled / makerAmountFilled
-         else makerAmountFilled / takerAmountFilled end as double) as price,
+    cast(case when takerAsset = 'USDC' then takerAmountFilled / nullif(makerAmountFilled, 0)
+         else makerAmountFilled / nullif(takerAmountFilled, 0) end as double) as price,
     case when takerAsset = 'USDC' then takerAmountFilled else makerAmountFilled end as usd_amount,
     case when takerAsset <> 'USDC' then takerAmountFilled else makerAmountFilled end as token_amount,
     transactionHash from s)"""
