@@ -85,10 +85,13 @@ def round_trips(pos: DataFrame, keys: list[str], order: str = "bar_start",
                  F.struct(F.col(order).alias("sig_ts"), F.col("_n").alias("n"),
                           F.col("_next_ts").alias("ts"), F.col("_next_open").alias("px")))
     g = ev.groupBy(*keys, "trade_no").agg(F.max(ent).alias("e"), F.max(ext).alias("x"))
-    # Zero prices give null (not an error, not inf).
+    # Zero prices give null (not an error, not inf). An entry whose signal
+    # close is 0 cannot be sized (size = cash / 0): such a closed trade
+    # leaves the account unchanged (factor 1); open trades have no factor.
     ret = F.try_divide(F.col("x.px"), F.col("e.px")) - 1
-    factor = 1 + F.try_divide(F.lit(INVEST_FRACTION) * (F.col("x.px") - F.col("e.px")),
-                              F.col("e.sig_close"))
+    sized = 1 + F.try_divide(F.lit(INVEST_FRACTION) * (F.col("x.px") - F.col("e.px")),
+                             F.col("e.sig_close"))
+    factor = F.when(F.col("x").isNotNull(), F.coalesce(sized, F.lit(1.0)))
     return g.select(
         *keys, "trade_no",
         F.col("e.sig_ts").alias("entry_signal_ts"), F.col("e.ts").alias("entry_ts"),

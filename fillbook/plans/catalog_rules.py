@@ -102,7 +102,8 @@ tr AS (select {keys}, trade_no,
   from tn where trade_no > 0 and (enter_ or leave_) group by {keys}, trade_no),
 trips AS (select {keys}, trade_no, entry_signal_ts, entry_ts, entry_price, exit_signal_ts, exit_ts, exit_price,
     xn - en as bars_held, exit_price / nullif(entry_price, 0) - 1 as ret,
-    1 + 0.97 * (exit_price - entry_price) / nullif(sig_close, 0) as factor, exit_price is null as is_open from tr)"""
+    case when exit_price is not null then coalesce(1 + 0.97 * (exit_price - entry_price) / nullif(sig_close, 0), 1.0)
+    end as factor, exit_price is null as is_open from tr)"""
 
 
 READY = "rsi_2 is not null and sma_5 is not null"
