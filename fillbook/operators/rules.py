@@ -124,3 +124,61 @@ def final_equity(equity: DataFrame, keys: list[str]) -> DataFrame:
     """Last account value per key (after its last closed trade)."""
     return equity.groupBy(*keys).agg(F.max_by("value", "trade_no").alias("final_value"),
                                      F.count(F.lit(1)).alias("n_closed"))
+
+
+def leaderboard(results: DataFrame, sort_col: str, n: int, ascending: bool = False,
+                tie_breakers: list[str] | None = None) -> DataFrame:
+    """Top ``n`` rows by ``sort_col`` (then the tie-breakers, ascending):
+    ``orderBy().limit()`` plans as a per-task top-k plus one final merge."""
+    key = F.col(sort_col).asc_nulls_last() if ascending else F.col(sort_col).desc_nulls_last()
+    return results.orderBy(key, *(tie_breakers or [])).limit(n)
+
+
+def rsi_sma_sweep(bars: DataFrame, grid: list[tuple[int, float, int]], keys: list[str] | None = None,
+                  order: str = "bar_start") -> DataFrame:
+    """Positions of the RSI-entry / SMA-exit rule for every parameter set
+    ``(rsi_period, entry_below, sma_bars)`` over every market.
+
+    Indicators are computed once per distinct period; the grid is a fixed
+    literal array exploded per bar (a bounded fan-out, not a join). Output:
+    bars + ``param_id, rp, lo, sma_n, entry, exit, pos_before, pos``,
+    partitioned for the rule by (market, param_id).
+    """
+    from functools import reduce
+
+    from fillbook.operators import indicators as I
+    keys = keys or ["market_id"]
+    periods = sorted({rp for rp, _, _ in grid})
+    smas = sorted({n for _, _, n in grid})
+    b = I.rsi(bars, periods, key=keys[0], order=order)
+    for n in smas:
+        b = I.sma(b, n, key=keys[0], order=order, out=f"sma_{n}")
+    lit_grid = F.array(*[F.struct(F.lit(i).alias("param_id"), F.lit(rp).alias("rp"),
+                                  F.lit(lo).alias("lo"), F.lit(n).alias("sma_n"))
+                         for i, (rp, lo, n) in enumerate(grid)])
+    b = b.withColumn("_p", F.explode(lit_grid)).select("*", "_p.*").drop("_p")
+
+    def pick(prefix, col, values):
+        return reduce(lambda acc, v: acc.when(F.col(col) == v, F.col(f"{prefix}_{v}")),
+                      values[1:], F.when(F.col(col) == values[0], F.col(f"{prefix}_{values[0]}")))
+    b = b.withColumn("rsi_v", pick("rsi", "rp", periods)).withColumn("sma_v", pick("sma", "sma_n", smas))
+    ready = F.col("rsi_v").isNotNull() & F.col("sma_v").isNotNull()
+    rule = Rule(entry=F.col("rsi_v") < F.col("lo"), exit=F.col("close") > F.col("sma_v"))
+    return position_state(signal_flags(b, rule, ready), keys + ["param_id"], order)
+
+
+def sweep_board(pos: DataFrame, keys: list[str], params: list[str],
+                metrics: dict | None = None) -> DataFrame:
+    """One row per (market, parameter set): closed trades, final value and any
+    user metrics (aggregate Columns over the closed round trips)."""
+    trips = round_trips(pos, keys)
+    fin = final_equity(rule_equity(trips, keys), keys)
+    board = pos.select(*keys, *params).distinct().join(fin, keys, "left")
+    if metrics:
+        res = trips.where(~F.col("is_open")).groupBy(*keys).agg(
+            *[expr.alias(name) for name, expr in metrics.items()])
+        board = board.join(res, keys, "left")
+    return board.select(*keys, *params,
+                        F.coalesce("n_closed", F.lit(0)).cast("bigint").alias("n_closed"),
+                        F.coalesce("final_value", F.lit(START_CASH)).alias("final_value"),
+                        *[F.col(n) for n in (metrics or {})])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -188,27 +186,7 @@ def q_user_rule(spark, sf):
 # --- parameter sweep and leaderboard -----------------------------------------
 
 def _sweep_positions(spark, sf) -> DataFrame:
-    """Every parameter set over every market: indicators once per distinct
-    period, then the parameter grid as a fixed literal ``explode`` (a bounded
-    per-row fan-out, not a join)."""
-    b = I.rsi(_bars(spark, sf), sorted({rp for rp, _, _ in SWEEP}))
-    for n in sorted({ex for _, _, ex in SWEEP}):
-        b = I.sma(b, n, out=f"sma_{n}")
-    grid = F.array(*[F.struct(F.lit(i).alias("param_id"), F.lit(rp).alias("rp"),
-                              F.lit(lo).alias("lo"), F.lit(ex).alias("sma_n"))
-                     for i, (rp, lo, ex) in enumerate(SWEEP)])
-    b = b.withColumn("p", F.explode(grid)).select("*", "p.*").drop("p")
-
-    def pick(prefix, col, values):
-        return reduce(lambda acc, v: acc.when(F.col(col) == v, F.col(f"{prefix}_{v}")),
-                      values[1:], F.when(F.col(col) == values[0], F.col(f"{prefix}_{values[0]}")))
-    rsi_v = pick("rsi", "rp", sorted({rp for rp, _, _ in SWEEP}))
-    sma_v = pick("sma", "sma_n", sorted({ex for _, _, ex in SWEEP}))
-    b = b.withColumn("rsi_v", rsi_v).withColumn("sma_v", sma_v)
-    ready = F.col("rsi_v").isNotNull() & F.col("sma_v").isNotNull()
-    rule = R.Rule(entry=F.col("rsi_v") < F.col("lo"), exit=F.col("close") > F.col("sma_v"))
-    sig = R.signal_flags(b, rule, ready)
-    return R.position_state(sig, ["market_id", "param_id"])
+    return R.rsi_sma_sweep(_bars(spark, sf), SWEEP)
 
 
 SWEEP_KEYS = "market_id, param_id, rp, lo, sma_n"
@@ -242,21 +220,11 @@ board AS (select p.market_id, p.param_id, g.rp, g.lo, g.sma_n,
 
 
 def _sweep_board(spark, sf, metrics=None) -> DataFrame:
-    pos = _sweep_positions(spark, sf)
-    trips = R.round_trips(pos, ["market_id", "param_id"])
-    keys = ["market_id", "param_id"]
-    closed = trips.where(~F.col("is_open"))
-    metrics = metrics or {}
-    fin = R.final_equity(R.rule_equity(trips, keys), keys)
-    grid = pos.select(*keys, "rp", "lo", "sma_n").distinct()
-    b = grid.join(fin, keys, "left")
-    if metrics:
-        res = closed.groupBy(*keys).agg(*[expr.alias(name) for name, expr in metrics.items()])
-        b = b.join(res, keys, "left")
-    return b.select(*keys, "rp", "lo", "sma_n",
-                    F.coalesce("n_closed", F.lit(0)).cast("bigint").alias("n_closed"),
-                    F.coalesce("final_value", F.lit(R.START_CASH)).alias("final_value"),
-                    *[F.round(F.col(n), 6).alias(n) for n in metrics])
+    b = R.sweep_board(_sweep_positions(spark, sf), ["market_id", "param_id"], ["rp", "lo", "sma_n"],
+                      metrics)
+    for n in metrics or {}:
+        b = b.withColumn(n, F.round(n, 6))
+    return b
 
 
 @register("param_sweep", f"""WITH RECURSIVE {sweep_sql()}
@@ -269,8 +237,8 @@ def q_param_sweep(spark, sf):
 select market_id, param_id, rp, lo, sma_n, n_closed, final_value from board
 order by final_value desc, market_id, param_id limit {TOP_N}""")
 def q_leaderboard(spark, sf):
-    b = _sweep_board(spark, sf)
-    return b.orderBy(F.col("final_value").desc(), "market_id", "param_id").limit(TOP_N)
+    return R.leaderboard(_sweep_board(spark, sf), "final_value", TOP_N,
+                         tie_breakers=["market_id", "param_id"])
 
 
 @register("user_metrics", f"""WITH RECURSIVE {sweep_sql()}

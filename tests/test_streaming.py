@@ -86,3 +86,21 @@ def test_stream_fills_stats_add_up(spark):
                                 out, ck, stats_path=stats))
     total = spark.read.parquet(stats).agg(F.sum("rows_written")).first()[0]
     assert total == spark.read.parquet(out).count() > 0
+
+
+def test_stream_markets_incremental(spark):
+    """Two deliveries with overlapping pages: every market stored once; a
+    re-run on the same checkpoint adds nothing."""
+    from fillbook.sources import fixtures as X
+    from tests.conftest import SF001
+    src, out, ck = (tempfile.mkdtemp(prefix=p) for p in ("pages-", "mk-", "ck-"))
+    pages = X.fx_market_pages(spark, SF001)
+    pages.where("page_offset <= 0").write.mode("append").json(src)
+    J.run_to_end(J.stream_markets(spark, src, out, ck))
+    pages.write.mode("append").json(src)      # re-delivers page 0 plus the rest
+    J.run_to_end(J.stream_markets(spark, src, out, ck))
+    J.run_to_end(J.stream_markets(spark, src, out, ck))
+    from fillbook.sources.markets import markets_from_pages
+    got = spark.read.parquet(out)
+    exp = markets_from_pages(pages)
+    assert got.count() == got.select("id").distinct().count() == exp.count()
