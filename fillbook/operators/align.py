@@ -4,7 +4,7 @@ Long form throughout: a series table has ``group`` columns (one plot, e.g. a
 market), a ``series`` column (one line), a timestamp and a value. The clock of
 a group is the distinct union of its series' timestamps. Every operator is
 partitioned by group/series; running values use the segmented scan so a hot
-series is split by hour.
+series is split into rate-sized segments.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fillbook.operators.scan import segmented_running, time_segment
+from fillbook.operators.scan import segmented_running, with_rate_segments
 from fillbook.operators.dedupe import first_per_key
 
 
@@ -54,12 +54,11 @@ def align_asof(series: DataFrame, group: list[str], name: str = "series", ts: st
     row's value - that row's value even if it is null (forward fill by row,
     not by non-null value).
 
-    Running "last row" is a segmented scan over (group, series), segment = the
-    hour of the tick unless given.
+    Running "last row" is a segmented scan over (group, series); segments are
+    sized by each series' row rate unless given.
     """
     grid = _grid(series, group, name, ts)
     exact = _first_per_tick(series, group, name, ts, value, seq)
-    seg = segment if segment is not None else time_segment(ts)
     # Clock rows sort before source rows of the same tick, so a tick only sees
     # strictly earlier rows; the exact match comes from the join instead.
     src = series.select(*group, name, ts, F.lit(1).alias("_kind"),
@@ -68,7 +67,9 @@ def align_asof(series: DataFrame, group: list[str], name: str = "series", ts: st
     clk = grid.select(*group, name, ts, F.lit(0).alias("_kind"), F.lit(0).cast(
         src.schema["_seq"].dataType).alias("_seq"),
         F.lit(None).cast(src.schema["_row"].dataType).alias("_row"))
-    u = src.unionByName(clk).withColumn("_seg", seg)
+    u = src.unionByName(clk)
+    u = u.withColumn("_seg", segment) if segment is not None else \
+        with_rate_segments(u, group + [name], ts)
     run = segmented_running(u, group + [name], "_seg", [ts, "_kind", "_seq"], "_row", "last",
                             "_prev")
     ticks = run.where(F.col("_kind") == 0).select(*group, name, ts, "_prev")
@@ -90,8 +91,8 @@ def series_widen(aligned: DataFrame, group: list[str], name: str, ts: str, value
 def gapfree_index(clock: DataFrame, group: list[str], ts: str = "ts", start: int = 0,
                   segment: Column | None = None) -> DataFrame:
     """Consecutive 0-based position of each tick within its group, plus ``start``."""
-    seg = segment if segment is not None else time_segment(ts)
-    c = clock.withColumn("_one", F.lit(1)).withColumn("_seg", seg)
+    c = clock.withColumn("_one", F.lit(1))
+    c = c.withColumn("_seg", segment) if segment is not None else with_rate_segments(c, group, ts)
     run = segmented_running(c, group, "_seg", [ts], "_one", "sum", "_pos")
     return run.select(*group, ts, (F.col("_pos") - 1 + F.lit(start)).alias("idx"))
 
@@ -120,8 +121,8 @@ def filter_positions(df: DataFrame, group: list[str], ts: str, start: int = 0,
 
     Position = segmented running count; group size = an aggregate joined back.
     """
-    seg = segment if segment is not None else time_segment(ts)
-    d = df.withColumn("_one", F.lit(1)).withColumn("_seg", seg)
+    d = df.withColumn("_one", F.lit(1))
+    d = d.withColumn("_seg", segment) if segment is not None else with_rate_segments(d, group, ts)
     d = segmented_running(d, group, "_seg", [ts], "_one", "sum", "_pos")
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     d = d.join(sizes, group, "left").withColumn("_pos", F.col("_pos") - 1)

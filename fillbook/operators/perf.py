@@ -13,13 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fillbook.operators.scan import segmented_running, segmented_running_many, time_segment
+from fillbook.operators.scan import segmented_running, segmented_running_many, with_rate_segments
 
 
 def drawdown(equity: DataFrame, key: str = "series", ts: str = "ts", seq: str = "seq",
              value: str = "value") -> DataFrame:
     """Per row: running peak, money down, percent down, bars since the last peak."""
-    d = equity.withColumn("_seg", time_segment(ts)).withColumn("_one", F.lit(1))
+    d = with_rate_segments(equity, [key], ts).withColumn("_one", F.lit(1))
     order = [ts, seq]
     d = segmented_running_many(d, [key], "_seg", order,
                                [(value, "max", "peak"), ("_one", "sum", "pos")])
@@ -138,8 +138,8 @@ def streaks(ledger: DataFrame, key: str, order: list[str], won: Column) -> DataF
     Island id = running row count - running count within (series, won); both
     counts are segmented scans, so a hot series is split by hour.
     """
-    d = ledger.withColumn("_won", won).withColumn("_one", F.lit(1)) \
-        .withColumn("_seg", time_segment(order[0]))
+    d = with_rate_segments(ledger.withColumn("_won", won).withColumn("_one", F.lit(1)),
+                           [key], order[0])
     d = segmented_running(d, [key], "_seg", order, "_one", "sum", "_rn")
     d = segmented_running(d, [key, "_won"], "_seg", order, "_one", "sum", "_rn_w")
     d = d.withColumn("_island", F.col("_rn") - F.col("_rn_w"))

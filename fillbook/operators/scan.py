@@ -34,6 +34,36 @@ def time_segment(ts: str):
     return F.date_trunc(SEGMENT_UNIT, F.col(ts))
 
 
+# Rate-sized segments: about this many rows per segment, and segment lengths
+# between a minute and a year.
+TARGET_SEGMENT_ROWS = 1 << 20
+MIN_SEGMENT_SECONDS = 60
+MAX_SEGMENT_SECONDS = 366 * 86400
+
+
+def with_rate_segments(df: DataFrame, keys: list[str], ts: str, out: str = "_seg",
+                       target_rows: int | None = None) -> DataFrame:
+    """Add a segment number sized by each key's own row rate.
+
+    A fixed grain is wrong both ways: an hour of a hot key can be billions of
+    rows, while a sparse key would get one row per segment (the carry table
+    then is as large as the data). Per key: seconds per segment = target rows
+    / (rows per second), clamped to [1 minute, 1 year]; the segment number is
+    epoch seconds div that length, monotone in ``ts``. The per-key stats
+    table has one row per key (AQE broadcasts it when small).
+    """
+    target_rows = target_rows or TARGET_SEGMENT_ROWS
+    secs = F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(1000000)
+    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"),
+                                  (F.max(secs) - F.min(secs)).alias("_span"))
+    seg_len = F.least(F.lit(float(MAX_SEGMENT_SECONDS)), F.greatest(
+        F.lit(float(MIN_SEGMENT_SECONDS)),
+        F.try_divide(F.lit(float(target_rows)) * F.col("_span"), F.col("_cnt"))))
+    stats = stats.select(*keys, F.coalesce(seg_len, F.lit(float(MAX_SEGMENT_SECONDS))).alias("_seglen"))
+    d = df.join(stats, keys, "left")
+    return d.withColumn(out, F.floor(secs / F.col("_seglen")).cast("bigint")).drop("_seglen")
+
+
 def segmented_running(df: DataFrame, keys: list[str], seg: str, order: list,
                       value: str, op: str, out: str) -> DataFrame:
     """Add ``out`` = running ``op`` of ``value`` over rows of ``keys`` ordered by

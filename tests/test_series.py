@@ -156,3 +156,21 @@ def test_rsi_chunked_matches_sequential(spark):
         b2, b5 = chk[k]
         for a, b in ((a2, b2), (a5, b5)):
             assert (a is None and b is None) or math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9), k
+
+
+def test_rate_segments_many_segments(spark, monkeypatch):
+    """Force ~8-row segments: as-of fill, gap-free index and positional
+    filters must still equal the loops (carry across many segments)."""
+    from fillbook.operators import scan
+    monkeypatch.setattr(scan, "TARGET_SEGMENT_ROWS", 8)
+    monkeypatch.setattr(scan, "MIN_SEGMENT_SECONDS", 1)
+    test_align_asof_matches_loop(spark)
+    base = dt.datetime(2024, 1, 1)
+    rows = [("g", base + dt.timedelta(minutes=7 * i)) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, ts timestamp_ntz")
+    segs = scan.with_rate_segments(df, ["g"], "ts").select("_seg").distinct().count()
+    assert segs > 20
+    idx = sorted((r.ts, r.idx) for r in A.gapfree_index(df, ["g"], "ts").collect())
+    assert [i for _, i in idx] == list(range(500))
+    kept = A.filter_positions(df, ["g"], "ts", start=3, end=-4).count()
+    assert kept == 500 - 3 - 3
