@@ -44,10 +44,18 @@ def json_string_array(ids) -> Column:
                   F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))).otherwise(F.lit(""))
 
 
-def flatten_cell(c) -> Column:
-    """Cell for CSV export: null -> '', nested -> JSON text, scalar as text."""
+def flatten_cell(c, dtype: str = "string") -> Column:
+    """Cell for CSV export, as Python's csv writer would print the value:
+    null -> '', struct/array/map -> JSON text, booleans 'True'/'False',
+    other scalars as text. ``dtype`` is the column's Spark type string."""
     col = _c(c)
-    return F.coalesce(col.cast("string"), F.lit(""))
+    if dtype == "boolean":
+        text = F.when(col, F.lit("True")).when(~col, F.lit("False"))
+    elif dtype.startswith(("struct", "array", "map")):
+        text = F.to_json(col)
+    else:
+        text = col.cast("string")
+    return F.coalesce(text, F.lit(""))
 
 
 def flatten_nested_cell(c) -> Column:

@@ -131,6 +131,17 @@ def markets_from_pages(pages: DataFrame) -> DataFrame:
     )
 
 
+def export_markets_csv(markets: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Markets as CSV text cells (``id``, ``clobTokenIds`` first), every cell
+    flattened the way the original writer printed it."""
+    from fillbook.functions.tokens import flatten_cell
+    first = [c for c in ("id", "clobTokenIds") if c in markets.columns]
+    cols = first + [c for c in markets.columns if c not in first and not c.startswith("_")]
+    types = dict(markets.dtypes)
+    (markets.select(*[flatten_cell(c, types[c]).alias(c) for c in cols])
+     .write.mode(mode).options(**CSV_OPTIONS).csv(path))
+
+
 def new_markets(stored: DataFrame, fresh: DataFrame, key: str = "id") -> DataFrame:
     """Markets in ``fresh`` whose id is not stored yet (append set of a resume)."""
     return fresh.join(stored.select(key), key, "left_anti")

@@ -77,3 +77,16 @@ def test_csv_first_row_per_id_wins(spark):
     assert got["m3"] == ("7", None, "only here")
     lean = load_markets([read_markets_csv(spark, f"{d}/main")], lean=True)
     assert lean.columns == ["id", "token1", "token2"]
+
+
+def test_export_markets_csv_roundtrip(spark):
+    from fillbook.sources.markets import export_markets_csv, read_markets_csv
+    df = spark.createDataFrame(
+        [("m1", '["1", "2"]', 'say "hi"\nbye', True, ["a"]), ("m2", "", None, False, None)],
+        "id string, clobTokenIds string, question string, closed boolean, tags array<string>")
+    d = tempfile.mkdtemp(prefix="exp-")
+    export_markets_csv(df, d)
+    back = {r.id: r for r in read_markets_csv(spark, d, keep_order=False).collect()}
+    assert back["m1"].closed == "True" and back["m2"].closed == "False"
+    assert back["m1"].question == 'say "hi"\nbye' and back["m1"].tags == '["a"]'
+    assert back["m2"].clobTokenIds is None or back["m2"].clobTokenIds == ""
