@@ -34,7 +34,8 @@ def signal_flags(bars: DataFrame, rule: Rule, ready: Column | None = None) -> Da
             .withColumn("exit", F.coalesce(gate & rule.exit, F.lit(False))))
 
 
-def position_state(sig: DataFrame, keys: list[str], order: str = "bar_start") -> DataFrame:
+def position_state(sig: DataFrame, keys: list[str], order: str = "bar_start",
+                   segmented: bool = False) -> DataFrame:
     """Position after each bar's decision (``pos``: 0 flat, 1 long) and the
     position the bar saw (``pos_before``).
 
@@ -43,7 +44,13 @@ def position_state(sig: DataFrame, keys: list[str], order: str = "bar_start") ->
     last "set" bar (0 before any) plus the toggles since, mod 2: a running
     count of set bars numbers the runs, a running sum of toggles inside a run
     counts the flips.
+
+    ``segmented=True`` computes the same with segmented scans (no market in
+    one task): base = last set value, T = running toggles, T0 = T at the last
+    set bar; pos = (base + T - T0) mod 2; pos_before = the previous bar's pos.
     """
+    if segmented:
+        return _position_state_segmented(sig, keys, order)
     w = Window.partitionBy(*keys).orderBy(order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     is_set = F.col("entry") != F.col("exit")
@@ -59,23 +66,54 @@ def position_state(sig: DataFrame, keys: list[str], order: str = "bar_start") ->
     return d.drop("_run", "_setv")
 
 
+def _position_state_segmented(sig: DataFrame, keys: list[str], order: str) -> DataFrame:
+    from fillbook.operators.scan import (segmented_running, segmented_running_many,
+                                         segmented_shift, with_rate_segments)
+    is_set = F.col("entry") != F.col("exit")
+    d = (sig.withColumn("_setv", F.when(is_set, F.col("entry").cast("int")))
+         .withColumn("_tog", (F.col("entry") & F.col("exit")).cast("int")))
+    d = with_rate_segments(d, keys, order)
+    d = segmented_running_many(d, keys, "_seg", [order], [("_setv", "last", "_base"),
+                                                          ("_tog", "sum", "_T")])
+    d = d.withColumn("_Tset", F.when(F.col("entry") != F.col("exit"), F.col("_T")))
+    d = segmented_running(d, keys, "_seg", [order], "_Tset", "last", "_T0")
+    d = d.withColumn("pos", ((F.coalesce("_base", F.lit(0)) + F.col("_T")
+                              - F.coalesce("_T0", F.lit(0))) % 2).cast("int"))
+    d = segmented_shift(d, keys, "_seg", [order], [("pos", -1, "pos_before")])
+    return d.withColumn("pos_before", F.coalesce("pos_before", F.lit(0))) \
+        .drop("_setv", "_tog", "_seg", "_base", "_T", "_Tset", "_T0")
+
+
 def round_trips(pos: DataFrame, keys: list[str], order: str = "bar_start",
-                open_col: str = "open", close_col: str = "close") -> DataFrame:
+                open_col: str = "open", close_col: str = "close",
+                segmented: bool = False) -> DataFrame:
     """One row per trade: entry/exit signal bars, fills at the next bar's open,
     bars held, return, and the compounding factor of the 97 %-invested rule.
 
     A signal on the last bar never fills. A trade without a filled exit is
     reported open (exit fields null).
     """
-    w = Window.partitionBy(*keys).orderBy(order)
-    d = (pos.withColumn("_next_open", F.lead(open_col).over(w))
-         .withColumn("_next_ts", F.lead(order).over(w))
-         .withColumn("_n", F.row_number().over(w)))
+    if segmented:
+        from fillbook.operators.scan import (segmented_running, segmented_shift,
+                                             with_rate_segments)
+        d = with_rate_segments(pos.withColumn("_one", F.lit(1)), keys, order)
+        d = segmented_shift(d, keys, "_seg", [order], [(open_col, 1, "_next_open"),
+                                                       (order, 1, "_next_ts")])
+        d = segmented_running(d, keys, "_seg", [order], "_one", "sum", "_n")
+    else:
+        w = Window.partitionBy(*keys).orderBy(order)
+        d = (pos.withColumn("_next_open", F.lead(open_col).over(w))
+             .withColumn("_next_ts", F.lead(order).over(w))
+             .withColumn("_n", F.row_number().over(w)))
     d = d.withColumn("_enter", (F.col("pos_before") == 0) & (F.col("pos") == 1)
                      & F.col("_next_open").isNotNull())
     d = d.withColumn("_leave", (F.col("pos_before") == 1) & (F.col("pos") == 0))
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("trade_no", F.sum(F.col("_enter").cast("int")).over(run))
+    if segmented:
+        d = d.withColumn("_enter_i", F.col("_enter").cast("int"))
+        d = segmented_running(d, keys, "_seg", [order], "_enter_i", "sum", "trade_no")
+    else:
+        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        d = d.withColumn("trade_no", F.sum(F.col("_enter").cast("int")).over(run))
     ev = d.where((F.col("trade_no") > 0) & (F.col("_enter") | F.col("_leave")))
     ent = F.when(F.col("_enter"), F.struct(F.col(order).alias("sig_ts"), F.col("_n").alias("n"),
                                            F.col("_next_ts").alias("ts"),

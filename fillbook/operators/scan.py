@@ -122,3 +122,38 @@ def segmented_running_many(df: DataFrame, keys: list[str], seg: str, order: list
     carry = totals.select("_gk", seg, *carries)
     j = inner.join(carry, ["_gk", seg], "left")
     return j.select(*df.columns, *outs)
+
+
+def segmented_shift(df: DataFrame, keys: list[str], seg: str, order: list,
+                    specs: list[tuple[str, int, str]]) -> DataFrame:
+    """``lag`` (offset -1) / ``lead`` (offset +1) of ``value`` per key across
+    segments, without putting a key in one task.
+
+    Inside a segment it is a window ``lag``/``lead``; the first (last) row of
+    a segment takes the last (first) value of the previous (next) non-empty
+    segment from a one-row-per-segment table.
+    """
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    d = df.withColumn("_gk", F.struct(*[F.col(k) for k in keys]))
+    w = Window.partitionBy("_gk", seg).orderBy(*order_cols)
+    cols = [F.row_number().over(w).alias("_pos"),
+            F.count(F.lit(1)).over(Window.partitionBy("_gk", seg)).alias("_cnt")]
+    for n, (value, off, _) in enumerate(specs):
+        fn = F.lag if off < 0 else F.lead
+        cols.append(fn(value).over(w).alias(f"_in{n}"))
+    inner = d.select("*", *cols)
+    firsts = [F.min_by(value, "_pos").alias(f"_first{n}") for n, (value, _, _) in enumerate(specs)]
+    lasts = [F.max_by(value, "_pos").alias(f"_last{n}") for n, (value, _, _) in enumerate(specs)]
+    seg_rows = inner.groupBy("_gk", seg).agg(*firsts, *lasts)
+    ws = Window.partitionBy("_gk").orderBy(seg)
+    edge = []
+    for n, (_, off, _) in enumerate(specs):
+        edge.append((F.lag(f"_last{n}").over(ws) if off < 0 else F.lead(f"_first{n}").over(ws))
+                    .alias(f"_edge{n}"))
+    edges = seg_rows.select("_gk", seg, *edge)
+    j = inner.join(edges, ["_gk", seg], "left")
+    outs = []
+    for n, (_, off, out) in enumerate(specs):
+        at_edge = F.col("_pos") == 1 if off < 0 else F.col("_pos") == F.col("_cnt")
+        outs.append(F.when(at_edge, F.col(f"_edge{n}")).otherwise(F.col(f"_in{n}")).alias(out))
+    return j.select(*df.columns, *outs)

@@ -174,3 +174,25 @@ def test_rate_segments_many_segments(spark, monkeypatch):
     assert [i for _, i in idx] == list(range(500))
     kept = A.filter_positions(df, ["g"], "ts", start=3, end=-4).count()
     assert kept == 500 - 3 - 3
+
+
+def test_segmented_rules_equal_windowed(spark, monkeypatch):
+    """Segmented position state / round trips (forced ~16-row segments)
+    equal the per-market window versions on random signals and prices."""
+    from fillbook.operators import scan
+    monkeypatch.setattr(scan, "TARGET_SEGMENT_ROWS", 16)
+    monkeypatch.setattr(scan, "MIN_SEGMENT_SECONDS", 1)
+    rnd = random.Random(21)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(m, base + dt.timedelta(minutes=2 * i), float(rnd.randint(1, 9)), float(rnd.randint(1, 9)),
+             rnd.random() < 0.3, rnd.random() < 0.3) for m in ("a", "b") for i in range(700)]
+    df = spark.createDataFrame(rows, "market_id string, bar_start timestamp_ntz, open double, "
+                                     "close double, entry boolean, exit boolean")
+    cols = ["market_id", "bar_start", "pos_before", "pos"]
+    p1 = R.position_state(df, ["market_id"]).select(cols)
+    p2 = R.position_state(df, ["market_id"], segmented=True).select(cols)
+    assert p1.exceptAll(p2).count() == 0 and p2.exceptAll(p1).count() == 0
+    t1 = R.round_trips(R.position_state(df, ["market_id"]), ["market_id"])
+    t2 = R.round_trips(R.position_state(df, ["market_id"], segmented=True), ["market_id"], segmented=True)
+    assert t1.count() > 20
+    assert t1.exceptAll(t2).count() == 0 and t2.exceptAll(t1).count() == 0
