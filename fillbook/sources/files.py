@@ -68,18 +68,25 @@ def read_trades_csv(spark: SparkSession, path: str) -> DataFrame:
             .schema(TRADE_SCHEMA).csv(path))
 
 
-def append_trades(trades: DataFrame, path: str, granularity: str = "day") -> None:
+def append_trades(trades: DataFrame, path: str, granularity: str = "day",
+                  run_id: str | None = None) -> None:
     """Append labelled trades as Parquet partitioned by trade date (not by
     market: there are far too many markets for directory partitions).
 
     ``granularity='month'`` labels each partition with the month's first day
     (fewer directories for small tables). No repartition before the write:
     each task writes the dates it holds, so no single task owns a whole day.
+    With ``run_id`` the run writes its own ``run_id=<id>`` folder with
+    overwrite, so re-running a batch after a failure replaces its output
+    instead of appending it twice.
     """
     d = F.to_date("timestamp") if granularity == "day" else \
         F.to_date(F.date_trunc("month", F.col("timestamp")))
-    (trades.withColumn("trade_date", d)
-     .write.mode("append").partitionBy("trade_date").parquet(path))
+    out = trades.withColumn("trade_date", d)
+    if run_id is None:
+        out.write.mode("append").partitionBy("trade_date").parquet(path)
+    else:
+        out.write.mode("overwrite").partitionBy("trade_date").parquet(f"{path}/run_id={run_id}")
 
 
 def read_trades(spark: SparkSession, path: str) -> DataFrame:

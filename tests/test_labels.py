@@ -75,3 +75,14 @@ def test_zero_amount_gives_null_price(spark):
 def test_epoch_to_timestamp(spark):
     r = label_trades(_fill(spark, timestamp=1_700_000_000), _markets(spark)).first()
     assert str(r.timestamp) == "2023-11-14 22:13:20"
+
+
+def test_append_trades_rerun_is_idempotent(spark):
+    import tempfile
+    from fillbook.sources.files import append_trades, read_trades
+    t = label_trades(_fill(spark, timestamp=1_700_000_000), _markets(spark))
+    d = tempfile.mkdtemp(prefix="trades-")
+    append_trades(t, d, run_id="r1")
+    append_trades(t, d, run_id="r1")        # the same run again
+    append_trades(t, d, run_id="r2")
+    assert read_trades(spark, d).count() == 2
