@@ -17,9 +17,15 @@ from fillbook.operators.scan import segmented_running, segmented_running_many, w
 
 
 def drawdown(equity: DataFrame, key: str = "series", ts: str = "ts", seq: str = "seq",
-             value: str = "value") -> DataFrame:
-    """Per row: running peak, money down, percent down, bars since the last peak."""
-    d = with_rate_segments(equity, [key], ts).withColumn("_one", F.lit(1))
+             value: str = "value", segment: Column | None = None) -> DataFrame:
+    """Per row: running peak, money down, percent down, bars since the last peak.
+
+    ``segment``: an explicit segment column monotone in (ts, seq), e.g.
+    ``floor(seq / 2^20)``; default = rate-sized segments per series.
+    """
+    d = equity.withColumn("_seg", segment) if segment is not None else \
+        with_rate_segments(equity, [key], ts)
+    d = d.withColumn("_one", F.lit(1))
     order = [ts, seq]
     d = segmented_running_many(d, [key], "_seg", order,
                                [(value, "max", "peak"), ("_one", "sum", "pos")])
@@ -132,14 +138,16 @@ def sqn(ledger: DataFrame, key: str = "series", pnl: str = "pnl") -> DataFrame:
         F.count(pnl).alias("trades"))
 
 
-def streaks(ledger: DataFrame, key: str, order: list[str], won: Column) -> DataFrame:
+def streaks(ledger: DataFrame, key: str, order: list[str], won: Column,
+            segment: Column | None = None) -> DataFrame:
     """Won/lost streaks: current and longest per series (gaps and islands).
 
     Island id = running row count - running count within (series, won); both
     counts are segmented scans, so a hot series is split by hour.
     """
-    d = with_rate_segments(ledger.withColumn("_won", won).withColumn("_one", F.lit(1)),
-                           [key], order[0])
+    d = ledger.withColumn("_won", won).withColumn("_one", F.lit(1))
+    d = d.withColumn("_seg", segment) if segment is not None else \
+        with_rate_segments(d, [key], order[0])
     d = segmented_running(d, [key], "_seg", order, "_one", "sum", "_rn")
     d = segmented_running(d, [key, "_won"], "_seg", order, "_one", "sum", "_rn_w")
     d = d.withColumn("_island", F.col("_rn") - F.col("_rn_w"))

@@ -196,3 +196,15 @@ def test_segmented_rules_equal_windowed(spark, monkeypatch):
     t2 = R.round_trips(R.position_state(df, ["market_id"], segmented=True), ["market_id"], segmented=True)
     assert t1.count() > 20
     assert t1.exceptAll(t2).count() == 0 and t2.exceptAll(t1).count() == 0
+
+
+def test_drawdown_explicit_segment_equals_default(spark):
+    from fillbook.operators import perf as P
+    rnd = random.Random(4)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(s, base + dt.timedelta(minutes=i), i, 100.0 + rnd.randint(-30, 30))
+            for s in ("x", "y") for i in range(400)]
+    eq = spark.createDataFrame(rows, "series string, ts timestamp_ntz, seq long, value double")
+    a = P.drawdown(eq)
+    b = P.drawdown(eq, segment=F.floor(F.col("seq") / 23))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
