@@ -44,15 +44,33 @@ def json_string_array(ids) -> Column:
                   F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))).otherwise(F.lit(""))
 
 
+# Placeholder for escaped quotes while separators are rewritten (a control
+# character that JSON text from to_json never contains unescaped).
+_QUOTE_MARK = "\u0001"
+
+
+def python_json_layout(json_text) -> Column:
+    """Compact JSON (Spark's ``to_json``) -> Python ``json.dumps`` layout:
+    a space after every ',' and ':' that is outside string literals.
+
+    Escaped quotes are masked first; a separator is outside strings when an
+    even number of quotes follows it.
+    """
+    t = F.replace(_c(json_text), F.lit('\\"'), F.lit(_QUOTE_MARK))
+    t = F.regexp_replace(t, '([,:])(?=(?:[^"]*"[^"]*")*[^"]*$)', "$1 ")
+    return F.replace(t, F.lit(_QUOTE_MARK), F.lit('\\"'))
+
+
 def flatten_cell(c, dtype: str = "string") -> Column:
     """Cell for CSV export, as Python's csv writer would print the value:
-    null -> '', struct/array/map -> JSON text, booleans 'True'/'False',
-    other scalars as text. ``dtype`` is the column's Spark type string."""
+    null -> '', struct/array/map -> JSON text in Python's layout, booleans
+    'True'/'False', other scalars as text. ``dtype`` is the column's Spark
+    type string."""
     col = _c(c)
     if dtype == "boolean":
         text = F.when(col, F.lit("True")).when(~col, F.lit("False"))
     elif dtype.startswith(("struct", "array", "map")):
-        text = F.to_json(col)
+        text = python_json_layout(F.to_json(col))
     else:
         text = col.cast("string")
     return F.coalesce(text, F.lit(""))

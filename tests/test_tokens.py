@@ -52,3 +52,12 @@ def test_market_id_coalesce(spark):
     got = [r[0] for r in df.select(market_id_coalesce("c", "i")).collect()]
     assert got == ["0xabc", "123", "", ""]
     assert got[0] == df.select(F.lit("0xabc")).first()[0]
+
+
+def test_python_json_layout(spark):
+    import json
+    from fillbook.functions.tokens import python_json_layout
+    vals = [{"a": 1, "b": [1, 2]}, {"s": 'x, y: "z"', "t": "a\\\\b"}, [{"token_id": "1", "outcome": "Yes"}]]
+    df = spark.createDataFrame([(json.dumps(v, separators=(",", ":")),) for v in vals], "j string")
+    got = [r[0] for r in df.select(python_json_layout("j")).collect()]
+    assert got == [json.dumps(v) for v in vals]
