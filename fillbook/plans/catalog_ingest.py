@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fillbook.functions import hexcodec as H
 from fillbook.functions.names import clean_label, plot_title, sanitize_source_name
-from fillbook.functions.tokens import flatten_nested_cell, market_id_coalesce, token_ids_from_struct
+from fillbook.functions.tokens import flatten_cell, market_id_coalesce, token_ids_from_struct
 from fillbook.operators import align as A
 from fillbook.operators.dedupe import first_per_key
 from fillbook.operators.nested import nested_to_path_rows
@@ -210,8 +210,8 @@ def q_token_ids_extract(spark, sf):
 
 @register("json_flatten_cell", f"""WITH {PAGES_SQL}
 select condition_id, case when k % 13 = 0 then '' else
-  '[{{"token_id":"' || cast(2*k+1 as varchar) || '","outcome":"Yes"}},{{"token_id":"' || cast(2*k+2 as varchar)
-  || '","outcome":"No"}},{{"outcome":"x"}}]' end as tokens_json
+  '[{{"token_id": "' || cast(2*k+1 as varchar) || '", "outcome": "Yes"}}, {{"token_id": "' || cast(2*k+2 as varchar)
+  || '", "outcome": "No"}}, {{"outcome": "x"}}]' end as tokens_json
 from pm where condition_id is not null and condition_id <> ''""")
 def q_json_flatten_cell(spark, sf):
     rows = _pages(spark, sf).select("page_offset", F.posexplode("data").alias("pos", "m"))
@@ -219,7 +219,7 @@ def q_json_flatten_cell(spark, sf):
     first = first_per_key(rows.select(F.col("m.condition_id").alias("condition_id"),
                                       "page_offset", "pos", F.col("m.tokens").alias("tokens")),
                           "condition_id", [F.col("page_offset"), F.col("pos")])
-    return first.select("condition_id", flatten_nested_cell("tokens").alias("tokens_json"))
+    return first.select("condition_id", flatten_cell("tokens", "array").alias("tokens_json"))
 
 
 SUPP_SQL = f"""{fx("fx_missing_markets")},

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fillbook.functions.tokens import (json_string_array, market_id_coalesce,
+from fillbook.functions.tokens import (json_string_array, market_id_coalesce, python_json_layout,
                                        token_ids_from_struct)
 from fillbook.operators.dedupe import first_per_key
 from fillbook.operators.label import with_tokens
@@ -124,7 +124,7 @@ def markets_from_pages(pages: DataFrame) -> DataFrame:
         F.col("condition_id").alias("id"),
         json_string_array(ids).alias("clobTokenIds"),
         F.col("condition_id"),
-        F.coalesce(F.to_json("tokens"), F.lit("")).alias("tokens"),
+        F.coalesce(python_json_layout(F.to_json("tokens")), F.lit("")).alias("tokens"),
         F.coalesce(F.col("question"), F.lit("")).alias("question"),
         F.coalesce(F.col("market_slug"), F.lit("")).alias("market_slug"),
         F.col("closed"),
