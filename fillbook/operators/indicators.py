@@ -15,13 +15,40 @@ from pyspark.sql import types as T
 
 
 def sma(bars: DataFrame, n: int, key: str = "market_id", order: str = "bar_start",
-        value: str = "close", out: str | None = None) -> DataFrame:
-    """Mean of the last ``n`` values; null until ``n`` values exist."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(-(n - 1), 0)
+        value: str = "close", out: str | None = None, segmented: bool = False) -> DataFrame:
+    """Mean of the last ``n`` values; null until ``n`` values exist.
+
+    ``segmented=True`` avoids the per-market window: each bar gets its
+    position from a segmented running count, sends its value to the next
+    ``n`` positions (a fan-out bounded by ``n``), and every position sums its
+    ``n`` values in position order - the same additions, in the same order,
+    as the sliding window.
+    """
     out = out or f"sma_{n}"
+    if segmented:
+        return _sma_segmented(bars, n, key, order, value, out)
+    w = Window.partitionBy(key).orderBy(order).rowsBetween(-(n - 1), 0)
     return bars.withColumn(out, F.when(F.count(value).over(w) == n, F.avg(value).over(w)))
 
 
+def _sma_segmented(bars: DataFrame, n: int, key: str, order: str, value: str,
+                   out: str) -> DataFrame:
+    from fillbook.operators.scan import segmented_running, with_rate_segments
+    d = with_rate_segments(bars.withColumn("_one", F.lit(1)), [key], order)
+    d = segmented_running(d, [key], "_seg", [order], "_one", "sum", "_pos")
+    sent = d.select(key, F.col(value).alias("_v"), "_pos",
+                    F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_k"))
+    sent = sent.select(key, (F.col("_pos") + F.col("_k")).alias("_target"),
+                       F.struct(F.col("_pos").alias("p"), F.col("_v").alias("v")).alias("_pv"))
+    win = sent.groupBy(key, "_target").agg(F.array_sort(F.collect_list("_pv")).alias("_w"))
+    vals = F.transform(F.col("_w"), lambda x: x["v"])
+    total = F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x)
+    full = (F.size("_w") == n) & F.forall(vals, lambda x: x.isNotNull())
+    means = win.select(key, F.col("_target").alias("_pos"),
+                       F.when(full, total / F.lit(float(n))).alias(out))
+    return d.join(means, [key, "_pos"], "left").drop("_one", "_seg", "_pos")
+
+
 def _wilder_rsi(close: np.ndarray, period: int) -> np.ndarray:
     """RSI with Wilder smoothing: averages seeded with the mean of the first
     ``period`` up/down moves, then a <- (a * (period - 1) + x) / period.

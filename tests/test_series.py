@@ -208,3 +208,13 @@ def test_drawdown_explicit_segment_equals_default(spark):
     a = P.drawdown(eq)
     b = P.drawdown(eq, segment=F.floor(F.col("seq") / 23))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_sma_segmented_equals_window(spark, monkeypatch):
+    from fillbook.operators import scan
+    monkeypatch.setattr(scan, "TARGET_SEGMENT_ROWS", 16)
+    monkeypatch.setattr(scan, "MIN_SEGMENT_SECONDS", 1)
+    rows, df = _bars(spark, n=400, seed=13)
+    a = I.sma(df, 5, out="s").select("market_id", "bar_start", "s")
+    b = I.sma(df, 5, out="s", segmented=True).select("market_id", "bar_start", "s")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
