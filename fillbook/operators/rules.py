@@ -173,14 +173,17 @@ def leaderboard(results: DataFrame, sort_col: str, n: int, ascending: bool = Fal
 
 
 def rsi_sma_sweep(bars: DataFrame, grid: list[tuple[int, float, int]], keys: list[str] | None = None,
-                  order: str = "bar_start") -> DataFrame:
+                  order: str = "bar_start", segmented: bool = False,
+                  rsi_chunk_unit: str | None = None) -> DataFrame:
     """Positions of the RSI-entry / SMA-exit rule for every parameter set
     ``(rsi_period, entry_below, sma_bars)`` over every market.
 
     Indicators are computed once per distinct period; the grid is a fixed
     literal array exploded per bar (a bounded fan-out, not a join). Output:
     bars + ``param_id, rp, lo, sma_n, entry, exit, pos_before, pos``,
-    partitioned for the rule by (market, param_id).
+    partitioned for the rule by (market, param_id). ``segmented`` runs SMA
+    and the position state on segmented scans (exact); ``rsi_chunk_unit``
+    picks the chunked RSI path.
     """
     from functools import reduce
 
@@ -188,9 +191,9 @@ def rsi_sma_sweep(bars: DataFrame, grid: list[tuple[int, float, int]], keys: lis
     keys = keys or ["market_id"]
     periods = sorted({rp for rp, _, _ in grid})
     smas = sorted({n for _, _, n in grid})
-    b = I.rsi(bars, periods, key=keys[0], order=order)
+    b = I.rsi(bars, periods, key=keys[0], order=order, chunk_unit=rsi_chunk_unit)
     for n in smas:
-        b = I.sma(b, n, key=keys[0], order=order, out=f"sma_{n}")
+        b = I.sma(b, n, key=keys[0], order=order, out=f"sma_{n}", segmented=segmented)
     lit_grid = F.array(*[F.struct(F.lit(i).alias("param_id"), F.lit(rp).alias("rp"),
                                   F.lit(lo).alias("lo"), F.lit(n).alias("sma_n"))
                          for i, (rp, lo, n) in enumerate(grid)])
@@ -202,7 +205,8 @@ def rsi_sma_sweep(bars: DataFrame, grid: list[tuple[int, float, int]], keys: lis
     b = b.withColumn("rsi_v", pick("rsi", "rp", periods)).withColumn("sma_v", pick("sma", "sma_n", smas))
     ready = F.col("rsi_v").isNotNull() & F.col("sma_v").isNotNull()
     rule = Rule(entry=F.col("rsi_v") < F.col("lo"), exit=F.col("close") > F.col("sma_v"))
-    return position_state(signal_flags(b, rule, ready), keys + ["param_id"], order)
+    return position_state(signal_flags(b, rule, ready), keys + ["param_id"], order,
+                          segmented=segmented)
 
 
 def sweep_board(pos: DataFrame, keys: list[str], params: list[str],

@@ -218,3 +218,16 @@ def test_sma_segmented_equals_window(spark, monkeypatch):
     a = I.sma(df, 5, out="s").select("market_id", "bar_start", "s")
     b = I.sma(df, 5, out="s", segmented=True).select("market_id", "bar_start", "s")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_sweep_segmented_switch_changes_nothing(spark):
+    from fillbook.operators.bars import ohlcv_bars
+    from fillbook.sources import fixtures as X
+    from tests.conftest import SF001
+    bars = ohlcv_bars(X.fx_ticks(spark, SF001))
+    grid = [(2, 15, 5), (3, 25, 10)]
+    cols = ["market_id", "bar_start", "param_id", "pos_before", "pos"]
+    a = R.rsi_sma_sweep(bars, grid).select(cols)
+    b = R.rsi_sma_sweep(bars, grid, segmented=True).select(cols)
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
