@@ -27,3 +27,13 @@ def test_pipeline_end_to_end(spark):
     assert trades.count() == fills.count() > 0
     # page markets are '0xc<k>' with tokens 2k+1 / 2k+2: some fills must match
     assert trades.where(F.col("market_id").isNotNull()).count() > 0
+
+
+def test_pipeline_cli(spark):
+    import pytest
+    root = tempfile.mkdtemp(prefix="cli-")
+    X.fx_market_pages(spark, SF001).write.json(f"{root}/landing/market_pages")
+    assert P.main([root, "markets"]) == 0
+    assert spark.read.parquet(f"{root}/data/markets").count() > 0
+    with pytest.raises(SystemExit):
+        P.main([root, "chain"])          # contract / topic are required
