@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fillbook.session import materialize
 from fillbook.operators.scan import segmented_running, segmented_running_many, with_rate_segments
 
 
@@ -25,10 +26,13 @@ def drawdown(equity: DataFrame, key: str = "series", ts: str = "ts", seq: str =
     """
     d = equity.withColumn("_seg", segment) if segment is not None else \
         with_rate_segments(equity, [key], ts)
-    d = d.withColumn("_one", F.lit(1))
+    # Two chained scans read their input in several branches: materialize
+    # the input and the intermediate once instead of re-running the lineage.
+    d = materialize(d.withColumn("_one", F.lit(1)))
     order = [ts, seq]
     d = segmented_running_many(d, [key], "_seg", order,
                                [(value, "max", "peak"), ("_one", "sum", "pos")])
+    d = materialize(d)
     d = d.withColumn("_peak_pos", F.when(F.col(value) >= F.col("peak"), F.col("pos")))
     d = segmented_running(d, [key], "_seg", order, "_peak_pos", "last", "_last_peak")
     return d.select(key, ts, seq, value, "peak",
@@ -148,7 +152,9 @@ def streaks(ledger: DataFrame, key: str, order: list[str], won: Column,
     d = ledger.withColumn("_won", won).withColumn("_one", F.lit(1))
     d = d.withColumn("_seg", segment) if segment is not None else \
         with_rate_segments(d, [key], order[0])
+    d = materialize(d)
     d = segmented_running(d, [key], "_seg", order, "_one", "sum", "_rn")
+    d = materialize(d)
     d = segmented_running(d, [key, "_won"], "_seg", order, "_one", "sum", "_rn_w")
     d = d.withColumn("_island", F.col("_rn") - F.col("_rn_w"))
     isl = d.groupBy(key, "_won", "_island").agg(F.count(F.lit(1)).alias("_len"),

@@ -72,9 +72,11 @@ def _position_state_segmented(sig: DataFrame, keys: list[str], order: str) -> Da
     is_set = F.col("entry") != F.col("exit")
     d = (sig.withColumn("_setv", F.when(is_set, F.col("entry").cast("int")))
          .withColumn("_tog", (F.col("entry") & F.col("exit")).cast("int")))
-    d = with_rate_segments(d, keys, order)
+    from fillbook.session import materialize
+    d = materialize(with_rate_segments(d, keys, order))
     d = segmented_running_many(d, keys, "_seg", [order], [("_setv", "last", "_base"),
                                                           ("_tog", "sum", "_T")])
+    d = materialize(d)
     d = d.withColumn("_Tset", F.when(F.col("entry") != F.col("exit"), F.col("_T")))
     d = segmented_running(d, keys, "_seg", [order], "_Tset", "last", "_T0")
     d = d.withColumn("pos", ((F.coalesce("_base", F.lit(0)) + F.col("_T")

@@ -102,3 +102,15 @@ def ensure_utc(spark: SparkSession) -> None:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+
+    For operators that read their input several times (chained segmented
+    scans): without this every pass re-evaluates the whole upstream plan in
+    each of its branches. A reliable checkpoint (not a local one) survives
+    lost executors: recovery reads the files instead of recomputing.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
