@@ -48,3 +48,10 @@ def test_segmented_scan_shuffles_large_side_once(spark):
     big = [m for m in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)]
     assert sum(1 for m in big if "_gk" in m and "seg" in m) <= 2
     assert "CartesianProduct" not in plan
+
+
+def test_drawdown_lineage_is_cut(spark):
+    """Chained segmented scans read checkpoints, not the source lineage again."""
+    df = E.queries()["perf_drawdown"](spark, SF001)
+    plan = _plan(df)
+    assert plan.count("Scan parquet") <= 2     # was 24 without the checkpoints
