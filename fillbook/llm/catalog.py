@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fillbook.llm import pii, quality  # noqa: F401
+from fillbook.llm import pii, quality, simhash  # noqa: F401
 from fillbook.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

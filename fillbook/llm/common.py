@@ -15,10 +15,9 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
 
-#: Rows a Python worker holds at once; texts can be long, so batches are short.
-ARROW_ROWS = 256
-#: Bytes of an Arrow batch, so that a run of very long texts makes short batches.
-ARROW_BYTES = 16 << 20
+#: Rows and bytes of an Arrow batch: a run of very long texts makes short batches.
+ARROW_ROWS = 4096
+ARROW_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
