@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fillbook.llm import langid, pii, quality, simhash, toxicity, urls  # noqa: F401
+from fillbook.llm import langid, mixing, pii, quality, simhash, toxicity, urls  # noqa: F401
 from fillbook.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
