@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fillbook.llm import bitpack, langid, mixing, packing, pii, quality, simhash, toxicity, urls  # noqa: F401
+from fillbook.llm import bitpack, hamming_search, langid, mixing, packing, pii, quality, simhash, toxicity, urls  # noqa: F401
 from fillbook.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
