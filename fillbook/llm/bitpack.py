@@ -38,6 +38,8 @@ BLOCK_IDS = 1 << 16
 END_ID = 2
 MAGIC, VERSION = b"FBID", 1
 _HEADER = struct.Struct("<4sBBxxQ")
+#: Widths that are whole bytes, as little-endian numbers.
+_WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}
 
 
 def bits_for(vocabulary: int) -> int:
@@ -47,7 +49,10 @@ def bits_for(vocabulary: int) -> int:
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """Header and ids, ``bits`` bits each, lowest bit first."""
-    out = bytearray(_HEADER.pack(MAGIC, VERSION, bits, len(ids)))
+    head = _HEADER.pack(MAGIC, VERSION, bits, len(ids))
+    if bits in _WHOLE:  # the same bytes, without a step per bit
+        return head + ids.astype(_WHOLE[bits]).tobytes()
+    out = bytearray(head)
     step = np.arange(bits, dtype=np.uint32)
     for at in range(0, len(ids), BLOCK_IDS):  # whole bytes: BLOCK_IDS is a multiple of 8
         part = ids[at:at + BLOCK_IDS].astype(np.uint32)
@@ -62,6 +67,8 @@ def unpack(data: bytes, start: int = 0, count: int | None = None) -> np.ndarray:
         raise ValueError("not a packed id block")
     count = n - start if count is None else min(count, n - start)
     raw = np.frombuffer(data, np.uint8, offset=_HEADER.size)
+    if bits in _WHOLE:
+        return raw.view(_WHOLE[bits])[start:start + count].astype(np.uint32)
     bit = bits * np.arange(start, start + count, dtype=np.int64)
     byte, shift = bit >> 3, (bit & 7).astype(np.uint64)
     word = np.zeros(count, np.uint64)
@@ -95,7 +102,7 @@ def _pack_batches(tokenizer: str, end_id: int, block_ids: int, id_type: pa.DataT
             bits = bits_for(max(code.size, end_id + 1))
             if b.num_rows:
                 shard = b.column(2)[0].as_py()
-            for doc, ids in zip(b.column(0).to_pylist(), code.encode(b.column(1).to_pylist()), strict=True):
+            for doc, ids in zip(b.column(0).to_pylist(), code.encode(b.column(1)), strict=True):
                 docs.append(doc)
                 parts.append(np.append(ids, np.array([end_id], ids.dtype)))
                 held += len(parts[-1])

@@ -134,7 +134,7 @@ def _pack_batches(tokenizer: str, end_id: int, window: int, stretch: int, id_typ
             code = encoder(tokenizer)
             if b.num_rows and sequence == 0 and not docs:
                 sequence = b.column(2)[0].as_py() << SHARD_BITS
-            for doc, ids in zip(b.column(0).to_pylist(), code.encode(b.column(1).to_pylist()), strict=True):
+            for doc, ids in zip(b.column(0).to_pylist(), code.encode(b.column(1)), strict=True):
                 docs.append(doc)
                 parts.append(np.append(ids, np.array([end_id], ids.dtype)))
                 held += len(parts[-1])

@@ -3,10 +3,11 @@
 The byte-level BPE never merges across the start of a blank-led word: where
 every white space of a text is a single blank or line feed between two other
 characters, the text is the concatenation of its pieces `` word`` and
-``\\nword``, and so are its ids. Pieces repeat, so a task keeps their ids (up to
-``CACHE_PIECES``) and encodes only unseen ones: pieces of letters go straight to
-the vocabulary's BPE model, as they are one unit to its pre-tokenizer anyway;
-other pieces and any other text take the whole tokenizer.
+``\\nword``, and so are its ids. Arrow cuts a batch of texts into pieces and
+numbers the distinct ones; a task keeps their ids (up to ``CACHE_PIECES``) and
+encodes only unseen ones: pieces of letters go straight to the vocabulary's BPE
+model, as they are one unit to its pre-tokenizer anyway; other pieces, and
+texts with any other white space, take the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -15,13 +16,20 @@ from array import array
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 TOKENIZER = "byte_bpe_50k.json"
-CACHE_PIECES = 500_000
+CACHE_PIECES = 400_000
 CACHE_CHARS = 16_000_000
-#: White space other than blank and line feed (by any of the libraries' reading).
-_ODD_SPACE = [chr(c) for c in (*range(9, 10), *range(11, 14), *range(28, 32), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B),
-                               0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+#: Bytes of text that are cut and numbered at once.
+SLICE = 4 << 20
+#: Texts that cannot be cut at single blanks and line feeds: other white space
+#: (by any of the libraries' reading), white space side by side or at an end;
+#: also NUL, which marks the first piece of a text.
+_ODD = (r"[\x00\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+        r"|[ \n][ \n]|\A[ \n]|[ \n]\z")
+_FIRST = "\x00"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -66,7 +74,6 @@ class Encoder:
 
     def _forget(self) -> None:
         self.pieces: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
         self.chars = 0
 
     def _raw(self, texts: list[str]) -> list[bytes]:
@@ -80,7 +87,7 @@ class Encoder:
         ids = array(self.code, [t.id for t in self.model.tokenize(written)]).tobytes()
         return ids if lead else self.feed + ids
 
-    def _learn(self, missing: set[str]) -> None:
+    def _learn(self, missing: list[str]) -> None:
         """Remember the ids of unseen pieces. A mark after a letter is a token
         of its own, so ``word.`` is learned as ``word`` and the mark."""
         pieces, whole = self.pieces, []
@@ -93,39 +100,46 @@ class Encoder:
                     pieces[w] = ids + self.marks[w[-1]]
             else:
                 whole.append(w)
-        pieces.update(zip(whole, self._raw([w if w[0] == "\n" else " " + w for w in whole]), strict=True))
+        written = [w[1:] if w[0] == _FIRST else w if w[0] == "\n" else " " + w for w in whole]
+        pieces.update(zip(whole, self._raw(written), strict=True))
         self.chars += sum(map(len, missing))
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text; a null text has none."""
+    def _slice(self, texts: pa.Array) -> list[np.ndarray]:
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, _ODD)
+        marked = pc.binary_join_element_wise(_FIRST, pc.if_else(odd, "", texts), "")
+        lists = pc.split_pattern(pc.replace_substring(marked, "\n", " \n"), " ")
+        numbered = lists.values.dictionary_encode()
+        words = numbered.dictionary.to_pylist()
         if len(self.pieces) > CACHE_PIECES or self.chars > CACHE_CHARS:
             self._forget()
-        get, found, missing = self.pieces.get, [], set()
-        for t in texts:
-            if not t or any(c in t for c in _ODD_SPACE):
-                found.append(None)
-                continue
-            first, *words = t.replace("\n", " \n").split(" ")
-            ids = list(map(get, words))
-            if None in ids:
-                new = {a for a, b in zip(words, ids, strict=True) if b is None}
-                if "" in new or "\n" in new or not first:  # white space side by side
-                    found.append(None)
-                    continue
-                missing |= new
-            found.append((first, words, ids) if first else None)
+        ids = list(map(self.pieces.get, words))
+        missing = [w for w, x in zip(words, ids, strict=True) if x is None]
         if missing:
             self._learn(missing)
-        new = sorted({f[0] for f in found if f and f[0] not in self.first})
-        self.first.update(zip(new, self._raw(new), strict=True))
-        out = []
-        for t, f in zip(texts, found, strict=True):
-            if f:
-                first, words, ids = f
-                raw = self.first[first] + b"".join(map(self.pieces.__getitem__, words) if None in ids else ids)
-            else:
-                raw = self._raw([t])[0] if t else b""
-            out.append(np.frombuffer(raw, self.dtype))
+            ids = list(map(self.pieces.__getitem__, words))
+        pool = np.frombuffer(b"".join(ids), self.dtype)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        begin = np.cumsum(size) - size
+        at = numbered.indices.to_numpy()
+        n = size[at]
+        upto = np.append(0, np.cumsum(n))
+        flat = pool[np.repeat(begin[at] - upto[:-1], n) + np.arange(upto[-1])]
+        ends = upto[lists.offsets.to_numpy()]
+        out = [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = np.frombuffer(self._raw([texts[i].as_py()])[0], self.dtype)
+        return out
+
+    def encode(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
+        """Ids of each text; a null text has none."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        out, at = [], 0
+        while at < len(texts):  # slices of about SLICE bytes, one text at least
+            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + SLICE, "right")))
+            out += self._slice(texts.slice(at, end - at))
+            at = end
         return out
 
 

@@ -11,7 +11,7 @@ from fillbook.llm.tokens import Encoder, tokenizer_path
 from fillbook.session import scratch_path
 
 
-@pytest.mark.parametrize("bits", [1, 3, 8, 11, 16, 17, 24, 31])
+@pytest.mark.parametrize("bits", [1, 3, 8, 11, 15, 16, 17, 24, 31, 32])
 def test_round_trip(bits):
     r = np.random.default_rng(bits)
     for n in (0, 1, 7, 1000, (1 << 16) + 5):
