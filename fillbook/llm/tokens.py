@@ -4,8 +4,8 @@ The byte-level BPE never merges across the start of a blank-led word: where
 every white space of a text is a single blank or line feed between two other
 characters, the text is the concatenation of its pieces `` word`` and
 ``\\nword``, and so are its ids. Arrow cuts a batch of texts into pieces and
-numbers the distinct ones; a task keeps their ids (up to ``CACHE_PIECES``) and
-encodes only unseen ones: pieces of letters go straight to the vocabulary's BPE
+numbers the distinct ones; a task keeps the ids of those seen lately (two
+generations of ``GENERATION``) and encodes only the others: pieces of letters go straight to the vocabulary's BPE
 model, as they are one unit to its pre-tokenizer anyway; other pieces, and
 texts with any other white space, take the whole tokenizer.
 """
@@ -20,8 +20,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 TOKENIZER = "byte_bpe_50k.json"
-CACHE_PIECES = 400_000
-CACHE_CHARS = 16_000_000
+GENERATION = 500_000
+#: Pieces longer than this are not kept.
+LONGEST = 64
 #: Bytes of text that are cut and numbered at once.
 SLICE = 4 << 20
 #: Texts that cannot be cut at single blanks and line feeds: other white space
@@ -70,11 +71,8 @@ class Encoder:
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.feed = self._raw(["\n"])[0]
         self.marks = {c: self._raw([c])[0] for c in ".,"}
-        self._forget()
-
-    def _forget(self) -> None:
         self.pieces: dict[str, bytes] = {}
-        self.chars = 0
+        self.older: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -87,22 +85,27 @@ class Encoder:
         ids = array(self.code, [t.id for t in self.model.tokenize(written)]).tobytes()
         return ids if lead else self.feed + ids
 
-    def _learn(self, missing: list[str]) -> None:
-        """Remember the ids of unseen pieces. A mark after a letter is a token
-        of its own, so ``word.`` is learned as ``word`` and the mark."""
-        pieces, whole = self.pieces, []
+    def _learn(self, missing: list[str]) -> dict[str, bytes]:
+        """Ids of pieces that the young generation lacks. A mark after a letter
+        is a token of its own, so ``word.`` is ``word`` and the mark."""
+        old, pieces, found, whole = self.older.get, self.pieces, {}, []
         for w in missing:
-            stem = w[:-1] if w[-1] in self.marks and len(w) > 1 and w[-2].isalpha() else w
-            if stem.isalpha() or stem[0] == "\n" and stem[1:].isalpha():
-                ids = pieces.get(stem) or self._letters(stem)
-                pieces[stem] = ids
-                if stem is not w:
-                    pieces[w] = ids + self.marks[w[-1]]
-            else:
-                whole.append(w)
+            ids = old(w)
+            if ids is None:
+                stem = w[:-1] if w[-1] in self.marks and len(w) > 1 and w[-2].isalpha() else w
+                if stem.isalpha() or stem[0] == "\n" and stem[1:].isalpha():
+                    ids = pieces.get(stem) or old(stem) or self._letters(stem)
+                    if stem is not w:
+                        pieces[stem] = ids
+                        ids += self.marks[w[-1]]
+                else:
+                    whole.append(w)
+                    continue
+            found[w] = ids
         written = [w[1:] if w[0] == _FIRST else w if w[0] == "\n" else " " + w for w in whole]
-        pieces.update(zip(whole, self._raw(written), strict=True))
-        self.chars += sum(map(len, missing))
+        found.update(zip(whole, self._raw(written), strict=True))
+        pieces.update([(w, x) for w, x in found.items() if len(w) <= LONGEST])
+        return found
 
     def _slice(self, texts: pa.Array) -> list[np.ndarray]:
         texts = pc.fill_null(texts, "")
@@ -110,14 +113,14 @@ class Encoder:
         marked = pc.binary_join_element_wise(_FIRST, pc.if_else(odd, "", texts), "")
         lists = pc.split_pattern(pc.replace_substring(marked, "\n", " \n"), " ")
         numbered = lists.values.dictionary_encode()
-        words = numbered.dictionary.to_pylist()
-        if len(self.pieces) > CACHE_PIECES or self.chars > CACHE_CHARS:
-            self._forget()
+        words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.pieces) > GENERATION:
+            self.pieces, self.older = {}, self.pieces
         ids = list(map(self.pieces.get, words))
         missing = [w for w, x in zip(words, ids, strict=True) if x is None]
         if missing:
-            self._learn(missing)
-            ids = list(map(self.pieces.__getitem__, words))
+            found = self._learn(missing)
+            ids = [found[w] if x is None else x for w, x in zip(words, ids, strict=True)]
         pool = np.frombuffer(b"".join(ids), self.dtype)
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
         begin = np.cumsum(size) - size
