@@ -24,7 +24,7 @@ GENERATION = 500_000
 #: Pieces longer than this are not kept.
 LONGEST = 64
 #: Bytes of text that are cut and numbered at once.
-SLICE = 4 << 20
+SLICE = 8 << 20
 #: Texts that cannot be cut at single blanks and line feeds: other white space
 #: (by any of the libraries' reading), white space side by side or at an end;
 #: also NUL, which marks the first piece of a text.
@@ -104,7 +104,11 @@ class Encoder:
             found[w] = ids
         written = [w[1:] if w[0] == _FIRST else w if w[0] == "\n" else " " + w for w in whole]
         found.update(zip(whole, self._raw(written), strict=True))
-        pieces.update([(w, x) for w, x in found.items() if len(w) <= LONGEST])
+        pieces.update(found)
+        for w in missing:
+            if len(w) > LONGEST:
+                pieces.pop(w, None)
+                pieces.pop(w[:-1], None)
         return found
 
     def _slice(self, texts: pa.Array) -> list[np.ndarray]:
