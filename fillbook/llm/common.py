@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fillbook.session import ensure_checkpoint_dir, ensure_utc, scratch_path, ship_package
 
@@ -50,6 +51,24 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_CLASS + "+")), F.lit(0)).cast("long")
 
 
+def seeded_sample(rows: DataFrame, key: str, size: int, seed: int, by: str | None = None) -> DataFrame:
+    """The ``size`` rows of smallest seeded hash of ``key`` (of each ``by``).
+
+    Rows far above the expected cut are left out before anything is ordered, so
+    what is ordered holds about twice the sample however many rows there are.
+    A sample can be a little short only where twice its size is expected to pass.
+    """
+    place = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    rows = rows.withColumn("_place", place)
+    if by is None:
+        low = rows.where(F.col("_place") * max(rows.count(), 1) < 2 * size)
+        return low.orderBy("_place", key).limit(size).drop("_place")
+    counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_count"))
+    low = rows.join(counts, by).where(F.col("_place") * F.col("_count") < 2 * size)
+    rank = F.row_number().over(Window.partitionBy(by).orderBy("_place", key))
+    return low.withColumn("_rank", rank).where(F.col("_rank") <= size).drop("_rank", "_place", "_count")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 

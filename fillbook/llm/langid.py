@@ -24,9 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from fillbook.llm.common import register, table
+from fillbook.llm.common import register, seeded_sample, table
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -206,8 +205,8 @@ class LanguageModel:
         of the sampled texts reach the driver.
         """
         ids = docs.where(learn & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-        rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id", F.lit(SEED)), "id"))
-        chosen = ids.withColumn("rank", rank).where(F.col("rank") <= docs_per_lang).select("id").distinct()
+        # Bounded by docs_per_lang for each language, so small enough to broadcast.
+        chosen = F.broadcast(seeded_sample(ids, "id", docs_per_lang, SEED, by="lang").select("id").distinct())
         rows = docs.where(learn & F.col(lang_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
         got = rows.join(chosen, "id", "left_semi").mapInArrow(_window_batches, "lang string, id bigint, at bigint, window binary").distinct().collect()
         got.sort(key=lambda x: (x.lang, x.id, x.at, bytes(x.window)))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fillbook.llm.common import register, table, write_read
+from fillbook.llm.common import register, seeded_sample, table, write_read
 from fillbook.llm.langid import held_out
 
 #: The bound of the training sample, and of the features kept.
@@ -141,7 +141,7 @@ class ToxicityModel:
         condition on ``doc_id``) holds."""
         marked = labels.where(learn & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         marked = marked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-        chosen = marked.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(sample)
+        chosen = F.broadcast(seeded_sample(marked, "doc_id", sample, SEED))  # at most ``sample`` small rows
         texts = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "toxic", "text")
         kind = docs.schema["doc_id"].dataType.simpleString()
         rows = write_read(texts.mapInArrow(_words_batch, f"id {kind}, toxic int, words array<string>, swaps array<array<array<string>>>"), "toxicity")
