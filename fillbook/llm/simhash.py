@@ -212,8 +212,10 @@ def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
     A null ``doc_id`` counts as one id; of rows that share an id one stays.
     """
     found = simhash_components(docs, **how)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_keep"]), "left_semi").dropDuplicates(["doc_id"])
+    # One plain key for both steps, so that the texts are shuffled once.
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias("_key")).distinct()
+    return docs.withColumn("_key", key).join(keep, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
 
 
 @register("op8_simhash")
