@@ -28,11 +28,6 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def strip_0x(c) -> Column:
-    s = _c(c)
-    return F.when(F.startswith(s, F.lit("0x")), F.substring(s, 3, 1 << 30)).otherwise(s)
-
-
 def hex_word(data, k: int) -> Column:
     """k-th 32-byte word (64 hex chars) of an ABI payload, with or without
     ``0x``: one substring at a computed offset (no copy of the payload)."""
@@ -68,10 +63,16 @@ def uint256_decimal_sql(word) -> Column:
 
 
 def uint_small(word) -> Column:
-    """A 64-hex-char uint256 word known to fit 63 bits -> BIGINT (null if not)."""
+    """A 64-hex-char uint256 word that must fit 63 bits -> BIGINT.
+
+    A larger value is an error, as a wrong or missing amount would pass unseen;
+    a null word is null.
+    """
     w = _c(word)
     fits = F.startswith(w, F.lit("0" * 48)) & (F.substr(w, F.lit(49), F.lit(1)) < F.lit("8"))
-    return F.when(fits, F.conv(F.substr(w, F.lit(49), F.lit(16)), 16, 10).cast("bigint"))
+    value = F.conv(F.substr(w, F.lit(49), F.lit(16)), 16, 10).cast("bigint")
+    too_large = F.raise_error(F.concat(F.lit("amount above 63 bits: 0x"), w)).cast("bigint")
+    return F.when(fits, value).when(~fits, too_large)
 
 
 def hex_or_dec_int(c) -> Column:

@@ -1,8 +1,9 @@
-"""Per-fill labelling expressions.
+"""What one fill says: who paid collateral, which leg is cash, and the price.
 
-The asset id ``'0'`` is the collateral (USDC); any other id is an outcome token.
-Null conditions fall through to ``otherwise`` exactly like the original
-three-valued logic, which the semantics below depend on.
+Asset id ``'0'`` is the collateral; any other id is an outcome token. All labels
+follow from one nullable flag, ``taker_pays``: true when the taker gave
+collateral, false when the maker did and the token's market is known, null when
+the token's market is unknown. A null flag takes the ``otherwise`` branch.
 """
 
 from __future__ import annotations
@@ -10,57 +11,48 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The collateral's id and label, decimals of both legs.
 USDC_ID = "0"
 USDC = "USDC"
-AMOUNT_SCALE = 1e6  # 6 decimals for both USDC and outcome tokens
+AMOUNT_SCALE = 1e6
 
 
-def nonusdc_asset_id(maker_asset="makerAssetId", taker_asset="takerAssetId") -> Column:
-    return F.when(F.col(maker_asset) != USDC_ID, F.col(maker_asset)).otherwise(F.col(taker_asset))
+def taker_pays(side: str = "side", taker_id: str = "takerAssetId") -> Column:
+    """The flag all labels follow from."""
+    return F.when(F.col(taker_id) == USDC_ID, True).when(F.col(side).isNotNull(), False)
 
 
-def asset_label(asset_id: str, side: str = "side") -> Column:
-    return F.when(F.col(asset_id) == USDC_ID, F.lit(USDC)).otherwise(F.col(side))
-
-
-def amount_scale(c: str) -> Column:
-    return F.col(c) / F.lit(AMOUNT_SCALE)
-
-
-def taker_direction(taker_asset: str = "takerAsset") -> Column:
-    return F.when(F.col(taker_asset) == USDC, F.lit("BUY")).otherwise(F.lit("SELL"))
-
+def nonusdc_asset_id(maker_id: str = "makerAssetId", taker_id: str = "takerAssetId") -> Column:
+    """The outcome token of a fill: the maker's asset unless that is collateral (or null)."""
+    return F.coalesce(F.nullif(F.col(maker_id), F.lit(USDC_ID)), F.col(taker_id))
 
-def maker_direction(taker_asset: str = "takerAsset") -> Column:
-    return F.when(F.col(taker_asset) == USDC, F.lit("SELL")).otherwise(F.lit("BUY"))
 
-
-def nonusdc_side(maker_asset_id="makerAssetId", maker_asset="makerAsset",
-                 taker_asset="takerAsset") -> Column:
-    return F.when(F.col(maker_asset_id) == USDC_ID, F.col(taker_asset)).otherwise(F.col(maker_asset))
-
-
-def usd_amount(taker_asset="takerAsset", maker_amt="makerAmountFilled",
-               taker_amt="takerAmountFilled") -> Column:
-    return F.when(F.col(taker_asset) == USDC, F.col(taker_amt)).otherwise(F.col(maker_amt))
-
-
-def token_amount(taker_asset="takerAsset", maker_amt="makerAmountFilled",
-                 taker_amt="takerAmountFilled", strict: bool = False,
-                 maker_asset_id="makerAssetId", taker_asset_id="takerAssetId") -> Column:
-    """Token leg. Default keeps the original quirk: with an unknown market and
-    the maker paying USDC the test is null and the USD leg is returned.
-    ``strict=True`` decides from the raw ids instead."""
-    if strict:
-        return F.when(F.col(taker_asset_id) != USDC_ID, F.col(taker_amt)).otherwise(F.col(maker_amt))
-    return F.when(F.col(taker_asset) != USDC, F.col(taker_amt)).otherwise(F.col(maker_amt))
+def asset_label(asset_id: str, side: str = "side") -> Column:
+    """The collateral's label, or the market side of the token (null: unknown)."""
+    return F.expr(f"if({asset_id} <=> '{USDC_ID}', '{USDC}', {side})")
 
 
-def trade_price(taker_asset="takerAsset", maker_amt="makerAmountFilled",
-                taker_amt="takerAmountFilled") -> Column:
-    """USD leg / token leg. A zero denominator gives null (not inf/NaN)."""
-    return F.when(F.col(taker_asset) == USDC, F.try_divide(F.col(taker_amt), F.col(maker_amt))) \
-        .otherwise(F.try_divide(F.col(maker_amt), F.col(taker_amt))).cast("double")
+def amount_scale(c: str) -> Column:
+    return F.col(c) / AMOUNT_SCALE
+
+
+def fill_labels(flag: Column, maker_amount: Column, taker_amount: Column, strict: bool = False) -> dict[str, Column]:
+    """Directions, legs and price from the flag and the two scaled amounts.
+
+    The token leg keeps a quirk of the data model: with an unknown market and
+    the maker paying, it repeats the cash leg. ``strict=True`` gives the token leg.
+    A zero denominator gives a null price.
+    """
+    def by_flag(paid, otherwise) -> Column:
+        return F.when(flag, paid).otherwise(otherwise)
+    cash, token = by_flag(taker_amount, maker_amount), by_flag(maker_amount, taker_amount)
+    return {
+        "maker_direction": by_flag("SELL", "BUY"),
+        "taker_direction": by_flag("BUY", "SELL"),
+        "price": F.try_divide(cash, token).cast("double"),
+        "usd_amount": cash,
+        "token_amount": token if strict else F.when(~flag, taker_amount).otherwise(maker_amount),
+    }
 
 
 def epoch_to_ts(c) -> Column:

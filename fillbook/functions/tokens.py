@@ -11,18 +11,16 @@ def _c(c) -> Column:
 
 
 def token_pair(clob_token_ids) -> tuple[Column, Column]:
-    """JSON-array text -> (token1, token2).
+    """JSON-array text -> (token1, token2); absent or blank ones are null.
 
-    Brackets, quotes and whitespace are stripped, the rest split on commas.
-    Blank, null, short or malformed input gives nulls; it never raises.
+    The text is parsed as a JSON array. Text that is no JSON array is read by
+    one rule: its ids are the runs of characters other than brackets, quotes,
+    commas and white space. Nothing raises.
     """
-    parts = F.split(F.regexp_replace(_c(clob_token_ids), r'[\[\]"\s]', ""), ",")
-
-    def nth(i: int) -> Column:
-        v = F.get(parts, i)
-        return F.when(F.length(v) > 0, v)
-
-    return nth(0), nth(1)
+    text = _c(clob_token_ids)
+    ids = F.coalesce(F.from_json(text, "array<string>"), F.regexp_extract_all(text, F.lit(r'[^\[\]",\s]+'), 0))
+    first, second = (F.nullif(F.trim(F.get(ids, i)), F.lit("")) for i in range(2))
+    return first, second
 
 
 def token_ids_from_struct(tokens) -> Column:
@@ -44,21 +42,19 @@ def json_string_array(ids) -> Column:
                   F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))).otherwise(F.lit(""))
 
 
-# Placeholder for escaped quotes while separators are rewritten (a control
-# character that JSON text from to_json never contains unescaped).
-_QUOTE_MARK = "\u0001"
-
-
 def python_json_layout(json_text) -> Column:
     """Compact JSON (Spark's ``to_json``) -> Python ``json.dumps`` layout:
     a space after every ',' and ':' that is outside string literals.
 
-    Escaped quotes are masked first; a separator is outside strings when an
-    even number of quotes follows it.
+    The text is cut at its quotes, in one pass; every other part lies outside
+    literals. Escaped backslashes and quotes are masked first, by control
+    characters that ``to_json`` itself only writes escaped.
     """
-    t = F.replace(_c(json_text), F.lit('\\"'), F.lit(_QUOTE_MARK))
-    t = F.regexp_replace(t, '([,:])(?=(?:[^"]*"[^"]*")*[^"]*$)', "$1 ")
-    return F.replace(t, F.lit(_QUOTE_MARK), F.lit('\\"'))
+    t = F.replace(F.replace(_c(json_text), F.lit("\\\\"), F.lit("\u0001")), F.lit('\\"'), F.lit("\u0002"))
+    spaced = F.transform(F.split(t, '"'), lambda part, i: F.when(
+        i % 2 == 0, F.replace(F.replace(part, F.lit(","), F.lit(", ")), F.lit(":"), F.lit(": "))).otherwise(part))
+    t = F.array_join(spaced, '"')
+    return F.replace(F.replace(t, F.lit("\u0002"), F.lit('\\"')), F.lit("\u0001"), F.lit("\\\\"))
 
 
 def flatten_cell(c, dtype: str = "string") -> Column:
@@ -70,23 +66,17 @@ def flatten_cell(c, dtype: str = "string") -> Column:
     if dtype == "boolean":
         text = F.when(col, F.lit("True")).when(~col, F.lit("False"))
     elif dtype.startswith(("struct", "array", "map")):
-        text = python_json_layout(F.to_json(col))
+        text = python_json_layout(F.to_json(col, {"ignoreNullFields": "false"}))
     else:
         text = col.cast("string")
     return F.coalesce(text, F.lit(""))
 
 
-def flatten_nested_cell(c) -> Column:
-    """Struct/array/map cell -> JSON text (Spark omits the space after commas)."""
-    return F.coalesce(F.to_json(_c(c)), F.lit(""))
-
-
 def market_id_coalesce(condition_id, market_id) -> Column:
-    """First non-blank of ``conditionId`` and ``id`` (as text), else ''.
+    """``conditionId`` or else ``id`` as text; null and blank count as absent; '' if both are.
 
-    Pass numeric ids through ``nullif(c, 0)`` first if 0 must count as absent.
+    The text ``"0"`` is an id; a numeric column passes its zeros as null.
     """
-    def truthy(c):
-        s = _c(c).cast("string")
-        return F.when(s != "", s)
-    return F.coalesce(truthy(condition_id), truthy(market_id), F.lit(""))
+    def present(c):
+        return F.nullif(_c(c).cast("string"), F.lit(""))
+    return F.coalesce(present(condition_id), present(market_id), F.lit(""))

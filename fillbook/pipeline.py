@@ -58,10 +58,10 @@ def update_markets(spark: SparkSession, root: str) -> int:
 
 def update_chain(spark: SparkSession, root: str, contract: str, topic0: str) -> None:
     """Decode every landed log not yet processed (checkpointed stream)."""
-    blocks = C.read_blocks(spark, f"{root}/landing/blocks")
-    q = J.stream_fills(spark, f"{root}/landing/logs", blocks, contract, topic0,
-                       f"{root}/data/order_filled", _ckpt(root, "chain"))
-    J.run_to_end(q)
+    blocks = lambda: C.read_blocks(spark, f"{root}/landing/blocks")
+    out = f"{root}/data/order_filled"
+    J.run_to_end(J.stream_fills(spark, f"{root}/landing/logs", blocks, contract, topic0, out, _ckpt(root, "chain")))
+    J.release_pending(spark, blocks, out)
 
 
 def process(spark: SparkSession, root: str) -> None:
@@ -75,9 +75,9 @@ def process(spark: SparkSession, root: str) -> None:
             frames.append(spark.read.parquet(f"{root}/data/missing_markets"))
         return load_markets(frames, lean=True)
 
-    stream = spark.readStream.schema(schema).parquet(fills_path).select(*C.FILL_COLUMNS)
+    stream = spark.readStream.schema(schema).parquet(fills_path).select(*C.FILL_COLUMNS, *J.FILL_ID)
     q = J.stream_label(spark, stream, markets, f"{root}/processed/trades", _ckpt(root, "process"),
-                       missing_path=f"{root}/processed/missing_tokens")
+                       missing_path=f"{root}/processed/missing_tokens", identity=J.FILL_ID)
     J.run_to_end(q)
 
 

@@ -211,7 +211,7 @@ def q_token_ids_extract(spark, sf):
 @register("json_flatten_cell", f"""WITH {PAGES_SQL}
 select condition_id, case when k % 13 = 0 then '' else
   '[{{"token_id": "' || cast(2*k+1 as varchar) || '", "outcome": "Yes"}}, {{"token_id": "' || cast(2*k+2 as varchar)
-  || '", "outcome": "No"}}, {{"outcome": "x"}}]' end as tokens_json
+  || '", "outcome": "No"}}, {{"token_id": null, "outcome": "x"}}]' end as tokens_json
 from pm where condition_id is not null and condition_id <> ''""")
 def q_json_flatten_cell(spark, sf):
     rows = _pages(spark, sf).select("page_offset", F.posexplode("data").alias("pos", "m"))

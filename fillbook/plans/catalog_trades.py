@@ -194,13 +194,11 @@ select transactionHash,
 from s""")
 def q_usd_token_amount(spark, sf):
     j = LB.join_fills_markets(X.fx_order_filled(spark, sf), _markets(spark, sf))
-    s = j.select("transactionHash", "makerAssetId", "takerAssetId",
-                 L.asset_label("takerAssetId").alias("takerAsset"),
-                 L.amount_scale("makerAmountFilled").alias("makerAmountFilled"),
-                 L.amount_scale("takerAmountFilled").alias("takerAmountFilled"))
-    return s.select("transactionHash", L.usd_amount().alias("usd_amount"),
-                    L.token_amount().alias("token_amount"),
-                    L.token_amount(strict=True).alias("token_amount_strict"))
+    amounts = L.amount_scale("makerAmountFilled"), L.amount_scale("takerAmountFilled")
+    made = [L.fill_labels(L.taker_pays(), *amounts, strict=strict) for strict in (False, True)]
+    return j.select("transactionHash", made[0]["usd_amount"].alias("usd_amount"),
+                    made[0]["token_amount"].alias("token_amount"),
+                    F.when(F.col("takerAssetId") != L.USDC_ID, amounts[1]).otherwise(amounts[0]).alias("token_amount_strict"))
 
 
 @register("trade_price", f"""WITH {trades_with()}
@@ -239,7 +237,7 @@ def q_missing_tokens(spark, sf):
 select asset_id from traded except select asset_id from lng""")
 def q_token_except(spark, sf):
     traded = LB.traded_tokens(X.fx_order_filled(spark, sf))
-    return traded.exceptAll(LB.known_tokens(_markets(spark, sf))).distinct()
+    return traded.subtract(LB.known_tokens(_markets(spark, sf)))
 
 
 @register("sort_text_ids", f"""WITH {fx("fx_order_filled")}, {TRADED}

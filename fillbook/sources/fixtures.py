@@ -139,10 +139,7 @@ def fx_raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         F.when(F.col("l_orderkey") % 2 == 0, F.concat(F.lit("0x"), F.lower(F.hex(block))))
         .otherwise(block.cast("string")).alias("block_number"),
-        # lineitem has no unique key: identify the log by every column that varies.
-        (F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                    "l_extendedprice", "l_linestatus", "l_shipdate")
-         .bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))).alias("log_index"),
+        _log_index().alias("log_index"),
         F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("0x"), h)).otherwise(h)
         .alias("transaction_hash"),
         F.when(F.col("l_orderkey") % 50 == 0, F.lit(FX_OTHER_CONTRACT)).otherwise(F.lit(FX_CONTRACT))
@@ -197,7 +194,21 @@ def fx_order_filled_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fills_from(read_table(spark, sf_dir, "lineitem", heavy=True), with_seq=True)
 
 
-def _fills_from(li: DataFrame, with_seq: bool) -> DataFrame:
+def fx_order_filled_identified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_order_filled`` plus the identity of each fill, (block_number, log_index)."""
+    li = read_table(spark, sf_dir, "lineitem")
+    block = F.floor((_epoch(F.col("l_shipdate")) + (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11) % 86400) / 2)
+    li = li.withColumns({"block_number": block.cast("bigint"), "log_index": _log_index()})
+    return _fills_from(li, with_seq=False, extra=("block_number", "log_index"))
+
+
+def _log_index() -> Column:
+    """lineitem has no unique key: a log is identified by every column that varies."""
+    return F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                      "l_extendedprice", "l_linestatus", "l_shipdate").bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
+
+
+def _fills_from(li: DataFrame, with_seq: bool, extra: tuple[str, ...] = ()) -> DataFrame:
     is_o = F.col("l_linestatus") == "O"
     token = (2 * F.col("l_partkey") + 1 + F.col("l_linenumber") % 2).cast("string")
     usd = F.round(F.col("l_extendedprice") * 100).cast("bigint")
@@ -206,7 +217,7 @@ def _fills_from(li: DataFrame, with_seq: bool) -> DataFrame:
                              ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
     seq = [(F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ingest_seq")] if with_seq else []
     return li.select(
-        *seq,
+        *seq, *extra,
         (_epoch(F.col("l_shipdate"))
          + (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11) % 86400).alias("timestamp"),
         F.concat(F.lit("0xa"), F.col("l_suppkey").cast("string")).alias("maker"),

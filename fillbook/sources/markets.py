@@ -124,7 +124,7 @@ def markets_from_pages(pages: DataFrame) -> DataFrame:
         F.col("condition_id").alias("id"),
         json_string_array(ids).alias("clobTokenIds"),
         F.col("condition_id"),
-        F.coalesce(python_json_layout(F.to_json("tokens")), F.lit("")).alias("tokens"),
+        F.coalesce(python_json_layout(F.to_json("tokens", {"ignoreNullFields": "false"})), F.lit("")).alias("tokens"),
         F.coalesce(F.col("question"), F.lit("")).alias("question"),
         F.coalesce(F.col("market_slug"), F.lit("")).alias("market_slug"),
         F.col("closed"),

@@ -1,75 +1,71 @@
-"""Raw log decode: side mapping, addresses, prefixes, block numbers, uint256."""
+"""Raw log decode: random records written as logs and read back."""
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from fillbook.functions import hexcodec as H
 from fillbook.functions.labels import epoch_to_text
 from fillbook.sources import chain as C
 
-CONTRACT = "0x" + "11" * 20
-TOPIC = "0x" + "22" * 32
+CONTRACT, TOPIC = "0x" + "5a" * 20, "0x" + "7c" * 32
 
 
 def _word(n):
     return format(n, "064x")
 
 
-def _log(side, token, maker_amt, taker_amt, maker="aa" * 20, taker="bb" * 20,
-         block="100", tx="0x" + "cd" * 32, log_index=0):
-    data = "0x" + "".join(_word(x) for x in (side, token, maker_amt, taker_amt, 0, 0, 0))
-    return (block, log_index, tx, CONTRACT,
-            [TOPIC, "0x" + "ee" * 32, "0x" + "00" * 12 + maker, "0x" + "00" * 12 + taker], data)
+def records(r, n):
+    """Random fills: what a log says, before it is written as one."""
+    return [dict(block=r.randrange(1, 500), index=i, maker=r.getrandbits(160), taker=r.getrandbits(160), side=r.randrange(2),
+                 token=r.getrandbits(r.choice([8, 64, 250])), amounts=(r.getrandbits(62), r.getrandbits(40)),
+                 hash=r.getrandbits(256), style=r.randrange(8)) for i in range(n)]
 
 
-def _decode(spark, logs, blocks=((100, 1_700_000_000),)):
-    lg = spark.createDataFrame(logs, C.RAW_LOG)
-    bl = spark.createDataFrame(list(blocks), C.RAW_BLOCK)
-    return C.logs_to_fills(lg, bl, CONTRACT, TOPIC, head=10**9).collect()
+def as_log(x):
+    """The event's fixed layout: four topics, then words; several spellings of numbers and case."""
+    hexed = lambda n, width: (str.upper if x["style"] & 1 else str.lower)(format(n, f"0{width}x"))
+    words = (x["side"], x["token"], *x["amounts"], 0, 0, 0)
+    return (hex(x["block"]) if x["style"] & 2 else str(x["block"]), x["index"], ("0x" if x["style"] & 4 else "") + format(x["hash"], "064x"), CONTRACT,
+            [TOPIC, "0x" + _word(1), "0x" + "0" * 24 + hexed(x["maker"], 40), "0x" + "0" * 24 + hexed(x["taker"], 40)],
+            "0x" + "".join(map(_word, words)))
 
 
-def test_maker_buys_side0(spark):
-    r = _decode(spark, [_log(0, 12345, 3_400_000, 5_000_000)])[0]
-    assert r.timestamp == 1_700_000_000
-    assert r.maker == "0x" + "aa" * 20 and r.taker == "0x" + "bb" * 20
-    assert (r.makerAssetId, r.takerAssetId) == ("0", "12345")
-    assert (r.makerAmountFilled, r.takerAmountFilled) == (3_400_000, 5_000_000)
-    assert r.transactionHash == "0x" + "cd" * 32
+def as_fill(x):
+    assets = ("0", str(x["token"])) if x["side"] == 0 else (str(x["token"]), "0")
+    address = lambda n: "0x" + format(n, "040x")
+    return (2 * x["block"], address(x["maker"]), assets[0], x["amounts"][0], address(x["taker"]), assets[1], x["amounts"][1], "0x" + format(x["hash"], "064x"))
 
 
-def test_maker_sells_side1(spark):
-    r = _decode(spark, [_log(1, 999, 5_000_000, 3_400_000)])[0]
-    assert (r.makerAssetId, r.takerAssetId) == ("999", "0")
+def decode(spark, logs, blocks, head=10**9):
+    return C.logs_to_fills(spark.createDataFrame(logs, C.RAW_LOG), spark.createDataFrame(blocks, C.RAW_BLOCK), CONTRACT, TOPIC, head=head)
 
 
-def test_addresses_lowercased(spark):
-    r = _decode(spark, [_log(0, 1, 1, 1, maker="AB" * 20, taker="CD" * 20)])[0]
-    assert r.maker == "0x" + "ab" * 20 and r.taker == "0x" + "cd" * 20
+HEADERS = [(n, 2 * n) for n in range(1, 500)]
 
 
-def test_txhash_gets_prefix(spark):
-    assert _decode(spark, [_log(0, 1, 1, 1, tx="ef" * 32)])[0].transactionHash == "0x" + "ef" * 32
+def test_logs_read_back(spark):
+    rows = records(random.Random(5), 200)
+    logs = [as_log(x) for x in rows]
+    strangers = [(*logs[0][:3], "0x" + "99" * 20, *logs[0][4:]), (*logs[1][:4], ["0x" + "33" * 32, *logs[1][4][1:]], logs[1][5])]
+    got = decode(spark, logs + strangers, HEADERS).collect()
+    assert sorted(map(tuple, got)) == sorted(map(as_fill, rows))
 
 
-def test_block_number_as_hex(spark):
-    r = _decode(spark, [_log(0, 1, 1, 1, block="0x64")], blocks=((100, 1234),))[0]
-    assert r.timestamp == 1234
+def test_held_back_blocks(spark):
+    rows = [dict(x, block=b) for x, b in zip(records(random.Random(6), 3), (100, 180, 181), strict=True)]
+    lg = spark.createDataFrame([as_log(x) for x in rows], C.RAW_LOG)
+    kept = C.filter_reorg_buffer(lg, blocks=spark.createDataFrame([(150, 1), (200, 4)], C.RAW_BLOCK))
+    assert sorted(x.block_number for x in kept.collect()) == [100, 180]
 
 
-def test_other_event_and_contract_dropped(spark):
-    other = list(_log(0, 1, 1, 1))
-    other[3] = "0x" + "99" * 20
-    wrong_topic = list(_log(0, 1, 1, 1))
-    wrong_topic[4] = ["0x" + "33" * 32] + wrong_topic[4][1:]
-    assert _decode(spark, [tuple(other), tuple(wrong_topic)]) == []
-
-
-def test_reorg_buffer(spark):
-    lg = spark.createDataFrame([_log(0, 1, 1, 1, block=str(b)) for b in (100, 180, 181)], C.RAW_LOG)
-    bl = spark.createDataFrame([(100, 1), (180, 2), (181, 3), (200, 4)], C.RAW_BLOCK)
-    kept = C.filter_reorg_buffer(lg, blocks=bl).select("block_number").collect()
-    assert sorted(r[0] for r in kept) == [100, 180]
+def test_a_missing_header_and_a_large_amount_are_errors(spark):
+    one = records(random.Random(7), 1)[0]
+    with pytest.raises(Exception, match="no header for block"):
+        decode(spark, [as_log(one)], [(one["block"] + 1, 5)]).collect()
+    with pytest.raises(Exception, match="above 63 bits"):
+        decode(spark, [as_log(dict(one, amounts=(2**63 + 1, 1)))], HEADERS).collect()
 
 
 def test_uint256_both_decoders_exact(spark):

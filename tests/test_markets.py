@@ -12,20 +12,20 @@ def test_pages_json_roundtrip(spark):
     d = tempfile.mkdtemp(prefix="pages-")
     pages = [
         {"page_offset": 0, "data": [
-            {"condition_id": "0xabc", "tokens": [{"token_id": "1"}, {"token_id": 2}], "question": "Q?", "closed": True},
+            {"condition_id": "0xc41", "tokens": [{"token_id": "1"}, {"token_id": 2}], "question": "Rain tomorrow", "closed": True},
             {"condition_id": "", "tokens": [{"token_id": "9"}]},
             {"condition_id": None},
-            {"condition_id": "0xdef"}]},
+            {"condition_id": "0xc42"}]},
         {"page_offset": 1000, "data": [
-            {"condition_id": "0xabc", "tokens": [{"token_id": "7"}], "question": "later copy"}]},
+            {"condition_id": "0xc41", "tokens": [{"token_id": "7"}], "question": "later copy"}]},
     ]
     with open(os.path.join(d, "p.json"), "w") as f:
         for p in pages:
             f.write(json.dumps(p) + "\n")
     m = {r.id: r for r in markets_from_pages(read_market_pages(spark, d)).collect()}
-    assert set(m) == {"0xabc", "0xdef"}
-    assert m["0xabc"].clobTokenIds == '["1", "2"]' and m["0xabc"].question == "Q?"
-    assert m["0xdef"].clobTokenIds == ""
+    assert set(m) == {"0xc41", "0xc42"}
+    assert m["0xc41"].clobTokenIds == '["1", "2"]' and m["0xc41"].question == "Rain tomorrow"
+    assert m["0xc42"].clobTokenIds == ""
 
 
 def test_union_first_wins_priority(spark):

@@ -1,63 +1,49 @@
-"""Token parsing, flattening and id helpers (reference cases)."""
+"""Token cells and ids: tables of inputs and results, checked by queries."""
 
-from pyspark.sql import functions as F
-
-from fillbook.functions.tokens import (flatten_nested_cell, json_string_array,
-                                       market_id_coalesce, token_ids_from_struct, token_pair)
-
-
-def _parse(spark, values):
-    df = spark.createDataFrame([(v,) for v in values], "c string")
-    t1, t2 = token_pair("c")
-    return [tuple(r) for r in df.select(t1, t2).collect()]
+import json
 
+from pyspark.sql import functions as F
 
-def test_pair(spark):
-    assert _parse(spark, ['["a", "b"]']) == [("a", "b")]
-
-
-def test_single(spark):
-    assert _parse(spark, ['["a"]']) == [("a", None)]
-
+from fillbook.functions.tokens import (flatten_cell, json_string_array, market_id_coalesce,
+                                       python_json_layout, token_ids_from_struct, token_pair)
 
-def test_empty_null_and_garbage(spark):
-    assert _parse(spark, ["", None, "[]"]) == [(None, None)] * 3
+PAIRS = {
+    '["17", "23"]': ("17", "23"), '["17"]': ("17", None), "[17, 23, 29]": ("17", "23"),
+    "[]": (None, None), "": (None, None), '["", "23"]': (None, "23"), '[" 17 "]': ("17", None),
+    "17, 23": ("17", "23"), '["17", "23': ("17", "23"), "{": ("{", None), None: (None, None),
+}
 
 
-def test_numeric_ids(spark):
-    assert _parse(spark, ['["1001", "1002"]']) == [("1001", "1002")]
+def test_token_pairs(spark):
+    df = spark.createDataFrame([(k,) for k in PAIRS], "cell string")
+    assert {x.cell: (x.a, x.b) for x in df.select("cell", *[c.alias(n) for c, n in zip(token_pair("cell"), "ab", strict=True)]).collect()} == PAIRS
 
 
-def test_token_ids_from_struct(spark):
-    df = spark.createDataFrame(
-        [([("111",), ("222",)],), (None,), ([(None,)],)],
-        "tokens array<struct<token_id:string>>")
-    got = [r[0] for r in df.select(token_ids_from_struct("tokens")).collect()]
-    assert got == [["111", "222"], [], []]
+def test_ids_of_structs_and_their_cell(spark):
+    rows = [([("17",), (None,), ("23",)], ["17", "23"]), (None, []), ([(None,)], [])]
+    df = spark.createDataFrame(rows, "tokens array<struct<token_id:string>>, ids array<string>")
+    ids = token_ids_from_struct("tokens")
+    assert df.where(~(ids == F.col("ids"))).count() == 0
+    assert [x[0] for x in df.select(json_string_array(ids)).collect()] == ['["17", "23"]', "", ""]
 
 
-def test_json_string_array_layout(spark):
-    df = spark.createDataFrame([(["1", "2"],), ([],)], "ids array<string>")
-    assert [r[0] for r in df.select(json_string_array("ids")).collect()] == ['["1", "2"]', ""]
+def test_market_ids(spark):
+    rows = [("c7", "9", "c7"), (None, "9", "9"), ("", "", ""), (None, None, ""), ("", "0", "0")]
+    df = spark.createDataFrame(rows, "c string, i string, want string")
+    assert df.where(market_id_coalesce("c", "i") != F.col("want")).count() == 0
 
 
-def test_flatten_nested(spark):
-    df = spark.createDataFrame([(None,), ({"k": 1},)], "m map<string,int>")
-    assert [r[0] for r in df.select(flatten_nested_cell("m")).collect()] == ["", '{"k":1}']
+VALUES = [{"a": 1, "b": [1, 2]}, {"s": 'x, y: "z"', "t": "a\\"}, [{"token_id": None, "outcome": "x"}], "", "\\", 'q"', "a\\\\\"b, c",
+          {"deep": {"k": ["\\\"", ":,", None]}}, []]
 
 
-def test_market_id_coalesce(spark):
-    df = spark.createDataFrame([("0xabc", "1"), (None, "123"), (None, None), ("", "")],
-                               "c string, i string")
-    got = [r[0] for r in df.select(market_id_coalesce("c", "i")).collect()]
-    assert got == ["0xabc", "123", "", ""]
-    assert got[0] == df.select(F.lit("0xabc")).first()[0]
+def test_layout_equals_python(spark):
+    df = spark.createDataFrame([(json.dumps(v, separators=(",", ":")), json.dumps(v)) for v in VALUES], "compact string, want string")
+    assert df.where(python_json_layout("compact") != F.col("want")).count() == 0
 
 
-def test_python_json_layout(spark):
-    import json
-    from fillbook.functions.tokens import python_json_layout
-    vals = [{"a": 1, "b": [1, 2]}, {"s": 'x, y: "z"', "t": "a\\\\b"}, [{"token_id": "1", "outcome": "Yes"}]]
-    df = spark.createDataFrame([(json.dumps(v, separators=(",", ":")),) for v in vals], "j string")
-    got = [r[0] for r in df.select(python_json_layout("j")).collect()]
-    assert got == [json.dumps(v) for v in vals]
+def test_cells_of_any_size_keep_nulls(spark):
+    tokens = [(None if i % 3 == 0 else str(i), 'say "hi", \\') for i in range(3000)]
+    df = spark.createDataFrame([(tokens,), (None,)], "t array<struct<token_id:string,outcome:string>>")
+    got = [x[0] for x in df.select(flatten_cell("t", "array")).collect()]
+    assert got == [json.dumps([{"token_id": a, "outcome": b} for a, b in tokens]), ""]
