@@ -81,16 +81,18 @@ def best_cuts(place: np.ndarray, penalty: np.ndarray, window: int = WINDOW, sequ
 
     cost, came, key = [0.0] * n, [0] * n, [0.0] * n
     key[0] = float(p[0])
-    queue, head = [0], 0
+    queue, head, to = [0], 0, first[1]
     for j in range(1, n):
+        at, to = to, first[j + 1]
         low = p[j] - window
         while p[queue[head]] < low:
             head += 1
         i = queue[head]
         best = key[i] + window - p[j]
-        for s in start[first[j]:first[j + 1]]:
-            if cost[s] < best:
-                best, i = cost[s], s
+        if at < to:
+            for s in start[at:to]:
+                if cost[s] < best:
+                    best, i = cost[s], s
         best += pen[j]
         cost[j], came[j] = best, i
         k = key[j] = best + p[j]

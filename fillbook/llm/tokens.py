@@ -20,11 +20,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 TOKENIZER = "byte_bpe_50k.json"
-GENERATION = 500_000
+GENERATION = 350_000
 #: Pieces longer than this are not kept.
 LONGEST = 64
 #: Bytes of text that are cut and numbered at once.
-SLICE = 8 << 20
+SLICE = 5 << 20
 #: Texts that cannot be cut at single blanks and line feeds: other white space
 #: (by any of the libraries' reading), white space side by side or at an end;
 #: also NUL, which marks the first piece of a text.
