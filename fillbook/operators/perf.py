@@ -182,26 +182,38 @@ def pnl_report(ledger: DataFrame, key: str, pnl: str, side: str, won: Column,
     return ledger.groupBy(key).agg(*cols)
 
 
+SIDES = ("long", "short")
+
+
+def _groups(ledger: DataFrame, key: str, groups: dict[tuple, Column], measures) -> DataFrame:
+    """One row per key and group, also for groups without trades: one
+    aggregate (combined before the shuffle) of ``measures(condition)``."""
+    made = [F.struct(*[F.lit(x).alias(n) for n, x in zip(("side", "outcome"), names, strict=False)],
+                     *measures(cond)) for names, cond in groups.items()]
+    rows = ledger.groupBy(key).agg(F.array(*made).alias("_g"))
+    return rows.select(key, F.explode("_g").alias("g")).select(key, "g.*")
+
+
 def win_counts(ledger: DataFrame, key: str, side: str, won: Column) -> DataFrame:
-    """long / short / all: total, won, lost (a rollup over side)."""
-    r = ledger.withColumn("_won", won).rollup(key, side).agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(F.col("_won")).alias("won"),
-        F.count_if(~F.col("_won")).alias("lost"))
-    return r.where(F.col(key).isNotNull()).select(
-        key, F.coalesce(F.col(side), F.lit("all")).alias(side), "total", "won", "lost")
+    """Long, short and all trades: total, won, lost. A trade without a side counts under all."""
+    groups = {(s,): F.col(side) == s for s in SIDES} | {("all",): F.lit(True)}
+    rows = ledger.where(F.col(key).isNotNull()).withColumn("_won", won)
+    return _groups(rows, key, groups, lambda c: [
+        F.count_if(c).alias("total"), F.count_if(c & F.col("_won")).alias("won"), F.count_if(c & ~F.col("_won")).alias("lost")])
 
 
 def trade_length(ledger: DataFrame, key: str, side: str, won: Column, bars: str = "bars") -> DataFrame:
-    """Bars held: total/min/max/average for all, won, lost, long, short and the
-    four crosses, as grouping sets ('all' marks a rolled-up dimension)."""
-    d = ledger.withColumn("outcome", F.when(won, F.lit("won")).otherwise(F.lit("lost")))
-    sets = [[key], [key, side], [key, "outcome"], [key, side, "outcome"]]
-    g = d.groupingSets(sets, key, side, "outcome").agg(
-        F.sum(bars).alias("total"), F.min(bars).alias("min"), F.max(bars).alias("max"),
-        F.avg(bars).alias("average"))
-    return g.select(key, F.coalesce(F.col(side), F.lit("all")).alias(side),
-                    F.coalesce(F.col("outcome"), F.lit("all")).alias("outcome"),
-                    "total", "min", "max", "average")
+    """Bars held: total, min, max and average for all trades, each side, each
+    outcome and the four crosses; groups without trades have total 0 and nulls."""
+    sides = {"all": F.lit(True)} | {s: F.col(side) == s for s in SIDES}
+    ends = {"all": F.lit(True), "won": F.col("_won"), "lost": ~F.col("_won")}
+    groups = {(s, e): a & b for s, a in sides.items() for e, b in ends.items()}
+
+    def measures(c: Column) -> list[Column]:
+        held = F.when(c, F.col(bars))
+        return [F.coalesce(F.sum(held), F.lit(0)).alias("total"), F.min(held).alias("min"), F.max(held).alias("max"),
+                F.avg(held).alias("average")]
+    return _groups(ledger.withColumn("_won", F.coalesce(won, F.lit(False))), key, groups, measures)
 
 
 def gross_leverage(exposure: DataFrame, key: str, period: Column, gross: Column,

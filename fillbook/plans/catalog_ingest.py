@@ -169,9 +169,16 @@ def _pages(spark, sf):
 
 
 @register("src_market_pages", f"""WITH {PAGES_SQL}
-select id, clobTokenIds, condition_id, question, market_slug, closed from pmk""")
+select id, clobTokenIds, condition_id, question, market_slug, closed,
+  case when k % 13 = 0 then '' else
+  '[{{"token_id": "' || cast(2*k+1 as varchar) || '", "outcome": "Yes"}}, {{"token_id": "' || cast(2*k+2 as varchar)
+  || '", "outcome": "No"}}, {{"token_id": null, "outcome": "x"}}]' end as tokens,
+  'i' || cast(k as varchar) || '.png' as icon,
+  '{{"min":' || cast(k % 7 as varchar) || ',"rates":[' || cast(k % 3 as varchar) || ',2]}}' as rewards from pmk""")
 def q_src_market_pages(spark, sf):
-    return markets_from_pages(_pages(spark, sf)).drop("tokens")
+    rows = markets_from_pages(_pages(spark, sf))
+    return rows.select(*[c for c in rows.columns if c != "extras"], F.col("extras")["icon"].alias("icon"),
+                       F.col("extras")["rewards"].alias("rewards"))
 
 
 @register("src_market_incremental", f"""WITH {PAGES_SQL}
@@ -181,7 +188,7 @@ def q_src_market_incremental(spark, sf):
     pages = _pages(spark, sf)
     stored = markets_from_pages(pages.where(F.col("page_offset") < 1000))
     fresh = markets_from_pages(pages.where(F.col("page_offset") >= 0))
-    return new_markets(stored, fresh).drop("tokens")
+    return new_markets(stored, fresh).drop("tokens", "extras")
 
 
 @register("filter_blank_or_seen", f"""WITH {PAGES_SQL}
@@ -227,14 +234,14 @@ it AS (select p_partkey as k, p_partkey // 40 as fetch_seq,
     case when p_partkey % 10 = 0 then cast(p_partkey as varchar) else '0xm' || cast(p_partkey as varchar) end as mid,
     '["' || cast(2*p_partkey+1 as varchar) || '", "' || cast(2*p_partkey+2 as varchar) || '"]' as clobTokenIds,
     p_name as question, p_brand as slug, case when p_size % 2 = 0 then 'true' else 'false' end as closed
-  from part where p_partkey % 5 = 0),
+  from part),
 rows6 AS (select mid as id, clobTokenIds, mid as conditionId, question, slug, closed from it)"""
 
 
 def _payloads(spark, sf):
     """Fetched supplement payloads: one per batch of 40 parts, in three body
     shapes; every 15th market appears twice in its batch, the stale copy first."""
-    p = X.read_table(spark, sf, "part").where(F.col("p_partkey") % 5 == 0)
+    p = X.read_table(spark, sf, "part")
     k = F.col("p_partkey")
     item = F.struct(
         F.when(k % 10 == 0, F.lit(None)).otherwise(F.concat(F.lit("0xm"), k.cast("string"))).alias("conditionId"),
@@ -271,7 +278,7 @@ def q_src_supplement_merge(spark, sf):
 @register("market_id_coalesce", f"""WITH {SUPP_SQL}
 select mid as id from it""")
 def q_market_id_coalesce(spark, sf):
-    p = X.read_table(spark, sf, "part").where(F.col("p_partkey") % 5 == 0)
+    p = X.read_table(spark, sf, "part")
     k = F.col("p_partkey")
     cond = F.when(k % 10 == 0, F.lit(None)).otherwise(F.concat(F.lit("0xm"), k.cast("string")))
     return p.select(market_id_coalesce(cond, k.cast("string")).alias("id"))

@@ -154,18 +154,21 @@ def q_perf_pnl(spark, sf):
 
 
 @register("perf_win_counts", f"""WITH {fx("fx_ledger")}, {LEDGER_SQL}
-select series, coalesce(side, 'all') as side, count(*) as total,
-  count(*) filter (where won) as won, count(*) filter (where not won) as lost
-from led group by rollup (series, side) having series is not null""")
+select series, g.side, count(*) filter (where g.side = 'all' or led.side = g.side) as total,
+  count(*) filter (where won and (g.side = 'all' or led.side = g.side)) as won,
+  count(*) filter (where not won and (g.side = 'all' or led.side = g.side)) as lost
+from led, (values ('long'), ('short'), ('all')) g(side) where series is not null group by series, g.side""")
 def q_perf_win_counts(spark, sf):
     return P.win_counts(_ledger(spark, sf), "series", "side", _won())
 
 
 @register("perf_trade_length", f"""WITH {fx("fx_ledger")}, {LEDGER_SQL},
-l2 AS (select *, case when won then 'won' else 'lost' end as outcome from led)
-select series, coalesce(side, 'all') as side, coalesce(outcome, 'all') as outcome,
-  cast(sum(bars) as bigint) as total, min(bars) as min, max(bars) as max, round(avg(bars), 6) as average
-from l2 group by grouping sets ((series), (series, side), (series, outcome), (series, side, outcome))""")
+l2 AS (select *, case when won then 'won' else 'lost' end as outcome from led),
+l3 AS (select series, g.side, h.outcome, case when (g.side = 'all' or l2.side = g.side)
+    and (h.outcome = 'all' or l2.outcome = h.outcome) then bars end as held
+  from l2, (values ('long'), ('short'), ('all')) g(side), (values ('won'), ('lost'), ('all')) h(outcome))
+select series, side, outcome, cast(coalesce(sum(held), 0) as bigint) as total, min(held) as min, max(held) as max,
+  round(avg(held), 6) as average from l3 group by all""")
 def q_perf_trade_length(spark, sf):
     return P.trade_length(_ledger(spark, sf), "series", "side", _won()).withColumn(
         "average", F.round("average", 6))

@@ -40,7 +40,7 @@ def fx_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_order_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The eight order-fill columns from ``lineitem``; status 'O' = maker pays USDC."""
-    return _fills_from(read_table(spark, sf_dir, "lineitem", heavy=True), with_seq=False)
+    return _fills_from(_landed(spark, sf_dir), with_seq=False)
 
 
 def fx_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,12 +115,18 @@ def _word(c: Column) -> Column:
     return F.lpad(F.hex(c), 64, "0")
 
 
+def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` dealt out as a landed table of many files would be; the
+    driver's file is a single row group, which one task reads."""
+    return read_table(spark, sf_dir, "lineitem").repartition(spark.sparkContext.defaultParallelism)
+
+
 def fx_raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw event logs encoding the fills of ``lineitem``: some from another
     contract (orderkey % 50 = 0), some another event (linenumber = 7), block
     numbers as hex or decimal text, hashes with or without ``0x``, token ids
     above 2^100 for orderkey % 3 = 0."""
-    li = read_table(spark, sf_dir, "lineitem", heavy=True)
+    li = _landed(spark, sf_dir)
     is_o = F.col("l_linestatus") == "O"
     small = 2 * F.col("l_partkey") + 1 + F.col("l_linenumber") % 2
     usd = F.round(F.col("l_extendedprice") * 100).cast("bigint")
@@ -178,7 +184,9 @@ def fx_market_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def market(question):
         return F.struct(cid.alias("condition_id"), tokens.alias("tokens"), question.alias("question"),
-                        F.col("p_brand").alias("market_slug"), (F.col("p_size") % 2 == 0).alias("closed"))
+                        F.col("p_brand").alias("market_slug"), (F.col("p_size") % 2 == 0).alias("closed"),
+                        F.concat(F.lit("i"), k.cast("string"), F.lit(".png")).alias("icon"),
+                        F.struct((k % 7).alias("min"), F.array(k % 3, F.lit(2)).alias("rates")).alias("rewards"))
     first = p.select(F.floor(k / 1000).alias("page"), k.alias("pos"), market(F.col("p_name")).alias("m"))
     again = p.where(k % 17 == 0).select(
         (F.floor(k / 1000) + 1).alias("page"), (k - 1000000000).alias("pos"),
@@ -191,7 +199,7 @@ def fx_market_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_order_filled_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_order_filled`` plus its ingest sequence (orderkey * 8 + linenumber)."""
-    return _fills_from(read_table(spark, sf_dir, "lineitem", heavy=True), with_seq=True)
+    return _fills_from(_landed(spark, sf_dir), with_seq=True)
 
 
 def fx_order_filled_identified(spark: SparkSession, sf_dir: str) -> DataFrame:

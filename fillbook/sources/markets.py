@@ -27,9 +27,11 @@ MARKET_OBJECT = T.StructType([
     T.StructField("market_slug", T.StringType()),
     T.StructField("closed", T.BooleanType()),
 ])
+# A market arrives as the text of its JSON object: declared fields are parsed
+# from it, all others are kept in ``extras``.
 MARKET_PAGE = T.StructType([
     T.StructField("page_offset", T.LongType()),
-    T.StructField("data", T.ArrayType(MARKET_OBJECT)),
+    T.StructField("data", T.ArrayType(T.StringType())),
 ])
 
 
@@ -114,9 +116,13 @@ def read_market_pages(spark: SparkSession, path: str) -> DataFrame:
 def markets_from_pages(pages: DataFrame) -> DataFrame:
     """Pages -> one row per market: blank condition ids skipped, first
     occurrence (page offset, position in page) wins, ``id`` and
-    ``clobTokenIds`` first, nested fields as JSON text."""
-    rows = pages.select("page_offset", F.posexplode("data").alias("pos", "m"))
-    rows = rows.select("page_offset", "pos", "m.*")
+    ``clobTokenIds`` first, nested fields as JSON text. Fields without a column
+    of their own are in ``extras`` (name -> text, nested ones as JSON)."""
+    one = pages.select("page_offset", F.posexplode("data").alias("pos", "m"))
+    if dict(one.dtypes)["m"] != "string":
+        one = one.withColumn("m", F.to_json("m", {"ignoreNullFields": "false"}))
+    declared = [f.name for f in MARKET_OBJECT.fields]
+    rows = one.select("page_offset", "pos", "m", F.from_json("m", MARKET_OBJECT).alias("o")).select("page_offset", "pos", "m", "o.*")
     rows = rows.where(F.col("condition_id").isNotNull() & (F.col("condition_id") != ""))
     first = first_per_key(rows, "condition_id", [F.col("page_offset"), F.col("pos")])
     ids = token_ids_from_struct("tokens")
@@ -128,6 +134,7 @@ def markets_from_pages(pages: DataFrame) -> DataFrame:
         F.coalesce(F.col("question"), F.lit("")).alias("question"),
         F.coalesce(F.col("market_slug"), F.lit("")).alias("market_slug"),
         F.col("closed"),
+        F.map_filter(F.from_json("m", "map<string,string>"), lambda k, _: ~k.isin(declared)).alias("extras"),
     )
 
 

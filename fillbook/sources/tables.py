@@ -14,35 +14,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-# Below this estimated size a table may be a handful of row groups, i.e. a
-# handful of non-empty scan tasks; spreading it costs one small shuffle.
-SPREAD_BELOW_BYTES = 1 << 30
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (file sizes for a scan; no job)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """Round-robin a *small* input over all cores.
-
-    A small parquet file is often a single row group, so its scan feeds one
-    task and every per-row expression after it runs serially. Large inputs
-    (many files / row groups) are left alone: their scan is already parallel
-    and a repartition would be a pointless full shuffle.
-    """
-    par = spark.sparkContext.defaultParallelism
-    if estimated_bytes(df) < SPREAD_BELOW_BYTES and df.rdd.getNumPartitions() <= par:
-        return df.repartition(par)
-    return df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
-    """Read a driver table. ``heavy=True`` when the caller does costly per-row
-    work (hashing, hex building, Python UDFs): then a small input is spread
-    over all cores first (see ``spread``); cheap pipelines skip the shuffle."""
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read a driver table."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return spread(df, spark) if heavy else df
+    return spark.read.parquet(table_path(sf_dir, name))
