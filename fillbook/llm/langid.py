@@ -180,12 +180,12 @@ def _window_batches(batches: Iterator[pa.RecordBatch]):
                 continue
             c = encode(text)
             n = max(1, len(c) - WINDOW + 1)
-            r = np.random.default_rng(zlib.crc32(str(i).encode()))
+            r = np.random.default_rng(zlib.crc32(i.encode()))
             for at in sorted({int(a) for a in r.integers(0, n, WINDOWS_PER_DOC)}):
                 w = c[at:at + WINDOW]
                 rows.append((lang, i, at, np.pad(w, (0, WINDOW - len(w))).tobytes()))
         cols = list(zip(*rows, strict=True)) or [[], [], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64(), pa.binary()), strict=True)],
                                          names=["lang", "id", "at", "window"])
 
 
@@ -204,11 +204,11 @@ class LanguageModel:
         The ids of the sample are chosen without reading a text; only windows
         of the sampled texts reach the driver.
         """
-        ids = docs.where(learn & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
+        ids = docs.where(learn & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"))
         # Bounded by docs_per_lang for each language, so small enough to broadcast.
         chosen = F.broadcast(seeded_sample(ids, "id", docs_per_lang, SEED, by="lang").select("id").distinct())
-        rows = docs.where(learn & F.col(lang_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-        got = rows.join(chosen, "id", "left_semi").mapInArrow(_window_batches, "lang string, id bigint, at bigint, window binary").distinct().collect()
+        rows = docs.where(learn & F.col(lang_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+        got = rows.join(chosen, "id", "left_semi").mapInArrow(_window_batches, "lang string, id string, at bigint, window binary").distinct().collect()
         got.sort(key=lambda x: (x.lang, x.id, x.at, bytes(x.window)))
         langs = sorted({x.lang for x in got})
         if not langs:
