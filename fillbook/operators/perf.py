@@ -216,8 +216,14 @@ def trade_length(ledger: DataFrame, key: str, side: str, won: Column, bars: str
     return _groups(ledger.withColumn("_won", F.coalesce(won, F.lit(False))), key, groups, measures)
 
 
-def gross_leverage(exposure: DataFrame, key: str, period: Column, gross: Column,
-                   value: Column) -> DataFrame:
-    """Per (series, period): gross exposure / account value at the period end."""
-    return exposure.groupBy(key, period.alias("period")).agg(
-        F.try_divide(F.sum(F.abs(gross)), F.max_by(value, F.struct("ts", "seq"))).alias("leverage"))
+def gross_leverage(trades: DataFrame, key: list[str], segment: str, order: list[str], size: str, price: str,
+                   value: str) -> DataFrame:
+    """Gross exposure over account value at each time: the position held (running
+    signed size, segmented so that no series is one task) valued at the price.
+
+    One instrument per series. A zero value gives null.
+    """
+    held = segmented_running(trades, key, segment, order, size, "sum", "position")
+    exposure = F.abs(F.coalesce("position", F.lit(0)) * F.col(price))
+    return held.withColumn("leverage", F.try_divide(exposure, F.col(value)))
+

@@ -175,15 +175,18 @@ def q_perf_trade_length(spark, sf):
 
 
 @register("perf_gross_leverage", f"""WITH {fx("fx_equity")},
-x AS (select e.series, e.ts, e.seq, e.value, t.usd_amount from fx_equity e
-      join fx_ticks t on t.market_id = e.series and t.seq = e.seq)
-select series, cast(ts as date) as period,
-  round(sum(abs(usd_amount)) / nullif(arg_max(value, (ts, seq)), 0), 6) as leverage from x group by all""")
+x AS (select e.series, e.ts, e.seq, e.value, t.price, cast(round(t.usd_amount - 50) as bigint) as size from fx_equity e
+      join fx_ticks t on t.market_id = e.series and t.seq = e.seq),
+h AS (select *, coalesce(sum(size) over (partition by series order by seq), 0) as position from x)
+select series, seq, ts, round(abs(position * price) / nullif(value, 0), 6) as leverage from h""")
 def q_perf_gross_leverage(spark, sf):
-    t = X.fx_ticks(spark, sf).select(F.col("market_id").alias("series"), "seq", "usd_amount")
+    """Position held after each tick (a tick above 50 buys, one below sells) against the account's value."""
+    t = X.fx_ticks(spark, sf).select(F.col("market_id").alias("series"), "seq", "price",
+                                     F.round(F.col("usd_amount") - 50).cast("bigint").alias("size"),
+                                     F.floor(F.col("seq") / X.SEGMENT_ROWS).alias("_seg"))
     x = _equity(spark, sf).join(t, ["series", "seq"])
-    r = P.gross_leverage(x, "series", F.to_date("ts"), F.col("usd_amount"), F.col("value"))
-    return r.withColumn("leverage", F.round("leverage", 6))
+    r = P.gross_leverage(x, ["series"], "_seg", ["seq"], "size", "price", "value")
+    return r.select("series", "seq", "ts", F.round("leverage", 6).alias("leverage"))
 
 
 @register("perf_transactions", f"""WITH {trades_with()}
