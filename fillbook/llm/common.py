@@ -57,6 +57,7 @@ def seeded_sample(rows: DataFrame, key: str, size: int, seed: int, by: str | Non
     Rows far above the expected cut are left out before anything is ordered, so
     what is ordered holds about twice the sample however many rows there are.
     A sample can be a little short only where twice its size is expected to pass.
+    ``by`` is a column of few values, such as the languages: their counts are broadcast.
     """
     place = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     rows = rows.withColumn("_place", place)
@@ -64,7 +65,7 @@ def seeded_sample(rows: DataFrame, key: str, size: int, seed: int, by: str | Non
         low = rows.where(F.col("_place") * max(rows.count(), 1) < 2 * size)
         return low.orderBy("_place", key).limit(size).drop("_place")
     counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_count"))
-    low = rows.join(counts, by).where(F.col("_place") * F.col("_count") < 2 * size)
+    low = rows.join(F.broadcast(counts), by).where(F.col("_place") * F.col("_count") < 2 * size)
     rank = F.row_number().over(Window.partitionBy(by).orderBy("_place", key))
     return low.withColumn("_rank", rank).where(F.col("_rank") <= size).drop("_rank", "_place", "_count")
 
