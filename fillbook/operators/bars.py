@@ -24,14 +24,29 @@ def ohlcv_bars(ticks: DataFrame, width: str = "2 minutes", key: str = "market_id
     not a bar). All aggregates are partial-aggregatable, so a hot market is
     pre-combined in every task before the shuffle on (key, bin).
     """
-    order = F.when(F.col(price).isNotNull(), F.struct(F.col(ts), F.col(seq)))
-    bars = (ticks.groupBy(F.col(key), bar_start(ts, width).alias("bar_start"))
-            .agg(F.min_by(price, order).alias("open"),
-                 F.max(price).alias("high"),
-                 F.min(price).alias("low"),
-                 F.max_by(price, order).alias("close"),
-                 F.coalesce(F.sum(volume), F.lit(0.0)).alias("volume"),
-                 F.count(F.lit(1)).alias("n_trades")))
+    parts = bar_parts(ticks, width, key, ts, price, volume, seq).drop("first_at", "last_at")
+    return drop_empty_bars(parts.withColumn("volume", F.coalesce("volume", F.lit(0.0))))
+
+
+def bar_parts(ticks: DataFrame, width: str = "2 minutes", key: str = "market_id",
+              ts: str = "timestamp", price: str = "price", volume: str = "usd_amount",
+              seq: str = "seq") -> DataFrame:
+    """What some of a bar's ticks say about it: parts of one bar merge in any
+    order, so ticks may come in any number of deliveries, however late."""
+    order = F.when(F.col(price).isNotNull(), F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq")))
+    return (ticks.groupBy(F.col(key), bar_start(ts, width).alias("bar_start"))
+            .agg(F.min(order).alias("first_at"), F.min_by(price, order).alias("open"),
+                 F.max(price).alias("high"), F.min(price).alias("low"),
+                 F.max(order).alias("last_at"), F.max_by(price, order).alias("close"),
+                 F.sum(volume).alias("volume"), F.count(F.lit(1)).alias("n_trades")))
+
+
+def merge_bar_parts(parts: DataFrame, key: str = "market_id") -> DataFrame:
+    """Parts of bars -> bars; those with any null OHLC field are dropped."""
+    bars = parts.groupBy(key, "bar_start").agg(
+        F.min_by("open", "first_at").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.max_by("close", "last_at").alias("close"), F.coalesce(F.sum("volume"), F.lit(0.0)).alias("volume"),
+        F.sum("n_trades").alias("n_trades"))
     return drop_empty_bars(bars)
 
 
