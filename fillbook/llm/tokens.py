@@ -88,20 +88,18 @@ class Encoder:
     def _learn(self, missing: list[str]) -> dict[str, bytes]:
         """Ids of pieces that the young generation lacks. A mark after a letter
         is a token of its own, so ``word.`` is ``word`` and the mark."""
-        old, pieces, found, whole = self.older.get, self.pieces, {}, []
-        for w in missing:
-            ids = old(w)
-            if ids is None:
-                stem = w[:-1] if w[-1] in self.marks and len(w) > 1 and w[-2].isalpha() else w
-                if stem.isalpha() or stem[0] == "\n" and stem[1:].isalpha():
-                    ids = pieces.get(stem) or old(stem) or self._letters(stem)
-                    if stem is not w:
-                        pieces[stem] = ids
-                        ids += self.marks[w[-1]]
-                else:
-                    whole.append(w)
-                    continue
-            found[w] = ids
+        pieces, older, marks, letters, whole = self.pieces, self.older, self.marks, self._letters, []
+        kept = list(map(older.get, missing))
+        found = {w: x for w, x in zip(missing, kept, strict=True) if x is not None}
+        for w in [w for w, x in zip(missing, kept, strict=True) if x is None]:
+            stem = w[:-1] if w[-1] in marks and len(w) > 1 and w[-2].isalpha() else w
+            if not (stem.isalpha() or stem[0] == "\n" and stem[1:].isalpha()):
+                whole.append(w)
+            elif stem is w:
+                found[w] = letters(w)
+            else:
+                pieces[stem] = ids = pieces.get(stem) or older.get(stem) or found.get(stem) or letters(stem)
+                found[w] = ids + marks[w[-1]]
         written = [w[1:] if w[0] == _FIRST else w if w[0] == "\n" else " " + w for w in whole]
         found.update(zip(whole, self._raw(written), strict=True))
         pieces.update(found)
