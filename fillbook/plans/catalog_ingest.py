@@ -351,8 +351,8 @@ def q_sink_trades_append(spark, sf):
     path = scratch_path(spark, "trades-parquet")
     t = _trades(spark, sf)
     cut = F.lit("1996-01-01 00:00:00").cast("timestamp_ntz")
-    FS.append_trades(t.where(F.col("timestamp") < cut), path, granularity="month")
-    FS.append_trades(t.where(F.col("timestamp") >= cut), path, granularity="month")
+    FS.append_trades(t.where(F.col("timestamp") < cut), path, "first", granularity="month")
+    FS.append_trades(t.where(F.col("timestamp") >= cut), path, "second", granularity="month")
     return FS.read_trades(spark, path)
 
 
@@ -361,7 +361,7 @@ select timestamp, market_id, price, usd_amount from t where timestamp >= TIMESTA
 def q_src_trades_scan(spark, sf):
     """Scan with partition pruning on trade_date and a two-column projection."""
     path = scratch_path(spark, "trades-parquet")
-    FS.append_trades(_trades(spark, sf), path, granularity="month")
+    FS.append_trades(_trades(spark, sf), path, "only", granularity="month")
     t = FS.read_trades(spark, path)
     return t.where(F.col("trade_date") >= F.lit("1997-01-01").cast("date")) \
         .select("timestamp", "market_id", "price", "usd_amount")

@@ -14,6 +14,10 @@ from pyspark.sql import types as T
 from fillbook.operators.label import TRADE_COLUMNS
 from fillbook.sources.markets import CSV_OPTIONS
 
+# Cells of fills and trades hold no line feeds, so a large file splits into
+# many tasks (market questions can, and their files cannot).
+FLAT_CSV = {**CSV_OPTIONS, "multiLine": "false"}
+
 FILL_SCHEMA = T.StructType([
     T.StructField("timestamp", T.LongType()),
     T.StructField("maker", T.StringType()),
@@ -42,15 +46,7 @@ TRADE_SCHEMA = T.StructType([
 
 def read_fills_csv(spark: SparkSession, path: str) -> DataFrame:
     """Order-fill CSV with the fixed schema (ids as text, amounts BIGINT)."""
-    return spark.read.options(**CSV_OPTIONS).schema(FILL_SCHEMA).csv(path)
-
-
-def stream_fills_csv(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """The same as a file stream; ``max_files`` bounds each micro-batch."""
-    r = spark.readStream.options(**CSV_OPTIONS).schema(FILL_SCHEMA)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.csv(path)
+    return spark.read.options(**FLAT_CSV).schema(FILL_SCHEMA).csv(path)
 
 
 def write_fills_csv(fills: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -64,31 +60,24 @@ def export_trades_csv(trades: DataFrame, path: str, mode: str = "overwrite") ->
 
 
 def read_trades_csv(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.options(**CSV_OPTIONS).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+    return (spark.read.options(**FLAT_CSV).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
             .schema(TRADE_SCHEMA).csv(path))
 
 
-def append_trades(trades: DataFrame, path: str, granularity: str = "day",
-                  run_id: str | None = None) -> None:
+def append_trades(trades: DataFrame, path: str, run_id: str, granularity: str = "day") -> None:
     """Append labelled trades as Parquet partitioned by trade date (not by
     market: there are far too many markets for directory partitions).
 
-    ``granularity='month'`` labels each partition with the month's first day
-    (fewer directories for small tables). No repartition before the write:
-    each task writes the dates it holds, so no single task owns a whole day.
-    With ``run_id`` the run writes its own ``run_id=<id>`` folder with
-    overwrite, so re-running a batch after a failure replaces its output
-    instead of appending it twice.
+    The run writes its own ``run_id=<id>`` folder with overwrite, so a re-run
+    after a failure replaces its output. Rows are rebalanced by date before the
+    write: few files per date, and AQE splits a heavy one. ``granularity='month'``
+    labels each partition with the month's first day (for small tables).
     """
-    d = F.to_date("timestamp") if granularity == "day" else \
-        F.to_date(F.date_trunc("month", F.col("timestamp")))
-    out = trades.withColumn("trade_date", d)
-    if run_id is None:
-        out.write.mode("append").partitionBy("trade_date").parquet(path)
-    else:
-        out.write.mode("overwrite").partitionBy("trade_date").parquet(f"{path}/run_id={run_id}")
+    date = F.to_date(F.date_trunc(granularity, F.col("timestamp")))
+    out = trades.withColumn("trade_date", date).hint("rebalance", "trade_date")
+    out.write.mode("overwrite").partitionBy("trade_date").parquet(f"{path}/run_id={run_id}")
 
 
 def read_trades(spark: SparkSession, path: str) -> DataFrame:
     """Trades table; a date filter prunes partitions, columns prune the scan."""
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop("run_id")

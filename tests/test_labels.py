@@ -73,3 +73,22 @@ def test_append_trades_rerun_is_idempotent(spark):
     for run in ("r1", "r1", "r2"):  # the same run again, then another
         append_trades(t, d, run_id=run)
     assert read_trades(spark, d).count() == 2
+
+
+def test_few_files_per_date_and_splitting_csv(spark):
+    """A write makes about one file per date; a flat CSV file is read by several tasks."""
+    import os
+    from fillbook.sources.files import read_fills_csv, write_fills_csv
+    fills = fills_of(spark, [("0", CASH, "71", TOKENS)] * 3000).withColumn("timestamp", F.col("timestamp") * 20).repartition(6)
+    d = tempfile.mkdtemp(prefix="files-")
+    append_trades(label_trades(fills, markets_of(spark)), f"{d}/trades", "r")
+    files = [f for at, _, names in os.walk(f"{d}/trades") for f in names if f.endswith(".parquet")]
+    dates = [x for x in os.listdir(f"{d}/trades/run_id=r") if x.startswith("trade_date=")]
+    assert len(dates) == 42 and len(files) <= 2 * len(dates)
+    write_fills_csv(fills.coalesce(1), f"{d}/csv")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        back = read_fills_csv(spark, f"{d}/csv")
+        assert back.rdd.getNumPartitions() > 3 and back.exceptAll(fills).count() == 0 and back.count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
