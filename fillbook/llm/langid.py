@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fillbook.llm.common import register, seeded_sample, table
+from fillbook.llm.common import frugal, register, seeded_sample, table
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -227,7 +227,7 @@ class LanguageModel:
                                else ([UNKNOWN] * b.num_rows, [0.0] * b.num_rows))
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(name, pa.string()), pa.array(score, pa.float64())],
                                                  names=["id", "lang_pred", "score"])
-        return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+        return docs.select(id_col, text_col).mapInArrow(frugal(run), f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
     def accepted(self, docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
         """The rows of ``docs`` (all columns) whose text has a known language."""
@@ -240,7 +240,7 @@ class LanguageModel:
                     yield b.filter(pa.array([n != UNKNOWN and s >= min_score for n, s in zip(name, score, strict=True)], pa.bool_()))
                 else:
                     yield b.filter(pa.array([has_letter(t) for t in b.column("text").to_pylist()], pa.bool_()))
-        return docs.mapInArrow(run, docs.schema)
+        return docs.mapInArrow(frugal(run), docs.schema)
 
 
 @register("op10_langid")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fillbook.llm.common import register, table
+from fillbook.llm.common import frugal, register, table
 
 #: Kinds in listing order; the first four are the base kinds.
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
@@ -184,7 +184,7 @@ def _mask_batch(batches):
 
 def mask_pii(docs: DataFrame) -> DataFrame:
     """The same rows and columns with the spans of ``text`` masked."""
-    return docs.mapInArrow(_mask_batch, docs.schema)
+    return docs.mapInArrow(frugal(_mask_batch), docs.schema)
 
 
 def span_text(spans: Column) -> Column:

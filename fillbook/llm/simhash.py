@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fillbook.llm.common import register, table, write_read
+from fillbook.llm.common import frugal, register, table, write_read
 from fillbook.llm.components import components
 
 SHINGLE = 4
@@ -78,7 +78,7 @@ def _fingerprint_batches(k: int):
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
     """``(id, fp)`` of every row; the fingerprint's 64 bits as a bigint."""
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(_fingerprint_batches(k), f"id {kind}, fp bigint")
+    return docs.select(id_col, text_col).mapInArrow(frugal(_fingerprint_batches(k)), f"id {kind}, fp bigint")
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
