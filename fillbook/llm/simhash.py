@@ -34,7 +34,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fillbook.llm.common import frugal, register, table, write_read
@@ -67,18 +67,20 @@ def fingerprint(text: str | None, k: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits((2 * ones > len(rows)).ravel()).tobytes(), "big")
 
 
-def _fingerprint_batches(k: int):
+def _fingerprint_batches(k: int, carry: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             fp = np.array([fingerprint(t, k) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *b.columns[2:]], names=["id", "fp", *carry])
     return run
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
-    """``(id, fp)`` of every row; the fingerprint's 64 bits as a bigint."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
+                 carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(id, fp)`` and the bigint columns ``carry`` of every row; the fingerprint's 64 bits as a bigint."""
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(frugal(_fingerprint_batches(k)), f"id {kind}, fp bigint")
+    columns = ", ".join([f"id {kind}", "fp bigint", *[f"{c} bigint" for c in carry]])
+    return docs.select(id_col, text_col, *carry).mapInArrow(frugal(_fingerprint_batches(k, carry)), columns)
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -193,29 +195,49 @@ def near_links(classes: DataFrame, max_bits: int = MAX_BITS, segments: int = SEG
     return rows.mapInArrow(_link_batches(n_pivots, max_bits), "u bigint, v bigint")
 
 
+def _members(rows: DataFrame, first: Column, max_bits: int, segments: int) -> DataFrame:
+    """``(fp, first, root)`` of every distinct fingerprint of ``rows``: the
+    smallest ``first`` of its rows and the root of its component."""
+    classes = rows.groupBy("fp").agg(F.min(first).alias("first")).checkpoint()
+    roots = components(near_links(classes.select("fp"), max_bits, segments))
+    return classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
                        max_bits: int = MAX_BITS, segments: int = SEGMENTS) -> DataFrame:
     """``(id, fp, component_id)`` of every row; linked rows share the smallest id."""
     rows = write_read(fingerprints(docs, id_col, text_col, k), "simhash")
-    classes = rows.groupBy("fp").agg(F.min("id").alias("first_id")).checkpoint()
-    roots = components(near_links(classes.select("fp"), max_bits, segments))
-    member = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    low = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    member = _members(rows, F.col("id"), max_bits, segments)
+    low = member.groupBy("root").agg(F.min("first").alias("component_id"))
     named = member.join(low, "root").select("fp", "component_id")
     return rows.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
-    """One row of ``docs`` (all columns) for each component: its smallest id.
+def _row_hash(docs: DataFrame, seed: int) -> Column:
+    """64-bit hash of a whole row, nulls told apart; maps, which have no hash, go as JSON."""
+    parts = []
+    for f in docs.schema.fields:
+        column = F.col(f"`{f.name}`")
+        parts += [column.isNull(), F.to_json(F.struct(column)) if "map<" in f.dataType.simpleString() else column]
+    return F.xxhash64(F.lit(seed), *parts)
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
+                         max_bits: int = MAX_BITS, segments: int = SEGMENTS) -> DataFrame:
+    """One row of ``docs`` (all columns) for each component: that of the smallest
+    id, rows without id last; of several rows the one of the smallest hash.
 
-    A null ``doc_id`` counts as one id; of rows that share an id one stays.
+    Rows are told apart by a 128-bit hash of all their columns, so rows that
+    share an id, or have none, stay or go by their own components.
     """
-    found = simhash_components(docs, **how)
-    # One plain key for both steps, so that the texts are shuffled once.
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias("_key")).distinct()
-    return docs.withColumn("_key", key).join(keep, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    key = ("_key", "_key2")
+    docs = docs.withColumns({c: _row_hash(docs, i) for i, c in enumerate(key)})
+    rows = write_read(fingerprints(docs, id_col, text_col, k, key), "simhash")
+    member = _members(rows, F.struct(F.col("id").isNull().alias("no_id"), "id", *key), max_bits, segments)
+    keep = member.groupBy("root").agg(F.min("first").alias("first")).select(*[F.col(f"first.{c}").alias(c) for c in key])
+    # The same plain key for both steps, so that the texts are shuffled once.
+    return docs.join(keep, list(key), "left_semi").dropDuplicates(list(key)).drop(*key)
 
 
 @register("op8_simhash")

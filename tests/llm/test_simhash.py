@@ -83,3 +83,21 @@ def test_edges_of_the_table(spark):
     assert got == [(False, 1, 1), (False, 2, 1), (False, 3, 3), (False, 3, 3), (False, 4, 3), (True, 0, 0), (True, 0, 3)]
     assert sorted(str(x.doc_id) for x in S.drop_near_duplicates(df).collect()) == ["1", "3", "None"]
     assert S.simhash_components(df.limit(0)).count() == 0
+
+
+def test_one_row_of_each_component(spark):
+    """Rows that share an id, or have none, stay or go by their own component."""
+    r = random.Random(4)
+    apart = [" ".join(f"w{r.randrange(10**6)}" for _ in range(30)) for _ in range(12)]
+    rows = [(None, t, "a") for t in apart[:5]] + [(None, apart[0], "b"), (None, apart[0], None)]
+    rows += [(3, apart[5], "a"), (7, apart[5].upper(), "a"), (7, apart[6], "a"), (7, apart[7], "a"), (None, apart[7], "a")]
+    rows += [(8, apart[8], "b"), (8, apart[8], "a"), (8, apart[8], "a"), (9, None, "x"), (9, "x", None)]
+    kept = []
+    for n in (1, 2, 3):
+        r.shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(n)
+        kept.append(sorted(map(str, S.drop_near_duplicates(df).collect())))
+        got = [(x.doc_id, x.text) for x in S.drop_near_duplicates(df).collect()]
+        want = [(None, t) for t in apart[:5]] + [(3, apart[5]), (7, apart[6]), (7, apart[7]), (8, apart[8]), (9, None), (9, "x")]
+        assert sorted(got, key=str) == sorted(want, key=str)
+    assert kept[0] == kept[1] == kept[2]
