@@ -6,16 +6,22 @@ sums the words of each pattern; the driver (one row per pattern, bounded by
 in which the second and third use of the same words cost more and more, so
 repetition is spread before it is stacked. Each pattern then takes whole passes
 over all its documents and a seeded share of one more pass: documents in hash
-order as long as they fit, then the one that fits the rest best. The share is
-found without sorting a pattern: sums over ``2 ** BUCKET_BITS`` hash buckets
-give the bucket where it ends, and only that bucket is ordered.
-
-The choice is a function of pattern, id and size, so it is applied in one
-projection and reruns agree.
+order, each that does not fit passed over, then the one that fits the rest
+best. Where that misses by more than ``CLOSE`` of the pattern's words, all that
+is left is larger than the gap; the share is then chosen anew with the larger
+documents first, which the smaller ones fill up, and the better choice holds.
+
+The share is found without sorting a pattern. A round takes the documents up to
+the first that does not fit: sums over ``2 ** BUCKET_BITS`` hash buckets give
+the bucket where that is, and only this bucket is ordered. The next round goes
+on behind it with the documents no larger than the gap, until the gap is within
+``CLOSE`` or nothing fits. A round is kept as a range of hashes and of sizes, so
+the choice is a function of pattern, id and size, is applied in one projection,
+and reruns agree.
 
 Defined results: a null text has size 0 and is taken 0 words; a null source is
 a source of its own, last in order; rows that agree in id, size and pattern
-are taken alike where the share ends with them; no document is taken more than
+are taken alike in the partial pass; no document is taken more than
 ``MAX_USES`` times; extra columns are ignored; an empty table gives an empty result.
 """
 
@@ -37,8 +43,11 @@ SEED = 5
 BUCKET_BITS = 12
 #: The driver gets one row per pattern; more patterns than this are an error.
 MAX_PATTERNS = 1_000_000
-#: A pattern table up to this many rows is broadcast (under 200 bytes a row).
+#: A pattern table up to this many rows and ranges is broadcast (under 200 bytes each).
 BROADCAST_ROWS = 50_000
+#: A pattern is close enough to its target at this fraction of its words.
+CLOSE = 0.001
+_FIRST, _LAST = -(1 << 63), (1 << 63) - 1
 
 Pattern = tuple  # of sources; None is a source
 
@@ -135,17 +144,25 @@ def _order(id_col: str) -> Column:
     return F.xxhash64(F.lit(SEED), F.col(id_col), F.col("size"))
 
 
+#: The documents of a round: hashes ``first`` to ``last``, sizes above ``over`` up to ``most``.
+_RANGES = "array<struct<first:bigint,last:bigint,over:bigint,most:bigint>>"
+
+
+def _within(ranges: str, hash_col: str) -> Column:
+    h, size = F.col(hash_col), F.col("size")
+    return F.exists(ranges, lambda r: h.between(r["first"], r["last"]) & (size > r["over"]) & (size <= r["most"]))
+
+
 class Mix:
-    """A fitted mix: for each pattern its passes and where the last one ends."""
+    """A fitted mix: for each pattern its passes and the ranges of its partial pass."""
 
-    COLUMNS = ("pattern string, source_size bigint, target double, passes int, last_bucket int, "
-               "last_hash bigint, fit_hash bigint, fit_size bigint")
+    COLUMNS = f"pattern string, source_size bigint, target double, passes int, ranges {_RANGES}, fit_hash bigint, fit_size bigint"
 
     def __init__(self, spark, rows: list[tuple], id_col: str):
         self.id_col = id_col
         self.rows = rows
         plan = spark.createDataFrame(rows, self.COLUMNS)
-        self.plan = F.broadcast(plan) if len(rows) <= BROADCAST_ROWS else plan
+        self.plan = F.broadcast(plan) if sum(1 + len(r[4]) for r in rows) <= BROADCAST_ROWS else plan
 
     @classmethod
     def fit(cls, docs: DataFrame, sources: Column, size: Column, targets=weighted_targets, id_col: str = "doc_id") -> Mix:
@@ -153,8 +170,10 @@ class Mix:
         words of each source to the words wanted."""
         spark = docs.sparkSession
         items = docs.select(F.col(id_col), F.to_json(F.array_sort(F.array_distinct(sources))).alias("pattern"), size.alias("size"))
-        items = write_read(items.withColumn("hash", _order(id_col)), "mixing")
-        sums = items.groupBy("pattern").agg(F.sum("size").alias("n")).limit(MAX_PATTERNS + 1).collect()
+        # Rows of equal hash and size (repeated rows) are one step: taken together or not at all.
+        steps = items.withColumn("hash", _order(id_col)).groupBy("pattern", "hash", "size").agg(F.sum("size").alias("n"))
+        steps = write_read(steps, "mixing")
+        sums = steps.groupBy("pattern").agg(F.sum("n").alias("n")).limit(MAX_PATTERNS + 1).collect()
         if len(sums) > MAX_PATTERNS:
             raise ValueError(f"more than {MAX_PATTERNS} patterns of sources: mix coarser sources")
         members = {x.pattern: tuple(json_list(x.pattern)) for x in sums}
@@ -165,16 +184,17 @@ class Mix:
                 sizes[s] += n
         target = targets(dict(sizes))
         flow = route(capacity, target)
-        passes, share = {}, {}
+        passes, share, close = {}, {}, {}
         for x in sums:
             words = min(sum(flow[members[x.pattern]].values()), float(MAX_USES * x.n))
             passes[x.pattern] = int((words + 1e-6) // x.n) if x.n else 0
             share[x.pattern] = max(0.0, words - passes[x.pattern] * x.n)
-        last, limit, fit = _ends(items, share, id_col)
+            close[x.pattern] = max(CLOSE * words, 0.5)  # sizes are whole
+        chosen = _partial(steps, {p: v for p, v in share.items() if v > 0}, close)
         rows = []
         for x in sums:
             p, first = x.pattern, members[x.pattern][0] if members[x.pattern] else None
-            rows.append((p, int(sizes.get(first, 0)), float(target.get(first, 0.0)), passes[p], last.get(p), limit.get(p), *fit.get(p, (None, None))))
+            rows.append((p, int(sizes.get(first, 0)), float(target.get(first, 0.0)), passes[p], *chosen.get(p, ([], None, None))))
         return cls(spark, rows, id_col)
 
     def uses(self, docs: DataFrame, sources: Column, size: Column) -> DataFrame:
@@ -182,13 +202,12 @@ class Mix:
         d = docs.withColumns({"size": size, "_pattern": F.to_json(F.array_sort(F.array_distinct(sources)))})
         d = d.withColumns({"_hash": _order(self.id_col)})
         plan = self.plan.select(F.col("pattern").alias("_pattern"), F.col("source_size"), F.col("target"),
-                                *[F.col(c).alias(f"_{c}") for c in ("passes", "last_bucket", "last_hash", "fit_hash", "fit_size")])
+                                *[F.col(c).alias(f"_{c}") for c in ("passes", "ranges", "fit_hash", "fit_size")])
         d = d.join(plan, "_pattern")
-        bucket = F.shiftright("_hash", 64 - BUCKET_BITS).cast("int")
-        more = (bucket < F.col("_last_bucket")) | ((bucket == F.col("_last_bucket")) & (F.col("_hash") <= F.col("_last_hash")))
-        more = F.coalesce(more, F.lit(False)) | F.coalesce((F.col("_hash") == F.col("_fit_hash")) & (F.col("size") == F.col("_fit_size")), F.lit(False))
+        more = _within("_ranges", "_hash")
+        more = more | F.coalesce((F.col("_hash") == F.col("_fit_hash")) & (F.col("size") == F.col("_fit_size")), F.lit(False))
         uses = F.when(F.col("size") > 0, F.col("_passes") + more.cast("int")).otherwise(0)
-        return d.withColumn("uses", uses.cast("int")).drop("_pattern", "_hash", "_passes", "_last_bucket", "_last_hash", "_fit_hash", "_fit_size")
+        return d.withColumn("uses", uses.cast("int")).drop("_pattern", "_hash", "_passes", "_ranges", "_fit_hash", "_fit_size")
 
 
 def json_list(text: str) -> list:
@@ -196,36 +215,100 @@ def json_list(text: str) -> list:
     return json.loads(text)
 
 
-def _ends(items: DataFrame, share: dict[str, float], id_col: str):
-    """Where each pattern's partial pass ends: its last bucket, the last hash
-    taken in that bucket, and (hash, size) of the document that fits the rest."""
-    spark = items.sparkSession
-
-    def side(rows, schema):
-        df = spark.createDataFrame(rows, schema)
-        return F.broadcast(df) if len(rows) <= BROADCAST_ROWS else df
-    wanted = [(p, s) for p, s in share.items() if s > 0]
-    if not wanted:
-        return {}, {}, {}
-    b = items.withColumn("bucket", F.shiftright("hash", 64 - BUCKET_BITS).cast("int")).where("size > 0")
-    sums = b.groupBy("pattern", "bucket").agg(F.sum("size").alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("pattern").orderBy("bucket"))
-    cut = sums.withColumn("upto", upto).join(side(wanted, "pattern string, share double"), "pattern")
-    cut = cut.where("upto > share and upto - n <= share").select("pattern", "bucket", "share", (F.col("upto") - F.col("n")).alias("before")).collect()
-    last = {x.pattern: x.bucket for x in cut}
-    ends = [(x.pattern, x.bucket, float(x.share), int(x.before)) for x in cut]
-    at = b.join(side(ends, "pattern string, bucket int, share double, before bigint"), ["pattern", "bucket"])
-    # Equal hashes (repeated rows) are one step of the sum: taken together or not at all.
-    run = F.sum("size").over(Window.partitionBy("pattern").orderBy("hash").rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    taken = at.withColumn("upto", F.col("before") + run).where("upto <= share")
-    got = {x.pattern: (x.h, x.upto) for x in taken.groupBy("pattern").agg(F.max("hash").alias("h"), F.max("upto").alias("upto")).collect()}
-    limit = {p: h for p, (h, _) in got.items()}
-    # The document outside the share that comes nearest to what is left.
-    gaps = [(p, bk, limit.get(p, -(1 << 63)), p in limit, float(s - got.get(p, (0, before))[1])) for p, bk, s, before in ends]
-    rest = b.join(side(gaps, "pattern string, last int, last_hash bigint, some boolean, gap double"), "pattern")
-    rest = rest.where("bucket > last or (bucket = last and (not some or hash > last_hash))").where("abs(size - gap) < gap")
-    best = rest.groupBy("pattern").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "hash", "size")).alias("x")).collect()
-    return last, limit, {r.pattern: (r.x.hash, r.x["size"]) for r in best}
+def _side(spark, rows: list[tuple], schema: str) -> DataFrame:
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= BROADCAST_ROWS else df
+
+
+def _rounds(steps: DataFrame, todo: dict[str, tuple], close: dict[str, float]):
+    """First fit in hash order. ``todo``: for each pattern the words to fill and
+    the sizes (above the first, up to the second) of the documents that may;
+    returns the ranges taken and the words still open of each."""
+    spark = steps.sparkSession
+    taken, gap = {p: [] for p in todo}, {p: t[0] for p, t in todo.items()}
+    first = dict.fromkeys(todo, _FIRST)
+
+    def most(p):
+        return int(min(gap[p], todo[p][2]))
+
+    def candidates():
+        rows = [(p, gap[p], first[p], todo[p][1], most(p)) for p in first]
+        at = steps.join(_side(spark, rows, "pattern string, gap double, first bigint, over bigint, most bigint"), "pattern")
+        return at.where("hash >= first and size > over and size <= most")
+    first = {p: f for p, f in first.items() if gap[p] > close[p] and most(p) > todo[p][1]}
+    while first:
+        b = candidates().withColumn("bucket", F.shiftright("hash", 64 - BUCKET_BITS).cast("int"))
+        sums = b.groupBy("pattern", "gap", "bucket").agg(F.sum("n").alias("n"))
+        sums = sums.withColumn("upto", F.sum("n").over(Window.partitionBy("pattern", "gap").orderBy("bucket")))
+        cut = F.min(F.when(F.col("upto") > F.col("gap"), F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"))))
+        cuts = sums.groupBy("pattern").agg(cut.alias("cut"), F.max("upto").alias("total")).collect()
+        for x in cuts:
+            if x.cut is None:  # all of them fit
+                taken[x.pattern].append((first[x.pattern], _LAST, todo[x.pattern][1], most(x.pattern)))
+                gap[x.pattern] -= x.total
+        ends = [(x.pattern, x.cut.bucket, x.cut.before) for x in cuts if x.cut]
+        if not ends:
+            break
+        at = b.join(_side(spark, ends, "pattern string, bucket int, before bigint"), ["pattern", "bucket"])
+        run = F.sum("n").over(Window.partitionBy("pattern").orderBy("hash").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        upto = F.col("before") + run
+        fits = F.col("upto") <= F.col("gap")
+        got = at.withColumn("upto", upto).groupBy("pattern").agg(
+            F.coalesce(F.max(F.when(fits, F.col("upto"))), F.max("before")).alias("words"), F.min(F.when(~fits, F.col("hash"))).alias("stop")).collect()
+        begin, first = first, {}
+        for x in got:
+            p = x.pattern
+            if x.words:
+                taken[p].append((begin[p], x.stop - 1, todo[p][1], most(p)))
+                gap[p] -= x.words
+            if gap[p] > close[p] and x.stop < _LAST and most(p) > todo[p][1]:
+                first[p] = x.stop + 1
+        if first:  # a round begins at a document that fits, so each one takes some
+            first = {x.pattern: x.h for x in candidates().where("n <= gap").groupBy("pattern").agg(F.min("hash").alias("h")).collect()}
+    return taken, gap
+
+
+def _nearest(steps: DataFrame, taken: dict[str, list], gap: dict[str, float]) -> dict:
+    """(words, hash, size) of the document outside ``taken`` that comes nearest to the gap."""
+    rows = [(p, taken[p], gap[p]) for p in gap]
+    rest = steps.join(_side(steps.sparkSession, rows, f"pattern string, ranges {_RANGES}, gap double"), "pattern")
+    rest = rest.where(F.expr("size > 0 and abs(n - gap) < gap") & ~_within("ranges", "hash"))
+    best = rest.groupBy("pattern").agg(F.min(F.struct(F.abs(F.col("n") - F.col("gap")).alias("off"), "hash", "size")).alias("x")).collect()
+    return {r.pattern: (r.x.off, r.x.hash, r.x["size"]) for r in best}
+
+
+def _partial(steps: DataFrame, share: dict[str, float], close: dict[str, float]) -> dict[str, tuple]:
+    """The partial pass of each pattern: its ranges, and hash and size of the document that fits the rest.
+
+    A choice is made class by class, larger sizes first. It begins with one
+    class of all sizes; a choice that misses adds its gap, as a power of two, as
+    a bound between classes, until the miss is close or the bound is there.
+    """
+    best: dict[str, tuple] = {}
+    bounds: dict[str, list] = {p: [] for p in share}
+    while bounds:
+        taken, gap = {p: [] for p in bounds}, {p: share[p] + 1e-6 for p in bounds}
+        for i in range(1 + max(map(len, bounds.values()))):
+            todo = {}
+            for p, at in bounds.items():
+                cuts = [int(share[p] + 1e-6), *sorted(at, reverse=True), 0]
+                if i + 1 < len(cuts):
+                    todo[p] = (gap[p], cuts[i + 1], cuts[i])
+            more, left = _rounds(steps, todo, close)
+            for p in todo:
+                taken[p] += more[p]
+            gap |= left
+        fit = _nearest(steps, taken, gap)
+        again = {}
+        for p, at in bounds.items():
+            miss, *last = fit.get(p, (gap[p], None, None))
+            if p not in best or miss < best[p][0]:
+                best[p] = (miss, taken[p], *last)
+            bound = 1 << int(gap[p]).bit_length() >> 1
+            if miss > close[p] and 0 < bound < share[p] and bound not in at:
+                again[p] = [*at, bound]
+        bounds = again
+    return {p: x[1:] for p, x in best.items()}
 
 
 def _one_source(column: str) -> Column:

@@ -66,3 +66,31 @@ def test_overlap_and_edges(spark):
     got = M.Mix.fit(df, F.col("s"), size).uses(df, F.col("s"), size)
     assert got.count() == len(rows) + 2 and got.where("uses > 3 or (size = 0 and uses > 0)").count() == 0
     assert M.Mix.fit(df.limit(0), F.col("s"), size).uses(df.limit(0), F.col("s"), size).count() == 0
+
+
+@pytest.mark.parametrize("sizes,share", [
+    ([60_000] + [1_000] * 40, 40_000),
+    ([4_000] + [8] * 1_000, 8_400),  # the long one is needed
+    ([4_000] + [8] * 1_000, 6_000),
+    ([4_000, 4_000] + [10] * 300, 9_000),
+    ([5_000] + [500] * 5 + [1] * 100, 5_050),
+])
+def test_one_document_dominates(spark, sizes, share):
+    """An exact choice exists; the sources are trials that differ in their documents' hashes."""
+    rows = [(f"{t} {i}", t, n) for t in range(12) for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id string, source string, words long").repartition(4)
+    size, src = F.col("words"), F.array("source")
+    mix = M.Mix.fit(docs, src, size, targets=lambda sums: dict.fromkeys(sums, float(share)))
+    got = mix.uses(docs, src, size).groupBy("source").agg(F.sum(F.col("size") * F.col("uses")).alias("taken"), F.max("uses").alias("most")).collect()
+    assert len(got) == 12 and all(x.most == 1 and abs(x.taken - share) <= M.CLOSE * share + 1e-6 for x in got)
+
+
+def test_rows_without_id_are_weighed_together(spark):
+    """Rows without id of one size have one hash: all or none of them, and not above the share."""
+    rows = [(None, "a", 50)] * 200 + [(i, "a", 30) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, words long")
+    size, src = F.col("words"), F.array("source")
+    for share in (9_050, 10_010, 30_050):
+        mix = M.Mix.fit(docs, src, size, targets=lambda sums: {"a": float(share)})
+        taken = mix.uses(docs, src, size).agg(F.sum(F.col("size") * F.col("uses"))).first()[0]
+        assert abs(taken - share) <= 30
