@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from fillbook.llm import (bitpack, hamming_search, langid, merkle, mixing, packing, pii, quality,  # noqa: F401
-                          simhash, token_counts, toxicity, urls)
+from fillbook.llm import (bitpack, hamming_search, langid, merkle, mixing, packing, pii, prefix_trie,  # noqa: F401
+                          quality, simhash, token_counts, toxicity, urls)
 from fillbook.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
