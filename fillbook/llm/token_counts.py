@@ -6,14 +6,14 @@ cut into pieces once, and only counts travel:
 
 1. texts are read in blocks (an Arrow batch, at most ``ARROW_BYTES`` of text).
    Arrow splits and numbers the words of a block, the library's normalizer and
-   pre-tokenizer cut each distinct word, and numpy counts (pre-token, document)
-   pairs. A block is written as one row: its distinct pre-tokens, and for each
-   the documents that hold it and how often;
-2. the distinct pre-tokens of all blocks are cut by the vocabulary's model:
-   one row each, its number of pieces;
-3. (block, pre-token) rows join those numbers - a pre-token that every
-   document holds is one row a block - and a block's numbers return to it,
-   where frequencies times pieces are added up per document.
+   pre-tokenizer cut the distinct words, and numpy counts (pre-token, document)
+   pairs. A block keeps the frequencies, and deals its distinct pre-tokens into
+   buckets by their hash, as many as the session has shuffle partitions;
+2. a bucket meets the pre-tokens of all blocks that hash to it, and the
+   vocabulary's model cuts each distinct one once;
+3. the numbers of pieces join their block, where frequencies times pieces are
+   added up per document. A pre-token that every document holds is one entry a
+   block, so no key is hot.
 
 A word that holds the string of an added token is counted whole, by the library.
 
@@ -25,6 +25,7 @@ table gives an empty result. The largest text bounds a task's memory.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,9 +40,9 @@ from fillbook.llm.tokens import tokenizer_path
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
-#: Words whose pre-tokens a task process remembers.
-REMEMBERED = 500_000
-#: Words longer than this are not remembered.
+#: Words, or pre-tokens of a bucket, that a task process remembers.
+REMEMBERED = 400_000
+#: Longer ones are not remembered.
 LONGEST = 64
 
 
@@ -70,21 +71,40 @@ class Counter:
     def _whole(self, text: str) -> int:
         return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def units(self, word: str) -> list[str]:
-        """The units of a word without blanks, tabs or line ends."""
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        plain = self.normalizer.normalize_str(word) if self.normalizer else word
+    def _units(self, word: str, plain: str) -> list[str]:
         if any(a in word or a in plain for a in self.added):
-            found = [" " + word]
-        else:
-            found = [u for u, _ in self.cut.pre_tokenize_str(plain)]
-        if len(word) <= LONGEST:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            self.words[word] = found
-        return found
+            return [" " + word]
+        return [u for u, _ in self.cut.pre_tokenize_str(plain)]
+
+    def units(self, words: list[str]) -> list[list[str]]:
+        """The units of words without blanks, tabs or line ends."""
+        known = list(map(self.words.get, words))
+        new = [w for w, x in zip(words, known, strict=True) if x is None]
+        found = dict(zip(new, self._cut(new), strict=True)) if new else {}
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        self.words.update((w, x) for w, x in found.items() if len(w) <= LONGEST)
+        return [found[w] if x is None else x for w, x in zip(words, known, strict=True)]
+
+    def _cut(self, words: list[str]) -> list[list[str]]:
+        """Cuts words in one call each of normalizer and pre-tokenizer, or one
+        by one where a word has white space of another kind or an added token."""
+        text = " ".join(words)
+        plain = self.normalizer.normalize_str(text) if self.normalizer else text
+        parts = plain.split(" ")
+        if len(parts) != len(words) or any(a in text or a in plain for a in self.added):
+            if len(words) > 1:
+                half = len(words) // 2
+                return self._cut(words[:half]) + self._cut(words[half:])
+            return [self._units(words[0], plain)]
+        out: list[list[str]] = [[] for _ in words]
+        word, end = 0, len(parts[0])
+        for unit, (a, _) in self.cut.pre_tokenize_str(plain):
+            while a > end:
+                word += 1
+                end += 1 + len(parts[word])
+            out[word].append(unit)
+        return out
 
     def pieces(self, unit: str) -> int:
         """Number of tokens of a unit."""
@@ -97,54 +117,91 @@ def counter(name: str = TOKENIZER) -> Counter:
     return Counter(name)
 
 
-def block_frequencies(code: Counter, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct units of a block; how many documents hold each; those documents
-    (their numbers in the block) and the unit's frequency in them, unit by unit."""
+def block_frequencies(code: Counter, texts: pa.Array, buckets: int) -> tuple[list[list[str]], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct units of a block by bucket; and, unit by unit in that order, how
+    many documents hold it, their numbers in the block, its frequency in them."""
     flat = pc.fill_null(texts, "")
     for blank in "\n\t\r":
         flat = pc.replace_substring(flat, blank, " ")
     lists = pc.split_pattern(flat, " ")
     numbered = lists.values.dictionary_encode()
+    words = numbered.dictionary.to_pylist()
+    cut = code.units([w or "." for w in words])
     number: dict[str, int] = {}
-    cut = [[number.setdefault(u, len(number)) for u in code.units(w)] if w else [] for w in numbered.dictionary.to_pylist()]
-    size = np.fromiter(map(len, cut), np.int64, len(cut))
-    pool = np.fromiter((u for us in cut for u in us), np.int64, int(size.sum()))
+    cut = [[number.setdefault(u, len(number)) for u in us] if w else [] for w, us in zip(words, cut, strict=True)]
+    bucket = np.fromiter((zlib.crc32(u.encode()) % buckets for u in number), np.int64, len(number))
+    order = np.argsort(bucket, kind="stable")
+    rank = np.empty(len(number), np.int64)
+    rank[order] = np.arange(len(number))
+    size = np.fromiter(map(len, cut), np.int32, len(cut))
+    pool = rank[np.fromiter((u for us in cut for u in us), np.int64, int(size.sum()))]
     begin = np.cumsum(size) - size
     at = numbered.indices.to_numpy()
-    offsets = lists.offsets.to_numpy()
-    doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    doc = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
     n = size[at]
     upto = np.cumsum(n)
-    unit = pool[np.repeat(begin[at] - upto + n, n) + np.arange(upto[-1] if len(n) else 0)]
-    pair, times = np.unique(unit * max(len(texts), 1) + np.repeat(doc, n), return_counts=True)
+    pair = pool[np.repeat(begin[at] - upto + n, n) + np.arange(upto[-1] if len(n) else 0)]
+    pair *= max(len(texts), 1)
+    pair += np.repeat(doc, n)
+    pair, times = np.unique(pair, return_counts=True)
     held, doc = np.divmod(pair, max(len(texts), 1))
-    return list(number), np.bincount(held, minlength=len(number)), doc.astype("<u4"), times.astype("<u4")
+    names = list(number)
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
+    units = [[names[i] for i in order[a:z].tolist()] for a, z in zip(ends, ends[1:], strict=False)]
+    return units, np.bincount(held, minlength=len(names)), doc, times
 
 
-_BLOCK = "block bigint, doc_ids array<{id}>, n_bytes array<bigint>, units array<string>, holders binary, docs binary, times binary"
+def _squeeze(numbers: np.ndarray) -> bytes:
+    return zlib.compress(numbers.astype("<u4").tobytes(), 1)
 
 
-def _block_batches(tokenizer: str, id_type: pa.DataType):
+def _numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), "<u4").astype(np.int64)
+
+
+#: A block's frequencies (bucket null), or its units of one bucket.
+_BLOCK = "block bigint, bucket int, doc_ids array<{id}>, n_bytes array<bigint>, holders binary, docs binary, times binary, units binary"
+
+
+def _block_batches(tokenizer: str, buckets: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]):
         from pyspark import TaskContext
         block = TaskContext.get().partitionId() << 32
+        kinds = [pa.int64(), pa.int32(), pa.list_(id_type), pa.list_(pa.int64()), *[pa.binary()] * 4]
+        names = ["block", "bucket", "doc_ids", "n_bytes", "holders", "docs", "times", "units"]
         for b in batches:
             ids, texts = b.column(0), b.column(1)
-            units, holders, docs, times = block_frequencies(counter(tokenizer), texts)
+            units, *counts = block_frequencies(counter(tokenizer), texts, buckets)
             size = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
-            raw = [pa.array([x.astype("<u4").tobytes()], pa.binary()) for x in (holders, docs, times)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.ListArray.from_arrays([0, len(ids)], ids.cast(id_type)), pa.ListArray.from_arrays([0, len(ids)], size),
-                 pa.array([units], pa.list_(pa.string())), *raw], names=["block", "doc_ids", "n_bytes", "units", "holders", "docs", "times"])
+            lists = [pa.ListArray.from_arrays([0, len(ids)], x) for x in (ids.cast(id_type), size)]
+            yield pa.RecordBatch.from_arrays([pa.array([block], kinds[0]), pa.nulls(1, kinds[1]), *lists,
+                                              *[pa.array([_squeeze(c)], pa.binary()) for c in counts], pa.nulls(1, pa.binary())], names=names)
+            full = [i for i, us in enumerate(units) if us]
+            data = [zlib.compress("\n".join(units[i]).encode(), 1) for i in full]
+            yield pa.RecordBatch.from_arrays([pa.array([block] * len(full), kinds[0]), pa.array(full, kinds[1]), *[pa.nulls(len(full), k) for k in kinds[2:7]],
+                                              pa.array(data, pa.binary())], names=names)
             block += 1
     return frugal(run)
 
 
 def _piece_batches(tokenizer: str):
+    """Units of a bucket, block after block -> their numbers of pieces."""
     def run(batches: Iterator[pa.RecordBatch]):
+        bucket, known = None, {}
         for b in batches:
-            code = counter(tokenizer)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(code.pieces, b.column(0).to_pylist()), pa.int32())], names=["unit", "pieces"])
+            code, out = counter(tokenizer), []
+            for k, data in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if k != bucket or len(known) > REMEMBERED:
+                    bucket, known = k, {}
+                units = zlib.decompress(data).decode().split("\n")
+                for u in units:
+                    if u not in known:
+                        known[u] = code.pieces(u)
+                out.append(_squeeze(np.fromiter(map(known.get, units), np.int64, len(units))))
+                for u in units:
+                    if len(u) > LONGEST:
+                        known.pop(u, None)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["block", "bucket", "pieces"])
     return frugal(run)
 
 
@@ -153,45 +210,33 @@ def _sum_batches(id_type: pa.DataType):
         for b in batches:
             for i in range(b.num_rows):
                 row = {name: b.column(k)[i] for k, name in enumerate(b.schema.names)}
-                ids, total = row["doc_ids"].values, np.zeros(len(row["doc_ids"].values), np.int64)
-                holders, docs, times = (np.frombuffer(row[c].as_buffer(), "<u4") for c in ("holders", "docs", "times"))
-                if len(holders):
-                    found = row["found"].values
-                    pieces = np.zeros(len(holders), np.int64)
-                    pieces[found.field("at").to_numpy()] = found.field("pieces").to_numpy()
-                    order = np.argsort(docs, kind="stable")
-                    amounts = np.append(0, np.cumsum((np.repeat(pieces, holders) * times)[order]))
-                    ends = np.searchsorted(docs[order], np.arange(len(ids)), "right")
-                    total = np.diff(amounts[np.append(0, ends)])
+                ids = row["doc_ids"].values
+                found = sorted((row["found"].as_py() or []), key=lambda x: x["bucket"])
+                holders, docs, times = (_numbers(row[c].as_py()) for c in ("holders", "docs", "times"))
+                pieces = np.concatenate([_numbers(x["pieces"]) for x in found] or [np.zeros(0, np.int64)])
+                amounts = np.repeat(pieces, holders) * times
+                order = np.argsort(docs, kind="stable")
+                upto = np.append(0, np.cumsum(amounts[order]))
+                ends = np.searchsorted(docs[order], np.arange(len(ids)), "right")
+                total = np.diff(upto[np.append(0, ends)])
                 yield pa.RecordBatch.from_arrays([ids.cast(id_type), row["n_bytes"].values, pa.array(total)], names=["doc_id", "n_bytes", "n_tokens"])
     return frugal(run)
 
 
-def block_table(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pre-token frequencies of all documents, one row a block, written in the shared folder."""
-    from pyspark.sql.pandas.types import to_arrow_type
-    kind = docs.schema[id_col].dataType
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return write_read(rows.mapInArrow(_block_batches(tokenizer, to_arrow_type(kind)), _BLOCK.format(id=kind.simpleString())), "frequencies")
-
-
-def piece_counts(blocks: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """``(unit, pieces)``: each distinct pre-token of the blocks, counted once."""
-    distinct = blocks.select(F.explode("units").alias("unit")).distinct()
-    return distinct.mapInArrow(_piece_batches(tokenizer), "unit string, pieces int")
-
-
 def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_bytes, n_tokens)`` of every row."""
     from pyspark.sql.pandas.types import to_arrow_type
     kind = docs.schema[id_col].dataType
-    blocks = block_table(docs, tokenizer, id_col, text_col)
-    asked = blocks.select("block", F.posexplode("units").alias("at", "unit"))
-    found = asked.join(piece_counts(blocks, tokenizer), "unit")
-    found = found.groupBy("block").agg(F.collect_list(F.struct("at", "pieces")).alias("found"))  # a block's units: bounded
-    rows = blocks.drop("units").join(found, "block", "left")
-    return rows.select("doc_ids", "n_bytes", "holders", "docs", "times", "found").mapInArrow(
-        _sum_batches(to_arrow_type(kind)), f"doc_id {kind.simpleString()}, n_bytes bigint, n_tokens bigint")
+    id_type = to_arrow_type(kind)
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = write_read(rows.mapInArrow(_block_batches(tokenizer, buckets, id_type), _BLOCK.format(id=kind.simpleString())), "frequencies")
+    units = rows.where("bucket is not null").select("block", "bucket", "units").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    found = units.mapInArrow(_piece_batches(tokenizer), "block bigint, bucket int, pieces binary")
+    found = found.groupBy("block").agg(F.collect_list(F.struct("bucket", "pieces")).alias("found"))  # one a bucket at most
+    blocks = rows.where("bucket is null").drop("bucket", "units").join(found, "block", "left")
+    return blocks.select("doc_ids", "n_bytes", "holders", "docs", "times", "found").mapInArrow(
+        _sum_batches(id_type), f"doc_id {kind.simpleString()}, n_bytes bigint, n_tokens bigint")
 
 
 @register("op11_token_counts")
