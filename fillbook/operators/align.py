@@ -4,7 +4,7 @@ Long form throughout: a series table has ``group`` columns (one plot, e.g. a
 market), a ``series`` column (one line), a timestamp and a value. The clock of
 a group is the distinct union of its series' timestamps. Every operator is
 partitioned by group/series; running values use the segmented scan so a hot
-series is split into rate-sized segments.
+series is split into segments of equal size.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fillbook.operators.scan import segmented_running, with_rate_segments
+from fillbook.operators.scan import segmented_running, with_segments
 from fillbook.operators.dedupe import first_per_key
 
 
@@ -55,7 +55,7 @@ def align_asof(series: DataFrame, group: list[str], name: str = "series", ts: st
     not by non-null value).
 
     Running "last row" is a segmented scan over (group, series); segments are
-    sized by each series' row rate unless given.
+    cut at quantiles of each series unless given.
     """
     grid = _grid(series, group, name, ts)
     exact = _first_per_tick(series, group, name, ts, value, seq)
@@ -69,7 +69,7 @@ def align_asof(series: DataFrame, group: list[str], name: str = "series", ts: st
         F.lit(None).cast(src.schema["_row"].dataType).alias("_row"))
     u = src.unionByName(clk)
     u = u.withColumn("_seg", segment) if segment is not None else \
-        with_rate_segments(u, group + [name], ts)
+        with_segments(u, group + [name], ts)
     run = segmented_running(u, group + [name], "_seg", [ts, "_kind", "_seq"], "_row", "last",
                             "_prev")
     ticks = run.where(F.col("_kind") == 0).select(*group, name, ts, "_prev")
@@ -92,7 +92,7 @@ def gapfree_index(clock: DataFrame, group: list[str], ts: str = "ts", start: int
                   segment: Column | None = None) -> DataFrame:
     """Consecutive 0-based position of each tick within its group, plus ``start``."""
     c = clock.withColumn("_one", F.lit(1))
-    c = c.withColumn("_seg", segment) if segment is not None else with_rate_segments(c, group, ts)
+    c = c.withColumn("_seg", segment) if segment is not None else with_segments(c, group, ts)
     run = segmented_running(c, group, "_seg", [ts], "_one", "sum", "_pos")
     return run.select(*group, ts, (F.col("_pos") - 1 + F.lit(start)).alias("idx"))
 
@@ -122,7 +122,7 @@ def filter_positions(df: DataFrame, group: list[str], ts: str, start: int = 0,
     Position = segmented running count; group size = an aggregate joined back.
     """
     d = df.withColumn("_one", F.lit(1))
-    d = d.withColumn("_seg", segment) if segment is not None else with_rate_segments(d, group, ts)
+    d = d.withColumn("_seg", segment) if segment is not None else with_segments(d, group, ts)
     d = segmented_running(d, group, "_seg", [ts], "_one", "sum", "_pos")
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     d = d.join(sizes, group, "left").withColumn("_pos", F.col("_pos") - 1)

@@ -1,227 +1,154 @@
 """Bar indicators: simple moving average and Wilder RSI, for every market at once.
 
-Indicators run over bars, not ticks. Bars per market are bounded by the time
-span divided by the bar width (a year of 2-minute bars is 262,800 rows),
-whatever the tick volume of the market, so one market's bars fit one task.
+Both run on segments of a market's bars (``scan.with_segments``), so a market
+with any number of bars is many tasks, and both are built-in expressions only.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from fillbook.operators.scan import Segments, either, fold_rows, last_state, segmented_running, with_segments
+from fillbook.session import materialize
 
-def sma(bars: DataFrame, n: int, key: str = "market_id", order: str = "bar_start",
-        value: str = "close", out: str | None = None, segmented: bool = False) -> DataFrame:
-    """Mean of the last ``n`` values; null until ``n`` values exist.
+SEG = "_seg"
 
-    ``segmented=True`` avoids the per-market window: each bar gets its
-    position from a segmented running count, sends its value to the next
-    ``n`` positions (a fan-out bounded by ``n``), and every position sums its
-    ``n`` values in position order - the same additions, in the same order,
-    as the sliding window.
-    """
-    out = out or f"sma_{n}"
-    if segmented:
-        return _sma_segmented(bars, n, key, order, value, out)
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(-(n - 1), 0)
-    return bars.withColumn(out, F.when(F.count(value).over(w) == n, F.avg(value).over(w)))
-
-
-def _sma_segmented(bars: DataFrame, n: int, key: str, order: str, value: str,
-                   out: str) -> DataFrame:
-    from fillbook.operators.scan import segmented_running, with_rate_segments
-    d = with_rate_segments(bars.withColumn("_one", F.lit(1)), [key], order)
-    d = segmented_running(d, [key], "_seg", [order], "_one", "sum", "_pos")
-    sent = d.select(key, F.col(value).alias("_v"), "_pos",
-                    F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_k"))
-    sent = sent.select(key, (F.col("_pos") + F.col("_k")).alias("_target"),
-                       F.struct(F.col("_pos").alias("p"), F.col("_v").alias("v")).alias("_pv"))
-    win = sent.groupBy(key, "_target").agg(F.array_sort(F.collect_list("_pv")).alias("_w"))
-    vals = F.transform(F.col("_w"), lambda x: x["v"])
-    total = F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x)
-    full = (F.size("_w") == n) & F.forall(vals, lambda x: x.isNotNull())
-    means = win.select(key, F.col("_target").alias("_pos"),
-                       F.when(full, total / F.lit(float(n))).alias(out))
-    return d.join(means, [key, "_pos"], "left").drop("_one", "_seg", "_pos")
-
-
-def _wilder_rsi(close: np.ndarray, period: int) -> np.ndarray:
-    """RSI with Wilder smoothing: averages seeded with the mean of the first
-    ``period`` up/down moves, then a <- (a * (period - 1) + x) / period.
-
-    No losses -> 100; no moves at all -> 50.
+
+def segmented(bars: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """``bars`` with their segments, which the operators hand on to each other.
+
+    Bars are an aggregate of ticks that every indicator reads several times, so
+    they are written once when the segments are found."""
+    return bars if SEG in bars.columns else with_segments(materialize(bars, "bars"), keys, order, SEG)
+
+
+def sma(bars: DataFrame, n: int | list[int], key: str = "market_id", order: str = "bar_start",
+        value: str = "close", out: str | None = None) -> DataFrame:
+    """Mean of the last ``n`` values; null until ``n`` values exist. Several
+    ``n`` make several columns in one pass, ``sma_<n>`` each.
+
+    Rows behind the first ``n - 1`` of a segment take a window mean; those at
+    its start add the last values of the segments before, in the same order.
     """
-    n = len(close)
-    out = np.full(n, np.nan)
-    if n <= period:
-        return out
-    delta = np.diff(close)
-    up = np.where(delta > 0, delta, 0.0)
-    dn = np.where(delta < 0, -delta, 0.0)
-    au = float(up[:period].sum()) / period
-    ad = float(dn[:period].sum()) / period
-    k = period - 1
-    res = []
-    # The recursion is inherently sequential; it is one pass over one market.
-    for i in range(period, n):
-        if i > period:
-            au = (au * k + float(up[i - 1])) / period
-            ad = (ad * k + float(dn[i - 1])) / period
-        if ad == 0.0:
-            res.append(50.0 if au == 0.0 else 100.0)
-        else:
-            res.append(100.0 - 100.0 / (1.0 + au / ad))
-    out[period:] = res
-    return out
+    ns = [n] if isinstance(n, int) else list(n)
+    most = max(ns)
+    d = segmented(bars, [key], order)
+    s = Segments(d, [key], SEG, [order])
+    means = {f"_mean{i}": F.when(F.count(value).over(w) == n, F.avg(value).over(w))
+             for i, n in enumerate(ns) for w in [s.window.rowsBetween(-(n - 1), 0)]}
+    if s.whole:
+        s.with_columns(**means)
+        made = [F.col(f"_mean{i}") for i in range(len(ns))]
+        rows = s.rows
+    else:
+        near = F.collect_list(F.struct(F.col(value).alias("v"))).over(s.window.rowsBetween(-(most - 1), 0))
+        s.with_columns(_pos=F.row_number().over(s.window), _near=near, **means)
+
+        def tails() -> DataFrame:
+            t = s.summary(F.max_by("_near", "_pos").alias("_end"))
+            # Each earlier segment holds a row at least, so this many are enough.
+            return t.withColumn("_tail", F.flatten(F.collect_list("_end").over(s.key.rowsBetween(-most, -1))))
+        rows = s.entered(tails, _tail=F.array()).withColumn("_last", F.concat("_tail", "_near"))
+        made = []
+        for i, n in enumerate(ns):
+            last = F.slice("_last", F.greatest(F.size("_last") - n + 1, F.lit(1)), F.lit(n))
+            full = (F.size(last) == n) & F.forall(last, lambda x: x["v"].isNotNull())
+            total = F.aggregate(last, F.lit(0.0), lambda a, x: a + x["v"])
+            made.append(F.when(F.col("_pos") >= n, F.col(f"_mean{i}")).when(full, total / F.lit(float(n))))
+    names = [out or f"sma_{n}" for n in ns] if len(ns) == 1 else [f"sma_{n}" for n in ns]
+    return rows.select(*d.columns, *[m.alias(name) for m, name in zip(made, names, strict=True)]).drop(*_own(bars))
+
+
+def _own(bars: DataFrame) -> list[str]:
+    """Columns that the caller did not have."""
+    return [] if SEG in bars.columns else [SEG]
+
+
+def _averages(x: Column, u: Column, d: Column, p: int) -> list[Column]:
+    """Wilder's averages after bar ``x.i``: the first ``p`` moves are summed and
+    divided once, then a <- (a (p - 1) + move) / p."""
+    k = F.lit(float(p))
+
+    def after(a: Column, move: Column) -> Column:
+        return either([(x["i"] < 1, F.lit(0.0)), (x["i"] < p, a + move), (x["i"] == p, (a + move) / k)], (a * F.lit(float(p - 1)) + move) / k)
+    return [after(u, x["up"]), after(d, x["dn"])]
+
+
+def _index(u: Column, d: Column) -> Column:
+    """RSI of the two averages. No losses -> 100; no moves at all -> 50."""
+    return F.when(d == 0.0, F.when(u == 0.0, F.lit(50.0)).otherwise(F.lit(100.0))).otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + u / d))
 
 
 def rsi(bars: DataFrame, periods: list[int] | int = 2, key: str = "market_id",
-        order: str = "bar_start", value: str = "close", chunk_unit: str | None = None) -> DataFrame:
-    """Add ``rsi_<p>`` for each period: one grouped pandas pass per market
-    (Arrow batches), rows sorted by ``order`` inside the group.
-
-    All bar columns pass through the pandas function, so no join back is
-    needed and the output stays hash-partitioned by ``key`` for the windows
-    that usually follow. ``chunk_unit`` ('day', 'hour', ...) switches to the
-    chunked path (``rsi_chunked``) for histories too long for one task.
+        order: str = "bar_start", value: str = "close") -> DataFrame:
+    """Add ``rsi_<p>`` for each period; null for the first ``p`` bars of a market.
+
+    A bar maps Wilder's average a to alpha a + beta. Each segment composes its
+    bars to one such pair; the pairs of a market, one per segment, give the
+    averages that enter each segment; then the segment's bars are folded from
+    there, in order. A market of one segment is folded in order as a whole.
     """
-    if chunk_unit:
-        return rsi_chunked(bars, periods, key, order, value, chunk_unit)
     ps = [periods] if isinstance(periods, int) else list(periods)
-    out_fields = [T.StructField(f"rsi_{p}", T.DoubleType()) for p in ps]
-    schema = T.StructType(list(bars.schema.fields) + out_fields)
-
-    def per_market(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        c = pdf[value].to_numpy(dtype="float64")
+    d = segmented(bars, [key], order)
+    s = Segments(d, [key], SEG, [order])
+    # Each bar's number in the market and its move.
+    s.with_columns(_pos=F.row_number().over(s.window), _prev=F.lag(value).over(s.window))
+
+    def ends() -> DataFrame:
+        e = s.summary(F.max("_pos").alias("_n"), F.max_by(value, "_pos").alias("_last"))
+        return e.select("_gk", SEG, F.coalesce(F.sum("_n").over(s.before), F.lit(0)).alias("_before"), F.lag("_last").over(s.key).alias("_end"),
+                        F.lead("_n").over(s.key).isNotNull().alias("_more"))
+
+    rows = s.entered(ends, _before=F.lit(0), _end=F.lit(None), _more=F.lit(False))
+    move = F.col(value) - F.when(F.col("_pos") == 1, F.col("_end")).otherwise(F.col("_prev"))
+    row = F.struct(F.col("_pos").alias("pos"), (F.col("_pos") - 1 + F.col("_before")).alias("i"),
+                   F.when(move > 0, move).otherwise(F.lit(0.0)).alias("up"), F.when(move < 0, -move).otherwise(F.lit(0.0)).alias("dn"),
+                   F.struct(*[F.col(c) for c in d.columns if c != SEG]).alias("bar"))
+    rows = rows.select("_gk", SEG, "_more", row.alias("_row"))
+    in_order = F.array_sort(F.collect_list("_row")).alias("_rows")  # bounded by the segment
+
+    zero, one = F.lit(0.0), F.lit(1.0)
+
+    def compose(a: Column, x: Column) -> Column:
+        """One more bar: the factor and what is added, for both averages."""
+        fields = []
         for p in ps:
-            pdf[f"rsi_{p}"] = _wilder_rsi(c, p)
-        return pdf
-
-    r = bars.groupBy(key).applyInPandas(per_market, schema)
-    # NaN from the fold means "not defined yet": SQL null.
-    return r.select(*bars.columns, *[F.nanvl(F.col(f"rsi_{p}"), F.lit(None).cast("double"))
-                                     .alias(f"rsi_{p}") for p in ps])
+            alpha = either([(x["i"] < 1, zero), (x["i"] < p, one), (x["i"] == p, F.lit(1.0 / p))], F.lit((p - 1.0) / p))
+            up, dn = _averages(x, a[f"u{p}"], a[f"d{p}"], p)
+            fields += [(alpha * a[f"a{p}"]).alias(f"a{p}"), up.alias(f"u{p}"), dn.alias(f"d{p}")]
+        return F.struct(*fields)
+
+    unit = F.struct(*[c.alias(f"{n}{p}") for p in ps for n, c in (("a", one), ("u", zero), ("d", zero))])
+    def enter(e: Column, x: Column) -> Column:
+        """The averages behind a segment that they enter."""
+        return F.struct(*[(x["_map"][f"a{p}"] * e[f"{n}{p}"] + x["_map"][f"{n}{p}"]).alias(f"{n}{p}") for p in ps for n in "ud"])
+
+    start = F.struct(*[zero.alias(f"{n}{p}") for p in ps for n in "ud"])
+    def enters() -> DataFrame:
+        """The averages that enter each segment but the first of a key."""
+        # Only a segment that another one follows needs its map.
+        maps = rows.where("_more").groupBy("_gk", SEG).agg(in_order).select("_gk", SEG, last_state(F.col("_rows"), unit, compose).alias("_map"))
+        after = maps.groupBy("_gk").agg(F.array_sort(F.collect_list(F.struct(SEG, "_map"))).alias("_maps"))  # one per segment
+        after = after.select("_gk", F.explode(F.arrays_zip(F.transform("_maps", lambda x: x[SEG]).alias("seg"),
+                                                           fold_rows(F.col("_maps"), start, enter).alias("state"))).alias("_e"))
+        next_ = ends().select("_gk", SEG, F.lag(SEG).over(s.key).alias("_last_seg")).where("_last_seg is not null")
+        return next_.join(after.select("_gk", F.col("_e.seg").alias("_last_seg"), F.col("_e.state").alias("_enter")), ["_gk", "_last_seg"]).drop("_last_seg")
+
+    def bar(e: Column, x: Column) -> Column:
+        return F.struct(*[c.alias(f"{n}{p}") for p in ps for n, c in zip("ud", _averages(x, e[f"u{p}"], e[f"d{p}"], p), strict=True)])
+
+    segments = rows.groupBy("_gk", SEG).agg(in_order)
+    segments = segments.withColumn("_enter", start) if s.whole else segments.join(enters(), ["_gk", SEG], "left")
+    folded = segments.select(
+        SEG, F.explode(F.arrays_zip(F.col("_rows").alias("row"), fold_rows(F.col("_rows"), F.coalesce("_enter", start), bar).alias("state"))).alias("_x"))
+    made = [F.when(F.col("_x.row.i") >= p, _index(F.col(f"_x.state.u{p}"), F.col(f"_x.state.d{p}"))).alias(f"rsi_{p}") for p in ps]
+    out = folded.select(*[F.col(SEG) if c == SEG else F.col(f"_x.row.bar.{c}").alias(c) for c in d.columns], *made)
+    return out.drop(*_own(bars))
 
 
 def bar_index(bars: DataFrame, key: str = "market_id", order: str = "bar_start") -> DataFrame:
     """0-based bar number within the market."""
-    w = Window.partitionBy(key).orderBy(order)
-    return bars.withColumn("bar_no", F.row_number().over(w) - 1)
-
-
-# --- chunked RSI for very long histories -------------------------------------
-#
-# The Wilder recursion a_i = (a_{i-1} (p-1) + x_i) / p is affine in a, so a
-# chunk of m steps maps a_in to w^m a_in + B (w = (p-1)/p, B = the chunk folded
-# from 0). Three bounded passes replace the one per-market pass:
-#   1. per (market, chunk): seed sums of the first p moves and the chunk's map;
-#   2. per market over its chunk rows (one per chunk): fold the maps in order
-#      -> the value entering every chunk;
-#   3. per (market, chunk): re-expand from that value.
-# No task holds more than one chunk of one market. Results equal the
-# sequential fold up to floating-point association (relative ~1e-12).
-
-def _moves(pdf: pd.DataFrame, order: str, value: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Global bar index and up/down move of each bar of one chunk."""
-    pdf = pdf.sort_values(order, kind="stable")
-    c = pdf[value].to_numpy(dtype="float64")
-    before = int(pdf["_before"].iloc[0])
-    prev = pdf["_prev_close"].iloc[0]
-    prev_c = np.concatenate([[np.nan if prev is None or pd.isna(prev) else float(prev)], c[:-1]])
-    d = c - prev_c
-    up = np.where(d > 0, d, 0.0)
-    dn = np.where(d < 0, -d, 0.0)
-    idx = before + np.arange(len(c))
-    return idx, up, dn
-
-
-def rsi_chunked(bars: DataFrame, periods: list[int] | int = 2, key: str = "market_id",
-                order: str = "bar_start", value: str = "close", unit: str = "day") -> DataFrame:
-    """Same result as ``rsi`` with task size bounded by one ``unit`` of bars."""
-    ps = [periods] if isinstance(periods, int) else list(periods)
-    b = bars.select(key, order, value).withColumn("_chunk", F.date_trunc(unit, F.col(order)))
-    summ = b.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_n"),
-                                       F.max_by(value, order).alias("_last"))
-    w = Window.partitionBy(key).orderBy("_chunk")
-    summ = summ.select(key, "_chunk",
-                       F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                                  F.lit(0)).alias("_before"),
-                       F.lag("_last").over(w).alias("_prev_close"))
-    bx = b.join(summ, [key, "_chunk"])
-
-    map_fields = [T.StructField(key, bars.schema[key].dataType), T.StructField("_chunk", T.TimestampType())]
-    for p in ps:
-        map_fields += [T.StructField(f"_{n}{p}", T.DoubleType()) for n in ("su", "sd", "A", "Bu", "Bd")]
-
-    def chunk_map(pdf: pd.DataFrame) -> pd.DataFrame:
-        idx, up, dn = _moves(pdf, order, value)
-        row = {key: pdf[key].iloc[0], "_chunk": pdf["_chunk"].iloc[0]}
-        for p in ps:
-            seed = (idx >= 1) & (idx <= p)
-            row[f"_su{p}"] = float(up[seed].sum())
-            row[f"_sd{p}"] = float(dn[seed].sum())
-            steps = idx > p
-            bu = bd = 0.0
-            for u, d_ in zip(up[steps], dn[steps]):
-                bu = (bu * (p - 1) + float(u)) / p
-                bd = (bd * (p - 1) + float(d_)) / p
-            row[f"_A{p}"] = ((p - 1) / p) ** int(steps.sum())
-            row[f"_Bu{p}"], row[f"_Bd{p}"] = bu, bd
-        return pd.DataFrame([row])
-
-    maps = bx.groupBy(key, "_chunk").applyInPandas(chunk_map, T.StructType(map_fields))
-
-    carry_fields = [T.StructField(key, bars.schema[key].dataType), T.StructField("_chunk", T.TimestampType())]
-    for p in ps:
-        carry_fields += [T.StructField(f"_{n}{p}", T.DoubleType()) for n in ("au", "ad", "seu", "sed")]
-
-    def carry(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_chunk", kind="stable")
-        out = {key: pdf[key].to_numpy(), "_chunk": pdf["_chunk"].to_numpy()}
-        for p in ps:
-            seu, sed = float(pdf[f"_su{p}"].sum()) / p, float(pdf[f"_sd{p}"].sum()) / p
-            au, ad, ins_u, ins_d = seu, sed, [], []
-            for A, bu, bd in zip(pdf[f"_A{p}"], pdf[f"_Bu{p}"], pdf[f"_Bd{p}"]):
-                ins_u.append(au)
-                ins_d.append(ad)
-                au, ad = A * au + bu, A * ad + bd
-            out[f"_au{p}"], out[f"_ad{p}"] = ins_u, ins_d
-            out[f"_seu{p}"], out[f"_sed{p}"] = [seu] * len(pdf), [sed] * len(pdf)
-        return pd.DataFrame(out)
-
-    carries = maps.groupBy(key).applyInPandas(carry, T.StructType(carry_fields))
-    full = bx.join(carries, [key, "_chunk"])
-
-    out_fields = [bars.schema[key], bars.schema[order]] + \
-        [T.StructField(f"rsi_{p}", T.DoubleType()) for p in ps]
-
-    def expand(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        idx, up, dn = _moves(pdf, order, value)
-        res = {key: pdf[key].to_numpy(), order: pdf[order].to_numpy()}
-        for p in ps:
-            au, ad = float(pdf[f"_au{p}"].iloc[0]), float(pdf[f"_ad{p}"].iloc[0])
-            seu, sed = float(pdf[f"_seu{p}"].iloc[0]), float(pdf[f"_sed{p}"].iloc[0])
-            vals = []
-            for i, u, d_ in zip(idx, up, dn):
-                if i < p:
-                    vals.append(np.nan)
-                    continue
-                if i == p:
-                    au, ad = seu, sed
-                else:
-                    au = (au * (p - 1) + float(u)) / p
-                    ad = (ad * (p - 1) + float(d_)) / p
-                vals.append((50.0 if au == 0.0 else 100.0) if ad == 0.0 else 100.0 - 100.0 / (1.0 + au / ad))
-            res[f"rsi_{p}"] = vals
-        return pd.DataFrame(res)
-
-    r = full.groupBy(key, "_chunk").applyInPandas(expand, T.StructType(out_fields))
-    r = r.select(key, order, *[F.nanvl(F.col(f"rsi_{p}"), F.lit(None).cast("double")).alias(f"rsi_{p}")
-                               for p in ps])
-    return bars.join(r, [key, order], "left")
+    d = segmented(bars, [key], order).withColumn("_one", F.lit(1))
+    d = segmented_running(d, [key], SEG, [order], "_one", "sum", "bar_no")
+    return d.select(*bars.columns, (F.col("bar_no") - 1).alias("bar_no"))

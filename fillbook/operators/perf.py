@@ -4,8 +4,8 @@ Inputs are long tables: ``equity(series, ts, seq, value)`` (account value
 over time) and ``ledger(series, closed_on, side, bars, pnl)`` (closed trades).
 The fields are the ones the plotting reports show; the formulas are the
 published ones (drawdown, Sharpe 1994, Calmar/Young 1991, VWR, Tharp SQN).
-Running values per series use the segmented scan, so a hot series is split by
-hour; period tables (one row per series and day/year) are small.
+Running values per series use segments of equal size, so a hot series is many
+tasks; period tables (one row per series and day/year) are small.
 """
 
 from __future__ import annotations
@@ -13,32 +13,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fillbook.session import materialize
-from fillbook.operators.scan import segmented_running, segmented_running_many, with_rate_segments
+from fillbook.operators.scan import Segments, last_state, segmented_running, with_segments
 
 
 def drawdown(equity: DataFrame, key: str = "series", ts: str = "ts", seq: str = "seq",
              value: str = "value", segment: Column | None = None) -> DataFrame:
     """Per row: running peak, money down, percent down, bars since the last peak.
 
+    The latest highest row of a segment, as (value, place), is a summary that
+    merges by its maximum, so peak and length come from one pass over the rows.
     ``segment``: an explicit segment column monotone in (ts, seq), e.g.
-    ``floor(seq / 2^20)``; default = rate-sized segments per series.
+    ``floor(seq / 2^20)``; default = segments of equal size per series.
     """
-    d = equity.withColumn("_seg", segment) if segment is not None else \
-        with_rate_segments(equity, [key], ts)
-    # Two chained scans read their input in several branches: materialize
-    # the input and the intermediate once instead of re-running the lineage.
-    d = materialize(d.withColumn("_one", F.lit(1)))
-    order = [ts, seq]
-    d = segmented_running_many(d, [key], "_seg", order,
-                               [(value, "max", "peak"), ("_one", "sum", "pos")])
-    d = materialize(d)
-    d = d.withColumn("_peak_pos", F.when(F.col(value) >= F.col("peak"), F.col("pos")))
-    d = segmented_running(d, [key], "_seg", order, "_peak_pos", "last", "_last_peak")
-    return d.select(key, ts, seq, value, "peak",
-                    (F.col("peak") - F.col(value)).alias("moneydown"),
-                    F.try_divide(F.lit(100.0) * (F.col("peak") - F.col(value)), F.col("peak")).alias("drawdown"),
-                    (F.col("pos") - F.col("_last_peak")).alias("len"), "pos")
+    d = equity.withColumn("_seg", segment) if segment is not None else with_segments(equity, [key], ts)
+    s = Segments(d, [key], "_seg", [ts, seq])
+    s.with_columns(_pos=F.row_number().over(s.window))
+    here = F.struct(F.col(value).alias("v"), F.col("_pos").cast("bigint").alias("p"))
+    s.with_columns(_top=F.max(F.when(F.col(value).isNotNull(), here)).over(s.running))
+    moved = lambda top: F.when(F.col(top).isNotNull(), F.struct(F.col(f"{top}.v").alias("v"), (F.col("_before") + F.col(f"{top}.p")).alias("p")))
+
+    def ends() -> DataFrame:
+        e = s.summary(F.max("_pos").alias("_n"), F.max_by("_top", "_pos").alias("_end"))
+        e = e.withColumn("_before", F.coalesce(F.sum("_n").over(s.before), F.lit(0)))
+        return e.withColumn("_high", F.max(moved("_end")).over(s.before))
+
+    none = F.lit(None).cast(s.rows.schema["_top"].dataType)
+    rows = s.entered(ends, _before=F.lit(0).cast("bigint"), _high=none).withColumn("_top", F.greatest("_high", moved("_top"))).withColumn("pos", F.col("_before") + F.col("_pos"))
+    peak = F.col("_top.v")
+    return rows.select(key, ts, seq, value, peak.alias("peak"), (peak - F.col(value)).alias("moneydown"),
+                       F.try_divide(F.lit(100.0) * (peak - F.col(value)), peak).alias("drawdown"),
+                       (F.col("pos") - F.col("_top.p")).alias("len"), "pos")
 
 
 def drawdown_report(equity: DataFrame, key: str = "series", **kw) -> DataFrame:
@@ -144,26 +148,38 @@ def sqn(ledger: DataFrame, key: str = "series", pnl: str = "pnl") -> DataFrame:
 
 def streaks(ledger: DataFrame, key: str, order: list[str], won: Column,
             segment: Column | None = None) -> DataFrame:
-    """Won/lost streaks: current and longest per series (gaps and islands).
+    """Won/lost streaks: current and longest per series.
 
-    Island id = running row count - running count within (series, won); both
-    counts are segmented scans, so a hot series is split by hour.
+    A segment's runs are summed up by its first and last run and its longest
+    ones; the summaries of a series, one per segment, merge in order. Rows
+    without an outcome end a streak.
     """
-    d = ledger.withColumn("_won", won).withColumn("_one", F.lit(1))
-    d = d.withColumn("_seg", segment) if segment is not None else \
-        with_rate_segments(d, [key], order[0])
-    d = materialize(d)
-    d = segmented_running(d, [key], "_seg", order, "_one", "sum", "_rn")
-    d = materialize(d)
-    d = segmented_running(d, [key, "_won"], "_seg", order, "_one", "sum", "_rn_w")
-    d = d.withColumn("_island", F.col("_rn") - F.col("_rn_w"))
-    isl = d.groupBy(key, "_won", "_island").agg(F.count(F.lit(1)).alias("_len"),
-                                                F.max("_rn").alias("_last"))
-    return isl.groupBy(key).agg(
-        F.coalesce(F.max(F.when(F.col("_won"), F.col("_len"))), F.lit(0)).alias("won_longest"),
-        F.coalesce(F.max(F.when(~F.col("_won"), F.col("_len"))), F.lit(0)).alias("lost_longest"),
-        F.max_by(F.when(F.col("_won"), F.col("_len")).otherwise(0), "_last").alias("won_current"),
-        F.max_by(F.when(~F.col("_won"), F.col("_len")).otherwise(0), "_last").alias("lost_current"))
+    side = F.when(won, F.lit(1)).when(~won, F.lit(-1)).otherwise(F.lit(0))
+    d = ledger.select(key, *order, side.alias("_side"), *([segment.alias("_seg")] if segment is not None else []))
+    d = d if segment is not None else with_segments(d, [key], order[0])
+    s = Segments(d, [key], "_seg", order)
+    s.with_columns(_turn=(F.col("_side") != F.lag("_side", 1, 9).over(s.window)).cast("int"))
+    s.with_columns(_run=F.sum("_turn").over(s.running))
+    # Runs and segments stay where the windows dealt the rows.
+    runs = s.rows.groupBy("_gk", "_seg", "_run").agg(F.max("_side").alias("side"), F.count(F.lit(1)).alias("len"))
+    longest = lambda side: F.coalesce(F.max(F.when(F.col("side") == side, F.col("len"))), F.lit(0))
+    run = F.struct("side", "len")
+    parts = runs.groupBy("_gk", "_seg").agg(F.min_by(run, "_run").alias("first"), F.max_by(run, "_run").alias("last"), F.count(F.lit(1)).alias("n"),
+                                            longest(1).alias("won"), longest(-1).alias("lost"))
+
+    def merge(a: Column, x: Column) -> Column:
+        joined = F.when(x["first"]["side"] == a["side"], a["len"] + x["first"]["len"]).otherwise(F.lit(0))
+        best = lambda c, side: F.greatest(a[c], x[c], F.when(a["side"] == side, joined).otherwise(F.lit(0)))
+        size = F.when((x["n"] == 1) & (joined > 0), joined).otherwise(x["last"]["len"])
+        return F.struct(x["last"]["side"].alias("side"), size.alias("len"), best("won", 1).alias("won"), best("lost", -1).alias("lost"))
+
+    none = F.lit(0).cast("bigint")
+    start = F.struct(F.lit(0).alias("side"), none.alias("len"), none.alias("won"), none.alias("lost"))
+    total = parts.groupBy("_gk").agg(F.array_sort(F.collect_list(F.struct("_seg", "first", "last", "n", "won", "lost"))).alias("parts"))
+    total = total.select("_gk", last_state(F.col("parts"), start, merge).alias("t"))
+    current = lambda side: F.when(F.col("t.side") == side, F.col("t.len")).otherwise(F.lit(0))
+    return total.select(F.col(f"_gk.{key}").alias(key), F.col("t.won").alias("won_longest"), F.col("t.lost").alias("lost_longest"),
+                        current(1).alias("won_current"), current(-1).alias("lost_current"))
 
 
 def pnl_report(ledger: DataFrame, key: str, pnl: str, side: str, won: Column,

@@ -20,10 +20,10 @@ TOP_N = 10
 
 
 def _indicators(spark, sf) -> DataFrame:
-    # RSI first: its per-market pass leaves the rows partitioned by market,
-    # which the SMA and position windows then reuse without a shuffle.
-    b = I.rsi(_bars(spark, sf), RSI_PERIOD)
-    return I.sma(b, SMA_EXIT, out="sma_5")
+    # Segments once: the indicators and the rule hand them on, and with them
+    # the partitioning by (market, segment).
+    b = I.segmented(_bars(spark, sf), ["market_id"], "bar_start")
+    return I.rsi(I.sma(b, SMA_EXIT), RSI_PERIOD)
 
 
 def _rule() -> R.Rule:
@@ -185,10 +185,6 @@ def q_user_rule(spark, sf):
 
 # --- parameter sweep and leaderboard -----------------------------------------
 
-def _sweep_positions(spark, sf) -> DataFrame:
-    return R.rsi_sma_sweep(_bars(spark, sf), SWEEP)
-
-
 SWEEP_KEYS = "market_id, param_id, rp, lo, sma_n"
 
 
@@ -220,8 +216,9 @@ board AS (select p.market_id, p.param_id, g.rp, g.lo, g.sma_n,
 
 
 def _sweep_board(spark, sf, metrics=None) -> DataFrame:
-    b = R.sweep_board(_sweep_positions(spark, sf), ["market_id", "param_id"], ["rp", "lo", "sma_n"],
-                      metrics)
+    bars = I.segmented(_bars(spark, sf), ["market_id"], "bar_start")
+    b = R.sweep_board(R.rsi_sma_sweep(bars, SWEEP, changes_only=True), ["market_id", "param_id"], ["rp", "lo", "sma_n"],
+                      metrics, R.sweep_sets(bars, SWEEP))
     for n in metrics or {}:
         b = b.withColumn(n, F.round(n, 6))
     return b

@@ -109,13 +109,13 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+def materialize(df, name: str = "cut"):
+    """Write ``df`` as a table in the shared folder and read it back.
 
-    For operators that read their input several times (chained segmented
-    scans): without this every pass re-evaluates the whole upstream plan in
-    each of its branches. A reliable checkpoint (not a local one) survives
-    lost executors: recovery reads the files instead of recomputing.
+    For what several branches of a plan read: without it each of them evaluates
+    the whole upstream plan again. A lost executor costs a re-read of the files,
+    and readers take only the columns they need.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,9 +2,11 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from fillbook.operators import scan
 from fillbook.operators.scan import segmented_running
 from tests.conftest import SF001
 
@@ -55,3 +57,23 @@ def test_drawdown_lineage_is_cut(spark):
     df = E.queries()["perf_drawdown"](spark, SF001)
     plan = _plan(df)
     assert plan.count("Scan parquet") <= 2     # was 24 without the checkpoints
+
+
+MARKET_QUERIES = ["ind_sma", "ind_rsi", "threshold_clip", "signal_flags", "position_state", "round_trips", "rule_equity", "user_rule",
+                  "param_sweep", "leaderboard", "user_metrics", "perf_trade_counts", "perf_streaks", "perf_drawdown"]
+
+
+@pytest.mark.parametrize("name", MARKET_QUERIES)
+def test_rules_stay_in_the_jvm(spark, name):
+    plan = _plan(E.queries()[name](spark, SF001))
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("name", ["position_state", "ind_rsi", "ind_sma"])
+def test_rows_of_a_market_are_dealt_by_segment(spark, monkeypatch, name):
+    """With more rows than a segment holds, windows over rows are per (market, segment);
+    those per market alone run over the segments' summaries."""
+    monkeypatch.setattr(scan, "TARGET_SEGMENT_ROWS", 8)
+    plan = _plan(E.queries()[name](spark, SF001))
+    rows = [w for w in re.findall(r"Window \[.*", plan) if "row_number()" in w or "_pos" in w.split("AS")[0]]
+    assert rows and all(re.search(r"_gk#\d+, _seg#\d+", w) for w in rows)

@@ -4,11 +4,14 @@ import datetime as dt
 import math
 import random
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fillbook.operators import align as A
 from fillbook.operators import indicators as I
 from fillbook.operators import rules as R
+from fillbook.operators import scan
 from fillbook.operators.scan import segmented_running
 
 
@@ -145,30 +148,65 @@ def test_last_n_and_positions(spark):
     assert sorted(r.t for r in kept) == list(range(2, 9))
 
 
-def test_rsi_chunked_matches_sequential(spark):
-    """Hot-market path: hour chunks (30 per market here) equal the one-pass fold."""
+@pytest.fixture
+def short_segments(monkeypatch):
+    """Segments of about 16 rows, cut in two rounds of 16 quantiles."""
+    monkeypatch.setattr(scan, "TARGET_SEGMENT_ROWS", 16)
+    monkeypatch.setattr(scan, "BORDERS", 16)
+
+
+def test_rsi_segments_match_loop(spark, short_segments):
+    """Affine maps of many segments per market equal the one-pass fold."""
     rows, df = _bars(spark, n=900, seed=9)
-    seq = {(r.market_id, r.bar_start): (r.rsi_2, r.rsi_5) for r in I.rsi(df, [2, 5]).collect()}
-    chk = {(r.market_id, r.bar_start): (r.rsi_2, r.rsi_5)
-           for r in I.rsi_chunked(df, [2, 5], unit="hour").collect()}
-    assert seq.keys() == chk.keys()
-    for k, (a2, a5) in seq.items():
-        b2, b5 = chk[k]
-        for a, b in ((a2, b2), (a5, b5)):
-            assert (a is None and b is None) or math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9), k
+    assert scan.with_segments(df, ["market_id"], "bar_start").select("market_id", "_seg").distinct().count() > 60
+    got = {(r.market_id, r.bar_start): (r.rsi_2, r.rsi_5) for r in I.rsi(df, [2, 5]).collect()}
+    for m in ("m1", "m2"):
+        mr = [r for r in rows if r[0] == m]
+        for p, at in ((2, 0), (5, 1)):
+            for r, e in zip(mr, _rsi_loop([x[2] for x in mr], p), strict=True):
+                g = got[(m, r[1])][at]
+                assert (g is None and e is None) or math.isclose(g, e, rel_tol=1e-9, abs_tol=1e-9)
 
 
-def test_rate_segments_many_segments(spark, monkeypatch):
+def test_rsi_seeds_across_segments(spark, monkeypatch):
+    """Segments shorter than the period: the first moves are spread over several."""
+    monkeypatch.setattr(scan, "TARGET_SEGMENT_ROWS", 2)
+    rows, df = _bars(spark, n=40, seed=2)
+    got = {(r.market_id, r.bar_start): r.rsi_7 for r in I.rsi(df, 7).collect()}
+    for m in ("m1", "m2"):
+        mr = [r for r in rows if r[0] == m]
+        for r, e in zip(mr, _rsi_loop([x[2] for x in mr], 7), strict=True):
+            g = got[(m, r[1])]
+            assert (g is None and e is None) or math.isclose(g, e, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_segments_are_even(spark, short_segments):
+    """A burst (most rows of a key within a minute) is split; quiet keys are one segment."""
+    base = dt.datetime(2024, 1, 1)
+    rows = [("hot", base + dt.timedelta(days=i)) for i in range(300)]
+    rows += [("hot", base + dt.timedelta(days=100, microseconds=20_000 * i)) for i in range(3000)]
+    rows += [("quiet", base + dt.timedelta(days=90 * i)) for i in range(9)] + [(None, base)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz")
+    seg = scan.with_segments(df, ["k"], "ts")
+    sizes = {(r.k, r._seg): r["count"] for r in seg.groupBy("k", "_seg").count().collect()}
+    assert max(sizes.values()) <= 3 * 16 and len(sizes) > 100, sorted(sizes.values())[-5:]
+    assert sizes[("quiet", 0)] == 9 and sizes[(None, 0)] == 1
+    by = {}
+    for r in seg.where("k = 'hot'").collect():
+        by.setdefault(r._seg, []).append(r.ts)
+    edges = [(min(v), max(v)) for _, v in sorted(by.items())]
+    assert all(a[1] < b[0] for a, b in zip(edges, edges[1:], strict=False))
+
+
+def test_many_segments(spark, monkeypatch):
     """Force ~8-row segments: as-of fill, gap-free index and positional
     filters must still equal the loops (carry across many segments)."""
-    from fillbook.operators import scan
     monkeypatch.setattr(scan, "TARGET_SEGMENT_ROWS", 8)
-    monkeypatch.setattr(scan, "MIN_SEGMENT_SECONDS", 1)
     test_align_asof_matches_loop(spark)
     base = dt.datetime(2024, 1, 1)
     rows = [("g", base + dt.timedelta(minutes=7 * i)) for i in range(500)]
     df = spark.createDataFrame(rows, "g string, ts timestamp_ntz")
-    segs = scan.with_rate_segments(df, ["g"], "ts").select("_seg").distinct().count()
+    segs = scan.with_segments(df, ["g"], "ts").select("_seg").distinct().count()
     assert segs > 20
     idx = sorted((r.ts, r.idx) for r in A.gapfree_index(df, ["g"], "ts").collect())
     assert [i for _, i in idx] == list(range(500))
@@ -176,26 +214,64 @@ def test_rate_segments_many_segments(spark, monkeypatch):
     assert kept == 500 - 3 - 3
 
 
-def test_segmented_rules_equal_windowed(spark, monkeypatch):
-    """Segmented position state / round trips (forced ~16-row segments)
-    equal the per-market window versions on random signals and prices."""
-    from fillbook.operators import scan
-    monkeypatch.setattr(scan, "TARGET_SEGMENT_ROWS", 16)
-    monkeypatch.setattr(scan, "MIN_SEGMENT_SECONDS", 1)
-    rnd = random.Random(21)
+def _trips_loop(bars):
+    """Bars (ts, open, close, entry, exit) in order -> states and trades of the event loop."""
+    pos, states, trades, held = 0, [], [], None
+    for i, (ts, _, _, entry, leave) in enumerate(bars):
+        before = pos
+        pos = (1 if entry else 0) if pos == 0 else (0 if leave else 1)
+        states.append((before, pos))
+        fill = bars[i + 1][:2] if i + 1 < len(bars) else None
+        if pos > before and fill:
+            held = [ts, *fill, i]
+        elif pos < before and held:
+            trades.append((*held[:3], ts, *fill, i - held[3]) if fill else (*held[:3], None, None, None, None))
+            held = None
+    return states, trades + ([(*held[:3], None, None, None, None)] if held else [])
+
+
+@pytest.mark.parametrize("rows_per_segment", [4, 16, 1 << 16])
+def test_rules_match_loop(spark, monkeypatch, rows_per_segment):
+    """Positions and trades on short and long segments equal the event loop
+    on random signals and prices, sets and toggles."""
+    monkeypatch.setattr(scan, "TARGET_SEGMENT_ROWS", rows_per_segment)
+    rnd = random.Random(rows_per_segment)
     base = dt.datetime(2024, 1, 1)
     rows = [(m, base + dt.timedelta(minutes=2 * i), float(rnd.randint(1, 9)), float(rnd.randint(1, 9)),
-             rnd.random() < 0.3, rnd.random() < 0.3) for m in ("a", "b") for i in range(700)]
+             rnd.random() < p, rnd.random() < p) for m, p in (("a", 0.3), ("b", 0.02), ("c", 0.9)) for i in range(500)]
     df = spark.createDataFrame(rows, "market_id string, bar_start timestamp_ntz, open double, "
                                      "close double, entry boolean, exit boolean")
-    cols = ["market_id", "bar_start", "pos_before", "pos"]
-    p1 = R.position_state(df, ["market_id"]).select(cols)
-    p2 = R.position_state(df, ["market_id"], segmented=True).select(cols)
-    assert p1.exceptAll(p2).count() == 0 and p2.exceptAll(p1).count() == 0
-    t1 = R.round_trips(R.position_state(df, ["market_id"]), ["market_id"])
-    t2 = R.round_trips(R.position_state(df, ["market_id"], segmented=True), ["market_id"], segmented=True)
-    assert t1.count() > 20
-    assert t1.exceptAll(t2).count() == 0 and t2.exceptAll(t1).count() == 0
+    pos = R.position_state(df, ["market_id"])
+    got = {(r.market_id, r.bar_start): (r.pos_before, r.pos, r.bar_no) for r in pos.collect()}
+    trips = R.round_trips(pos, ["market_id"]).collect()
+    for m in "abc":
+        bars = [r[1:] for r in rows if r[0] == m]
+        states, trades = _trips_loop(bars)
+        assert [got[(m, b[0])] for b in bars] == [(*s, i + 1) for i, s in enumerate(states)]
+        made = sorted((t for t in trips if t.market_id == m), key=lambda t: t.trade_no)
+        assert [t.trade_no for t in made] == list(range(1, len(trades) + 1))
+        assert [(t.entry_signal_ts, t.entry_ts, t.entry_price, t.exit_signal_ts, t.exit_ts, t.exit_price, t.bars_held) for t in made] == trades
+
+
+def test_streaks_and_drawdown_match_loop(spark, short_segments):
+    from fillbook.operators import perf as P
+    rnd = random.Random(8)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(s, base + dt.timedelta(minutes=i), i, float(rnd.randint(-40, 60)), rnd.random() < p)
+            for s, p in (("x", 0.5), ("y", 0.95), ("z", 0.0)) for i in range(400)]
+    df = spark.createDataFrame(rows, "series string, ts timestamp_ntz, seq long, value double, win boolean")
+    streaks = {r.series: tuple(r)[1:] for r in P.streaks(df, "series", ["ts", "seq"], F.col("win")).collect()}
+    report = {r.series: r for r in P.drawdown_report(df).collect()}
+    for s in "xyz":
+        best, run, peak, since, worst = {True: 0, False: 0}, [None, 0], None, 0, [0, 0.0]
+        for _, _, _, v, w in [r for r in rows if r[0] == s]:
+            run = [w, run[1] + 1] if w == run[0] else [w, 1]
+            best[w] = max(best[w], run[1])
+            since = 0 if peak is None or v >= peak else since + 1
+            peak = v if peak is None else max(peak, v)
+            worst = [max(worst[0], since), max(worst[1], peak - v)]
+        assert streaks[s] == (best[True], best[False], run[1] if run[0] else 0, 0 if run[0] else run[1])
+        assert (report[s].len, report[s].max_len, report[s].max_moneydown) == (since, *worst)
 
 
 def test_drawdown_explicit_segment_equals_default(spark):
@@ -210,24 +286,26 @@ def test_drawdown_explicit_segment_equals_default(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_sma_segmented_equals_window(spark, monkeypatch):
-    from fillbook.operators import scan
-    monkeypatch.setattr(scan, "TARGET_SEGMENT_ROWS", 16)
-    monkeypatch.setattr(scan, "MIN_SEGMENT_SECONDS", 1)
+@pytest.mark.parametrize("n", [1, 2, 5, 30])
+def test_sma_segments_equal_window(spark, short_segments, n):
     rows, df = _bars(spark, n=400, seed=13)
-    a = I.sma(df, 5, out="s").select("market_id", "bar_start", "s")
-    b = I.sma(df, 5, out="s", segmented=True).select("market_id", "bar_start", "s")
+    w = Window.partitionBy("market_id").orderBy("bar_start").rowsBetween(-(n - 1), 0)
+    a = df.select("market_id", "bar_start", F.when(F.count("close").over(w) == n, F.avg("close").over(w)).alias("s"))
+    b = I.sma(df, n, out="s").select("market_id", "bar_start", "s")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_sweep_segmented_switch_changes_nothing(spark):
-    from fillbook.operators.bars import ohlcv_bars
-    from fillbook.sources import fixtures as X
-    from tests.conftest import SF001
-    bars = ohlcv_bars(X.fx_ticks(spark, SF001))
+def test_sweep_equals_single_rules(spark, short_segments):
+    """All parameter sets in one pass equal each rule on its own."""
+    rows, df = _bars(spark, n=300, seed=6)
     grid = [(2, 15, 5), (3, 25, 10)]
-    cols = ["market_id", "bar_start", "param_id", "pos_before", "pos"]
-    a = R.rsi_sma_sweep(bars, grid).select(cols)
-    b = R.rsi_sma_sweep(bars, grid, segmented=True).select(cols)
-    assert a.count() > 0
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    cols = ["market_id", "bar_start", "pos_before", "pos", "trade_no"]
+    got = R.rsi_sma_sweep(df, grid)
+    for i, (rp, lo, n) in enumerate(grid):
+        b = I.sma(I.rsi(df, rp), n)
+        ready = F.col(f"rsi_{rp}").isNotNull() & F.col(f"sma_{n}").isNotNull()
+        rule = R.Rule(entry=F.col(f"rsi_{rp}") < lo, exit=F.col("close") > F.col(f"sma_{n}"))
+        one = R.position_state(R.signal_flags(b, rule, ready), ["market_id"]).select(cols)
+        same = got.where(F.col("param_id") == i).select(cols)
+        assert one.where("pos > pos_before").count() > 3
+        assert one.exceptAll(same).count() == 0 and same.exceptAll(one).count() == 0
