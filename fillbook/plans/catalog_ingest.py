@@ -64,7 +64,10 @@ def q_src_logs_decode(spark, sf):
 @register("filter_event", f"""WITH {LOGS_SQL}
 select transactionHash, block from expected where {KEEP}""")
 def q_filter_event(spark, sf):
-    ev = C.filter_event(_logs(spark, sf), X.FX_CONTRACT, X.FX_TOPIC0)
+    """Logs are landed once; the filter is pushed into the landed files."""
+    path = scratch_path(spark, "landed-logs")
+    C.land_logs(_logs(spark, sf), path, blocks_per_range=1 << 23)
+    ev = C.scan_logs(spark, path, X.FX_CONTRACT, X.FX_TOPIC0)
     return ev.select(H.hash_prefix("transaction_hash").alias("transactionHash"),
                      H.hex_or_dec_int("block_number").alias("block"))
 

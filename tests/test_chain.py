@@ -1,6 +1,7 @@
 """Raw log decode: random records written as logs and read back."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,12 +69,39 @@ def test_a_missing_header_and_a_large_amount_are_errors(spark):
         decode(spark, [as_log(dict(one, amounts=(2**63 + 1, 1)))], HEADERS).collect()
 
 
-def test_uint256_both_decoders_exact(spark):
+def test_uint256_exact(spark):
     rnd = random.Random(7)
-    vals = [0, 1, 10**9, 10**18, 2**64, 2**255, 2**256 - 1] + [rnd.getrandbits(256) for _ in range(300)]
-    df = spark.createDataFrame([(_word(v), str(v)) for v in vals], "w string, exp string")
-    bad = df.where((H.uint256_decimal_sql("w") != F.col("exp")) | (H.uint256_decimal("w") != F.col("exp")))
-    assert bad.count() == 0
+    vals = [0, 1, 10**9, 10**18, 10**18 - 1, 10**36, 10**77, 2**255, 2**256 - 1] + [2**k + d for k in (63, 64, 127, 128, 191, 192) for d in (-1, 0, 1)]
+    vals += [rnd.getrandbits(rnd.randint(1, 256)) for _ in range(500)]
+    df = spark.createDataFrame([(_word(v), str(v)) for v in vals] + [("F" * 64, str(2**256 - 1)), (None, None)], "w string, exp string").repartition(2)
+    made = df.select("exp", H.uint256_decimal("w").alias("got"))
+    assert made.where(~F.col("got").eqNullSafe(F.col("exp"))).count() == 0
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "lambda" not in plan
+
+
+@pytest.mark.parametrize("word", ["", "ff", "0x" + "0" * 62, "g" * 64, "0" * 65])
+def test_strange_words_are_errors(spark, word):
+    with pytest.raises(Exception, match="not a 32-byte word"):
+        spark.createDataFrame([(word,)], "w string").repartition(2).select(H.uint256_decimal("w")).collect()
+
+
+def test_landed_logs_prune(spark, tmp_path):
+    """The event filter reaches the scan, and other block ranges are not read."""
+    rows = [dict(x, block=b) for x, b in zip(records(random.Random(9), 300), list(range(300)), strict=True)]
+    logs = [as_log(x) for x in rows]
+    strangers = [(*x[:3], "0x" + "99" * 20, *x[4:]) for x in logs[:40]] + [(*x[:4], ["0x" + "33" * 32, *x[4][1:]], x[5]) for x in logs[:40]]
+    path = str(tmp_path / "logs")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    C.land_logs(spark.createDataFrame(logs + strangers, C.RAW_LOG), path, blocks_per_range=100)
+    got = C.scan_logs(spark, path, CONTRACT.upper().replace("0X", "0x"), TOPIC, 110, 190, blocks_per_range=100)
+    assert sorted(r.log_index for r in got.collect()) == [x["index"] for x in rows if 110 <= x["block"] <= 190]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert f"EqualTo(address,{CONTRACT})" in plan and f"EqualTo(topic0,{TOPIC})" in plan and "GreaterThanOrEqual(block" in plan
+    assert re.search(r"PartitionFilters: \[[^\]]*block_range#\d+L? >= 1[^\]]*block_range#\d+L? <= 1", plan)
+    fills = C.logs_to_fills(C.scan_logs(spark, path, CONTRACT, TOPIC, blocks_per_range=100), spark.createDataFrame(HEADERS + [(0, 0)], C.RAW_BLOCK),
+                            CONTRACT, TOPIC, head=10**9)
+    assert sorted(map(tuple, fills.collect())) == sorted(map(as_fill, rows))
 
 
 def test_hex_or_dec_int(spark):

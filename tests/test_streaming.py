@@ -102,3 +102,21 @@ def test_stream_markets_incremental(spark):
     got = spark.read.parquet(out)
     exp = markets_from_pages(pages)
     assert got.count() == got.select("id").distinct().count() == exp.count()
+
+
+def test_new_logs_are_kept_however_late_and_replays_dropped(spark):
+    """A first-time log far behind the newest block stays; a replayed one,
+    whatever its spelling, goes; a batch that runs again changes nothing."""
+    from fillbook.sources import chain as C
+    src, out, ck = (tempfile.mkdtemp(prefix=p) for p in ("logs-", "new-", "ck-"))
+    log = lambda block, i, style=str: (style(block), i, "h", "0xa", ["t"], "0x")
+    deliveries = [[log(90_000_000, 1), log(90_000_000, 1, hex), log(90_000_000, 2)],
+                  [log(90_000_000, 2), log(7, 1), log(90_000_001, 1)],
+                  [log(7, 1, hex), log(7, 2), log(90_000_000, 1)]]
+    for rows in deliveries:
+        spark.createDataFrame(rows, C.RAW_LOG).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(C.RAW_LOG).parquet(src)
+        J.run_to_end(J.stream_new_logs(stream, out, ck))
+    got = [(int(r.block_number, 0), r.log_index, r.batch_id) for r in spark.read.parquet(out).collect()]
+    assert sorted(got) == [(7, 1, 1), (7, 2, 2), (90_000_000, 1, 0), (90_000_000, 2, 0), (90_000_001, 1, 1)]
+    assert spark.read.parquet(f"{out}_seen").count() == 5

@@ -10,6 +10,7 @@ from fillbook.functions.tokens import (flatten_cell, json_string_array, market_i
 PAIRS = {
     '["17", "23"]': ("17", "23"), '["17"]': ("17", None), "[17, 23, 29]": ("17", "23"),
     "[]": (None, None), "": (None, None), '["", "23"]': (None, "23"), '[" 17 "]': ("17", None),
+    "[17,,23]": ("17", None), '["a b"]': ("ab", None), '["17", null]': ("17", "null"), "[ ,23]": (None, "23"), "17,\t23\n": ("17", "23"),
     "17, 23": ("17", "23"), '["17", "23': ("17", "23"), "{": ("{", None), None: (None, None),
 }
 
