@@ -64,6 +64,15 @@ def frugal(run):
     return wrapped
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names with as many leading underscores as none of the columns has."""
+    taken = {c.lower() for c in df.columns}
+    lead = "_"
+    while any((lead + n).lower() in taken for n in names):
+        lead += "_"
+    return [lead + n for n in names]
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text (null: 0), JVM-side."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_CLASS + "+")), F.lit(0)).cast("long")

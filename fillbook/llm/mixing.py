@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fillbook.llm.common import register, table, word_count, write_read
+from fillbook.llm.common import free_names, register, table, word_count, write_read
 
 WEIGHTS = (5, 2, 1)
 MAX_USES = 3
@@ -198,16 +198,20 @@ class Mix:
         return cls(spark, rows, id_col)
 
     def uses(self, docs: DataFrame, sources: Column, size: Column) -> DataFrame:
-        """The rows of ``docs`` with size, source_size, target and uses of each."""
-        d = docs.withColumns({"size": size, "_pattern": F.to_json(F.array_sort(F.array_distinct(sources)))})
-        d = d.withColumns({"_hash": _order(self.id_col)})
-        plan = self.plan.select(F.col("pattern").alias("_pattern"), F.col("source_size"), F.col("target"),
-                                *[F.col(c).alias(f"_{c}") for c in ("passes", "ranges", "fit_hash", "fit_size")])
-        d = d.join(plan, "_pattern")
-        more = _within("_ranges", "_hash")
-        more = more | F.coalesce((F.col("_hash") == F.col("_fit_hash")) & (F.col("size") == F.col("_fit_size")), F.lit(False))
-        uses = F.when(F.col("size") > 0, F.col("_passes") + more.cast("int")).otherwise(0)
-        return d.withColumn("uses", uses.cast("int")).drop("_pattern", "_hash", "_passes", "_ranges", "_fit_hash", "_fit_size")
+        """The rows of ``docs`` with size, source_size, target and uses of each;
+        columns of ``docs`` that have one of these names are replaced."""
+        made = ("size", "source_size", "target", "uses")
+        pattern, hash_, passes, ranges, fit_hash, fit_size = free_names(docs, "pattern", "hash", "passes", "ranges", "fit_hash", "fit_size")
+        kept = [c for c in docs.columns if c.lower() not in made]
+        d = docs.select(*[F.col(f"`{c}`") for c in kept], size.alias("size"), F.to_json(F.array_sort(F.array_distinct(sources))).alias(pattern),
+                        _order(self.id_col).alias(hash_))
+        plan = self.plan.select(F.col("pattern").alias(pattern), "source_size", "target",
+                                *[F.col(c).alias(n) for c, n in (("passes", passes), ("ranges", ranges), ("fit_hash", fit_hash), ("fit_size", fit_size))])
+        d = d.join(plan, pattern)
+        more = _within(ranges, hash_)
+        more = more | F.coalesce((F.col(hash_) == F.col(fit_hash)) & (F.col("size") == F.col(fit_size)), F.lit(False))
+        uses = F.when(F.col("size") > 0, F.col(passes) + more.cast("int")).otherwise(0)
+        return d.select(*[F.col(f"`{c}`") for c in kept], "size", "source_size", "target", uses.cast("int").alias("uses"))
 
 
 def json_list(text: str) -> list:

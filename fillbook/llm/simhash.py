@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fillbook.llm.common import frugal, register, table, write_read
+from fillbook.llm.common import free_names, frugal, register, table, write_read
 from fillbook.llm.components import components
 
 SHINGLE = 4
@@ -231,7 +231,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Rows are told apart by a 128-bit hash of all their columns, so rows that
     share an id, or have none, stay or go by their own components.
     """
-    key = ("_key", "_key2")
+    key = tuple(free_names(docs, "key", "key2"))
     docs = docs.withColumns({c: _row_hash(docs, i) for i, c in enumerate(key)})
     rows = write_read(fingerprints(docs, id_col, text_col, k, key), "simhash")
     member = _members(rows, F.struct(F.col("id").isNull().alias("no_id"), "id", *key), max_bits, segments)

@@ -61,9 +61,11 @@ def test_overlap_and_edges(spark):
     rows = [(i, "w " * (1 + i % 7), ["a"] if i % 3 else ["b", "a", "a"], 9) for i in range(300)]
     rows += [(1000, None, ["a"], 9), (1001, "", [None], 9), (None, "x y", [None], 9), (1002, "w", [None, "a"], 9), (1003, "w w", [], 9)]
     df = spark.createDataFrame(rows + rows[:2], "doc_id long, text string, s array<string>, target int")
-    df = df.withColumnRenamed("target", "uses_before")
+    df = df.withColumns({c: F.lit(7) for c in ("uses", "source_size", "_pattern", "_hash", "pattern")})
     size = word_count(F.col("text"))
     got = M.Mix.fit(df, F.col("s"), size).uses(df, F.col("s"), size)
+    assert sorted(got.columns) == sorted([*df.columns, "size"]) and got.where("_pattern <> 7 or _hash <> 7 or pattern <> 7").count() == 0
+    assert got.where("target = 9").count() == 0
     assert got.count() == len(rows) + 2 and got.where("uses > 3 or (size = 0 and uses > 0)").count() == 0
     assert M.Mix.fit(df.limit(0), F.col("s"), size).uses(df.limit(0), F.col("s"), size).count() == 0
 

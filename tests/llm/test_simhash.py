@@ -101,3 +101,8 @@ def test_one_row_of_each_component(spark):
         want = [(None, t) for t in apart[:5]] + [(3, apart[5]), (7, apart[6]), (7, apart[7]), (8, apart[8]), (9, None), (9, "x")]
         assert sorted(got, key=str) == sorted(want, key=str)
     assert kept[0] == kept[1] == kept[2]
+
+
+def test_columns_of_any_name_stay(spark):
+    df = spark.createDataFrame([(1, "a b c d e", 5, 6), (2, "A B C D E", 7, 8)], "doc_id long, text string, _key long, _key2 long")
+    assert [tuple(r) for r in S.drop_near_duplicates(df).select("doc_id", "_key", "_key2").collect()] == [(1, 5, 6)]
