@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fillbook.operators.scan import segmented_running, with_segments
+from fillbook.operators.scan import segmented_running, segmented_shift, with_segments
 from fillbook.operators.dedupe import first_per_key
+from fillbook.session import materialize
 
 
 def master_clock(series: DataFrame, group: list[str], ts: str = "ts") -> DataFrame:
@@ -47,36 +48,57 @@ def align_exact(series: DataFrame, group: list[str], name: str = "series", ts: s
         *group, name, ts, F.col("_exact.v").alias(value))
 
 
+#: Ticks of a clock that are one row while series meet them.
+BUCKET_TICKS = 1024
+#: Ticks of a clock that hold a segment of a series' rows.
+SEGMENT_TICKS = 1 << 16
+
+
+def indexed_clock(series: DataFrame, group: list[str], ts: str = "ts") -> DataFrame:
+    """(group, ts, idx): each tick's 0-based place on its group's clock. The
+    clock is written once (ticks without values), as it is read several times."""
+    clock = materialize(master_clock(series.where(F.col(ts).isNotNull()).dropna(subset=group), group, ts), "clock")
+    return gapfree_index(clock, group, ts)
+
+
 def align_asof(series: DataFrame, group: list[str], name: str = "series", ts: str = "ts",
-               value: str = "value", seq: str | None = None,
-               segment: Column | None = None) -> DataFrame:
+               value: str = "value", seq: str | None = None) -> DataFrame:
     """As ``align_exact`` but a tick without a row takes the latest earlier
     row's value - that row's value even if it is null (forward fill by row,
-    not by non-null value).
-
-    Running "last row" is a segmented scan over (group, series); segments are
-    cut at quantiles of each series unless given.
+    not by non-null value). Rows without a timestamp or group are left out.
+
+    A series is a list of intervals of the clock: from each of its ticks to the
+    next one. Intervals are cut at the borders of buckets of ``BUCKET_TICKS``
+    ticks and meet one row per bucket, the bucket's ticks as an array; the part
+    that an interval covers is then unfolded in place. So ticks times series
+    appear only as the result, behind the last shuffle, and a group of any size
+    is spread over its buckets.
     """
-    grid = _grid(series, group, name, ts)
-    exact = _first_per_tick(series, group, name, ts, value, seq)
-    # Clock rows sort before source rows of the same tick, so a tick only sees
-    # strictly earlier rows; the exact match comes from the join instead.
-    src = series.select(*group, name, ts, F.lit(1).alias("_kind"),
-                        (F.col(seq) if seq else F.lit(0)).alias("_seq"),
-                        F.struct(F.col(value).alias("v")).alias("_row"))
-    clk = grid.select(*group, name, ts, F.lit(0).alias("_kind"), F.lit(0).cast(
-        src.schema["_seq"].dataType).alias("_seq"),
-        F.lit(None).cast(src.schema["_row"].dataType).alias("_row"))
-    u = src.unionByName(clk)
-    u = u.withColumn("_seg", segment) if segment is not None else \
-        with_segments(u, group + [name], ts)
-    run = segmented_running(u, group + [name], "_seg", [ts, "_kind", "_seq"], "_row", "last",
-                            "_prev")
-    ticks = run.where(F.col("_kind") == 0).select(*group, name, ts, "_prev")
-    out = ticks.join(exact, group + [name, ts], "left")
-    return out.select(*group, name, ts,
-                      F.when(F.col("_exact").isNotNull(), F.col("_exact.v"))
-                      .otherwise(F.col("_prev.v")).alias(value))
+    clock = indexed_clock(series, group, ts)
+    order = F.struct(F.col(seq)) if seq else F.struct(F.lit(0))
+    held = F.struct(F.col(value).alias("v"))
+    points = series.where(F.col(ts).isNotNull()).groupBy(*group, name, ts).agg(
+        F.min_by(held, order).alias("_first"), F.max_by(held, order).alias("_last"))
+    points = points.join(clock, group + [ts]).withColumn("_seg", F.floor(F.col("idx") / SEGMENT_TICKS))
+    points = segmented_shift(points, group + [name], "_seg", ["idx"], [("idx", -1, "_before"), ("idx", 1, "_next")])
+    size = clock.groupBy(*group).agg((F.max("idx") + 1).alias("_size"))
+    points = points.join(size, group)
+    end = F.coalesce("_next", "_size")
+    piece = lambda lo, hi, first, last: F.struct(lo.alias("lo"), hi.alias("hi"), first.alias("first"), last.alias("last"))
+    none = F.lit(None).cast(points.schema["_first"].dataType)
+    # Before its first row a series has no value: one more interval.
+    lead = F.when(F.col("_before").isNull() & (F.col("idx") > 0), piece(F.lit(0).cast("bigint"), F.col("idx"), none, none))
+    spans = points.select(*group, name, F.explode(F.array_compact(F.array(lead, piece(F.col("idx"), end, F.col("_first"), F.col("_last"))))).alias("x"))
+    b = F.lit(BUCKET_TICKS)
+    spans = spans.select(*group, name, "x.*").withColumn(
+        "_bucket", F.explode(F.sequence(F.floor(F.col("lo") / b), F.floor((F.col("hi") - 1) / b))))
+    ticks = clock.groupBy(*group, F.floor(F.col("idx") / b).alias("_bucket")).agg(F.array_sort(F.collect_list(ts)).alias("_ticks"))
+    met = spans.join(ticks, group + ["_bucket"])
+    start = F.greatest(F.col("lo"), F.col("_bucket") * b)
+    length = F.least(F.col("hi"), (F.col("_bucket") + 1) * b) - start
+    covered = F.slice("_ticks", (start - F.col("_bucket") * b + 1).cast("int"), length.cast("int"))
+    out = met.select(*group, name, "first", "last", (start == F.col("lo")).alias("_own"), F.posexplode(covered).alias("_k", ts))
+    return out.select(*group, name, ts, F.when(F.col("_own") & (F.col("_k") == 0), F.col("first.v")).otherwise(F.col("last.v")).alias(value))
 
 
 def series_widen(aligned: DataFrame, group: list[str], name: str, ts: str, value: str,
