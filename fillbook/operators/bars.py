@@ -41,12 +41,16 @@ def bar_parts(ticks: DataFrame, width: str = "2 minutes", key: str = "market_id"
                  F.sum(volume).alias("volume"), F.count(F.lit(1)).alias("n_trades")))
 
 
+def combine_bar_parts(parts: DataFrame, key: str = "market_id") -> DataFrame:
+    """Parts of bars -> one part of each bar, which merges on like any other."""
+    return parts.groupBy(key, "bar_start").agg(
+        F.min("first_at").alias("first_at"), F.min_by("open", "first_at").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.max("last_at").alias("last_at"), F.max_by("close", "last_at").alias("close"), F.sum("volume").alias("volume"), F.sum("n_trades").alias("n_trades"))
+
+
 def merge_bar_parts(parts: DataFrame, key: str = "market_id") -> DataFrame:
     """Parts of bars -> bars; those with any null OHLC field are dropped."""
-    bars = parts.groupBy(key, "bar_start").agg(
-        F.min_by("open", "first_at").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
-        F.max_by("close", "last_at").alias("close"), F.coalesce(F.sum("volume"), F.lit(0.0)).alias("volume"),
-        F.sum("n_trades").alias("n_trades"))
+    bars = combine_bar_parts(parts, key).drop("first_at", "last_at").withColumn("volume", F.coalesce("volume", F.lit(0.0)))
     return drop_empty_bars(bars)
 
 

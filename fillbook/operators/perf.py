@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fillbook.operators.scan import Segments, last_state, segmented_running, with_segments
+from fillbook.operators.scan import Segments, last_state, segmented_running, segmented_shift, with_segments
 
 
 def drawdown(equity: DataFrame, key: str = "series", ts: str = "ts", seq: str = "seq",
@@ -243,3 +243,28 @@ def gross_leverage(trades: DataFrame, key: list[str], segment: str, order: list[
     exposure = F.abs(F.coalesce("position", F.lit(0)) * F.col(price))
     return held.withColumn("leverage", F.try_divide(exposure, F.col(value)))
 
+
+
+def portfolio_leverage(equity: DataFrame, trades: DataFrame, key: str = "series", instrument: str = "instrument", ts: str = "ts",
+                       seq: str = "seq", size: str = "size", price: str = "price", value: str = "value") -> DataFrame:
+    """Gross exposure over account value at each row of ``equity`` (key, ts, seq,
+    value): the sum over instruments of |position x last price|, as of ``ts``.
+
+    ``trades`` (key, instrument, ts, seq, signed size, price) have clocks of their
+    own. A trade changes the sum by the change of its instrument's exposure, so
+    one running sum per key merges any number of instruments; it and the
+    positions are segmented scans. Trades at the time of an equity row count. A
+    zero value gives null.
+    """
+    names = [key, instrument]
+    d = with_segments(trades.select(*names, ts, seq, size, price), names, ts)
+    d = segmented_running(d, names, "_seg", [ts, seq], size, "sum", "_held")
+    d = d.withColumn("_exposure", F.abs(F.col("_held") * F.col(price)))
+    d = segmented_shift(d, names, "_seg", [ts, seq], [("_exposure", -1, "_was")])
+    change = F.coalesce("_exposure", F.lit(0.0)) - F.coalesce("_was", F.lit(0.0))
+    none = F.lit(None).cast("double")
+    events = d.select(key, ts, F.lit(0).alias("_kind"), F.col(seq).alias("_n"), change.cast("double").alias("_change"), none.alias(value))
+    rows = equity.select(key, ts, F.lit(1).alias("_kind"), F.col(seq).alias("_n"), F.lit(0.0).alias("_change"), F.col(value).cast("double").alias(value))
+    both = with_segments(events.unionByName(rows), [key], ts)
+    run = segmented_running(both, [key], "_seg", [ts, "_kind", "_n"], "_change", "sum", "_gross")
+    return run.where("_kind = 1").select(key, ts, F.col("_n").alias(seq), F.try_divide(F.col("_gross"), F.col(value)).alias("leverage"))

@@ -9,6 +9,7 @@ is one task, and no Python loop.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -181,11 +182,35 @@ def rule_equity(trips: DataFrame, keys: list[str], start: float = START_CASH) ->
     return valued_trips(trips, keys, start).select(*keys, "trade_no", "exit_ts", "value")
 
 
-def final_equity(equity: DataFrame, keys: list[str], metrics: dict | None = None) -> DataFrame:
+@dataclass
+class UserMetric:
+    """A metric as a Python function: ``fn`` gets the named columns of one key's
+    closed trades, in trade order, as pandas Series, and returns a number."""
+    fn: Callable[..., float]
+    columns: tuple[str, ...]
+    dtype: str = "double"
+
+    def column(self) -> Column:
+        fn, dtype, n = self.fn, self.dtype, len(self.columns)
+
+        def run(*cols):
+            order = cols[0].sort_values(kind="stable").index
+            return fn(*[c.loc[order] for c in cols[1:]])
+        return F.pandas_udf(run, dtype, F.PandasUDFType.GROUPED_AGG)("trade_no", *self.columns[:n])
+
+
+def final_equity(equity: DataFrame, keys: list[str], metrics: dict[str, Column | UserMetric] | None = None) -> DataFrame:
     """Last account value per key (after its last closed trade), with any
-    ``metrics`` (aggregate Columns over the trades' columns)."""
-    return equity.groupBy(*keys).agg(F.max_by("value", "trade_no").alias("final_value"), F.count(F.lit(1)).alias("n_closed"),
-                                     *[expr.alias(name) for name, expr in (metrics or {}).items()])
+    ``metrics`` over the trades' columns: aggregate Columns, or ``UserMetric``
+    functions, which see one key's trades at a time in a Python task."""
+    metrics = metrics or {}
+    plain = {n: m for n, m in metrics.items() if isinstance(m, Column)}
+    own = {n: m for n, m in metrics.items() if n not in plain}
+    out = equity.groupBy(*keys).agg(F.max_by("value", "trade_no").alias("final_value"), F.count(F.lit(1)).alias("n_closed"),
+                                    *[expr.alias(name) for name, expr in plain.items()])
+    if own:  # Spark does not mix these with built-in aggregates in one step
+        out = out.join(equity.groupBy(*keys).agg(*[m.column().alias(n) for n, m in own.items()]), keys, "left")
+    return out
 
 
 def leaderboard(results: DataFrame, sort_col: str, n: int, ascending: bool = False,

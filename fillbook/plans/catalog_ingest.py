@@ -410,10 +410,14 @@ clock AS (select distinct market_id, timestamp as ts from fx_ticks),
 ix AS (select market_id, ts, row_number() over (partition by market_id order by ts) - 1 as idx from clock)
 select market_id, ts, idx from ix where idx > 900""")
 def q_stream_changes_since(spark, sf):
-    """Rows a consumer has not seen: index above its last index (900)."""
+    """Rows a consumer has not seen: index above the one it has committed."""
+    from fillbook.streaming.live import changes_since, commit
+    path = scratch_path(spark, "cursors")
+    commit(spark, path, "chart", 900)
+    commit(spark, path, "other", 1200)
     t = X.fx_ticks(spark, sf).select("market_id", F.col("timestamp").alias("ts"))
     ix = A.gapfree_index(A.master_clock(t, ["market_id"], "ts"), ["market_id"], "ts")
-    return ix.where(F.col("idx") > 900)
+    return changes_since(ix, path, "chart")[0]
 
 
 @register("stream_patch_last", f"""WITH {fx("fx_ticks")}, {BARS_SQL},

@@ -189,6 +189,24 @@ def q_perf_gross_leverage(spark, sf):
     return r.select("series", "seq", "ts", F.round("leverage", 6).alias("leverage"))
 
 
+@register("perf_portfolio_leverage", f"""WITH {fx("fx_equity")},
+x AS (select market_id as series, event_type as instrument, timestamp as ts, seq, price,
+        cast(sum(cast(round(usd_amount - 50) as bigint)) over (partition by market_id, event_type order by timestamp, seq) as double) as held
+      from fx_ticks),
+i AS (select distinct series, instrument from x),
+g AS (select e.series, e.ts, e.seq, e.value, i.instrument from fx_equity e join i using (series)),
+l AS (select g.series, g.ts, g.seq, g.value, abs(x.held * x.price) as exposure
+      from g asof left join (select series, instrument, ts, arg_max(held, seq) as held, arg_max(price, seq) as price from x group by all) x
+      on g.series = x.series and g.instrument = x.instrument and g.ts >= x.ts)
+select series, seq, ts, round(sum(coalesce(exposure, 0)) / nullif(any_value(value), 0), 6) as leverage from l group by series, seq, ts""")
+def q_perf_portfolio_leverage(spark, sf):
+    """Five instruments a series (one per kind of event), each with a clock of its own."""
+    t = X.fx_ticks(spark, sf).select(F.col("market_id").alias("series"), F.col("event_type").alias("instrument"), F.col("timestamp").alias("ts"), "seq", "price",
+                                     F.round(F.col("usd_amount") - 50).cast("bigint").alias("size"))
+    r = P.portfolio_leverage(_equity(spark, sf), t)
+    return r.select("series", "seq", "ts", F.round("leverage", 6).alias("leverage"))
+
+
 @register("perf_transactions", f"""WITH {trades_with()}
 select maker as account, timestamp as ts, market_id as instrument,
   case when maker_direction = 'BUY' then token_amount else -token_amount end as size, price,

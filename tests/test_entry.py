@@ -60,3 +60,14 @@ def test_oracle_matches(spark, duck, name):
     idx = [dcols.index(c) for c in cols]
     drows = [tuple(r[i] for i in idx) for r in cur.fetchall()]
     assert _digest(srows) == _digest(drows)
+
+
+def test_a_missing_library_costs_only_its_package(monkeypatch, capsys):
+    import sys
+    names = [m for m in sys.modules if m.startswith("fillbook.llm")]
+    for m in names:
+        monkeypatch.delitem(sys.modules, m)
+    monkeypatch.setitem(sys.modules, "fillbook.llm.common", None)  # importing it is an ImportError
+    left = E.queries()
+    assert len(left) >= 95 and not any(n.startswith("op") or n == "pipeline" for n in left)
+    assert set(E.oracle_sql()) <= set(left)

@@ -120,3 +120,49 @@ def test_new_logs_are_kept_however_late_and_replays_dropped(spark):
     got = [(int(r.block_number, 0), r.log_index, r.batch_id) for r in spark.read.parquet(out).collect()]
     assert sorted(got) == [(7, 1, 1), (7, 2, 2), (90_000_000, 1, 0), (90_000_000, 2, 0), (90_000_001, 1, 1)]
     assert spark.read.parquet(f"{out}_seen").count() == 5
+
+
+def test_bars_are_compacted_and_looked_back(spark):
+    """Thirteen batches, merged by threes: few folders hold each part once, the
+    look-back table holds the latest bars, and late ticks reach both."""
+    t = _ticks(spark, 650)
+    src, out, ck = (tempfile.mkdtemp(prefix=p) for p in ("ticks-", "bars-", "ck-"))
+    order = [5, 0, 1, 2, 3, 4, 6, 7, 8, 9, 10, 12, 11]
+    for k in order:
+        t.where(F.floor(F.col("seq") / 50) == k).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(t.schema).parquet(src)
+        J.run_to_end(J.stream_bars(spark, stream, out, ck, keep=4, every=3))
+    assert J.live_folders(13, 3) == [(2, 8), (1, 11), (0, 12)]
+    cols = ["market_id", "bar_start", "open", "high", "low", "close", "n_trades"]
+    exp = ohlcv_bars(t).select(cols)
+    got = J.latest_bars(J.live_parts(spark, out)).select(cols)
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+    last, want = J.live_lookback(spark, out).select(cols), J.lookback(exp, 4)
+    assert last.exceptAll(want).count() == 0 and want.exceptAll(last).count() == 0
+
+
+def test_live_folders_hold_each_batch_once():
+    for every in (2, 3, 8):
+        for n in range(1, 200):
+            at = 0
+            for level, last in J.live_folders(n, every):
+                at += every ** level
+                assert last == at - 1 and (last + 1) % every ** level == 0
+            assert at == n and len(J.live_folders(n, every)) <= (every - 1) * 9
+
+
+def test_cursors_of_consumers(spark):
+    from fillbook.streaming.live import changes_since, commit, cursor
+    path = tempfile.mkdtemp(prefix="cur-") + "/c"
+    rows = spark.range(10).withColumnRenamed("id", "idx")
+    assert cursor(spark, path, "a") == -1
+    new, upto = changes_since(rows.where("idx < 4"), path, "a")
+    assert new.count() == 4 and upto == 3
+    assert changes_since(rows.where("idx < 4"), path, "a")[1] == 3  # not committed: seen again
+    commit(spark, path, "a", upto)
+    commit(spark, path, "a", upto)
+    new, upto = changes_since(rows, path, "a")
+    assert [r.idx for r in new.orderBy("idx").collect()] == [4, 5, 6, 7, 8, 9] and upto == 9
+    assert changes_since(rows, path, "b")[0].count() == 10 and cursor(spark, path, "a") == 3
+    commit(spark, path, "a", upto)
+    assert changes_since(rows, path, "a")[0].count() == 0
