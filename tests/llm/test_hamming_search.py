@@ -44,3 +44,24 @@ def test_flips():
     for w in (1, 5, 8):
         for r in range(w + 2):
             assert sorted(H.flips(w, r).tolist()) == [x for x in range(1 << w) if x.bit_count() == r]
+
+
+@pytest.mark.parametrize("size", [65, 200])
+def test_long_embeddings(spark, size):
+    """Codes of several words, short and missing vectors among them, against all distances."""
+    r = np.random.default_rng(size)
+    vectors = [r.normal(size=size).round(2).tolist() for _ in range(60)] + [r.normal(size=int(n)).tolist() for n in r.integers(0, 65, 20)]
+    vectors += [[-x if r.random() < 0.05 else x for x in vectors[int(i)]] for i in r.integers(0, 60, 60)] + [vectors[0]] * 5
+    rows = [(i, v, "x") for i, v in enumerate(vectors)] + [(None, vectors[0], "x"), (900, None, "x")]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>, code string")
+    words = H.words_for(df, "embedding")
+    assert words == -(-size // 64)
+    coded = df.select("id", H.sign_words(F.col("embedding"), words).alias("code"))
+    code = lambda v: sum(1 << i for i, x in enumerate(v) if x > 0)
+    plain = [(i, code(v)) for i, v, _ in rows if v is not None and i is not None]
+    want = []
+    for q, c in plain[::9]:
+        near = sorted(((c ^ x).bit_count(), i) for i, x in plain)[:7]
+        want += [(q, n + 1, i, d) for n, (d, i) in enumerate(near)]
+    got = H.top_k(coded, coded.where(F.col("id").isin([q for q, _ in plain[::9]])), 7, words)
+    assert sorted(tuple(x) for x in got.collect()) == sorted(want)
