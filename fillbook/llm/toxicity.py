@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,35 +71,40 @@ def features_of(words: set[str]) -> set[str]:
 
 
 def counterfactuals(text: str, swaps: int = SWAPS) -> list[tuple[set[str], set[str]]]:
-    """(features gone, features come) of seeded swaps, one sentence at a time."""
+    """(features gone, features come) of seeded swaps, one sentence at a time.
+
+    One pass over the text: a swap changes only features of the two terms, and
+    which of them other words of the text hold as well is counted once.
+    """
     groups, out = identity_groups(), []
     low = text.lower()
-    if groups.keys().isdisjoint(_WORD.findall(low)):
+    words = set(_WORD.findall(low))
+    if groups.keys().isdisjoint(words):
         return []
     sentences = [set(_WORD.findall(s)) for s in _SENTENCE.split(low)]
-    uses: dict[str, int] = {}
-    for s in sentences:
-        for w in s:
-            uses[w] = uses.get(w, 0) + 1
+    uses = Counter(w for s in sentences for w in s & groups.keys())
+    holders = Counter(f for w in words for f in features_of({w}))
     for n, s in enumerate(sentences):
         for w in sorted(s & groups.keys()):
             others = groups[w]
             first = zlib.crc32(f"{w} {n}".encode()) % len(others)
             for i in range(min(swaps, len(others))):
-                new = others[(first + i) % len(others)]
-                left = set(uses) - {w} if uses[w] == 1 else set(uses)
-                before, after = features_of(set(uses)), features_of(left | {new})
-                out.append((before - after, after - before))
+                new = features_of({others[(first + i) % len(others)]})
+                alone = {f for f in features_of({w}) if holders[f] == 1} if uses[w] == 1 else set()
+                out.append((alone - new, {f for f in new if not holders[f]}))
     return out
 
 
 def fit(rows: list[list[int]], y: np.ndarray, pairs: list[tuple[list[int], list[int]]], n: int,
-        cf_weight: float = CF_WEIGHT) -> tuple[np.ndarray, float]:
+        cf_weight: float = CF_WEIGHT, times: list[int] | None = None) -> tuple[np.ndarray, float]:
     """Weights and intercept for documents given as lists of word numbers.
 
     Minimises log loss + L2 + ``cf_weight`` * mean squared score change over
-    ``pairs`` (word numbers gone and come in a counterfactual copy).
+    ``pairs`` (word numbers gone and come in a counterfactual copy), each of
+    which counts ``times`` times.
     """
+    share = np.array(times if times is not None else [1] * len(pairs), float)
+    share /= max(share.sum(), 1.0)
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.concatenate([np.array(r, np.int64) for r in rows]) if len(doc) else np.zeros(0, np.int64)
     gone = [(i, c, -1.0) for i, (a, _) in enumerate(pairs) for c in a]
@@ -114,7 +120,7 @@ def fit(rows: list[list[int]], y: np.ndarray, pairs: list[tuple[list[int], list[
         g[:n] += L2 * w[:n]
         if len(pi):
             change = np.bincount(pi, ps * w[pc], minlength=len(pairs))
-            g[:n] += 2 * cf_weight / len(pairs) * np.bincount(pc, ps * change[pi], minlength=n)
+            g[:n] += 2 * cf_weight * np.bincount(pc, ps * (share * change)[pi], minlength=n)
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
         w -= 0.05 * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.999 ** step)) + 1e-9)
     return w[:n], float(w[n])
@@ -123,9 +129,11 @@ def fit(rows: list[list[int]], y: np.ndarray, pairs: list[tuple[list[int], list[
 def _words_batch(batches: Iterator[pa.RecordBatch]):
     for b in batches:
         words = [sorted(features_of(words_of(t))) for t in b.column(2).to_pylist()]
-        cfs = [[[sorted(a), sorted(c)] for a, c in counterfactuals(t)] if t else [] for t in b.column(2).to_pylist()]
-        kind = pa.list_(pa.list_(pa.list_(pa.string())))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(words, pa.list_(pa.string())), pa.array(cfs, kind)],
+        cfs = [Counter((tuple(sorted(a)), tuple(sorted(c))) for a, c in counterfactuals(t)) if t else {} for t in b.column(2).to_pylist()]
+        swaps = [[{"gone": list(a), "come": list(c), "times": n} for (a, c), n in x.items()] for x in cfs]
+        text = pa.list_(pa.string())
+        kind = pa.list_(pa.struct([("gone", text), ("come", text), ("times", pa.int64())]))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(words, text), pa.array(swaps, kind)],
                                          names=["id", "toxic", "words", "swaps"])
 
 
@@ -144,7 +152,7 @@ class ToxicityModel:
         chosen = F.broadcast(seeded_sample(marked, "doc_id", sample, SEED))  # at most ``sample`` small rows
         texts = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "toxic", "text")
         kind = docs.schema["doc_id"].dataType.simpleString()
-        rows = write_read(texts.mapInArrow(_words_batch, f"id {kind}, toxic int, words array<string>, swaps array<array<array<string>>>"), "toxicity")
+        rows = write_read(texts.mapInArrow(_words_batch, f"id {kind}, toxic int, words array<string>, swaps array<struct<gone:array<string>,come:array<string>,times:bigint>>"), "toxicity")
         total = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
         if not total.n:
             return cls({}, None)
@@ -156,10 +164,13 @@ class ToxicityModel:
         vocabulary = sorted({x.w for x in best} | features_of(set(identity_groups())))
         known = F.array(*[F.lit(w) for w in vocabulary])
         at = {w: i for i, w in enumerate(vocabulary)}
-        got = rows.select("id", "toxic", F.array_intersect("words", known).alias("words"), "swaps").collect()
+        got = rows.select("id", "toxic", F.array_intersect("words", known).alias("words")).collect()
         got.sort(key=lambda x: (x.id, x.words))
-        pairs = [([at[w] for w in a], [at[w] for w in c]) for x in got for a, c in x.swaps]
-        w, b = fit([[at[v] for v in x.words] for x in got], np.array([x.toxic for x in got], float), pairs, len(vocabulary))
+        # Distinct pairs: terms of the fixed groups, and which of their few features change.
+        swaps = rows.select(F.explode("swaps").alias("s")).groupBy("s.gone", "s.come").agg(F.sum("s.times").alias("times")).collect()
+        swaps.sort(key=lambda x: (x.gone, x.come))
+        pairs = [([at[w] for w in x.gone], [at[w] for w in x.come]) for x in swaps]
+        w, b = fit([[at[v] for v in x.words] for x in got], np.array([x.toxic for x in got], float), pairs, len(vocabulary), times=[x.times for x in swaps])
         return cls(dict(zip(vocabulary, w.tolist(), strict=True)), b)
 
     def score(self, docs: DataFrame) -> DataFrame:

@@ -16,6 +16,15 @@ def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Many small steps over small tables."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def tree(leaves):
     """Root, and per leaf its steps (lefts, rights)."""
     steps, level, at = [[] for _ in leaves], list(leaves), list(range(len(leaves)))

@@ -1,10 +1,14 @@
 """Language ID and toxicity: held-out accuracy, edges, counterfactual penalty."""
+import random
+import zlib
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from fillbook.llm import langid as L
 from fillbook.llm import toxicity as T
-from fillbook.llm.common import table
+from fillbook.llm.common import prepare, table
 
 SF = "/root/testdata/sf0.01"
 
@@ -69,3 +73,54 @@ def test_counterfactual_penalty_evens_identity_terms():
     assert T.counterfactuals("No group here.") == []
     gone, come = T.counterfactuals("The women won. Fine.")[0]
     assert "women" in gone and come and "fine" not in gone
+
+
+def _swapped_whole(text):
+    """Counterfactuals by building all features of both texts."""
+    groups, out = T.identity_groups(), []
+    sentences = [set(T._WORD.findall(s)) for s in T._SENTENCE.split(text.lower())]
+    for n, s in enumerate(sentences):
+        for w in sorted(s & groups.keys()):
+            others = groups[w]
+            first = zlib.crc32(f"{w} {n}".encode()) % len(others)
+            for i in range(min(T.SWAPS, len(others))):
+                new = others[(first + i) % len(others)]
+                swapped = [(x - {w}) | {new} if m == n else x for m, x in enumerate(sentences)]
+                before, after = (T.features_of(set().union(*x)) for x in (sentences, swapped))
+                out.append((before - after, after - before))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_counterfactuals_equal_whole_swaps(seed):
+    r = random.Random(seed)
+    vocabulary = "women woman wombat men mention blind blindly young the of gay gayer frauen frau muslim".split()
+    text = "".join(r.choice(vocabulary) + r.choice([" ", " ", ". ", "\n"]) for _ in range(60))
+    assert T.counterfactuals(text) == _swapped_whole(text)
+
+
+def test_long_text_full_of_terms_is_one_pass():
+    import time
+    began = time.time()
+    pairs = T.counterfactuals("the women spoke. " * 60_000)
+    assert len(pairs) == 180_000 and time.time() - began < 20
+
+
+def test_toxicity_of_tables_without_rows_and_with_long_texts(spark):
+    prepare(spark)
+    schema = "doc_id long, text string"
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    docs = spark.createDataFrame([(1, "you idiot. " * 20_000), (2, "the women met. " * 20_000), (3, None)], schema)
+    model = T.ToxicityModel.fit(docs, labels, F.lit(True))
+    scores = {r.doc_id: r.score for r in model.score(docs).collect()}
+    assert scores[1] > scores[2] and 0 <= scores[3] <= 1
+    assert model.score(docs.limit(0)).count() == 0
+    assert [r.score for r in T.ToxicityModel.fit(docs.limit(0), labels, F.lit(True)).score(docs).collect()] == [0.0] * 3
+
+
+def test_pairs_that_repeat_weigh_as_often():
+    rows, y = [[0], [1], [0, 2], [2]], np.array([1.0, 0, 1, 0])
+    one = T.fit(rows, y, [([0], [1])] * 3 + [([2], [])], 3)
+    two = T.fit(rows, y, [([0], [1]), ([2], [])], 3, times=[3, 1])
+    assert np.allclose(one[0], two[0]) and np.isclose(one[1], two[1])
+    assert not np.allclose(one[0], T.fit(rows, y, [([0], [1])], 3, cf_weight=0.0)[0])

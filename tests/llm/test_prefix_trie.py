@@ -15,6 +15,15 @@ from tests.conftest import SF001
 SCHEMA = "conv_id long, turn long, role string, text string"
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Many small steps over small tables."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def plain(rows):
     turns = {}
     for c, t, role, text in rows:
