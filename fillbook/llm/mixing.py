@@ -76,25 +76,35 @@ def route(capacity: dict[Pattern, int], target: dict, costs=USE_COSTS) -> dict[P
     """Words of each pattern that each of its sources takes.
 
     Serves as much of the targets as the patterns can, at the least cost of
-    repeated use. Sources without overlap are solved directly; the rest by
-    successive shortest paths.
+    repeated use: successive shortest paths from patterns through their sources
+    to the targets, one network for each group of sources that overlap.
     """
-    uses = defaultdict(list)
-    for p in capacity:
-        for s in p:
-            uses[s].append(p)
     flow: dict[Pattern, dict] = {p: {} for p in capacity}
-    shared = {}
-    for p, c in capacity.items():
-        if len(p) == 1 and len(uses[p[0]]) == 1:
-            flow[p] = {p[0]: min(target.get(p[0], 0.0), float(c * len(costs)))}
-        else:
-            shared[p] = c
-    if shared:
-        _shortest_paths(shared, target, costs, flow)
+    for part in _linked(capacity):
+        _shortest_paths({p: capacity[p] for p in part}, target, costs, flow)
     return flow
 
 
+def _linked(patterns) -> list[list[Pattern]]:
+    """Patterns that share sources, directly or through others, together: a
+    source without overlap is a network of one path."""
+    top: dict = {}
+
+    def find(s):
+        while top[s] != s:
+            top[s] = s = top[top[s]]
+        return s
+    for p in patterns:
+        for s in p:
+            top.setdefault(s, s)
+            top[find(s)] = find(p[0])
+    parts = defaultdict(list)
+    for p in patterns:
+        if p:
+            parts[find(p[0])].append(p)
+    return list(parts.values())
+
+
 def _shortest_paths(capacity, target, costs, flow) -> None:
     """Min-cost flow from a root through patterns and sources to a sink, into ``flow``."""
     edges: list[list] = []  # [from, to, room, cost]; an edge's twin is its number ^ 1
@@ -190,7 +200,7 @@ class Mix:
             passes[x.pattern] = int((words + 1e-6) // x.n) if x.n else 0
             share[x.pattern] = max(0.0, words - passes[x.pattern] * x.n)
             close[x.pattern] = max(CLOSE * words, 0.5)  # sizes are whole
-        chosen = _partial(steps, {p: v for p, v in share.items() if v > 0}, close)
+        chosen = _partial(steps, {p: v for p, v in share.items() if v > 1e-6}, close)
         rows = []
         for x in sums:
             p, first = x.pattern, members[x.pattern][0] if members[x.pattern] else None

@@ -47,6 +47,18 @@ def test_route_is_optimal(cap, target):
     assert abs(sum(used.values()) + want[0]) < 1e-4 and abs(cost - want[1]) < 1e-4
 
 
+def test_every_source_goes_through_the_flow(monkeypatch):
+    """Groups of overlapping sources are networks of their own, single sources too."""
+    seen = []
+    real = M._shortest_paths
+    monkeypatch.setattr(M, "_shortest_paths", lambda cap, *a: (seen.append(set(cap)), real(cap, *a)))
+    cap = {("a",): 10, (None,): 4, ("b", "c"): 6, ("c", "d"): 8, ("e",): 0, (): 3}
+    flow = M.route(cap, {"a": 25.0, None: 2.5, "b": 3.0, "c": 9.0, "d": 1.0, "e": 0.0})
+    assert sorted(map(len, seen)) == [1, 1, 1, 2]
+    assert abs(flow[("a",)]["a"] - 25) < 1e-6 and abs(flow[(None,)][None] - 2.5) < 1e-6 and flow[()] == {}
+    assert abs(sum(sum(f.values()) for f in flow.values()) - 40.5) < 1e-5
+
+
 def test_mix_of_documents(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     size, src = word_count(F.col("text")), F.array("source")
