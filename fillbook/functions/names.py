@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Label abbreviations, applied in this order.
-LABEL_ABBREVIATIONS = [("SimpleMovingAverage", "MA"), ("ExponentialMovingAverage", "EMA"),
-                       ("MovingAverage", "MA")]
+# Names of moving averages, and what is written for them: the
+# initial of an exponential one, then the short name.
+AVERAGE_NAME, AVERAGE_SHORT = "(?:Simple|(E)xponential)?MovingAverage", "$1MA"
 # Fixed value: characters not allowed in a source (column) name.
 FORBIDDEN_SOURCE_CHARS = "(),.*:/^"
 
@@ -22,10 +22,7 @@ def _strip_ws(c: Column) -> Column:
 
 def clean_label(c) -> Column:
     """Underscores -> spaces, long average names shortened, outer space trimmed."""
-    out = F.replace(_c(c), F.lit("_"), F.lit(" "))
-    for long_name, short in LABEL_ABBREVIATIONS:
-        out = F.replace(out, F.lit(long_name), F.lit(short))
-    return _strip_ws(out)
+    return _strip_ws(F.regexp_replace(F.translate(_c(c), "_", " "), AVERAGE_NAME, AVERAGE_SHORT))
 
 
 def sanitize_source_name(c) -> Column:
