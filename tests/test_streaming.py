@@ -166,3 +166,15 @@ def test_cursors_of_consumers(spark):
     assert changes_since(rows, path, "b")[0].count() == 10 and cursor(spark, path, "a") == 3
     commit(spark, path, "a", upto)
     assert changes_since(rows, path, "a")[0].count() == 0
+
+
+def test_a_batch_that_writes_nothing_is_observed(spark):
+    """All logs lie above the head: the stats row says zero."""
+    from fillbook.sources import chain as C
+    from fillbook.sources import fixtures as X
+    from tests.conftest import SF001
+    src, out, ck, stats = (tempfile.mkdtemp(prefix=p) for p in ("logs-", "fills-", "ck-", "stats-"))
+    X.fx_raw_logs(spark, SF001).limit(50).write.mode("append").parquet(src)
+    blocks = spark.createDataFrame([(5, 10)], C.RAW_BLOCK)
+    J.run_to_end(J.stream_fills(spark, src, blocks, X.FX_CONTRACT, X.FX_TOPIC0, out, ck, stats_path=stats))
+    assert [(r.rows_written, r.first_ts, r.last_ts) for r in spark.read.parquet(stats).collect()] == [(0, None, None)]
