@@ -2,10 +2,13 @@
 
 Labelled page outcomes (good or bad) are counted by host. Three beta-binomial
 levels shrink them: the rate of a suffix towards the overall rate, that of a
-registered domain towards its suffix, that of a host towards its domain. How
+registered domain towards its suffix, that of a host towards its domain, each
+without the labels of the unit that it is the prior of. How
 hard each level shrinks is estimated from the spread of its units (method of
 moments). A host is blocked when the lower posterior bound of its bad rate is
-above ``LIMIT``, so few labels can never block one.
+above ``LIFT`` times the overall rate: its pages are surely worse than a page
+drawn at random. The limit so follows from the outcomes, and few labels, whose
+bound stays low, do not block a host; a caller may name a fixed limit instead.
 
 All of it is DataFrame code: the counts are aggregates combined before the
 shuffle (a host with a third of all pages is one row per task), and the host
@@ -28,7 +31,8 @@ from fillbook.llm.common import register, table, write_read
 
 #: (rule, verdict): a host, then the beginning of a path.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-LIMIT = 0.5
+#: How far above the overall bad rate a host must surely be; more than 1 spares large hosts a little above it.
+LIFT = 1.0
 Z = 1.645
 MAX_STRENGTH = 1000.0
 #: Second-level labels that belong to the suffix below a two-letter country.
@@ -74,7 +78,7 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """One row per host of ``pages``: labelled and bad pages, posterior mean and lower bound of the bad rate.
+    """One row per host of ``pages``: labelled and bad pages, posterior mean and lower bound of the bad rate, overall rate.
 
     ``pages``: page_id, host; ``outcomes``: page_id, bad (0 or 1).
     """
@@ -89,14 +93,15 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     strength = _strengths(units, mean)
     named = {c: units[c].select(c, F.col("n").alias(f"n_{c}"), F.col("k").alias(f"k_{c}")) for c in ("suffix", "domain")}
     rows = hosts.join(named["domain"], "domain").join(named["suffix"], "suffix")
-    prior = F.lit(mean)
-    for c in ("suffix", "domain"):
-        prior = (F.col(f"k_{c}") + strength[c] * prior) / (F.col(f"n_{c}") + strength[c])
+    prior, inner = F.lit(mean), {"suffix": ("k_domain", "n_domain"), "domain": ("k", "n")}
+    for c, (k, n) in inner.items():  # what the level below counts itself is no part of its prior
+        prior = (F.col(f"k_{c}") - F.col(k) + strength[c] * prior) / (F.col(f"n_{c}") - F.col(n) + strength[c])
     s = strength["host"]
     rows = rows.withColumn("a", F.col("k") + s * prior).withColumn("b", F.col("n") + s - F.col("a"))
     both = F.col("a") + F.col("b")
     sd = F.sqrt(F.col("a") * F.col("b") / (both * both * (both + 1)))
-    return rows.select("host", "n", "k", (F.col("a") / both).alias("bad_rate"), (F.col("a") / both - Z * sd).alias("bad_bound"))
+    return rows.select("host", "n", "k", (F.col("a") / both).alias("bad_rate"), (F.col("a") / both - Z * sd).alias("bad_bound"),
+                       F.lit(mean).alias("overall"))
 
 
 def _strengths(units: dict[str, DataFrame], mean: float) -> dict[str, float]:
@@ -117,12 +122,16 @@ def _strengths(units: dict[str, DataFrame], mean: float) -> dict[str, float]:
     return out
 
 
-def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, limit: float = LIMIT) -> DataFrame:
-    """Every page with host, path, rule and verdict."""
+def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, limit: float | None = None, lift: float = LIFT) -> DataFrame:
+    """Every page with host, path, rule and verdict.
+
+    Hosts without a rule are blocked above ``limit``, or where that is None above ``lift`` times the overall rate.
+    """
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rep = host_reputation(rows, outcomes)
     rows = rows.join(rep, "host").withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
-    verdict = F.when(F.col("bad_bound") > limit, F.lit("block")).otherwise(F.lit("allow"))
+    bound = F.col("overall") * lift if limit is None else F.lit(limit)
+    verdict = F.when(F.col("bad_bound") > bound, F.lit("block")).otherwise(F.lit("allow"))
     for rule, said in rules:
         verdict = F.when(F.col("rule") == rule, F.lit(said)).otherwise(verdict)
     return rows.select("page_id", "host", "path", "rule", verdict.alias("verdict"),
@@ -168,11 +177,11 @@ u_suffix AS (SELECT suffix, sum(n)::BIGINT AS n, sum(k)::BIGINT AS k FROM h GROU
 u_domain AS (SELECT domain, sum(n)::BIGINT AS n, sum(k)::BIGINT AS k FROM h GROUP BY 1),
 u_host AS (SELECT host, n, k FROM h),
 {level('suffix')}, {level('domain')}, {level('host')},
-f AS (SELECT h.host, h.n, h.k, h.k + s_host.s * ((d.k + s_domain.s * ((x.k + s_suffix.s * m) / (x.n + s_suffix.s))) / (d.n + s_domain.s)) AS a,
+f AS (SELECT h.host, h.n, h.k, h.k + s_host.s * ((d.k - h.k + s_domain.s * ((x.k - d.k + s_suffix.s * m) / (x.n - d.n + s_suffix.s))) / (d.n - h.n + s_domain.s)) AS a,
         s_host.s AS s FROM h JOIN u_domain d USING (domain) JOIN u_suffix x USING (suffix), g, s_host, s_domain, s_suffix),
 q AS (SELECT host, n, k, a / (n + s) AS bad_rate, a / (n + s) - {Z} * sqrt(a * (n + s - a) / ((n + s) * (n + s) * (n + s + 1))) AS bad_bound FROM f),
 r AS (SELECT *, {rule} AS rule FROM p JOIN q USING (host))
-SELECT page_id, host, path, rule, CASE rule {said} ELSE CASE WHEN bad_bound > {LIMIT} THEN 'block' ELSE 'allow' END END AS verdict,
+SELECT page_id, host, path, rule, CASE rule {said} ELSE CASE WHEN bad_bound > (SELECT m FROM g) * {LIFT} THEN 'block' ELSE 'allow' END END AS verdict,
     n AS host_labels, k AS host_bad, round(bad_rate, 6) AS bad_rate FROM r"""
 
 

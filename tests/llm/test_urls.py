@@ -43,3 +43,17 @@ def test_few_labels_do_not_block(spark):
     said = {x.host: x for x in got.dropDuplicates(["host"]).collect()}
     assert said["bad.com"].verdict == "block" and said["once.org"].verdict == "allow" and said["h3.org"].verdict == "allow"
     assert said["new.bad.com"].bad_rate > said["once.org"].bad_rate and got.count() == len(pages)
+
+
+def test_limit_follows_from_the_outcomes(spark):
+    """The same counts block where bad pages are rare and not where they are common; a named limit holds instead."""
+    def verdicts(common, **kw):
+        pages, bad, n = [], [], 0
+        for host, total, marked in (("x.com", 60, 30), *((f"h{i}.org", 60, common) for i in range(10))):
+            for j in range(total):
+                pages.append((n, f"http://{host}/{j}"))
+                bad.append((n, int(j < marked)))
+                n += 1
+        got = U.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(bad, "page_id long, bad int"), **kw)
+        return {x.host for x in got.where("verdict = 'block'").select("host").distinct().collect()}
+    assert verdicts(3) == {"x.com"} and "x.com" not in verdicts(30) and verdicts(3, limit=0.9) == set() and verdicts(3, lift=9.0) == set()
