@@ -4,7 +4,9 @@ Documents are dealt by ranges of doc_id, one shard a task, sorted inside. A
 task lays its documents' ids end to end and cuts the line into sequences of at
 most ``WINDOW`` ids. Cuts are offered at document ends (free), at sentence ends
 (``SENTENCE_CUT``) and, so that long sentences fit, on a grid inside them
-(``INNER_CUT``). The cheapest set of cuts minimises
+(``INNER_CUT``): inside every sentence, or with ``inner_cuts=False``, as the
+query and the pipeline have it, only where the next boundary is farther away
+than a window. The cheapest set of cuts minimises
 
     padding + cut penalties + SEQUENCE_COST per sequence
 
@@ -45,14 +47,21 @@ STRETCH = 1 << 18
 SHARD_BITS = 40
 
 
-def offered_cuts(ids: np.ndarray, doc_ends: np.ndarray, ends_sentence: np.ndarray, grid: int = GRID) -> tuple[np.ndarray, np.ndarray]:
-    """Places where the line may be cut, in order, and what each costs."""
+def offered_cuts(ids: np.ndarray, doc_ends: np.ndarray, ends_sentence: np.ndarray, grid: int = GRID,
+                 window: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places where the line may be cut, in order, and what each costs; with a
+    ``window``, places inside a sentence only between boundaries farther apart than it."""
     n = len(ids)
     cost = np.full(n + 1, np.inf)
-    cost[grid::grid] = INNER_CUT
+    if window is None:
+        cost[grid::grid] = INNER_CUT
     cost[np.flatnonzero(ends_sentence[ids]) + 1] = SENTENCE_CUT
     cost[doc_ends] = 0.0
     cost[0] = cost[n] = 0.0
+    if window is not None:
+        at = np.flatnonzero(np.isfinite(cost))
+        for i in np.flatnonzero(np.diff(at) > window).tolist():
+            cost[at[i] + grid:at[i + 1]:grid] = INNER_CUT
     at = np.flatnonzero(np.isfinite(cost))
     return at, cost[at]
 
@@ -109,7 +118,7 @@ def best_cuts(place: np.ndarray, penalty: np.ndarray, window: int = WINDOW, sequ
 _PIECES = "doc_id {id}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
-def _pack_batches(tokenizer: str, end_id: int, window: int, stretch: int, id_type: pa.DataType):
+def _pack_batches(tokenizer: str, end_id: int, window: int, stretch: int, inner_cuts: bool, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]):
         sequence, held, docs, parts = 0, 0, [], []
 
@@ -118,7 +127,7 @@ def _pack_batches(tokenizer: str, end_id: int, window: int, stretch: int, id_typ
             ids = np.concatenate(parts)
             size = np.array([len(x) for x in parts])
             ends = np.cumsum(size)
-            cuts = np.array(best_cuts(*offered_cuts(ids, ends, ends_sentence, min(GRID, window)), window))
+            cuts = np.array(best_cuts(*offered_cuts(ids, ends, ends_sentence, min(GRID, window), None if inner_cuts else window), window))
             stop = np.union1d(ends, cuts)
             start = np.append(0, stop[:-1])
             doc, seq = np.searchsorted(ends, start, "right"), np.searchsorted(cuts, start, "right")
@@ -148,18 +157,18 @@ def _pack_batches(tokenizer: str, end_id: int, window: int, stretch: int, id_typ
 
 
 def pack_sequences(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, window: int = WINDOW,
-                   stretch: int = STRETCH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   stretch: int = STRETCH, id_col: str = "doc_id", text_col: str = "text", inner_cuts: bool = True) -> DataFrame:
     """One row per piece: document, place in it, length, crc32, sequence and offset there."""
     from pyspark.sql.pandas.types import to_arrow_type
     kind = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = rows.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id", F.xxhash64("text"))
     rows = rows.withColumn("shard", F.spark_partition_id().cast("long"))
-    run = _pack_batches(tokenizer, end_id, window, stretch, to_arrow_type(kind))
+    run = _pack_batches(tokenizer, end_id, window, stretch, inner_cuts, to_arrow_type(kind))
     return rows.mapInArrow(run, _PIECES.format(id=kind.simpleString()))
 
 
 @register("op6_packing")
 def op6_packing(spark, sf_dir) -> DataFrame:
-    """All ``documents`` packed into sequences of at most 1024 ids."""
-    return pack_sequences(table(spark, sf_dir, "documents"))
+    """All ``documents`` packed into sequences of at most 1024 ids, cut at document or sentence ends."""
+    return pack_sequences(table(spark, sf_dir, "documents"), inner_cuts=False)

@@ -82,3 +82,32 @@ def test_edges(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, start int")
     check(P.pack_sequences(df, stretch=500).collect(), [(i, t) for i, t, _ in rows])
     assert P.pack_sequences(df.limit(0)).count() == 0
+
+
+def test_boundaries_only(spark):
+    """The query cuts inside a sentence only where no boundary lies within a window."""
+    from fillbook.llm.common import QUERIES
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text").collect()
+    rows = QUERIES["op6_packing"](spark, "/root/testdata/sf0.01").collect()
+    assert check(rows, docs) < 0.02
+    code = Encoder()
+    whole = {x.doc_id: np.append(code.encode([x.text])[0], 0) for x in docs}
+    inside = 0
+    for x in rows:
+        stop, ids = x.start + x.length, whole[x.doc_id]
+        if stop == len(ids) or code.ends[ids[stop - 1]]:
+            continue
+        at = np.concatenate(([0], np.flatnonzero(code.ends[ids]) + 1, [len(ids)]))
+        n = np.searchsorted(at, stop)
+        inside += 1
+        assert at[n] - at[n - 1] > 1024
+    assert inside > 0
+
+
+def test_places_inside_long_sentences():
+    """Gaps up to a window get no inner place, longer ones get places no farther apart than the grid."""
+    ends = np.array([False, True])
+    ids = np.array([0] * 7 + [1] + [0] * 8 + [0] * 30 + [1])
+    at, cost = P.offered_cuts(ids, np.array([16, len(ids)]), ends, 4, 8)
+    assert at.tolist() == [0, 8, 16, 20, 24, 28, 32, 36, 40, 44, 47] and cost.tolist() == [0, 1, 0] + [P.INNER_CUT] * 7 + [0]
+    assert P.offered_cuts(ids[:16], np.array([16]), ends, 4, 8)[0].tolist() == [0, 8, 16]
