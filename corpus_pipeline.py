@@ -10,7 +10,7 @@ near_dups   one document of each SimHash group stays (its smallest doc_id)
 pii         personal data in the texts is masked, n_chars follows
 mixing      sources are brought to their target weights: a document taken
             several times is several rows, one not taken is left out
-packing     the rows are cut into sequences of at most 1024 ids
+packing     the rows are cut at document or sentence ends into sequences of at most 1024 ids
 """
 
 from __future__ import annotations
@@ -59,7 +59,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing: one row per piece of a document in its sequence."""
     prepare(spark)
-    return pack_sequences(docs)
+    return pack_sequences(docs, inner_cuts=False)
 
 
 STAGES = [("language", language), ("near_dups", near_dups), ("pii", pii), ("mixing", mixing), ("packing", packing)]
