@@ -124,3 +124,31 @@ def test_pairs_that_repeat_weigh_as_often():
     two = T.fit(rows, y, [([0], [1]), ([2], [])], 3, times=[3, 1])
     assert np.allclose(one[0], two[0]) and np.isclose(one[1], two[1])
     assert not np.allclose(one[0], T.fit(rows, y, [([0], [1])], 3, cf_weight=0.0)[0])
+
+
+def test_alike_terms_are_those_of_equal_company():
+    company = [("red", "<the", 8), ("red", ">car", 8), ("blue", "<the", 4), ("blue", ">car", 4), ("run", ">car", 1), ("run", "<to", 9)]
+    assert T.alike_terms(company) == {"red": ("blue",), "blue": ("red",)}
+    assert T.alike_terms(company, alike=0.0)["run"] == ("blue", "red") and T.alike_terms([]) == {}
+
+
+def test_terms_found_in_the_sample_change_the_model(spark):
+    """The given tables hold none of the fixed terms: the pairs come from found ones, and their penalty shows in the weights."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    learn = ~L.held_out(F.col("doc_id"), 4, 2)
+    model, plain = (T.ToxicityModel.fit(docs, labels, learn, cf_weight=w) for w in (50.0, 0.0))
+    assert model.pairs == plain.pairs > 0 and model.weights.keys() == plain.weights.keys() and model.groups == plain.groups
+    found = model.groups.keys() - T.identity_groups().keys()
+    assert found and not found & {"idiot", "moron", "scum", "trash", "stupid"}
+    def change(m):
+        gap = [(w, o) for w in sorted(found) for o in m.groups[w]]
+        return sum((sum(m.weights[f] for f in T.features_of({w}) & m.weights.keys()) - sum(m.weights[f] for f in T.features_of({o}) & m.weights.keys())) ** 2 for w, o in gap)
+    assert change(model) < change(plain)
+
+
+def test_toxicity_tables_without_rows_or_classes(spark):
+    docs = spark.createDataFrame([(1, "The red car. " * 20, "x"), (2, None, "y"), (3, "", "z")], "doc_id long, text string, term string")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "doc_id long, toxic int")
+    for d, m in ((docs, labels), (docs.limit(0), labels), (docs, labels.limit(0))):
+        model = T.ToxicityModel.fit(d, m, F.lit(True))
+        assert model.score(docs).count() == 3 and model.score(docs.limit(0)).count() == 0
