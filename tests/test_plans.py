@@ -77,3 +77,10 @@ def test_rows_of_a_market_are_dealt_by_segment(spark, monkeypatch, name):
     plan = _plan(E.queries()[name](spark, SF001))
     rows = [w for w in re.findall(r"Window \[.*", plan) if "row_number()" in w or "_pos" in w.split("AS")[0]]
     assert rows and all(re.search(r"_gk#\d+, _seg#\d+", w) for w in rows)
+
+
+def test_asset_sides_decode_the_token_once(spark):
+    """Not within each branch of a condition, where nothing of a word's digits is shared."""
+    steps = {n: E.queries()[n](spark, SF001)._jdf.queryExecution().optimizedPlan().toString().count("conv(")
+             for n in ("side_to_assets", "uint256_decimal")}
+    assert steps["side_to_assets"] < 1.5 * steps["uint256_decimal"]
