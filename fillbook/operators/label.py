@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fillbook.functions import hexcodec as H
 from fillbook.functions import labels as L
 from fillbook.functions.tokens import token_pair
 
@@ -31,14 +32,15 @@ def join_fills_markets(fills: DataFrame, markets: DataFrame) -> DataFrame:
     """Left join each fill to the market owning its outcome token.
 
     A token listed by two markets yields two rows (as the original does).
-    Physical plan: a shuffle join that AQE turns into a broadcast once the
-    runtime size of the markets side is known to be under the threshold, and
-    splits hot tokens on the fills side otherwise. Null keys are removed from
-    the markets side first; they could never match.
+    Physical plan: a shuffled hash join at any size, as neither side is bounded;
+    the markets of a partition are hashed (the fills are not sorted), and AQE
+    splits hot tokens on the fills side. Hashes and addresses cross the exchange
+    as bytes. Null keys are removed from the markets side first; they could never match.
     """
-    long = markets_long(markets, keep_nulls=False)
-    f = fills.withColumn("nonusdc_asset_id", L.nonusdc_asset_id())
-    return f.join(long, f["nonusdc_asset_id"] == long["asset_id"], "left").drop(long["asset_id"])
+    long = markets_long(markets, keep_nulls=False).hint("shuffle_hash")
+    token = L.nonusdc_asset_id()  # as an expression, it takes no room beside the two ids it comes from
+    j = H.packed(fills).join(long, token == long["asset_id"], "left").drop(long["asset_id"]).withColumn("nonusdc_asset_id", token)
+    return H.unpacked(j).select(*fills.columns, "nonusdc_asset_id", "market_id", "side")
 
 
 def label_trades(fills: DataFrame, markets: DataFrame, strict_amounts: bool = False,

@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from fillbook.operators.label import TRADE_COLUMNS, label_trades
+from fillbook.operators.label import TRADE_COLUMNS, join_fills_markets, label_trades
 from fillbook.sources.files import append_trades, read_trades
 
 FILL = ("timestamp long, maker string, makerAssetId string, makerAmountFilled long, taker string, "
@@ -92,3 +92,21 @@ def test_few_files_per_date_and_splitting_csv(spark):
         assert back.rdd.getNumPartitions() > 3 and back.exceptAll(fills).count() == 0 and back.count() == 3000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_packed_hex_comes_back_as_it_was(spark):
+    from fillbook.functions import hexcodec as H
+    texts = ["0x" + "ab" * 32, "ab" * 32, "0xAB", "AB", "0xabc", "abc", "", "0x", "0xzz", "é\n", "ab\n", " ab", None]
+    rows = spark.createDataFrame([(i, x, [x, "0xcd", None]) for i, x in enumerate(texts)],
+                                 "i long, transactionHash string, topics array<string>")
+    moved = H.packed(rows)
+    assert H.unpacked(moved).orderBy("i").collect() == rows.orderBy("i").collect()
+    assert len(moved.where("i = 0").first().transactionHash) == 33
+
+
+def test_fills_move_with_their_hashes_as_bytes_and_one_plan(spark):
+    """Few markets give the plan that many do: a shuffled hash join."""
+    j = join_fills_markets(fills_of(spark, [("0", CASH, "71", TOKENS)]), markets_of(spark))
+    j.collect()
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan and "unhex" in plan
