@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fillbook.functions import hexcodec as H
 from fillbook.operators.label import TRADE_COLUMNS
 from fillbook.sources.markets import CSV_OPTIONS
 
@@ -74,8 +75,13 @@ def append_trades(trades: DataFrame, path: str, run_id: str, granularity: str =
     labels each partition with the month's first day (for small tables).
     """
     date = F.to_date(F.date_trunc(granularity, F.col("timestamp")))
-    out = trades.withColumn("trade_date", date).hint("rebalance", "trade_date")
-    out.write.mode("overwrite").partitionBy("trade_date").parquet(f"{path}/run_id={run_id}")
+    out = by_date(trades.withColumn("trade_date", date))
+    out.write.mode("overwrite").option("compression", "zstd").partitionBy("trade_date").parquet(f"{path}/run_id={run_id}")
+
+
+def by_date(trades: DataFrame) -> DataFrame:
+    """Trades rebalanced by date, hashes and addresses as bytes on the way."""
+    return H.unpacked(H.packed(trades).hint("rebalance", "trade_date"))
 
 
 def read_trades(spark: SparkSession, path: str) -> DataFrame:
