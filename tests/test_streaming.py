@@ -178,3 +178,32 @@ def test_a_batch_that_writes_nothing_is_observed(spark):
     blocks = spark.createDataFrame([(5, 10)], C.RAW_BLOCK)
     J.run_to_end(J.stream_fills(spark, src, blocks, X.FX_CONTRACT, X.FX_TOPIC0, out, ck, stats_path=stats))
     assert [(r.rows_written, r.first_ts, r.last_ts) for r in spark.read.parquet(stats).collect()] == [(0, None, None)]
+
+
+def _logs_of(spark, keys):
+    rows = [(str(b), i, "0x" + f"{b:064x}", ["0x" + "ab" * 32, None], "x") for b, i in keys]
+    return spark.createDataFrame(rows, "block_number string, log_index long, transaction_hash string, topics array<string>, data string")
+
+
+def test_rows_without_repeats_do_not_move(spark):
+    key = ["block_number", "log_index"]
+    rows, seen = _logs_of(spark, [(1, 1), (1, 2), (2, 1)]), _logs_of(spark, [(9, 9)])
+    fresh = J._first_time(rows, key, seen)
+    assert fresh.orderBy(*key).collect() == rows.orderBy(*key).collect()
+    assert "Exchange" not in fresh._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeats_and_seen_rows_go(spark):
+    key = ["block_number", "log_index"]
+    rows, seen = _logs_of(spark, [(1, 1), (1, 1), (1, 2), (2, 1), (3, 1)]), _logs_of(spark, [(2, 1), (9, 9)])
+    assert J._first_time(rows, key, seen).orderBy(*key).collect() == _logs_of(spark, [(1, 1), (1, 2), (3, 1)]).collect()
+    assert J._first_time(rows, key, None).count() == 4
+
+
+def test_landed_slices_have_a_bounded_number_of_files(spark):
+    from fillbook.plans.catalog_stream import land_slices
+    path = tempfile.mkdtemp(prefix="slices-") + "/t"
+    many = 3 * spark.sparkContext.defaultParallelism
+    land_slices(spark.range(0, 100 * many, 1, many).withColumn("s", F.col("id") % 2), path, F.col("s"), [0, 1])
+    got = spark.read.parquet(path)
+    assert got.count() == 100 * many and len(got.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
