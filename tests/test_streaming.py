@@ -207,3 +207,72 @@ def test_landed_slices_have_a_bounded_number_of_files(spark):
     land_slices(spark.range(0, 100 * many, 1, many).withColumn("s", F.col("id") % 2), path, F.col("s"), [0, 1])
     got = spark.read.parquet(path)
     assert got.count() == 100 * many and len(got.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_")}
+
+
+def _left(spark, before):
+    """Exchange files made since ``before``, once the removal, which is not waited for, is through."""
+    import time
+    for _ in range(50):
+        if not (more := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    return more
+
+
+def _no_persist(monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def refuse(self, *a):
+        raise AssertionError("a batch is kept")
+    for name in ("persist", "cache"):
+        monkeypatch.setattr(DataFrame, name, refuse)
+
+
+def _writes(path):
+    """Write jobs whose files lie under ``path``, by the id that each puts into its files' names."""
+    import pathlib
+    import re
+    return {re.search(r"part-\d+-([0-9a-f-]{36})", p.name)[1] for p in pathlib.Path(path).rglob("part-*")}
+
+
+def test_unknown_trades_are_labelled_again_in_portions(spark, monkeypatch):
+    """No exchange is left to the reader, and portions give the rows that one pass gives."""
+    from fillbook import session as S
+    from fillbook.operators.label import label_trades
+    fills = spark.range(400).select(
+        F.col("id").alias("timestamp"), F.lit("m").alias("maker"), F.lit("0").alias("makerAssetId"), (F.col("id") + 1).alias("makerAmountFilled"),
+        F.lit("t").alias("taker"), (F.col("id") % 7).cast("string").alias("takerAssetId"), F.lit(5).cast("long").alias("takerAmountFilled"),
+        F.sha2(F.col("id").cast("string"), 256).alias("transactionHash"), F.floor(F.col("id") / 3).alias("block_number"), (F.col("id") % 3).alias("log_index"))
+    some = spark.createDataFrame([("a", "1", "2")], "id string, token1 string, token2 string")
+    full = spark.createDataFrame([("a", "1", "2"), ("b", "3", "4")], some.schema)
+    path = tempfile.mkdtemp(prefix="trades-") + "/t"
+    label_trades(fills, some, keep=J.FILL_ID).write.parquet(path)
+    want = label_trades(fills, full, keep=J.FILL_ID)
+    for rows in (1 << 25, 90):
+        monkeypatch.setattr(S, "PORTION_ROWS", rows, raising=False)
+        before = _shuffle_files(spark)
+        got = J.relabel_unknown(spark.read.parquet(path), fills, full)
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString() and not _left(spark, before)
+        assert got.count() == 400 and got.exceptAll(want.select(got.columns)).count() == 0
+
+
+def test_label_batches_are_not_kept(spark, monkeypatch):
+    _no_persist(monkeypatch)
+    src, out, ck, miss = (tempfile.mkdtemp(prefix=p) for p in ("fills-", "trades-", "ck-", "missing-"))
+    rows = [(60, "m", "0", 5, "t", "71", 7, "0xab", 1, i) for i in range(4)]
+    fills = spark.createDataFrame(rows, "timestamp long, maker string, makerAssetId string, makerAmountFilled long, taker string, "
+                                        "takerAssetId string, takerAmountFilled long, transactionHash string, block_number long, log_index long")
+    markets = spark.createDataFrame([("a", "1", "2")], "id string, token1 string, token2 string")
+    before = _shuffle_files(spark)
+    for _ in range(2):  # the second delivery repeats the first
+        fills.repartition(3).write.mode("append").parquet(src)
+        before |= _shuffle_files(spark)
+        stream = spark.readStream.schema(fills.schema).parquet(src)
+        J.run_to_end(J.stream_label(spark, stream, lambda: markets, out, ck, missing_path=miss, identity=J.FILL_ID))
+        assert spark.read.parquet(out).count() == 4
+    assert [r.asset_id for r in spark.read.parquet(miss).select("asset_id").distinct().collect()] == ["71"]
