@@ -276,3 +276,23 @@ def test_label_batches_are_not_kept(spark, monkeypatch):
         J.run_to_end(J.stream_label(spark, stream, lambda: markets, out, ck, missing_path=miss, identity=J.FILL_ID))
         assert spark.read.parquet(out).count() == 4
     assert [r.asset_id for r in spark.read.parquet(miss).select("asset_id").distinct().collect()] == ["71"]
+
+
+def test_fills_are_settled_in_portions_and_not_kept(spark, monkeypatch):
+    """A batch as large as all that has landed: it is neither cached nor joined at once."""
+    from fillbook import session as S
+    from fillbook.sources import fixtures as X
+    from tests.conftest import SF001
+    logs, blocks = X.fx_raw_logs(spark, SF001), X.fx_raw_blocks(spark, SF001)
+    src = tempfile.mkdtemp(prefix="logs-")
+    logs.write.mode("append").parquet(src)
+    got = []
+    _no_persist(monkeypatch)
+    for rows in (1 << 25, 1000):
+        monkeypatch.setattr(S, "PORTION_ROWS", rows, raising=False)
+        out, ck, stats = (tempfile.mkdtemp(prefix=p) for p in ("fills-", "ck-", "stats-"))
+        J.run_to_end(J.stream_fills(spark, src, blocks, X.FX_CONTRACT, X.FX_TOPIC0, out, ck, stats_path=stats))
+        got.append((spark.read.parquet(out), spark.read.parquet(stats).collect(), len(_writes(out))))
+    (one, stats_one, writes_one), (many, stats_many, writes_many) = got
+    assert writes_one == 1 and writes_many >= 5 and stats_one == stats_many and one.count() == stats_one[0].rows_written > 0
+    assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
