@@ -296,3 +296,31 @@ def test_fills_are_settled_in_portions_and_not_kept(spark, monkeypatch):
     (one, stats_one, writes_one), (many, stats_many, writes_many) = got
     assert writes_one == 1 and writes_many >= 5 and stats_one == stats_many and one.count() == stats_one[0].rows_written > 0
     assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
+
+
+def test_new_logs_go_in_portions_and_are_not_kept(spark, monkeypatch):
+    from fillbook import session as S
+    _no_persist(monkeypatch)
+    monkeypatch.setattr(S, "PORTION_ROWS", 10, raising=False)
+    src, out, ck = (tempfile.mkdtemp(prefix=p) for p in ("logs-", "new-", "ck-"))
+    first = [(b, i) for b in range(10) for i in range(4)]
+    for keys in (first + first[:5], first[20:] + [(b, 9) for b in range(8, 12)]):
+        _logs_of(spark, keys).write.mode("append").parquet(src)
+        J.run_to_end(J.stream_new_logs(spark.readStream.schema(_logs_of(spark, keys).schema).parquet(src), out, ck, blocks_per_range=2))
+    got = sorted((int(r.block_number), r.log_index) for r in spark.read.parquet(out).collect())
+    assert got == sorted(first + [(b, 9) for b in range(8, 12)]) and spark.read.parquet(f"{out}_seen").count() == len(got)
+    assert len(_writes(f"{out}/batch_id=0")) > 2
+
+
+def test_whole_rows_move_in_mixed_parts_only(spark):
+    """A replayed range goes and a new one stays without an exchange."""
+    key, part = ["block_number", "log_index"], F.floor(F.col("block_number").cast("long") / 10)
+    seen = _logs_of(spark, [(1, 1), (2, 1), (25, 1)])
+    rows = _logs_of(spark, [(1, 1), (2, 1), (2, 1), (11, 1), (12, 1)])
+    fresh = J._first_time(rows, key, seen, part)
+    assert fresh.orderBy(*key).collect() == _logs_of(spark, [(11, 1), (12, 1)]).orderBy(*key).collect()
+    assert "Exchange" not in fresh._jdf.queryExecution().executedPlan().toString()
+    more = J._first_time(_logs_of(spark, [(11, 1), (21, 1), (21, 1), (25, 1), (1, 1)]), key, seen, part)
+    assert sorted((r.block_number, r.log_index) for r in more.collect()) == [("11", 1), ("21", 1)]
+    odd = _logs_of(spark, [(1, 1)]).withColumn("block_number", F.lit(None).cast("string"))  # a key with a null was never seen
+    assert J._first_time(odd.unionByName(odd), key, odd.unionByName(seen), part).count() == 1
