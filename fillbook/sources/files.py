@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fillbook import session as S
 from fillbook.functions import hexcodec as H
 from fillbook.operators.label import TRADE_COLUMNS
 from fillbook.sources.markets import CSV_OPTIONS
@@ -73,10 +74,18 @@ def append_trades(trades: DataFrame, path: str, run_id: str, granularity: str =
     after a failure replaces its output. Rows are rebalanced by date before the
     write: few files per date, and AQE splits a heavy one. ``granularity='month'``
     labels each partition with the month's first day (for small tables).
+
+    A large run is written in portions of whole dates, the first with overwrite,
+    so that the exchanges of one portion lie on disk at a time.
     """
     date = F.to_date(F.date_trunc(granularity, F.col("timestamp")))
-    out = by_date(trades.withColumn("trade_date", date))
-    out.write.mode("overwrite").option("compression", "zstd").partitionBy("trade_date").parquet(f"{path}/run_id={run_id}")
+    dated, mode = trades.withColumn("trade_date", date), "overwrite"
+    with S.releasing(trades.sparkSession):
+        groups = S.portions([tuple(r) for r in dated.groupBy("trade_date").count().collect()])
+        for dates in groups:
+            some = dated.where(S.among(F.col("trade_date"), dates)) if len(groups) > 1 else dated
+            by_date(some).write.mode(mode).option("compression", "zstd").partitionBy("trade_date").parquet(f"{path}/run_id={run_id}")
+            mode = "append"
 
 
 def by_date(trades: DataFrame) -> DataFrame:

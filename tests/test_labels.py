@@ -110,3 +110,21 @@ def test_fills_move_with_their_hashes_as_bytes_and_one_plan(spark):
     j.collect()
     plan = j._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan and "unhex" in plan
+
+
+def test_a_large_append_goes_in_portions_of_dates(spark, monkeypatch):
+    from fillbook import session as S
+    from tests.test_streaming import _left, _shuffle_files, _writes
+    fills = fills_of(spark, [("0", CASH, "71", TOKENS)] * 300).withColumn("timestamp", F.when(F.col("timestamp") > 0, F.col("timestamp") * 30))
+    trades = label_trades(fills, markets_of(spark))
+    d = tempfile.mkdtemp(prefix="dates-")
+    monkeypatch.setattr(S, "PORTION_ROWS", 100, raising=False)
+    before = _shuffle_files(spark)
+    for _ in range(2):  # a run again replaces its output
+        append_trades(trades, d, "r")
+    assert len(_writes(d)) >= 3 and not _left(spark, before)
+    back = read_trades(spark, d)
+    assert back.count() == 300 and back.select(trades.columns).exceptAll(trades).count() == 0
+    assert back.where("trade_date is null").count() == 1
+    dates = [f"{x.trade_date}" for x in back.select("trade_date").distinct().collect()]
+    assert len(dates) == 8
