@@ -113,3 +113,21 @@ def test_time_format(spark):
     df = spark.createDataFrame([(0,), (1_700_000_000,)], "t long")
     assert [r[0] for r in df.select(epoch_to_text("t")).collect()] == \
         ["1970-01-01 00:00:00", "2023-11-14 22:13:20"]
+
+
+def test_a_large_landing_goes_in_portions(spark, tmp_path, monkeypatch):
+    from fillbook import session as S
+    from tests.test_streaming import _left, _shuffle_files, _writes
+    rows = [dict(x, block=b) for x, b in zip(records(random.Random(10), 300), list(range(300)), strict=True)]
+    logs = spark.createDataFrame([as_log(x) for x in rows] + [(None, *as_log(rows[0])[1:])], C.RAW_LOG)
+    monkeypatch.setattr(S, "PORTION_ROWS", 120, raising=False)
+    path, before = str(tmp_path / "logs"), _shuffle_files(spark)
+    for mode in ("overwrite", "append", "ignore"):
+        C.land_logs(logs, path, blocks_per_range=50, mode=mode)
+    back = spark.read.schema(C.LANDED_LOG).parquet(path)
+    assert len(_writes(path)) == 6 and not _left(spark, before)  # three portions, twice
+    assert sorted((r.block, r.log_index, r.block_range) for r in back.where("block is not null").collect()) == \
+        sorted(2 * [(x["block"], x["index"], x["block"] // 50) for x in rows])
+    assert back.where("block is null").count() == 2
+    C.land_logs(logs.limit(0), str(tmp_path / "none"))
+    assert spark.read.schema(C.LANDED_LOG).parquet(str(tmp_path / "none")).count() == 0
