@@ -128,3 +128,21 @@ def test_a_large_append_goes_in_portions_of_dates(spark, monkeypatch):
     assert back.where("trade_date is null").count() == 1
     dates = [f"{x.trade_date}" for x in back.select("trade_date").distinct().collect()]
     assert len(dates) == 8
+
+
+def test_a_compressed_export_reads_back(spark):
+    import gzip
+    import os
+    from fillbook.sources.files import export_trades_csv, read_trades_csv
+    from tests.test_streaming import _left, _shuffle_files
+    trades = label_trades(fills_of(spark, [("0", CASH, "71", TOKENS), ("72", TOKENS, "0", CASH), ("0", 5, "999", 0)]), markets_of(spark))
+    d, before = tempfile.mkdtemp(prefix="csv-"), _shuffle_files(spark)
+    export_trades_csv(trades, f"{d}/gz", compression="gzip")
+    assert not _left(spark, before)
+    files = [f"{d}/gz/{f}" for f in os.listdir(f"{d}/gz") if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") and gzip.open(f, "rt").readline().strip() == ",".join(TRADE_COLUMNS) for f in files)
+    export_trades_csv(trades, f"{d}/plain")
+    assert all(f.endswith(".csv") for f in os.listdir(f"{d}/plain") if f.startswith("part-"))
+    for p in ("gz", "plain"):
+        back = read_trades_csv(spark, f"{d}/{p}")
+        assert back.count() == 3 and back.exceptAll(trades).count() == 0
